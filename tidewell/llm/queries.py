@@ -5,21 +5,66 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewell.llm import near_dup
+import corpus_pipeline
+from tidewell.llm import decontaminate, language, mixing, near_dup, sharding, toxicity
+from tidewell.llm.oracles import ORACLES
+from tidewell.llm.scratch import Scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards whose row counts differ by one at most."""
+    rows = sharding.shard_rows(_table(spark, sf_dir, "documents").select("doc_id", "text"), 24)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op3_contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a benchmark item and a document that contains three quarters of its shingles or more."""
+    found = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "doc_id", "n_item", "n_shared", "containment")
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's near-duplicate group."""
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for each document, learned from the labels that aren't held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    Scratch(spark, "toxicity")
+    labels = _table(spark, sf_dir, "labels").where(~toxicity.held_out("doc_id")).select("doc_id", F.col("toxic").alias("label"))
+    scored = toxicity.score(docs, toxicity.fit(docs.join(labels, "doc_id")))
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A language for each document, learned from the documents that aren't held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    Scratch(spark, "language")
+    found = language.identify(docs, language.fit_on_documents(docs))
+    return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix of all sources takes."""
+    mix = mixing.mix_sources(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of corpus_pipeline."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_near_duplicates,)}
+    return {f.__name__: f for f in (op2_shards, op3_contaminated, op4_near_duplicates, op6_toxicity, op7_language, op8_mix, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return ORACLES

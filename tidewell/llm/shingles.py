@@ -17,8 +17,10 @@ WORDS = 5
 #: Bytes of text hashed at once; a word longer than that is hashed alone.
 SEGMENT = 1 << 20
 
-_SPACES = np.zeros(256, bool)
-_SPACES[[9, 10, 11, 12, 13, 32]] = True
+#: Tables of the bytes that stand between words: white space, or every ASCII character but letters and digits.
+SPACES = np.zeros(256, bool)
+SPACES[[9, 10, 11, 12, 13, 32]] = True
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint64) + np.uint64(1)
 _LOWER[65:91] += np.uint64(32)
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -59,10 +61,10 @@ def _pieces(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
-def _hash_group(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _hash_group(pieces: list[bytes], separators: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(b" ".join(pieces) + b" ", np.uint8)
     up, down = _powers(len(data) + 1)
-    space = _SPACES[data]
+    space = separators[data]
     edge = np.diff(space.view(np.int8), prepend=np.int8(1))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     if len(data) and space[0]:
@@ -74,7 +76,7 @@ def _hash_group(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.diff(np.searchsorted(starts, bounds), prepend=0)
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[bytes], separators: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of all texts in order, and the number of words of each text."""
     found, counts = [], np.zeros(len(texts), np.int64)
     group: list[bytes] = []
@@ -83,7 +85,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
     def flush() -> None:
         if group:
-            hashes, n = _hash_group(group)
+            hashes, n = _hash_group(group, separators)
             found.append(hashes)
             np.add.at(counts, owner, n)
             group.clear()
@@ -128,10 +130,10 @@ def groups(texts: list[bytes], most: int = SEGMENT) -> Iterator[slice]:
         yield slice(lo, len(texts))
 
 
-def shingle_sets(texts: list[bytes], words: int = WORDS) -> Iterator[np.ndarray]:
+def shingle_sets(texts: list[bytes], words: int = WORDS, separators: np.ndarray = SPACES) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     for part in groups(texts):
-        all_, counts = shingle_hashes(*word_hashes(texts[part]), words)
+        all_, counts = shingle_hashes(*word_hashes(texts[part], separators), words)
         ends = np.cumsum(counts)
         for lo, hi in zip(ends - counts, ends, strict=True):
             yield np.unique(all_[lo:hi])
