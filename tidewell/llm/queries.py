@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewell.llm import decontaminate, language, mixing, near_dup, sharding, toxicity
+from tidewell.llm import decontaminate, language, media, mixing, near_dup, pii, sharding, spans, toxicity, urls
 from tidewell.llm.oracles import ORACLES
 from tidewell.llm.scratch import Scratch
 
@@ -17,6 +17,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in each document."""
+    return pii.find_pii(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards whose row counts differ by one at most."""
     rows = sharding.shard_rows(_table(spark, sf_dir, "documents").select("doc_id", "text"), 24)
@@ -34,6 +39,12 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that lose repeated spans, what they lose and what is left."""
+    found = spans.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "removed", "removed_chars", "text")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for each document, learned from the labels that aren't held out."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -57,13 +68,24 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict on each page's URL."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, urls.fit(urls.labelled(spark))).select("page_id", "host", "path", "rule", "verdict", "probability")
+
+
+def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document stored as an image, read back and described."""
+    return media.store_and_describe(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline."""
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_shards, op3_contaminated, op4_near_duplicates, op6_toxicity, op7_language, op8_mix, pipeline)}
+    return {f.__name__: f for f in (op1_pii, op2_shards, op3_contaminated, op4_near_duplicates, op5_repeated_spans, op6_toxicity, op7_language, op8_mix, op9_urls, op10_media, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
