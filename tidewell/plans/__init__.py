@@ -1 +1,6 @@
+"""All registered queries and their oracles."""
 
+from tidewell.plans import telemetry
+from tidewell.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "telemetry"]
