@@ -8,8 +8,11 @@ a given chunk with probability 0.63, in none of the twelve with 6e-6. Pairs are
 of 64-bit shingle hashes.
 
 Groups of copies cost no pairs: equal sets are one node. In each bucket, the nodes are compared with its least
-and its greatest node (two pairs a node). Only buckets that still hold nodes of different components go on,
-and there only nodes outside the bucket's commonest component are compared with the rest, in blocks.
+and its greatest node (two pairs a node). Buckets that then still hold nodes of different components are open;
+open buckets that share nodes form a cluster, and the nodes outside a cluster's commonest component are compared
+with the rest of the cluster, full sets in blocks of bounded size, of which each gives a forest of its links and
+no pairs. A cluster of over CLUSTER nodes is compared bucket by bucket instead, so chance chains of buckets don't
+add up. Nothing is capped: each pair that shares a bucket is either in one component already or compared.
 """
 
 from __future__ import annotations
@@ -32,8 +35,8 @@ SYMBOLS = CHUNKS * WIDTH
 LEAST_AGREE = 27
 #: Similarity in hundredths.
 PERCENT = 75
-#: Nodes in a block of a bucket that stars left open.
-BLOCK = 256
+#: Nodes on a side of a block that compares full sets; nodes up to which open buckets are compared as one cluster.
+BLOCK, CLUSTER = 256, 50_000
 
 _rng = np.random.Generator(np.random.PCG64(20240))
 _FACTORS = _rng.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -132,17 +135,36 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _across(frame: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of different components between the two sides of a block that signatures and sizes allow."""
-    out = []
+    """A forest of the links between different components from one side of a block to the other."""
     left, right = frame[frame["side"] == 0], frame[frame["side"] == 1]
+    out: list[tuple[int, int]] = []
     if len(left) and len(right):
-        many = np.frombuffer(b"".join(right["sig"]), np.uint16).reshape(-1, SYMBOLS)
-        nodes, comps, sizes = (right[c].to_numpy() for c in ("node", "comp", "n"))
-        for node, comp, n, sig in zip(left["node"], left["comp"], left["n"], left["sig"], strict=True):
-            keep = (comps != comp) & (100 * np.minimum(sizes, n) >= PERCENT * np.maximum(sizes, n))
-            keep[keep] = (many[keep] == np.frombuffer(sig, np.uint16)).sum(1) >= LEAST_AGREE
-            out += [(min(node, x), max(node, x)) for x in nodes[keep]]
-    return pd.DataFrame(out, columns=["a", "b"], dtype="int64").drop_duplicates()
+        sigs = np.frombuffer(b"".join(right["sig"]), np.uint16).reshape(-1, SYMBOLS)
+        nodes, sizes = right["node"].to_numpy(), right["n"].to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in right["found"]]
+        both = pd.concat([left["comp"], right["comp"]]).to_numpy()
+        names, label = np.unique(both, return_inverse=True)
+        group = np.arange(len(names))  # components joined so far in this block
+        lefts, rights = label[: len(left)], label[len(left) :]
+        for node, comp, n, sig, found in zip(left["node"], lefts, left["n"], left["sig"], left["found"], strict=True):
+            mine = np.frombuffer(found, np.uint64)
+            fits = (group[rights] != group[comp]) & (100 * np.minimum(sizes, n) >= PERCENT * np.maximum(sizes, n))
+            agree = np.zeros(len(nodes), np.int64)
+            agree[fits] = (sigs[fits] == np.frombuffer(sig, np.uint16)).sum(1)
+            for i in np.argsort(-agree, kind="stable")[: np.count_nonzero(agree >= LEAST_AGREE)]:
+                if group[rights[i]] != group[comp]:
+                    at = np.minimum(np.searchsorted(mine, sets[i]), n - 1)
+                    shared = np.count_nonzero(mine[at] == sets[i])
+                    if 100 * shared >= PERCENT * (n + sizes[i] - shared):
+                        out.append((node, nodes[i]))
+                        group[group == group[rights[i]]] = group[comp]
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [x.tobytes() for x in shingles.shingle_sets(_texts(batch["text"]))]
+        yield pa.RecordBatch.from_arrays([batch["node"], pa.array(found, pa.binary())], ["node", "found"])
 
 
 class _Run:
@@ -158,10 +180,8 @@ class _Run:
     def index(self) -> DataFrame:
         return self.nodes.select("node", "sig").mapInArrow(_index, "key long, node long")
 
-    def links(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Of (a, b) pairs, those similar enough, confirmed on the full sets. Reads the texts of their nodes only."""
-        pairs = self.scratch.save(pairs, f"{name}-pairs")
-        used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    def texts(self, used: DataFrame, name: str) -> DataFrame:
+        """(node, text) of the nodes in used; the scan sends no other texts on, but for a few that share a bit of a bitmap."""
         needed = self.scratch.save(self.nodes.join(used, "node", "left_semi").select("node", "doc_id", "th"), f"{name}-needed")
         bitmap = bitmaps.build(needed, F.xxhash64("doc_id", "th"))
 
@@ -171,12 +191,17 @@ class _Run:
 
         found = self.source.withColumn("k", F.xxhash64("doc_id", "th")).mapInArrow(wanted, "doc_id long, th long, text string").alias("s")
         same = F.col("s.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("s.th") == F.col("t.th"))
-        texts = found.join(needed.alias("t"), same).groupBy("node").agg(F.min("text").alias("text"))
-        texts = self.scratch.save(texts, f"{name}-texts")
+        return found.join(needed.alias("t"), same).select("node", "text").dropDuplicates(["node"])
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """Of (a, b) pairs, those similar enough, confirmed on the full sets."""
+        pairs = self.scratch.save(pairs, "star-pairs")
+        used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        texts = self.scratch.save(self.texts(used, "star"), "star-texts")
         both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-        out = self.scratch.save(both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long"), f"{name}-links")
-        self.scratch.drop(f"{name}-texts")
+        out = self.scratch.save(both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long"), "star-links")
+        self.scratch.drop("star-texts")
         return out
 
     def alike(self, pairs: DataFrame) -> DataFrame:
@@ -191,19 +216,32 @@ class _Run:
         pairs = index.join(ends, "key").select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("node").alias("b")), F.struct(F.col("node").alias("a"), F.col("hi").alias("b")))).alias("p")).select("p.*")
         return self.alike(pairs.where("a != b").distinct())
 
-    def open_pairs(self, comps: DataFrame) -> DataFrame:
-        """Pairs that stars left open: of a bucket of over three nodes, each node outside its commonest component with all nodes of other components."""
-        size = self.index().groupBy("key").agg(F.count("*").alias("total")).where("total > 3")
+    def open_links(self, comps: DataFrame) -> DataFrame | None:
+        """Links between components inside the buckets that stars left open; None without such buckets."""
+        save = self.scratch.save
+        size = self.index().groupBy("key").agg(F.count("*").alias("total")).where("total > 3").select("key")
         held = self.index().join(size, "key").join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-        held = self.scratch.save(held, "open-index")
-        most = held.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("total")).where("top.n < total")
-        most = self.scratch.save(most.select("key", F.col("top.comp").alias("top"), "total", (F.col("total") - F.col("top.n")).alias("few")), "open-keys")
-        rows = held.join(most, "key").join(self.nodes.select("node", "n", "sig"), "node")
+        held = save(held, "open-index")
+        buckets = held.groupBy("key").agg(F.min("node").alias("lo"), F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 != c2").select("key", "lo")
+        held = save(held.join(buckets, "key"), "open-held")
+        if held.isEmpty():
+            return None
+        chains = held.select(F.col("node").alias("a"), F.col("lo").alias("b")).distinct()
+        clusters = save(components(chains, self.scratch, "open-clusters").withColumnRenamed("comp", "cluster"), "open-clusters")
+        large = save(clusters.groupBy("cluster").count().where(F.col("count") > CLUSTER).select("cluster"), "open-large")
+        rows = held.join(clusters, "node")
+        rows = rows.join(large.withColumn("large", F.lit(True)), "cluster", "left").select("node", "comp", F.when(F.col("large"), F.xxhash64("key", F.lit("key"))).otherwise(F.col("cluster")).alias("unit"))
+        rows = save(rows.distinct(), "open-rows")
+        units = rows.groupBy("unit", "comp").agg(F.count("*").alias("n")).groupBy("unit").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("total"))
+        units = units.select("unit", F.col("top.comp").alias("top"), "total", (F.col("total") - F.col("top.n")).alias("few")).where("few > 0")
+        sets = save(self.texts(rows.select("node").distinct(), "open").mapInArrow(_sets, "node long, found binary"), "open-sets")
         block = lambda n: F.pmod(F.xxhash64("node"), F.ceil(n / BLOCK))
         blocks = lambda n: F.sequence(F.lit(0).cast("long"), F.ceil(n / BLOCK) - 1)
-        few = rows.where("comp != top").select("key", block(F.col("few")).alias("i"), F.explode(blocks(F.col("total"))).alias("j"), F.lit(0).alias("side"), "node", "comp", "n", "sig")
-        all_ = rows.select("key", F.explode(blocks(F.col("few"))).alias("i"), block(F.col("total")).alias("j"), F.lit(1).alias("side"), "node", "comp", "n", "sig")
-        return few.unionByName(all_).groupBy("key", "i", "j").applyInPandas(_across, "a long, b long").distinct()
+        rows = rows.join(units, "unit")
+        few = rows.where("comp != top").select("unit", block(F.col("few")).alias("i"), F.explode(blocks(F.col("total"))).alias("j"), F.lit(0).alias("side"), "node", "comp")
+        all_ = rows.select("unit", F.explode(blocks(F.col("few"))).alias("i"), block(F.col("total")).alias("j"), F.lit(1).alias("side"), "node", "comp")
+        sides = few.unionByName(all_).join(self.nodes.select("node", "n", "sig"), "node").join(sets, "node")
+        return save(sides.groupBy("unit", "i", "j").applyInPandas(_across, "a long, b long"), "open-links")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -217,11 +255,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     component_id and kept are null). Other columns of df are ignored. An empty df gives an empty result.
     """
     run = _Run(df, id_col, text_col)
-    links = run.links(run.stars(), "star")
+    links = run.links(run.stars())
     comps = run.scratch.save(components(links, run.scratch, "star-comps"), "star-comps")
-    more = run.scratch.save(run.open_pairs(comps), "open")
-    if not more.isEmpty():
-        comps = components(links.unionByName(run.links(more, "open")), run.scratch, "open-comps")
+    more = run.open_links(comps)
+    if more is not None:
+        comps = components(links.unionByName(more), run.scratch, "all-comps")
     named = run.nodes.join(comps, "node", "left").select("node", "least", F.coalesce("comp", "node").alias("comp"))
     named = run.scratch.save(named, "named")
     least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
