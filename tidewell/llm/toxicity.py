@@ -1,9 +1,10 @@
 """Toxicity by a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-A text's features are the distinct character n-grams of 3 to 6 characters of the lower-cased text (anything but
-letters is one separator), hashed to 2**20 buckets. Spark counts in how many toxic and other labelled documents
-each bucket occurs; the log of the ratio of the smoothed shares scales the feature, and a logistic regression is
-fitted on the scaled features of the FEATURES buckets that tell the classes apart best.
+A text's features are the distinct character n-grams of 5 to 7 characters of the lower-cased text (anything but
+letters is one separator), hashed to 2**21 buckets. Spark counts in how many toxic and other labelled documents
+each bucket occurs; the log of the ratio of the smoothed shares scales the feature, a document's scaled features
+are brought to the length LENGTH, and a logistic regression is fitted on those of the FEATURES buckets that tell
+the classes apart best.
 """
 
 from __future__ import annotations
@@ -19,10 +20,10 @@ from pyspark.sql import functions as F
 from tidewell.llm import chars
 from tidewell.llm.scratch import Scratch
 
-ORDERS = (3, 4, 5, 6)
-BUCKET_BITS = 20
-#: Labelled documents that the fit uses about, at most (a hash of the id picks them); features kept; smoothing; penalty.
-SAMPLE, FEATURES, ALPHA, PENALTY = 20_000, 40_000, 1.0, 1.0
+ORDERS = (5, 6, 7)
+BUCKET_BITS = 21
+#: Labelled documents that the fit uses about, at most (a hash of the id picks them); features kept, and their least log ratio; smoothing; length of a document's features; penalty.
+SAMPLE, FEATURES, LEAST_RATIO, ALPHA, LENGTH, PENALTY = 12_000, 20_000, 1.0, 0.5, 5.0, 0.1
 
 
 def _features(texts: list[str], slot: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -44,30 +45,35 @@ def _features(texts: list[str], slot: np.ndarray | None = None) -> Iterator[tupl
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents by bucket and label in each batch."""
+    """Documents by bucket and label in each batch (a text of several chunks counts in each)."""
     for batch in batches:
         label = batch["label"].to_numpy().astype(np.int64)
-        seen = [(own << 24) | f for own, f in _features(chars.texts_of(batch["text"]))]
-        pairs = np.unique(np.concatenate(seen)) if seen else np.zeros(0, np.int64)
-        keys, n = np.unique((pairs & 0xFFFFFF) * 2 + label[pairs >> 24], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(keys // 2), pa.array(keys % 2), pa.array(n)], ["bucket", "label", "n"])
+        n = np.zeros((2, 1 << BUCKET_BITS), np.int64)
+        for own, f in _features(chars.texts_of(batch["text"])):
+            for k in (0, 1):
+                n[k] += np.bincount(f[label[own] == k], minlength=1 << BUCKET_BITS)
+        for k in (0, 1):
+            keys = np.flatnonzero(n[k])
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), k)), pa.array(n[k][keys])], ["bucket", "label", "n"])
 
 
 @dataclass
 class Model:
-    """slot: feature of each bucket or -1; weight: of each feature, ratio included; bias; scale: of a document's feature count."""
+    """slot: feature of each bucket or -1; ratio and weight: of each feature; bias."""
 
     slot: np.ndarray
+    ratio: np.ndarray
     weight: np.ndarray
     bias: float
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        total, active = np.zeros(len(texts)), np.zeros(len(texts))
+        total, squares = np.zeros(len(texts)), np.zeros(len(texts))
         held: list[np.ndarray] = []
 
         def add(pairs: np.ndarray) -> None:
-            np.add.at(total, pairs >> 24, self.weight[pairs & 0xFFFFFF])
-            np.add.at(active, pairs >> 24, 1)
+            own, f = pairs >> 24, pairs & 0xFFFFFF
+            total[:] += np.bincount(own, self.weight[f] * self.ratio[f], len(texts))
+            squares[:] += np.bincount(own, self.ratio[f] ** 2, len(texts))
 
         for own, f in _features(texts, self.slot):
             both = (own << 24) | f
@@ -80,7 +86,8 @@ class Model:
                 held.append(both)
         for pairs in held:
             add(pairs)
-        return 1 / (1 + np.exp(-np.clip(total + self.bias, -35, 35)))
+        z = LENGTH * total / np.sqrt(np.maximum(squares, 1e-12)) + self.bias
+        return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
 
 def _logistic(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, labels: np.ndarray, width: int, steps: int = 300) -> tuple[np.ndarray, float]:
@@ -91,9 +98,9 @@ def _logistic(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, labels:
     w, b = np.zeros(width), 0.0
     vw, vb = w.copy(), b
     for k in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(rows, values * vw[columns], n) + vb, -35, 35)))
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(rows, values * vw.astype(np.float32)[columns], n) + vb, -35, 35)))
         g = (p - labels) / n
-        new_w = vw - rate * (np.bincount(columns, values * g[rows], width) + PENALTY / n * vw)
+        new_w = vw - rate * (np.bincount(columns, values * g.astype(np.float32)[rows], width) + PENALTY / n * vw)
         new_b = vb - rate * g.sum()
         m = k / (k + 3)
         vw, vb, w, b = new_w + m * (new_w - w), new_b + m * (new_b - b), new_w, new_b
@@ -111,13 +118,13 @@ def fit(labelled: DataFrame) -> Model:
     slot = np.full(1 << BUCKET_BITS, -1, np.int64)
     if len(sizes) < 2:
         share = (sizes.get(1, 0) + 1) / (sum(sizes.values()) + 2)
-        return Model(slot, np.zeros(1), float(np.log(share / (1 - share))))
+        return Model(slot, np.zeros(1), np.zeros(1), float(np.log(share / (1 - share))))
     counts = rows.mapInArrow(_count, "bucket long, label long, n long").groupBy("bucket").agg(
         F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("p"), F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("q"))
     share = lambda c, k: (F.col(c) + ALPHA) / (sizes[k] + 2 * ALPHA)
     ratio = F.log(share("p", 1) / share("q", 0))
     apart = F.abs((share("p", 1) - share("q", 0)) * ratio)
-    best = counts.where("p + q > 2").select("bucket", ratio.alias("ratio"), apart.alias("apart")).orderBy(F.desc("apart"), "bucket").limit(FEATURES).toArrow()
+    best = counts.where((F.col("p") + F.col("q") > 2) & (F.abs(ratio) >= LEAST_RATIO)).select("bucket", ratio.alias("ratio"), apart.alias("apart")).orderBy(F.desc("apart"), "bucket").limit(FEATURES).toArrow()
     slot[best["bucket"].to_numpy()] = np.arange(len(best))
     ratios = best["ratio"].to_numpy()
 
@@ -133,10 +140,12 @@ def fit(labelled: DataFrame) -> Model:
     sample = rows.mapInArrow(active, "label long, features array<int>").toArrow()
     labels = sample["label"].to_numpy().astype(float)
     features = sample["features"].combine_chunks()
-    columns = np.asarray(features.flatten(), np.int64)
-    owners = np.repeat(np.arange(len(labels)), np.diff(np.asarray(features.offsets)))
-    w, b = _logistic(owners, columns, ratios[columns], labels, len(best))
-    return Model(slot.astype(np.int32), w * ratios, float(b))
+    columns = np.asarray(features.flatten(), np.int32)
+    owners = np.repeat(np.arange(len(labels), dtype=np.int32), np.diff(np.asarray(features.offsets)))
+    values = ratios[columns]
+    values *= LENGTH / np.sqrt(np.maximum(np.bincount(owners, values**2, len(labels)), 1e-12))[owners]
+    w, b = _logistic(owners, columns, values.astype(np.float32), labels, len(best))
+    return Model(slot.astype(np.int32), ratios, w, float(b))
 
 
 def held_out(id_col: str) -> Column:
