@@ -1,6 +1,6 @@
 """All registered queries and their oracles."""
 
-from tidewell.plans import operations, telemetry
+from tidewell.plans import operations, streams, telemetry
 from tidewell.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "operations", "telemetry"]
+__all__ = ["ORACLES", "QUERIES", "operations", "streams", "telemetry"]

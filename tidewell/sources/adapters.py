@@ -75,15 +75,29 @@ _WHERE = {"chr": "event_id % 3 <> 0", "pm": "event_id % 3 = 0", "cfg": "event_ty
 _COLUMNS = {"chr": CHR, "pm": PM, "cfg": CFG, "samples": SAMPLES}
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+def _shape(raw: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("long")
     return raw.select("event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("ts"), "user_id", "event_type", "value", k.alias("k"))
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shape(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def _view(rows: DataFrame, name: str) -> DataFrame:
+    return rows.where(_WHERE[name]).selectExpr(*(f"{e} as {c}" for c, e in _COLUMNS[name].items()))
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The rows of chr, pm, cfg or samples."""
-    return events(spark, sf_dir).where(_WHERE[name]).selectExpr(*(f"{e} as {c}" for c, e in _COLUMNS[name].items()))
+    return _view(events(spark, sf_dir), name)
+
+
+def streamed_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """view() over the events as a file stream."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    # The file source takes a folder or a pattern, and the table may be a single file.
+    return _view(_shape(spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")), name)
 
 
 def duckdb_views() -> str:
