@@ -60,3 +60,37 @@ def test_enrichment(spark, folder):
 def test_intervals():
     assert [st.trigger_seconds(x) for x in (None, 0, -1, 5)] == [30, 30, 30, 5]
     assert st.trigger_seconds(600, file_sink=True) == 180
+
+
+def test_probes_and_side_output(spark, folder):
+    from tidewell.streaming import probes
+
+    seen = []
+    listener = probes.Progress(seen.append)
+    spark.streams.addListener(listener)
+    rows = spark.createDataFrame([("a", 1, 5), ("b", 2, None)], "chr_id string, event_ts long, cfg_version long")
+    stream = probes.observed(_stream(spark, folder, "late", rows), "enrich", "event_ts")
+    q = stream.writeStream.foreachBatch(probes.split_batches(f"{folder}/main", f"{folder}/side")).option("checkpointLocation", f"{folder}/late-cp").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert spark.read.parquet(f"{folder}/main").count() == 2 and [r.chr_id for r in spark.read.parquet(f"{folder}/side").collect()] == ["b"]
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(20_000)
+    spark.streams.removeListener(listener)
+    assert any(s["stage_id"] == "enrich" and s["records"] == 2 and s["max_ts"] == 2 for s in seen)
+    twice = spark.createDataFrame([("x", 1000), ("x", 1000), ("y", 2000)], "anomaly_id string, event_ts long")
+    st.run_once(probes.once(_stream(spark, folder, "twice", twice)), f"{folder}/once", f"{folder}/once-cp").stop()
+    assert spark.read.parquet(f"{folder}/once").count() == 2
+    assert probes.detected(twice).where("detection_ts > 0").count() == 3
+    write = probes.upsert_batches(f"{folder}/keyed", ("anomaly_id",), ["day"], "event_ts")
+    for _ in range(2):
+        write(twice.withColumn("day", F.lit("d")), 0)
+    assert spark.read.parquet(f"{folder}/keyed").count() == 2
+
+
+def test_recovers_partitions(spark, folder):
+    from tidewell.streaming.probes import recover_partitions
+
+    spark.range(2).withColumn("dt", F.lit("d1")).write.partitionBy("dt").parquet(f"{folder}/ext")
+    spark.sql("drop table if exists ext")
+    spark.sql(f"create table ext (id bigint, dt string) using parquet partitioned by (dt) location '{folder}/ext'")
+    recover_partitions(spark, "ext")
+    assert spark.table("ext").count() == 2
