@@ -148,7 +148,7 @@ def stage_throughput(spark, d):
     return rounded(mx.throughput(view(spark, d, "samples"), DAY))
 
 
-@query(f"{_KPI} select window_kind, window_end_ts, count(*) as n, cast(sum(source_event_ts_avg) // count(*) as bigint) as source_ts, cast(window_end_ts - sum(source_event_ts_avg) // count(*) as bigint) as latency_ms from kpi group by all")
+@query(f"{_KPI} select window_kind, window_end_ts, count(*) as n, cast(sum(source_event_ts_avg) // count(*) as bigint) as source_ts, cast(window_end_ts - sum(source_event_ts_avg) // count(*) as bigint) as latency_ms from kpi group by window_kind, window_end_ts")
 def window_materialization(spark, d):
     """Rows and age of each window."""
     return mx.materialization(_kpi(spark, d))
