@@ -36,6 +36,13 @@ def stream_kpi_1m(spark, d):
     return t.rounded(_sink(spark, rows, "stream-kpi"))
 
 
+@query(f"{t._KPI}, {t._ROLLUP}, {_SEEN} select window_start_ts, cell_id, num_chr_events, num_users, rsrp_sample_count, round(avg_rsrp, 6) as avg_rsrp from roll, seen where window_start_ts + {t.RW} <= mark")
+def stream_kpi_5m(spark, d):
+    """Rollup chained on the KPI stream, of the windows that the watermark has closed."""
+    rows = st.rollups(st.kpis(st.sides(_stream(spark, d, "chr"), _stream(spark, d, "pm")), R), R)
+    return t.rounded(_sink(spark, rows, "stream-rollup"))
+
+
 @query(f"{t._USER_EV}, {t._USER_HITS} select entity_id, dimension, event_ts, seq from us_hits")
 def stream_user_anomalies(spark, d):
     """Streaks of bad events of a user, by state."""
