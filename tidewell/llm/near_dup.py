@@ -229,9 +229,13 @@ class _Run:
         chains = held.select(F.col("node").alias("a"), F.col("lo").alias("b")).distinct()
         clusters = save(components(chains, self.scratch, "open-clusters").withColumnRenamed("comp", "cluster"), "open-clusters")
         large = save(clusters.groupBy("cluster").count().where(F.col("count") > CLUSTER).select("cluster"), "open-large")
-        rows = held.join(clusters, "node")
-        rows = rows.join(large.withColumn("large", F.lit(True)), "cluster", "left").select("node", "comp", F.when(F.col("large"), F.xxhash64("key", F.lit("key"))).otherwise(F.col("cluster")).alias("unit"))
-        rows = save(rows.distinct(), "open-rows")
+        members = held.select("node", "comp").distinct()
+        rows = members.join(clusters, "node").select("node", "comp", F.col("cluster").alias("unit"))
+        if not large.isEmpty():
+            inside = clusters.join(large, "cluster", "left_semi").select("node")
+            by_bucket = held.join(inside, "node", "left_semi").select("node", "comp", F.xxhash64("key", F.lit("key")).alias("unit"))
+            rows = rows.join(inside, "node", "left_anti").unionByName(by_bucket)
+        rows = save(rows, "open-rows")
         units = rows.groupBy("unit", "comp").agg(F.count("*").alias("n")).groupBy("unit").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("total"))
         units = units.select("unit", F.col("top.comp").alias("top"), "total", (F.col("total") - F.col("top.n")).alias("few")).where("few > 0")
         sets = save(self.texts(rows.select("node").distinct(), "open").mapInArrow(_sets, "node long, found binary"), "open-sets")
