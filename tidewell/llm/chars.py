@@ -13,7 +13,7 @@ import pyarrow as pa
 from tidewell.llm.shingles import _powers, mix
 
 #: Characters handled at once.
-SEGMENT = 1 << 19
+SEGMENT = 1 << 18
 #: The code that stands for anything but a letter.
 GAP = np.uint32(1)
 

@@ -38,23 +38,20 @@ def _padded_grams(found: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: in
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, kind, key, n): words (kind 0) and n-grams (kind n) of each batch by language."""
+    """(lang, kind, key, n): words (kind 0) and n-grams (kind n) by language, summed up by chunk so that little is held at a time."""
     for batch in batches:
         langs = batch["lang"].to_pylist()
         for lang in dict.fromkeys(langs):
-            out: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {k: [] for k in (0, *ORDERS)}
             for found, _ in chars.chunks([t or "" for t, x in zip(batch["text"].to_pylist(), langs, strict=True) if x == lang]):
                 starts, ends, hashes = chars.words(found)
                 keys, first, n = np.unique(hashes, return_index=True, return_counts=True)
-                out[0].append((keys, n))
-                for order in ORDERS:
-                    word, grams = _padded_grams(found, starts[first], ends[first], order)
-                    out[order].append((grams, n[word]))
-            for kind, parts in out.items():
-                if parts:
-                    keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-                    n = np.bincount(at, np.concatenate([m for _, m in parts]), len(keys)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)), pa.array(n)], ["lang", "kind", "key", "n"])
+                for kind in (0, *ORDERS):
+                    held, many = keys, n
+                    if kind:
+                        word, grams = _padded_grams(found, starts[first], ends[first], kind)
+                        held, at = np.unique(grams, return_inverse=True)
+                        many = np.bincount(at, n[word], len(held)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(held), pa.string()), pa.array(np.full(len(held), kind, np.int32)), pa.array(held.view(np.int64)), pa.array(many, pa.int64())], ["lang", "kind", "key", "n"])
 
 
 @dataclass

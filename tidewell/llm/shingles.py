@@ -15,7 +15,7 @@ import numpy as np
 
 WORDS = 5
 #: Bytes of text hashed at once; a word longer than that is hashed alone.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 
 #: Tables of the bytes that stand between words: white space, or every ASCII character but letters and digits.
 SPACES = np.zeros(256, bool)
