@@ -133,3 +133,29 @@ def test_spans_equal_brute_force(spark):
     assert len(got[6].text) < len(texts[6]) - len(passage) * 0.8
     assert spans.remove_repeats(df.limit(0)).count() == 0
     assert spans.remove_repeats(df.withColumn("doc_id", F.lit(None).cast("long"))).count() == 0
+
+
+def test_spans_of_passages_planted_mid_sentence(spark):
+    rng = random.Random(11)
+    letters = "abcdefghijklmnop"
+    words = sorted({"".join(rng.choice(letters) for _ in range(rng.randint(3, 8))) for _ in range(3000)})
+    hashes, _ = spans.shingles.word_hashes([w.encode() for w in words], spans.shingles.PUNCTUATION)
+    uncut = [w for w, h in zip(words, hashes.tolist(), strict=True) if h % spans.CUT]
+    # Passages without a sentence end, half of them of words after which no piece ends.
+    passages = [[rng.choice(uncut if i % 2 else words) for _ in range(51 + i % 10)] for i in range(40)]
+    docs = []
+    for i in range(80):
+        around = [[rng.choice(words) for _ in range(rng.randint(3, 40))] for _ in range(2)]
+        docs.append([*around[0], *passages[i % 40], *around[1]])
+    df = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    got = {r.doc_id: r.text.split() for r in spans.remove_repeats(df).collect()}
+    seen: set = set()
+    for i, d in enumerate(docs):
+        gone = set()
+        for j in range(len(d) - spans.LEAST_WORDS + 1):
+            window = tuple(d[j : j + spans.LEAST_WORDS])
+            if window in seen:
+                gone.update(range(j, j + spans.LEAST_WORDS))
+            seen.add(window)
+        assert got.get(i, d) == [w for j, w in enumerate(d) if j not in gone], i
+        assert len(gone) >= len(passages[i % 40]) if i >= 40 else not gone

@@ -1,11 +1,15 @@
-"""Substring deduplication over sliding spans of consecutive sentences.
+"""Substring deduplication over sliding spans of consecutive sentences and words.
 
 Sentences end at a line break or after . ! ? before white space. Passages also get pasted into the middle of
 sentences, so a sentence is cut further after each word whose hash is a multiple of CUT: such cuts depend on the
 words alone, and a passage falls into the same pieces wherever it stands. From every piece on, the shortest run of at
 least RUN consecutive pieces with LEAST_WORDS words is hashed (words only: A-Z lower-cased, punctuation left
-out). A hash that occurs more than once is a repeated span; it stays where it stands first (least id, then
-position) and the pieces that it covers elsewhere are removed.
+out). Such cuts may be far apart, so runs of GRAM words are hashed besides: in every WINDOW consecutive ones that
+with the least hash (winnowing). Any GRAM + WINDOW - 1 = 51 words hold one that is chosen wherever they stand.
+
+A hash that occurs more than once is a repeated span; it stays where it stands first (least id, then position)
+and what it covers elsewhere is removed. From there the removed range grows word by word, up to REACH words on either
+side, as long as the LEAST_WORDS words from the new one inward stand somewhere earlier too.
 """
 
 from __future__ import annotations
@@ -21,41 +25,101 @@ from tidewell.llm import bitmaps, shingles
 from tidewell.llm.scratch import Scratch
 
 RUN, LEAST_WORDS, CUT = 3, 12, 6
+GRAM, WINDOW = 24, 28
+#: A run of GRAM words lies within WINDOW - 1 words of the edge of a passage of 51 words; a shorter passage has 38 words besides a run at most.
+REACH = 38
 #: The bitmap of repeated hashes has 2**26 bits (8 MB).
 BITS = 26
 
 _STOPS = np.zeros(256, bool)
 _STOPS[list(b".!?")] = True
 
-def spans(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(text index, hash, start byte, end byte) of each run, for some texts at a time; an end is where the next piece starts or the text ends."""
-    base = 0
-    for part in shingles.groups(texts):
-        some = texts[part]
-        hashes, counts = shingles.word_hashes(some, shingles.PUNCTUATION)
-        data = np.frombuffer(b"\n".join(some) + b"\n", np.uint8)
+
+class _Words:
+    """The words of some texts: hash, index of the text, first byte in it, and the byte where the next word starts or the text ends."""
+
+    def __init__(self, texts: list[bytes]):
+        self.hashes, counts = shingles.word_hashes(texts, shingles.PUNCTUATION)
+        data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
         word = ~shingles.PUNCTUATION[data]
         starts = np.flatnonzero(word & ~np.concatenate([[False], word[:-1]]))
         stop = np.zeros(len(data), bool)
         stop[:-1] = _STOPS[data[:-1]] & shingles.SPACES[data[1:]]
         stop |= data == 10
-        owner = np.repeat(np.arange(len(some)), counts)
-        cut = (np.diff(np.cumsum(stop)[starts]) > 0) | (hashes[:-1] % np.uint64(CUT) == 0) | (np.diff(owner) > 0)
-        at = np.flatnonzero(np.concatenate([[True], cut])) if len(hashes) else np.zeros(0, np.int64)
-        edges = np.append(at, len(hashes))
-        hi = np.maximum(np.searchsorted(edges, at + LEAST_WORDS), np.arange(len(at)) + RUN)
-        fits = hi <= len(at)
-        lo, hi = at[fits], edges[hi[fits]]
-        fits = owner[lo] == owner[hi - 1]
-        lo, hi = lo[fits], hi[fits]
-        up, down = shingles._powers(len(hashes) + 1)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up[: len(hashes)])])
-        own = shingles.mix((sums[hi] - sums[lo]) * down[lo] + (hi - lo).astype(np.uint64))
-        text_ends = np.cumsum([len(t) + 1 for t in some])
-        text_starts = text_ends - [len(t) + 1 for t in some]
-        until = np.minimum(np.append(starts, len(data))[hi], text_ends[owner[lo]] - 1)
-        yield owner[lo] + base, own, starts[lo] - text_starts[owner[lo]], until - text_starts[owner[lo]]
-        base += len(some)
+        self.owner = np.repeat(np.arange(len(texts)), counts)
+        #: Whether a sentence ends between a word and the next one.
+        self.stops = np.diff(np.cumsum(stop)[starts]) > 0
+        text_ends = np.cumsum([len(t) + 1 for t in texts])
+        text_starts = (text_ends - [len(t) + 1 for t in texts])[self.owner]
+        self.starts = starts - text_starts
+        self.until = np.minimum(np.append(starts, len(data))[1:], text_ends[self.owner] - 1) - text_starts
+        up, self._down = shingles._powers(len(self.hashes) + 1)
+        self._sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.hashes * up[: len(self.hashes)])])
+
+    def digest(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Hashes of the words from lo to before hi."""
+        return shingles.mix((self._sums[hi] - self._sums[lo]) * self._down[lo] + (hi - lo).astype(np.uint64))
+
+    def windows(self) -> np.ndarray:
+        """Where LEAST_WORDS words of one text start."""
+        n = max(len(self.owner) - LEAST_WORDS + 1, 0)
+        return np.flatnonzero(self.owner[:n] == self.owner[LEAST_WORDS - 1 :][:n])
+
+
+def _pieces(w: _Words) -> tuple[np.ndarray, np.ndarray]:
+    """First word and end of the runs of pieces."""
+    cut = w.stops | (w.hashes[:-1] % np.uint64(CUT) == 0) | (np.diff(w.owner) > 0)
+    at = np.flatnonzero(np.concatenate([[True], cut])) if len(w.hashes) else np.zeros(0, np.int64)
+    edges = np.append(at, len(w.hashes))
+    hi = np.maximum(np.searchsorted(edges, at + LEAST_WORDS), np.arange(len(at)) + RUN)
+    fits = hi <= len(at)
+    lo, hi = at[fits], edges[hi[fits]]
+    fits = w.owner[lo] == w.owner[hi - 1]
+    return lo[fits], hi[fits]
+
+
+def _slide(least_or_most: np.ufunc, x: np.ndarray, n: int) -> np.ndarray:
+    """The least or greatest of every n consecutive values."""
+    size = len(x) - n + 1
+    k = 1
+    while 2 * k <= n:
+        x = least_or_most(x[:-k], x[k:])
+        k *= 2
+    return least_or_most(x[:size], x[n - k :][:size])
+
+
+def _winnowed(w: _Words) -> tuple[np.ndarray, np.ndarray]:
+    """First word and end of the chosen runs of GRAM words."""
+    size = len(w.hashes) - GRAM - WINDOW + 2
+    if size <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.arange(len(w.hashes) - GRAM + 1)
+    grams = w.digest(at, at + GRAM)
+    least = np.where(w.owner[:size] == w.owner[-size:], _slide(np.minimum, grams, WINDOW), np.uint64(0))
+    edge = np.zeros(WINDOW - 1, np.uint64)
+    lo = np.flatnonzero((grams == _slide(np.maximum, np.concatenate([edge, least, edge]), WINDOW)) & (grams > 0))
+    return lo, lo + GRAM
+
+
+def runs(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(text index, hash, start byte, end byte) of each run by which repeats are found, for some texts at a time; an end is where the next word starts or the text ends."""
+    base = 0
+    for part in shingles.groups(texts):
+        w = _Words(texts[part])
+        places = [lo * (len(w.hashes) + 1) + hi for lo, hi in (_pieces(w), _winnowed(w))]
+        lo, hi = np.divmod(np.unique(np.concatenate(places)), len(w.hashes) + 1)
+        yield w.owner[lo] + base, w.digest(lo, hi), w.starts[lo], w.until[hi - 1]
+        base += len(texts[part])
+
+
+def spans(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(text index, hash, start byte, end byte) of every LEAST_WORDS consecutive words: the steps by which a repeat grows, of which every run is made up."""
+    base = 0
+    for part in shingles.groups(texts):
+        w = _Words(texts[part])
+        lo = w.windows()
+        yield w.owner[lo] + base, w.digest(lo, lo + LEAST_WORDS), w.starts[lo], w.until[lo + LEAST_WORDS - 1]
+        base += len(texts[part])
 
 
 def _texts(column: pa.Array) -> list[bytes]:
@@ -73,7 +137,7 @@ def _again(owner: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each document's distinct hashes; many: it has the hash more than once."""
     for batch in batches:
-        for owner, hashes, _, _ in spans(_texts(batch["text"])):
+        for owner, hashes, _, _ in runs(_texts(batch["text"])):
             order = np.lexsort((hashes, owner))
             owner, hashes = owner[order], hashes[order]
             same = (np.diff(owner) == 0) & (np.diff(hashes) == 0)
@@ -82,17 +146,54 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(hashes[first].view(np.int64)), batch["doc_id"].take(pa.array(owner[first])), pa.array(many[first])], ["hash", "doc_id", "many"])
 
 
+def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    merged: list[tuple[int, int]] = []
+    for start, end in sorted(ranges):
+        if merged and start <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(merged[-1][1], end))
+        else:
+            merged.append((start, end))
+    return merged
+
+
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The steps from each range to either side: hash, the range's edge, how many words off, and the byte up to which the step leads; again: the text has the hash earlier."""
+    for batch in batches:
+        every = batch["ranges"].to_pylist()
+        texts = _texts(batch["text"])
+        for i, text in enumerate(texts):
+            w = _Words([text])
+            at = w.windows()
+            hashes = w.digest(at, at + LEAST_WORDS)
+            again = _again(np.zeros(len(at), np.int64), hashes)
+            merged = _merged([(r["start"], r["end"]) for r in every[i]])
+            lo, hi = np.searchsorted(w.starts, [m[0] for m in merged]), np.searchsorted(w.starts, [m[1] for m in merged])
+            befores, afters = np.concatenate([[0], hi[:-1]]), np.concatenate([lo[1:], [len(w.starts)]])
+            for (start, end), a, b, before, after in zip(merged, lo, hi, befores, afters, strict=True):
+                left, right = np.arange(1, min(REACH, a - before) + 1), np.arange(1, min(REACH, after - b) + 1)
+                step = np.concatenate([a - left, b + right - LEAST_WORDS])
+                edge, off = np.repeat([start, end], [len(left), len(right)]), np.concatenate([-left, right])
+                upto = np.concatenate([w.starts[a - left], w.until[b + right - 1]])
+                same = pa.array(np.full(len(step), i))
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[step].view(np.int64)), batch["doc_id"].take(same), batch["row_key"].take(same), pa.array(edge), pa.array(off), pa.array(upto), pa.array(again[step])], ["hash", "doc_id", "row_key", "edge", "off", "upto", "again"])
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Remove the ranges of each text; the ranges removed, merged, in code points."""
+    """Let the ranges of each text grow and remove them; the ranges removed, merged, in code points."""
     for batch in batches:
         texts, told, chars = [], [], []
-        for text, ranges in zip(_texts(batch["text"]), batch["ranges"].to_pylist(), strict=True):
-            merged: list[list[int]] = []
-            for r in sorted((r["start"], r["end"]) for r in ranges):
-                if merged and r[0] <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], r[1])
-                else:
-                    merged.append(list(r))
+        for text, ranges, steps in zip(_texts(batch["text"]), batch["ranges"].to_pylist(), batch["steps"].to_pylist(), strict=True):
+            known = {(r["edge"], r["off"]): r["upto"] for r in steps or ()}
+            grown = []
+            for edges in _merged([(r["start"], r["end"]) for r in ranges]):
+                reached = list(edges)
+                for side, off in ((0, -1), (1, 1)):
+                    n = 1
+                    while (edges[side], off * n) in known:
+                        reached[side] = known[edges[side], off * n]
+                        n += 1
+                grown.append(tuple(reached))
+            merged = _merged(grown)
             before = np.concatenate([[0], np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)])
             points = [(int(before[s]), int(before[e])) for s, e in merged]
             kept, at = [], 0
@@ -123,14 +224,15 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for owner, hashes, start, end in spans(_texts(batch["text"])):
+            for owner, hashes, start, end in runs(_texts(batch["text"])):
                 hit = bitmaps.hits(wanted, hashes)
                 owner, hashes, start, end = owner[hit], hashes[hit], start[hit], end[hit]
                 at = pa.array(owner)
                 yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), batch["doc_id"].take(at), batch["row_key"].take(at), pa.array(start), pa.array(end), pa.array(_again(owner, hashes))], ["hash", "doc_id", "row_key", "start", "end", "again"])
 
     found = docs.mapInArrow(occurrences, "hash long, doc_id long, row_key long, start long, end long, again boolean").join(repeated, "hash")
-    later = found.where(F.col("again") | (~F.col("doc_id").eqNullSafe(F.col("first_id")) & F.col("first_id").isNotNull()))
+    is_later = F.col("again") | (~F.col("doc_id").eqNullSafe(F.col("first_id")) & F.col("first_id").isNotNull())
+    later = found.where(is_later)
     ranges = later.groupBy("row_key").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
     ranges = scratch.save(ranges, "ranges")
     touched = bitmaps.build(ranges, F.col("row_key"))
@@ -140,4 +242,17 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield batch.filter(pa.array(bitmaps.hits(touched, batch["row_key"].to_numpy().view(np.uint64))))
 
     texts = docs.mapInArrow(changed, "doc_id long, row_key long, text string").join(ranges, "row_key").dropDuplicates(["row_key"])
-    return texts.select("doc_id", "row_key", "text", "ranges").mapInArrow(_cut, "doc_id long, row_key long, removed string, removed_chars long, text string")
+    texts = scratch.save(texts.select("doc_id", "row_key", "text", "ranges"), "texts")
+    steps = scratch.save(texts.mapInArrow(_steps, "hash long, doc_id long, row_key long, edge long, off long, upto long, again boolean"), "steps")
+    stepped = bitmaps.build(steps, F.col("hash"), BITS)
+
+    def standing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for owner, hashes, _, _ in spans(_texts(batch["text"])):
+                hit = bitmaps.hits(stepped, hashes)
+                owner, hashes = owner[hit], hashes[hit]
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), batch["doc_id"].take(pa.array(owner))], ["hash", "doc_id"])
+
+    firsts = docs.select("doc_id", "text").mapInArrow(standing, "hash long, doc_id long").groupBy("hash").agg(F.min("doc_id").alias("first_id"))
+    steps = steps.join(firsts, "hash").where(is_later).groupBy("row_key").agg(F.collect_set(F.struct("edge", "off", "upto")).alias("steps"))
+    return texts.join(steps, "row_key", "left").select("doc_id", "row_key", "text", "ranges", "steps").mapInArrow(_cut, "doc_id long, row_key long, removed string, removed_chars long, text string")
