@@ -159,3 +159,22 @@ def test_spans_of_passages_planted_mid_sentence(spark):
             seen.add(window)
         assert got.get(i, d) == [w for j, w in enumerate(d) if j not in gone], i
         assert len(gone) >= len(passages[i % 40]) if i >= 40 else not gone
+
+
+def test_keep_one_goes_by_rows(spark):
+    rng = random.Random(5)
+    text = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(60))
+    a, b, c, d, e, f = (text() for _ in range(6))
+    near = lambda t: t + " more"
+    rows = [
+        (1, a, "x"), (7, near(a), "x"), (7, b, "x"), (7, c, "x"),  # one id: a copy and two clean rows
+        (None, d, "x"), (None, near(d), "x"), (None, d, "y"), (None, near(b), "x"),  # copies without ids
+        (9, e, "z"), (9, e, "y"), (None, e, "x"), (None, f, "x"), (None, None, "x"), (None, " ", "x"),
+    ]
+    for _ in range(2):
+        rng.shuffle(rows)
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        got = sorted(((r.doc_id, r.text, r.source) for r in near_dup.keep_one(df).collect()), key=repr)
+        one_of_d = [r for r in got if r[1] in (d, near(d))]
+        assert len(one_of_d) == 1 and one_of_d[0] in ((None, d, "x"), (None, near(d), "x"))
+        assert [r for r in got if r not in one_of_d] == sorted([(1, a, "x"), (7, b, "x"), (7, c, "x"), (9, e, "y"), (None, near(b), "x"), (None, e, "x"), (None, f, "x"), (None, None, "x"), (None, " ", "x")], key=repr)

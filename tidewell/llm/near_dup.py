@@ -174,8 +174,8 @@ class _Run:
         self.scratch = Scratch(df.sparkSession, "near_dup")
         self.source = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
         self.rows = self.scratch.save(self.source.mapInArrow(_sign, "doc_id long, th long, n_shingles long, node long, sig binary"), "rows")
-        first = self.rows.where("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "th", "n_shingles", "sig")).alias("r"), F.min("doc_id").alias("least"))
-        self.nodes = self.scratch.save(first.select("node", "least", "r.doc_id", "r.th", F.col("r.n_shingles").alias("n"), "r.sig"), "nodes")
+        first = self.rows.where("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "n_shingles", "sig")).alias("r"))
+        self.nodes = self.scratch.save(first.select("node", "r.doc_id", "r.th", F.col("r.n_shingles").alias("n"), "r.sig"), "nodes")
 
     def index(self) -> DataFrame:
         return self.nodes.select("node", "sig").mapInArrow(_index, "key long, node long")
@@ -247,6 +247,15 @@ class _Run:
         sides = few.unionByName(all_).join(self.nodes.select("node", "n", "sig"), "node").join(sets, "node")
         return save(sides.groupBy("unit", "i", "j").applyInPandas(_across, "a long, b long"), "open-links")
 
+    def named(self) -> DataFrame:
+        """(node, doc_id, th, comp): each node with its first row, ids before none, and its component."""
+        links = self.links(self.stars())
+        comps = self.scratch.save(components(links, self.scratch, "star-comps"), "star-comps")
+        more = self.open_links(comps)
+        if more is not None:
+            comps = components(links.unionByName(more), self.scratch, "all-comps")
+        return self.scratch.save(self.nodes.join(comps, "node", "left").select("node", "doc_id", "th", F.coalesce("comp", "node").alias("comp")), "named")
+
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Groups of documents linked by a Jaccard similarity of at least 0.75 of their sets of five-word shingles.
@@ -259,14 +268,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     component_id and kept are null). Other columns of df are ignored. An empty df gives an empty result.
     """
     run = _Run(df, id_col, text_col)
-    links = run.links(run.stars())
-    comps = run.scratch.save(components(links, run.scratch, "star-comps"), "star-comps")
-    more = run.open_links(comps)
-    if more is not None:
-        comps = components(links.unionByName(more), run.scratch, "all-comps")
-    named = run.nodes.join(comps, "node", "left").select("node", "least", F.coalesce("comp", "node").alias("comp"))
-    named = run.scratch.save(named, "named")
-    least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
+    named = run.named()
+    least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     of_node = run.scratch.save(named.join(least, "comp").select("node", "component_id"), "of_node")
     out = run.rows.join(of_node, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
@@ -274,11 +277,24 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """df with one row of each group of near_duplicates. Of rows that share an id, one stays; rows without an id stay."""
-    found = near_duplicates(df, id_col, text_col)
-    kept = Scratch(df.sparkSession, "near_dup").save(found.where("kept").select(F.col("doc_id").alias(id_col)), "kept")
-    repeated = not kept.groupBy(id_col).count().where("count > 1").isEmpty()
-    out = df.join(kept.distinct() if repeated else kept, id_col, "left_semi").select(df.columns)
-    if repeated:
-        out = out.dropDuplicates([id_col])
-    return out.unionByName(df.where(F.col(id_col).isNull()))
+    """df with one row of each group of near_duplicates.
+
+    Groups hold rows, whatever their ids: the one with the least id stays, then the one with the least text hash, then
+    the least of the other columns. Rows without an id yield to each other but not to rows with one: of a group
+    that has both, one of each stays. Rows with an empty set all stay.
+    """
+    run = _Run(df, id_col, text_col)
+    key = F.xxhash64("doc_id", "th").alias("_key")
+    named = run.named()
+    first = named.where("doc_id is not null").groupBy("comp").agg(F.min(F.struct("doc_id", "th")).alias("r")).select("r.*")
+    no_id = run.rows.where("doc_id is null and node is not null").groupBy("node").agg(F.min("th").alias("th")).join(named.select("node", "comp"), "node")
+    no_id = no_id.groupBy("comp").agg(F.min("th").alias("th")).select(F.lit(None).cast("long").alias("doc_id"), "th")
+    kept = first.unionByName(no_id).unionByName(run.rows.where("node is null").select("doc_id", "th")).select(key)
+    kept = run.scratch.save(kept.distinct(), "kept")
+    repeated = run.rows.where("node is not null").groupBy(key).count().where("count > 1").join(kept, "_key", "left_semi").select("_key")
+    repeated = run.scratch.save(repeated, "kept-repeated")
+    out = df.withColumn("_key", F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(text_col))).join(kept, "_key", "left_semi")
+    if repeated.isEmpty():
+        return out.select(df.columns)
+    least = out.join(repeated, "_key", "left_semi").groupBy("_key").agg(F.min(F.struct(*df.columns)).alias("r"))
+    return out.join(repeated, "_key", "left_anti").select(df.columns).unionByName(least.select("r.*"))
