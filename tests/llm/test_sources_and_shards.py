@@ -70,6 +70,20 @@ def test_mix(spark):
     assert mixing.mix_sources(df.limit(0)).count() == 0
 
 
+def test_mix_of_many_repeated_rows(spark):
+    rows = [(None, "w w w", "a", 0)] * 90 + [(i, "w w", "b", 0) for i in range(60)] + [(7, "v v v v", None, 0)] * 40
+    df = spark.createDataFrame(rows, DOCS)
+    out = mixing.mix_sources(df).collect()
+    took, have, got = Counter(), Counter(), Counter()
+    for r in out:
+        took[r.doc_id, r.source] += r.times
+        have[r.doc_id, r.source] += 1
+    assert any(took[k] % have[k] for k in have)
+    for r in mixing.apply_mix(df).collect():
+        got[r.doc_id, r.source] += 1
+    assert got == +took and all(got[k] <= 2 * have[k] for k in have)
+
+
 def test_contamination_equals_brute_force(spark):
     item = "One two three four five six seven eight nine ten eleven twelve"
     docs = [(1, "x y z. " + item.upper().replace(" ", ", ") + "! q", "s", 0), (2, "p q " + item[: len(item) // 2] + " r s", "s", 0), (3, None, "s", 0), (4, "", "s", 0), (5, "few words", "s", 0), (6, "a few words", "s", 0), (7, "w " * 300 + item, "s", 0), (7, "w " * 300 + item, "s", 0)]

@@ -53,8 +53,8 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", source_col: str = "source
 
     Returns for each row: doc_id, source, row_key (hash of id, source and text), size (words), source_size,
     target, times (0, 1 or 2 whole passes) and taken (size * times). A null text has no words; documents without
-    words are taken never. Null is a source of its own. Rows equal in id, source and text are taken alike. Other
-    columns are ignored. The result doesn't depend on the partitioning. An empty df gives an empty result.
+    words are taken never. Null is a source of its own. Rows equal in id, source and text stand in turn, so
+    their times may differ. Other columns are ignored. The result doesn't depend on the partitioning. An empty df gives an empty result.
     """
     scratch = Scratch(df.sparkSession, "mixing")
     base = df.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"), F.xxhash64(id_col, source_col, text_col).alias("row_key"))
@@ -93,7 +93,15 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", source_col: str = "source
 
 
 def apply_mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """df with each row as often as mix_sources takes it."""
-    mix = mix_sources(df, id_col, source_col, text_col).where("times > 0").select(F.col("row_key").alias("_key"), F.col("times").alias("_times")).distinct()
-    rows = df.withColumn("_key", F.xxhash64(id_col, source_col, text_col)).join(mix, "_key")
-    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_times")))).select(df.columns)
+    """df with each row as often as mix_sources takes it. Rows equal in id, source and text share their times evenly; of those, the first by a hash of all columns take what is left over."""
+    scratch = Scratch(df.sparkSession, "mixing")
+    held = mix_sources(df, id_col, source_col, text_col).groupBy(F.col("row_key").alias("_key")).agg(F.sum("times").alias("total"), F.count("*").alias("n")).where("total > 0")
+    mix = scratch.save(held.select("_key", F.expr("cast(total div n as int)").alias("_times"), (F.col("total") % F.col("n")).alias("_more")), "mix")
+    rows = df.withColumn("_key", F.xxhash64(id_col, source_col, text_col))
+    out = rows.join(mix.where("_more = 0"), "_key")
+    parted = mix.where("_more > 0")  # only where the budget ends within equal rows
+    if not parted.isEmpty():
+        turn = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64(*df.columns)))
+        some = rows.join(parted, "_key").withColumn("_turn", turn).withColumn("_times", F.col("_times") + (F.col("_turn") <= F.col("_more")).cast("int"))
+        out = out.unionByName(some.drop("_turn"))
+    return out.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_times")))).select(df.columns)
