@@ -68,6 +68,12 @@ def test_toxicity(spark):
     assert none.scores(["a"])[0] == 0.5
 
 
+def test_rows_stay_where_no_language_is_learned(spark):
+    rows = [(1, "a clean text", None), (2, None, None), (3, "", None), (4, "12 .. 34", None), (5, "é", None), (None, "x 1", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in language.keep_identified(df).collect()} == {1, 5, None}
+
+
 def test_language(spark):
     docs = spark.read.parquet(f"{BIG}/documents.parquet")
     model = language.fit_on_documents(docs)

@@ -160,14 +160,23 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def lettered(texts: list[str]) -> list[bool]:
+    """Whether each text has a letter."""
+    out = np.zeros(len(texts), bool)
+    for found, owner in chars.chunks(texts):
+        out[owner[chars.words(found)[0]]] = True
+    return out.tolist()
+
+
 def keep_identified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """df without the rows that are `und`: those whose text is null or has no letter."""
+    """df without the rows that are `und`: those whose text is null or has no letter. Where no language could be learned, every other row stays too."""
     Scratch(df.sparkSession, "language")
     model = fit_on_documents(df, id_col, text_col, lang_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, _ = model.predict(chars.texts_of(batch[text_col]))
-            yield batch.filter(pa.array([x != UNDETERMINED for x in langs], pa.bool_()))
+            texts = chars.texts_of(batch[text_col])
+            keep = [x != UNDETERMINED for x in model.predict(texts)[0]] if model.langs else lettered(texts)
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
