@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm import bitmaps, shingles
-from tidewell.llm.scratch import Scratch
+from tidewell.llm.scratch import Scratch, own, slices, unused
 
-#: Part of an item's shingles, in hundredths, that a document must contain.
-PERCENT = 75
+#: Part of an item's shingles, in hundredths, that a document must contain; tasks over which the documents that hit one sketch value are dealt.
+PERCENT, SALTS = 75, 16
 
 
 def _texts(column: pa.Array) -> list[bytes]:
@@ -36,7 +36,7 @@ def _tagged(hashes: np.ndarray, partition: int) -> np.ndarray:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         out: list[tuple] = []
         for item, found in zip(batch["item_id"].to_pylist(), shingles.shingle_sets(_texts(batch["text"]), separators=shingles.PUNCTUATION), strict=True):
             q = len(found)
@@ -67,7 +67,7 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     known = bitmaps.build(items.select(F.explode("found").alias("k")), F.col("k"))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             row, keys, shared = [], [], []
             texts = _texts(batch["text"])
             base = 0
@@ -95,8 +95,10 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(id_col, text_col).alias("row_key"), F.col(text_col).alias("text"))
     hits = scratch.save(docs.mapInArrow(search, "doc_id long, row_key long, keys array<long>, shared array<long>"), "hits")
-    sketch = items.select("item_id", F.explode("keys").alias("key"))
-    pairs = hits.select("row_key", F.explode("keys").alias("key")).join(sketch, "key").select("row_key", "item_id").distinct()
+    # A passage that very many documents hold is one key: its documents are dealt over SALTS tasks, its items go to each.
+    sketch = items.select("item_id", F.explode("keys").alias("key")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = hits.select("row_key", F.pmod(F.xxhash64("row_key"), F.lit(SALTS)).cast("int").alias("salt"), F.explode("keys").alias("key"))
+    pairs = salted.join(sketch, ["key", "salt"]).select("row_key", "item_id").distinct()
     full = pairs.join(hits.drop("keys"), "row_key").join(items.select("item_id", "q", "found"), "item_id")
     n = F.size(F.array_intersect("shared", "found")).cast("long")
     full = full.select("item_id", "doc_id", "row_key", F.col("q").alias("n_item"), n.alias("n_shared")).where(F.col("n_shared") * 100 >= F.col("n_item") * PERCENT)
@@ -104,7 +106,8 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 
 def drop_contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """df without the documents that contaminated() pairs with an item."""
-    found = contaminated(df, benchmark, id_col, text_col).select(F.col("row_key").alias("_key")).distinct()
+    """df without the documents that contaminated() pairs with an item. Repeated rows go or stay together; null and empty texts stay; df's columns may have any names."""
+    key = unused(df, "_key")
+    found = contaminated(df, benchmark, id_col, text_col).select(F.col("row_key").alias(key)).distinct()
     found = Scratch(df.sparkSession, "decontaminate").save(found, "found")
-    return df.withColumn("_key", F.xxhash64(id_col, text_col)).join(found, "_key", "left_anti").select(df.columns)
+    return df.withColumn(key, F.xxhash64(id_col, text_col)).join(found, key, "left_anti").select(*own(df))

@@ -46,11 +46,11 @@ _CRC_TABLE = "list_transform(range(256), lambda n: list_reduce([n::bigint, 0, 0,
 
 _SHARDS = f"""with recursive crc(t) as materialized (select {_CRC_TABLE}),
  bytes as (select doc_id, strlen(coalesce(text, '')) as n, case when strlen(coalesce(text, '')) = 0 then 0 else xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(1, 2 * strlen(text) + 1, 2), lambda i: ('0x' || substr(hex(encode(text)), i, 2))::bigint)), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) end as text_crc32 from documents, crc),
- rows as materialized (select *, row_number() over (order by md5(cast(doc_id as varchar)), text_crc32, n) - 1 as r, count(*) over () as total, cast(floor(sqrt(count(*) over ())) as bigint) as a, cast(ceil(count(*) over () / floor(sqrt(count(*) over ()))) as bigint) as b from bytes),
+ rows as materialized (select *, row_number() over (order by md5(cast(doc_id as varchar) || ':' || text_crc32), n) - 1 as r, count(*) over () as total, cast(floor(sqrt(count(*) over ())) as bigint) as a, cast(ceil(count(*) over () / floor(sqrt(count(*) over ()))) as bigint) as b from bytes),
  walk as (select doc_id, n, text_crc32, total, a, b, {_feistel('r')} as p from rows union all select doc_id, n, text_crc32, total, a, b, {_feistel('p')} from walk where p >= total)
  select doc_id, cast(n + 8 as bigint) as size, text_crc32, 'rows' as law, cast(p % 24 as int) as shard, p // 24 as slot, cast(null as int) as grown_shard from walk where p < total"""
 
-_MIX = rf"""with recursive base as (select doc_id, source, md5(cast(doc_id as varchar)) as h, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size from documents),
+_MIX = rf"""with recursive base as (select doc_id, source, md5(cast(doc_id as varchar) || ':' || md5(coalesce(text, ''))) as h, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size from documents),
  src as (select source, cast(sum(size) as bigint) as source_size, row_number() over (order by source nulls last) - 1 as k from base group by 1),
  w as (select *, [5, 2, 1][k % 3 + 1] as weight from src),
  fill as (select 0 as step, [] :: bigint[] as full_, {SHARE} * sum(source_size)::double as budget, sum(weight)::double as open_weight, true as go from w

@@ -1,29 +1,48 @@
-"""Shared intermediate tables and Arrow batch bounds for the corpus operators."""
+"""Shared intermediate tables, small Arrow batches and unused column names for the corpus operators."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-#: Documents in one Arrow batch, so that a batch of long texts stays small beside an executor's memory.
+#: Documents handled at once in a task; Spark itself bounds the Arrow batch that they come in by bytes.
 BATCH_ROWS = 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a local session gets one of its own (tests); on a cluster that is an error."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='tidewell-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Lower the session's Arrow batch to BATCH_ROWS rows unless the user already chose a smaller one."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+def slices(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most `rows` rows, so that what a function holds for a batch stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like `name` that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def own(df: DataFrame) -> list[Column]:
+    """df's columns, whatever characters their names have."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
 class Scratch:
@@ -32,7 +51,6 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-        bound_batches(spark)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write df, then give it back as a plain Parquet scan."""
@@ -40,8 +58,9 @@ class Scratch:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, name: str) -> None:
-        """Delete a table that no later step reads."""
+    def drop(self, *names: str) -> None:
+        """Delete tables that no later step reads; those that the returned DataFrame reads stay until the folder is cleared."""
         jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        for name in names:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

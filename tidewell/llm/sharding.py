@@ -1,8 +1,8 @@
 """Reproducible shuffle into shards by a Feistel permutation with cycle walking over global row numbers.
 
-Rows get global numbers 0..n-1 in the order of md5(id): one scan counts rows by the first four hex digits of
-that hash, the counts' running sum gives each of the 65,536 ranges its first number, and a window numbers the
-rows inside a range. A Feistel network over Z_a x Z_b with a * b just above n permutes the numbers; results
+Rows get global numbers 0..n-1 in the order of md5(id:CRC of the text): one scan counts rows by the first four hex
+digits of that hash, the counts' running sum gives each of the 65,536 ranges its first number, and a window numbers
+the rows inside a range. A Feistel network over Z_a x Z_b with a * b just above n permutes the numbers; results
 beyond n walk the cycle until they come back. Position p is slot p div shards of shard p mod shards, so shard
 sizes differ by one row at most and a row's place is computable from its number alone.
 """
@@ -14,11 +14,15 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.llm.scratch import own, unused
+
 ROUNDS = 6
 #: Hex digits of the hash that name a range of row numbers.
 RANGE_DIGITS = 4
 #: Most steps of a cycle walk. Under sqrt(n) of the a * b points lie beyond n, so longer walks don't occur: for n over 1000 each step comes back with a chance over 0.96.
 WALK = 48
+#: Columns that shard_rows adds.
+ADDED = ("size", "text_crc32", "row_number", "shard", "slot")
 
 
 def domain(n: int) -> tuple[int, int]:
@@ -56,20 +60,25 @@ def shard_rows(df: DataFrame, shards: int, id_col: str = "doc_id", text_col: str
     """df with size (UTF-8 bytes of the text plus 8), text_crc32, row_number, shard and slot.
 
     Law `rows`: counts of shards differ by one at most, slots are gapless from 0. The same rows and seed give the
-    same result however the input is partitioned. Null ids sort as the empty string; a null text has size 8 and
-    the CRC of no bytes; rows equal in id and text may stand in either order, which no result shows. Columns
-    named like the added ones are replaced. An empty df gives an empty result.
+    same result however the input is partitioned. Null ids count as the empty string; a null text has size 8 and
+    the CRC of no bytes; rows equal in id and text may stand in either order, which no result shows. Columns of df
+    named as in ADDED are replaced, all others stay whatever their names. An empty df gives an empty result. The
+    order depends on id and text, so rows that share only one of them (no id, the same text) don't meet in one task.
     """
-    added = {"size": F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 8, "text_crc32": F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))}
-    key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    counts = df.select(F.substring(key, 1, RANGE_DIGITS).alias("_range")).groupBy("_range").count()
-    below = F.sum("count").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
-    ranges = counts.select("_range", F.coalesce(below, F.lit(0)).alias("_below"))
+    text, ids = F.col(text_col), F.col(id_col)
+    size, crc = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8, F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
+    key = F.md5(F.concat_ws(":", F.coalesce(ids.cast("string"), F.lit("")), crc.cast("string")))
+    name = {x: unused(df, f"_{x}") for x in ("key", "range", "rank", "below", "at")}
+    c = {x: F.col(n) for x, n in name.items()}
+    counts = df.select(F.substring(key, 1, RANGE_DIGITS).alias(name["range"])).groupBy(name["range"]).count()
+    below = F.sum("count").over(Window.orderBy(name["range"]).rowsBetween(Window.unboundedPreceding, -1))
+    ranges = counts.select(name["range"], F.coalesce(below, F.lit(0)).alias(name["below"]))
     n = df.count()
-    rows = df.withColumns(added).withColumn("_key", key).withColumn("_range", F.substring("_key", 1, RANGE_DIGITS))
-    rank = F.row_number().over(Window.partitionBy("_range").orderBy("_key", "text_crc32", "size"))
-    placed = rows.withColumn("_rank", rank).join(F.broadcast(ranges), "_range")  # 16 ** RANGE_DIGITS rows at most
-    placed = placed.withColumn("row_number", F.col("_below") + F.col("_rank") - 1)
-    placed = placed.withColumn("_at", permute(F.col("row_number"), n, seed))
-    placed = placed.withColumns({"shard": F.pmod("_at", F.lit(shards)).cast("int"), "slot": F.floor(F.col("_at") / shards).cast("long")})
-    return placed.drop("_key", "_range", "_rank", "_below", "_at")
+    kept = own(df.drop(*ADDED))
+    rows = df.select(*kept, size.alias("size"), crc.alias("text_crc32"), key.alias(name["key"])).withColumn(name["range"], F.substring(c["key"], 1, RANGE_DIGITS))
+    rank = F.row_number().over(Window.partitionBy(name["range"]).orderBy(name["key"], "size"))
+    placed = rows.withColumn(name["rank"], rank).join(F.broadcast(ranges), name["range"])  # 16 ** RANGE_DIGITS rows at most
+    placed = placed.withColumn("row_number", c["below"] + c["rank"] - 1)
+    placed = placed.withColumn(name["at"], permute(F.col("row_number"), n, seed))
+    placed = placed.withColumns({"shard": F.pmod(c["at"], F.lit(shards)).cast("int"), "slot": F.floor(c["at"] / shards).cast("long")})
+    return placed.drop(*name.values())
