@@ -8,11 +8,13 @@ a given chunk with probability 0.63, in none of the twelve with 6e-6. Pairs are
 of 64-bit shingle hashes.
 
 Groups of copies cost no pairs: equal sets are one node. In each bucket, the nodes are compared with its least
-and its greatest node (two pairs a node). Buckets that then still hold nodes of different components are open;
-open buckets that share nodes form a cluster, and the nodes outside a cluster's commonest component are compared
-with the rest of the cluster, full sets in blocks of bounded size, of which each gives a forest of its links and
-no pairs. A cluster of over CLUSTER nodes is compared bucket by bucket instead, so chance chains of buckets don't
-add up. Nothing is capped: each pair that shares a bucket is either in one component already or compared.
+and its greatest node (two pairs a node); the nodes of a bucket of over HOT nodes are dealt over SALTS tasks for
+that. Buckets that then still hold nodes of different components are open; open buckets that share nodes form a
+cluster, and the nodes outside a cluster's commonest component are compared with the rest of the cluster, full
+sets in blocks of bounded size, of which each gives a forest of its links and no pairs. A cluster of over CLUSTER
+nodes is worked off bucket by bucket instead, so chance chains of buckets don't add up; either way exactly the
+pairs that share a bucket are compared, so the result is the same. Nothing is capped: each pair that shares a
+bucket is either in one component already or compared.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tidewell.llm import bitmaps, shingles
 from tidewell.llm.components import components
-from tidewell.llm.scratch import Scratch
+from tidewell.llm.scratch import Scratch, own, slices, unused
 
 CHUNKS, WIDTH = 12, 5
 SYMBOLS = CHUNKS * WIDTH
@@ -37,6 +39,8 @@ LEAST_AGREE = 27
 PERCENT = 75
 #: Nodes on a side of a block that compares full sets; nodes up to which open buckets are compared as one cluster.
 BLOCK, CLUSTER = 256, 50_000
+#: Nodes from which a bucket's rows are dealt over several tasks, and over how many.
+HOT, SALTS = 1024, 32
 
 _rng = np.random.Generator(np.random.PCG64(20240))
 _FACTORS = _rng.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -80,7 +84,7 @@ def _texts(column: pa.Array) -> list[bytes]:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         texts = _texts(batch["text"])
         sizes, nodes, sigs = [], [], []
         for part in shingles.groups(texts):
@@ -99,16 +103,22 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, SYMBOLS)
 
 
-def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            keys = chunk_keys(_matrix(batch["sig"])).view(np.int64).reshape(-1)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(batch["node"].to_numpy(), SYMBOLS))], ["key", "node"])
+_INDEX = "key long, node long, hot boolean"
+
+
+def _indexer(hot: np.ndarray | None):  # noqa: ANN202
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            keys = chunk_keys(_matrix(batch["sig"])).reshape(-1)
+            is_hot = np.zeros(len(keys), bool) if hot is None else bitmaps.hits(hot, keys)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.repeat(batch["node"].to_numpy(), SYMBOLS)), pa.array(is_hot)], ["key", "node", "hot"])
+
+    return index
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose signatures and sizes allow the similarity."""
-    for batch in batches:
+    for batch in slices(batches, 10_000):
         if batch.num_rows:
             a, b = batch["n_a"].to_numpy(), batch["n_b"].to_numpy()
             keep = (100 * np.minimum(a, b) >= PERCENT * np.maximum(a, b)) & ((_matrix(batch["sig_a"]) == _matrix(batch["sig_b"])).sum(1) >= LEAST_AGREE)
@@ -117,7 +127,7 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs with 100 * intersection >= PERCENT * union of their full sets."""
-    for batch in batches:
+    for batch in slices(batches):
         held: dict[int, np.ndarray] = {}
         keep = []
         a, b = batch["a"].to_pylist(), batch["b"].to_pylist()
@@ -134,6 +144,11 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _share_bucket(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two signatures agree in some chunk but for at most one symbol."""
+    return (a == b).reshape(CHUNKS, WIDTH).sum(1).max() >= WIDTH - 1
+
+
 def _across(frame: pd.DataFrame) -> pd.DataFrame:
     """A forest of the links between different components from one side of a block to the other."""
     left, right = frame[frame["side"] == 0], frame[frame["side"] == 1]
@@ -152,7 +167,7 @@ def _across(frame: pd.DataFrame) -> pd.DataFrame:
             agree = np.zeros(len(nodes), np.int64)
             agree[fits] = (sigs[fits] == np.frombuffer(sig, np.uint16)).sum(1)
             for i in np.argsort(-agree, kind="stable")[: np.count_nonzero(agree >= LEAST_AGREE)]:
-                if group[rights[i]] != group[comp]:
+                if group[rights[i]] != group[comp] and _share_bucket(sigs[i], np.frombuffer(sig, np.uint16)):
                     at = np.minimum(np.searchsorted(mine, sets[i]), n - 1)
                     shared = np.count_nonzero(mine[at] == sets[i])
                     if 100 * shared >= PERCENT * (n + sizes[i] - shared):
@@ -162,7 +177,7 @@ def _across(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         found = [x.tobytes() for x in shingles.shingle_sets(_texts(batch["text"]))]
         yield pa.RecordBatch.from_arrays([batch["node"], pa.array(found, pa.binary())], ["node", "found"])
 
@@ -172,13 +187,40 @@ class _Run:
 
     def __init__(self, df: DataFrame, id_col: str, text_col: str):
         self.scratch = Scratch(df.sparkSession, "near_dup")
+        self._buckets: DataFrame | None = None
         self.source = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
         self.rows = self.scratch.save(self.source.mapInArrow(_sign, "doc_id long, th long, n_shingles long, node long, sig binary"), "rows")
         first = self.rows.where("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "n_shingles", "sig")).alias("r"))
         self.nodes = self.scratch.save(first.select("node", "r.doc_id", "r.th", F.col("r.n_shingles").alias("n"), "r.sig"), "nodes")
 
+    def buckets(self) -> DataFrame:
+        """(key, lo, hi, n, hot) of the buckets with two nodes or more. Sums by task come first, so a large bucket is no large group here.
+
+        hot goes by a bitmap of fixed size, which index() uses too: buckets of over HOT nodes, and few others.
+        """
+        if self._buckets is None:
+            found = self.nodes.select("node", "sig").mapInArrow(_indexer(None), _INDEX)
+            found = found.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n")).where("n > 1")
+            found = self.scratch.save(found, "buckets")
+            self._hot = hot = bitmaps.build(found.where(F.col("n") > HOT), F.col("key"))
+
+            def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    yield batch.append_column("hot", pa.array(bitmaps.hits(hot, batch["key"].to_numpy().view(np.uint64))))
+
+            self._buckets = found.mapInArrow(marked, "key long, lo long, hi long, n long, hot boolean")
+        return self._buckets
+
     def index(self) -> DataFrame:
-        return self.nodes.select("node", "sig").mapInArrow(_index, "key long, node long")
+        """(key, node, hot) of every bucket that a node is in."""
+        self.buckets()
+        return self.nodes.select("node", "sig").mapInArrow(_indexer(self._hot), _INDEX)
+
+    def spread(self, rows: DataFrame, by_key: DataFrame) -> DataFrame:
+        """Join (key, node, hot, ...) with (key, hot, ...) of one row a key; the rows of hot buckets are dealt over SALTS tasks by their node."""
+        salt = F.when(F.col("hot"), F.pmod(F.xxhash64("node"), F.lit(SALTS))).otherwise(0).cast("int")
+        every = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+        return rows.withColumn("salt", salt).join(by_key.withColumn("salt", F.explode(every)).drop("hot"), ["key", "salt"]).drop("salt")
 
     def texts(self, used: DataFrame, name: str) -> DataFrame:
         """(node, text) of the nodes in used; the scan sends no other texts on, but for a few that share a bit of a bitmap."""
@@ -211,19 +253,18 @@ class _Run:
 
     def stars(self) -> DataFrame:
         """Every bucket's nodes paired with its least and with its greatest node."""
-        index = self.index()
-        ends = index.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi")
-        pairs = index.join(ends, "key").select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("node").alias("b")), F.struct(F.col("node").alias("a"), F.col("hi").alias("b")))).alias("p")).select("p.*")
+        found = self.buckets().select("key", "hot", "lo", "hi")
+        pairs = self.spread(self.index(), found).select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("node").alias("b")), F.struct(F.col("node").alias("a"), F.col("hi").alias("b")))).alias("p")).select("p.*")
         return self.alike(pairs.where("a != b").distinct())
 
     def open_links(self, comps: DataFrame) -> DataFrame | None:
         """Links between components inside the buckets that stars left open; None without such buckets."""
         save = self.scratch.save
-        size = self.index().groupBy("key").agg(F.count("*").alias("total")).where("total > 3").select("key")
-        held = self.index().join(size, "key").join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-        held = save(held, "open-index")
-        buckets = held.groupBy("key").agg(F.min("node").alias("lo"), F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 != c2").select("key", "lo")
-        held = save(held.join(buckets, "key"), "open-held")
+        held = self.spread(self.index(), self.buckets().where("n > 3").select("key", "hot", "lo")).join(comps, "node", "left")
+        held = save(held.select("key", "hot", "lo", "node", F.coalesce("comp", "node").alias("comp")), "open-index")
+        open_ = held.groupBy("key").agg(F.max("hot").alias("hot"), F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 != c2").select("key", "hot")
+        held = save(self.spread(held, open_), "open-held")
+        self.scratch.drop("open-index")
         if held.isEmpty():
             return None
         chains = held.select(F.col("node").alias("a"), F.col("lo").alias("b")).distinct()
@@ -247,6 +288,10 @@ class _Run:
         sides = few.unionByName(all_).join(self.nodes.select("node", "n", "sig"), "node").join(sets, "node")
         return save(sides.groupBy("unit", "i", "j").applyInPandas(_across, "a long, b long"), "open-links")
 
+    def clear(self) -> None:
+        """Delete what the last steps no longer read."""
+        self.scratch.drop("rows", "nodes", "buckets", "star-pairs", "star-needed", "star-links", "open-held", "open-clusters", "open-large", "open-rows", "open-needed", "open-sets", "open-links", "named")
+
     def named(self) -> DataFrame:
         """(node, doc_id, th, comp): each node with its first row, ids before none, and its component."""
         links = self.links(self.stars())
@@ -281,20 +326,23 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     Groups hold rows, whatever their ids: the one with the least id stays, then the one with the least text hash, then
     the least of the other columns. Rows without an id yield to each other but not to rows with one: of a group
-    that has both, one of each stays. Rows with an empty set all stay.
+    that has both, one of each stays. Rows with an empty set (null or blank texts) all stay. df's columns may have
+    any names; an empty df gives an empty result.
     """
     run = _Run(df, id_col, text_col)
-    key = F.xxhash64("doc_id", "th").alias("_key")
+    name, row = unused(df, "_key"), unused(df, "_row")
+    key = F.xxhash64("doc_id", "th").alias(name)
     named = run.named()
     first = named.where("doc_id is not null").groupBy("comp").agg(F.min(F.struct("doc_id", "th")).alias("r")).select("r.*")
     no_id = run.rows.where("doc_id is null and node is not null").groupBy("node").agg(F.min("th").alias("th")).join(named.select("node", "comp"), "node")
     no_id = no_id.groupBy("comp").agg(F.min("th").alias("th")).select(F.lit(None).cast("long").alias("doc_id"), "th")
     kept = first.unionByName(no_id).unionByName(run.rows.where("node is null").select("doc_id", "th")).select(key)
     kept = run.scratch.save(kept.distinct(), "kept")
-    repeated = run.rows.where("node is not null").groupBy(key).count().where("count > 1").join(kept, "_key", "left_semi").select("_key")
+    repeated = run.rows.where("node is not null").groupBy(key).count().where("count > 1").join(kept, name, "left_semi").select(name)
     repeated = run.scratch.save(repeated, "kept-repeated")
-    out = df.withColumn("_key", F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(text_col))).join(kept, "_key", "left_semi")
+    run.clear()
+    out = df.withColumn(name, F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(text_col))).join(kept, name, "left_semi")
     if repeated.isEmpty():
-        return out.select(df.columns)
-    least = out.join(repeated, "_key", "left_semi").groupBy("_key").agg(F.min(F.struct(*df.columns)).alias("r"))
-    return out.join(repeated, "_key", "left_anti").select(df.columns).unionByName(least.select("r.*"))
+        return out.select(*own(df))
+    least = out.join(repeated, name, "left_semi").groupBy(name).agg(F.min(F.struct(*own(df))).alias(row))
+    return out.join(repeated, name, "left_anti").select(*own(df)).unionByName(least.select(f"{row}.*"))
