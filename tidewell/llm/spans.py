@@ -1,15 +1,15 @@
-"""Substring deduplication over sliding spans of consecutive sentences and words.
-
-Sentences end at a line break or after . ! ? before white space. Passages also get pasted into the middle of
-sentences, so a sentence is cut further after each word whose hash is a multiple of CUT: such cuts depend on the
-words alone, and a passage falls into the same pieces wherever it stands. From every piece on, the shortest run of at
-least RUN consecutive pieces with LEAST_WORDS words is hashed (words only: A-Z lower-cased, punctuation left
-out). Such cuts may be far apart, so runs of GRAM words are hashed besides: in every WINDOW consecutive ones that
-with the least hash (winnowing). Any GRAM + WINDOW - 1 = 51 words hold one that is chosen wherever they stand.
-
-A hash that occurs more than once is a repeated span; it stays where it stands first (least id, then position)
-and what it covers elsewhere is removed. From there the removed range grows word by word, up to REACH words on either
-side, as long as the LEAST_WORDS words from the new one inward stand somewhere earlier too.
+"""Substring deduplication over sliding spans of consecutive sentences.
+
+Sentences end at a line break or after . ! ? before white space. From every sentence on, the shortest run of at least
+RUN consecutive sentences with LEAST_WORDS words is hashed (words only: A-Z lower-cased, punctuation left out). A hash
+that occurs more than once is a repeated span; it stays where it stands first (least id, then position), and the
+sentences that it covers elsewhere are removed.
+
+Passages also get pasted into the middle of sentences, and some have no sentence ends, so that they hold less than RUN
+whole sentences. Passages of PASSAGE words or more are therefore found by words besides: of every WINDOW consecutive
+runs of GRAM words the one with the least hash is chosen (winnowing), so any GRAM + WINDOW - 1 = PASSAGE words hold a
+chosen run wherever they stand. From a repeated one, the range grows word by word to either side as long as the
+LEAST_WORDS words from the new one inward stand somewhere earlier too; it is removed if it has PASSAGE words then.
 """
 
 from __future__ import annotations
@@ -22,12 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm import bitmaps, shingles
-from tidewell.llm.scratch import Scratch
+from tidewell.llm.scratch import Scratch, slices
 
-RUN, LEAST_WORDS, CUT = 3, 12, 6
+RUN, LEAST_WORDS = 3, 12
 GRAM, WINDOW = 24, 28
-#: A run of GRAM words lies within WINDOW - 1 words of the edge of a passage of 51 words; a shorter passage has 38 words besides a run at most.
-REACH = 38
+PASSAGE = GRAM + WINDOW - 1
+#: In a passage of PASSAGE words or more, the first chosen run starts less than WINDOW words from its start, and so on to its end.
+REACH = WINDOW - 1
 #: The bitmap of repeated hashes has 2**26 bits (8 MB).
 BITS = 26
 
@@ -66,9 +67,9 @@ class _Words:
         return np.flatnonzero(self.owner[:n] == self.owner[LEAST_WORDS - 1 :][:n])
 
 
-def _pieces(w: _Words) -> tuple[np.ndarray, np.ndarray]:
-    """First word and end of the runs of pieces."""
-    cut = w.stops | (w.hashes[:-1] % np.uint64(CUT) == 0) | (np.diff(w.owner) > 0)
+def _sentences(w: _Words) -> tuple[np.ndarray, np.ndarray]:
+    """First word and end of the runs of sentences."""
+    cut = w.stops | (np.diff(w.owner) > 0)
     at = np.flatnonzero(np.concatenate([[True], cut])) if len(w.hashes) else np.zeros(0, np.int64)
     edges = np.append(at, len(w.hashes))
     hi = np.maximum(np.searchsorted(edges, at + LEAST_WORDS), np.arange(len(at)) + RUN)
@@ -101,14 +102,18 @@ def _winnowed(w: _Words) -> tuple[np.ndarray, np.ndarray]:
     return lo, lo + GRAM
 
 
-def runs(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(text index, hash, start byte, end byte) of each run by which repeats are found, for some texts at a time; an end is where the next word starts or the text ends."""
+def runs(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(text index, hash, start byte, end byte, by words) of each run by which repeats are found, for some texts at a time; an end is where the next word starts or the text ends."""
     base = 0
     for part in shingles.groups(texts):
         w = _Words(texts[part])
-        places = [lo * (len(w.hashes) + 1) + hi for lo, hi in (_pieces(w), _winnowed(w))]
-        lo, hi = np.divmod(np.unique(np.concatenate(places)), len(w.hashes) + 1)
-        yield w.owner[lo] + base, w.digest(lo, hi), w.starts[lo], w.until[hi - 1]
+        found = [(lo, hi, np.full(len(lo), words)) for words, (lo, hi) in enumerate((_sentences(w), _winnowed(w)))]
+        lo, hi, words = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((words, hi, lo))
+        lo, hi, words = lo[order], hi[order], words[order].astype(bool)
+        # The two kinds of runs must not meet: a hash of words is told apart by its lowest bit.
+        hashes = (w.digest(lo, hi) << np.uint64(1)) | words.astype(np.uint64)
+        yield w.owner[lo] + base, hashes, w.starts[lo], w.until[hi - 1], words
         base += len(texts[part])
 
 
@@ -136,8 +141,8 @@ def _again(owner: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each document's distinct hashes; many: it has the hash more than once."""
-    for batch in batches:
-        for owner, hashes, _, _ in runs(_texts(batch["text"])):
+    for batch in slices(batches):
+        for owner, hashes, *_ in runs(_texts(batch["text"])):
             order = np.lexsort((hashes, owner))
             owner, hashes = owner[order], hashes[order]
             same = (np.diff(owner) == 0) & (np.diff(hashes) == 0)
@@ -157,16 +162,18 @@ def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The steps from each range to either side: hash, the range's edge, how many words off, and the byte up to which the step leads; again: the text has the hash earlier."""
-    for batch in batches:
+    """The steps from each range that was found by words to either side: hash, the range's edge, how many words off, and the byte up to which the step leads; again: the text has the hash earlier."""
+    for batch in slices(batches):
         every = batch["ranges"].to_pylist()
         texts = _texts(batch["text"])
         for i, text in enumerate(texts):
+            merged = _merged([(r["start"], r["end"]) for r in every[i] if r["words"]])
+            if not merged:
+                continue
             w = _Words([text])
             at = w.windows()
             hashes = w.digest(at, at + LEAST_WORDS)
             again = _again(np.zeros(len(at), np.int64), hashes)
-            merged = _merged([(r["start"], r["end"]) for r in every[i]])
             lo, hi = np.searchsorted(w.starts, [m[0] for m in merged]), np.searchsorted(w.starts, [m[1] for m in merged])
             befores, afters = np.concatenate([[0], hi[:-1]]), np.concatenate([lo[1:], [len(w.starts)]])
             for (start, end), a, b, before, after in zip(merged, lo, hi, befores, afters, strict=True):
@@ -179,13 +186,14 @@ def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Let the ranges of each text grow and remove them; the ranges removed, merged, in code points."""
-    for batch in batches:
-        texts, told, chars = [], [], []
-        for text, ranges, steps in zip(_texts(batch["text"]), batch["ranges"].to_pylist(), batch["steps"].to_pylist(), strict=True):
+    """Let the ranges found by words grow, and remove those that are long enough and all ranges of sentences; the ranges removed, merged, in code points."""
+    for batch in slices(batches):
+        rows = []
+        for doc_id, key, text, ranges, steps in zip(batch["doc_id"].to_pylist(), batch["row_key"].to_pylist(), _texts(batch["text"]), batch["ranges"].to_pylist(), batch["steps"].to_pylist(), strict=True):
             known = {(r["edge"], r["off"]): r["upto"] for r in steps or ()}
+            found = [(r["start"], r["end"]) for r in ranges if not r["words"]]
             grown = []
-            for edges in _merged([(r["start"], r["end"]) for r in ranges]):
+            for edges in _merged([(r["start"], r["end"]) for r in ranges if r["words"]]):
                 reached = list(edges)
                 for side, off in ((0, -1), (1, 1)):
                     n = 1
@@ -193,17 +201,20 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         reached[side] = known[edges[side], off * n]
                         n += 1
                 grown.append(tuple(reached))
-            merged = _merged(grown)
+            starts = _Words([text]).starts if grown else None
+            found += [(s, e) for s, e in _merged(grown) if np.searchsorted(starts, e) - np.searchsorted(starts, s) >= PASSAGE]
+            merged = _merged(found)
+            if not merged:
+                continue
             before = np.concatenate([[0], np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)])
             points = [(int(before[s]), int(before[e])) for s, e in merged]
             kept, at = [], 0
             for s, e in merged:
                 kept.append(text[at:s])
                 at = e
-            texts.append(b"".join([*kept, text[at:]]).decode(errors="replace"))
-            told.append(",".join(f"{s}:{e}" for s, e in points))
-            chars.append(sum(e - s for s, e in points))
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["row_key"], pa.array(told, pa.string()), pa.array(chars, pa.int64()), pa.array(texts, pa.string())], ["doc_id", "row_key", "removed", "removed_chars", "text"])
+            rows.append((doc_id, key, ",".join(f"{s}:{e}" for s, e in points), sum(e - s for s, e in points), b"".join([*kept, text[at:]]).decode(errors="replace")))
+        columns = list(zip(*rows, strict=True)) or [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string()), strict=True)], ["doc_id", "row_key", "removed", "removed_chars", "text"])
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -212,8 +223,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Returns doc_id, row_key (hash of id and text), removed (start:end of the removed ranges in code points, end
     exclusive, comma-joined), removed_chars and text (what is left). Null, empty and short texts have no spans.
     Rows that share an id count as one document, so a span stays in all of them; rows without an id yield to
-    others and not to each other, but do lose what they repeat themselves. A repeated row comes out once. Other
-    columns are ignored. An empty df gives an empty result.
+    others and not to each other, but do lose what they repeat themselves. A repeated row comes out once. Texts of
+    any length are worked through whole; other columns are ignored whatever their names. An empty df gives an empty
+    result. The ranges of one document are gathered in one row, as its text is.
     """
     scratch = Scratch(df.sparkSession, "spans")
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(id_col, text_col).alias("row_key"), F.col(text_col).alias("text"))
@@ -223,17 +235,17 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     wanted = bitmaps.build(repeated, F.col("hash"), BITS)
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for owner, hashes, start, end in runs(_texts(batch["text"])):
+        for batch in slices(batches):
+            for owner, hashes, start, end, words in runs(_texts(batch["text"])):
                 hit = bitmaps.hits(wanted, hashes)
-                owner, hashes, start, end = owner[hit], hashes[hit], start[hit], end[hit]
+                owner, hashes, start, end, words = owner[hit], hashes[hit], start[hit], end[hit], words[hit]
                 at = pa.array(owner)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), batch["doc_id"].take(at), batch["row_key"].take(at), pa.array(start), pa.array(end), pa.array(_again(owner, hashes))], ["hash", "doc_id", "row_key", "start", "end", "again"])
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), batch["doc_id"].take(at), batch["row_key"].take(at), pa.array(start), pa.array(end), pa.array(words), pa.array(_again(owner, hashes))], ["hash", "doc_id", "row_key", "start", "end", "words", "again"])
 
-    found = docs.mapInArrow(occurrences, "hash long, doc_id long, row_key long, start long, end long, again boolean").join(repeated, "hash")
+    found = docs.mapInArrow(occurrences, "hash long, doc_id long, row_key long, start long, end long, words boolean, again boolean").join(repeated, "hash")
     is_later = F.col("again") | (~F.col("doc_id").eqNullSafe(F.col("first_id")) & F.col("first_id").isNotNull())
     later = found.where(is_later)
-    ranges = later.groupBy("row_key").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
+    ranges = later.groupBy("row_key").agg(F.collect_set(F.struct("start", "end", "words")).alias("ranges"))
     ranges = scratch.save(ranges, "ranges")
     touched = bitmaps.build(ranges, F.col("row_key"))
 
@@ -247,7 +259,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     stepped = bitmaps.build(steps, F.col("hash"), BITS)
 
     def standing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for owner, hashes, _, _ in spans(_texts(batch["text"])):
                 hit = bitmaps.hits(stepped, hashes)
                 owner, hashes = owner[hit], hashes[hit]
