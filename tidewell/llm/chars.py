@@ -32,11 +32,20 @@ def codes(text: str) -> np.ndarray:
     return np.where(_letters()[found], found, GAP)
 
 
-def chunks(texts: list[str], most: int = SEGMENT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(codes, owner) of consecutive texts, about `most` characters at a time; owner is the text's index.
+def chunks(texts: list[str], most: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """pieces() without the mark."""
+    for found, owner, _ in pieces(texts, most):
+        yield found, owner
 
-    Each text ends with a GAP. A longer text comes in several chunks, cut at gaps where it has any.
+
+def pieces(texts: list[str], most: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """(codes, owner, torn) of consecutive texts, about `most` (SEGMENT) characters at a time; owner is the text's index.
+
+    Each text ends with a GAP. A longer text comes in several chunks, which are the text's own codes when put one
+    after another: it is cut at a blank or a line break, which the GAP at the chunk's end stands for. Only where it
+    has none in `most` characters is it cut inside a run; the chunk is torn then, and its last GAP isn't the text's.
     """
+    most = most or SEGMENT
     held: list[np.ndarray] = []
     owner: list[int] = []
     size = 0
@@ -50,19 +59,23 @@ def chunks(texts: list[str], most: int = SEGMENT) -> Iterator[tuple[np.ndarray,
     for i, text in enumerate(texts):
         at = 0
         while at < len(text):
-            end = min(len(text), at + most)
+            end, after, torn = min(len(text), at + most), min(len(text), at + most), False
             if end < len(text):
-                cut = text.rfind(" ", at + 1, end)
-                end = cut if cut > at else end
+                cut = max(text.rfind(" ", at + 1, end), text.rfind("\n", at + 1, end))
+                torn = cut < 0
+                end, after = (end, end) if torn else (cut, cut + 1)
             if size and size + end - at > most:
-                yield flush()
+                yield *flush(), False
                 size = 0
             held.append(np.append(codes(text[at:end]), GAP))
             owner.append(i)
             size += end - at + 1
-            at = end
+            at = after
+            if at < len(text):  # what follows is the same text's
+                yield *flush(), torn
+                size = 0
     if held:
-        yield flush()
+        yield *flush(), False
 
 
 def words(found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

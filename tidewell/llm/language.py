@@ -17,13 +17,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.llm import chars
-from tidewell.llm.scratch import Scratch
+from tidewell.llm.scratch import Scratch, slices
 
 ORDERS = (4, 3, 2, 1)
 #: Training documents, about, at most (a hash of the id picks them); known words and n-grams of each order kept by language.
 SAMPLE, KNOWN = 20_000, 20_000
 #: Words after which more words don't sharpen the posterior.
 TEMPER = 20
+#: What a text needs to be taken for one in a known language: its posterior; the part of known words, from ENOUGH words on.
+LEAST_SCORE, LEAST_KNOWN, ENOUGH = 0.4, 0.2, 10
 UNDETERMINED = "und"
 
 
@@ -39,7 +41,7 @@ def _padded_grams(found: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: in
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, kind, key, n): words (kind 0) and n-grams (kind n) by language, summed up by chunk so that little is held at a time."""
-    for batch in batches:
+    for batch in slices(batches):
         langs = batch["lang"].to_pylist()
         for lang in dict.fromkeys(langs):
             for found, _ in chars.chunks([t or "" for t, x in zip(batch["text"].to_pylist(), langs, strict=True) if x == lang]):
@@ -88,7 +90,11 @@ class Model:
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """Language and posterior of each text."""
-        total, n = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts))
+        return self.judge(texts)[:2]
+
+    def judge(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Language, posterior, number of words and of known words of each text."""
+        total, n, known = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts)), np.zeros(len(texts))
         for found, owner in chars.chunks(texts):
             starts, ends, hashes = chars.words(found)
             if not len(starts):
@@ -99,6 +105,7 @@ class Model:
             lo = np.flatnonzero(np.diff(own, prepend=-1))
             total[own[lo]] += np.add.reduceat(scores, lo, axis=0)
             n += np.bincount(own, minlength=len(texts))
+            known += np.bincount(own, (self._find(0, keys) < len(self.keys[0]))[at], len(texts))
         names = np.array([*self.langs, UNDETERMINED], object)
         best = np.full(len(texts), len(self.langs))
         score = np.zeros(len(texts))
@@ -108,7 +115,7 @@ class Model:
             share /= share.sum(1, keepdims=True)
             best = np.where(n > 0, share.argmax(1), best)
             score = np.where(n > 0, share.max(1), 0.0)
-        return names[best].tolist(), score
+        return names[best].tolist(), score, n, known
 
 
 def fit(labelled: DataFrame) -> Model:
@@ -125,6 +132,7 @@ def fit(labelled: DataFrame) -> Model:
     kept = counts.where("kind != 0 or n > 1").withColumn("rank", rank).where(F.col("rank") <= KNOWN).select("kind", "key").distinct()
     # KNOWN keys of five kinds by language at most.
     table = counts.join(kept, ["kind", "key"]).toArrow().to_pandas()
+    scratch.drop("counts")
     langs = sorted({lang for lang, _ in totals})
     keys, logs = {}, {}
     for kind in (0, *ORDERS):
@@ -150,10 +158,14 @@ def fit_on_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, lang_pred and score (0 to 1) of every row; `und` and 0 for null texts and texts without a letter. Every row has its row in the result, repeated or not."""
+    """doc_id, lang_pred and score (0 to 1) of every row; `und` and 0 for null texts and texts without a letter.
+
+    Every row has its row in the result, repeated or not; ids may be null; texts of any length are read whole; other
+    columns are ignored whatever their names. An empty df gives an empty result.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             langs, scores = model.predict(chars.texts_of(batch["text"]))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
@@ -168,15 +180,31 @@ def lettered(texts: list[str]) -> list[bool]:
     return out.tolist()
 
 
-def keep_identified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """df without the rows that are `und`: those whose text is null or has no letter. Where no language could be learned, every other row stays too."""
-    Scratch(df.sparkSession, "language")
+def accepted(model: Model, texts: list[str], wanted: tuple[str, ...] | None = None) -> np.ndarray:
+    """Whether each text is in one of the wanted languages (None: any that the model knows), by the prediction and its evidence.
+
+    The posterior only says which known language fits best, so a text in none of them needs another sign: where it
+    has ENOUGH words or more, the part LEAST_KNOWN of them must be known from training.
+    """
+    langs, score, n, known = model.judge(texts)
+    fits = np.array([x != UNDETERMINED and (wanted is None or x in wanted) for x in langs], bool)
+    return fits & (score >= LEAST_SCORE) & ((n < ENOUGH) | (known >= LEAST_KNOWN * n))
+
+
+def keep_identified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", wanted: tuple[str, ...] | None = None) -> DataFrame:
+    """df without the rows whose text is in none of the wanted languages (None: all those learned), as accepted() says.
+
+    Null texts, texts without a letter and texts in a language that isn't known go. Where no row has a language to
+    learn from, every text with a letter stays: nothing speaks against it. Repeated rows stay or go together; an
+    empty df gives an empty result; df's columns may have any names.
+    """
     model = fit_on_documents(df, id_col, text_col, lang_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = chars.texts_of(batch[text_col])
-            keep = [x != UNDETERMINED for x in model.predict(texts)[0]] if model.langs else lettered(texts)
-            yield batch.filter(pa.array(keep, pa.bool_()))
+        for batch in slices(batches):
+            texts = chars.texts_of(batch["text"])
+            yield batch.filter(pa.array(accepted(model, texts, wanted).tolist() if model.langs else lettered(texts), pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    # Arrow functions take no names with dots, so the columns have plain ones there.
+    plain = df.toDF(*("text" if c.lower() == text_col.lower() else f"c{i}" for i, c in enumerate(df.columns)))
+    return plain.mapInArrow(run, plain.schema).toDF(*df.columns)

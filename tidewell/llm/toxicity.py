@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm import chars
-from tidewell.llm.scratch import Scratch
+from tidewell.llm.scratch import Scratch, slices
 
 ORDERS = (5, 6, 7)
 BUCKET_BITS = 21
@@ -27,9 +27,18 @@ SAMPLE, FEATURES, LEAST_RATIO, ALPHA, LENGTH, PENALTY = 12_000, 20_000, 1.0, 0.5
 
 
 def _features(texts: list[str], slot: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(text index, feature) pairs, distinct within a chunk; slot maps buckets to features, -1 to none."""
-    for found, owner in chars.chunks(texts):
-        pairs = []
+    """(text index, feature) pairs, each pair once; slot maps buckets to features, -1 to none.
+
+    A long text comes in chunks: its last codes go on into the next one, so no n-gram is lost, and its features are
+    gathered (there are no more of them than buckets) until the text ends.
+    """
+    tail, last, gathered = np.zeros(0, np.uint32), -1, np.zeros(0, np.int64)
+    for found, owner, torn in chars.pieces(texts):
+        if torn:
+            found, owner = found[:-1], owner[:-1]
+        if len(tail) and owner[0] == last:
+            found, owner = np.concatenate([tail, found]), np.concatenate([np.full(len(tail), last), owner])
+        pairs = [gathered]
         for n in ORDERS:
             if len(found) < n:
                 continue
@@ -40,21 +49,21 @@ def _features(texts: list[str], slot: np.ndarray | None = None) -> Iterator[tupl
                 at = slot[at]
                 inside &= at >= 0
             pairs.append((own[inside] << 24) | at[inside])
-        both = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
-        yield both >> 24, both & 0xFFFFFF
+        both = np.unique(np.concatenate(pairs))
+        last, tail = owner[-1], found[-min(len(found), max(ORDERS) - 1) :][owner[-min(len(found), max(ORDERS) - 1) :] == owner[-1]]
+        open_ = both >> 24 == last
+        gathered, done = both[open_], both[~open_]
+        yield done >> 24, done & 0xFFFFFF
+    yield gathered >> 24, gathered & 0xFFFFFF
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents by bucket and label in each batch (a text of several chunks counts in each)."""
-    for batch in batches:
+    """Documents by bucket and label in each batch."""
+    for batch in slices(batches):
         label = batch["label"].to_numpy().astype(np.int64)
-        n = np.zeros((2, 1 << BUCKET_BITS), np.int64)
-        for own, f in _features(chars.texts_of(batch["text"])):
-            for k in (0, 1):
-                n[k] += np.bincount(f[label[own] == k], minlength=1 << BUCKET_BITS)
-        for k in (0, 1):
-            keys = np.flatnonzero(n[k])
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), k)), pa.array(n[k][keys])], ["bucket", "label", "n"])
+        found = [(f << 1) | label[own] for own, f in _features(chars.texts_of(batch["text"]))]
+        keys, n = np.unique(np.concatenate(found), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(keys >> 1), pa.array(keys & 1), pa.array(n)], ["bucket", "label", "n"])
 
 
 @dataclass
@@ -68,24 +77,9 @@ class Model:
 
     def scores(self, texts: list[str]) -> np.ndarray:
         total, squares = np.zeros(len(texts)), np.zeros(len(texts))
-        held: list[np.ndarray] = []
-
-        def add(pairs: np.ndarray) -> None:
-            own, f = pairs >> 24, pairs & 0xFFFFFF
-            total[:] += np.bincount(own, self.weight[f] * self.ratio[f], len(texts))
-            squares[:] += np.bincount(own, self.ratio[f] ** 2, len(texts))
-
         for own, f in _features(texts, self.slot):
-            both = (own << 24) | f
-            if held and len(own) and own[0] == held[-1][-1] >> 24:  # a text in several chunks
-                held[-1] = np.unique(np.concatenate([held[-1], both]))
-                continue
-            if held:
-                add(held.pop())
-            if len(both):
-                held.append(both)
-        for pairs in held:
-            add(pairs)
+            total += np.bincount(own, self.weight[f] * self.ratio[f], len(texts))
+            squares += np.bincount(own, self.ratio[f] ** 2, len(texts))
         z = LENGTH * total / np.sqrt(np.maximum(squares, 1e-12)) + self.bias
         return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
@@ -129,12 +123,12 @@ def fit(labelled: DataFrame) -> Model:
     ratios = best["ratio"].to_numpy()
 
     def active(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found: list[list[int]] = [[] for _ in range(batch.num_rows)]
             for own, f in _features(chars.texts_of(batch["text"]), slot):
                 for i in np.unique(own):
                     found[i] += f[own == i].tolist()
-            yield pa.RecordBatch.from_arrays([batch["label"], pa.array([sorted(set(x)) for x in found], pa.list_(pa.int32()))], ["label", "features"])
+            yield pa.RecordBatch.from_arrays([batch["label"], pa.array([sorted(x) for x in found], pa.list_(pa.int32()))], ["label", "features"])
 
     # SAMPLE documents at most, as numbers of kept features.
     sample = rows.mapInArrow(active, "label long, features array<int>").toArrow()
@@ -153,10 +147,13 @@ def held_out(id_col: str) -> Column:
 
 
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and score (0 to 1) of every row; null and empty texts get the score of no features."""
+    """doc_id and score (0 to 1) of every row, repeated ones too; null and empty texts get the score of no features, texts of any length are scored whole.
+
+    Other columns are ignored whatever their names. An empty df gives an empty result.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(model.scores(chars.texts_of(batch["text"])), pa.float64())], ["doc_id", "score"])
 
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, score double")
