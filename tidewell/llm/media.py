@@ -1,8 +1,8 @@
 """Media columns: texts stored as lossless grey images in ZIP archives, read back by a Spark data source.
 
 write_archives() turns each text into a payload (its UTF-8 bytes and 255s up to a multiple of WIDTH; 255 never
-occurs in UTF-8) and each payload into a PNG of 8-bit grey samples, and every task writes its images as one ZIP
-archive into the shared folder. MediaSource plans partitions as byte ranges over the archives; a reader takes the
+occurs in UTF-8) and each payload into a PNG of 8-bit grey samples, and every task writes its images as ZIP
+archives of bounded size into the shared folder. MediaSource plans partitions as byte ranges over the archives; a reader takes the
 members whose headers start in its range, through the archive's own directory, and streams them as Arrow batches.
 A member that can't be read, or whose checksum is wrong, is read again at its offset from a newly opened file,
 whatever became of the members before it; if it fails RETRIES times the task fails, so no member is ever left out.
@@ -34,6 +34,8 @@ WIDTH = 576
 PAD = b"\xff"
 #: Bytes of an archive that one partition reads; media bytes in an Arrow batch; tries for each member.
 SPLIT, BATCH, RETRIES = 32 << 20, 4 << 20, 3
+#: Bytes after which a task begins a new archive; each of an archive's ranges reads the directory of no more than that.
+ARCHIVE = 128 << 20
 
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
 
@@ -127,37 +129,42 @@ class _Seekable(io.RawIOBase):
         super().close()
 
 
-def _writer(folder: str):  # noqa: ANN202
+def _writer(folder: str, most: int):  # noqa: ANN202
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = pafs.FileSystem.from_uri(folder)
-        task = TaskContext.get()
-        name = f"part-{task.partitionId():05d}-{task.taskAttemptId()}.zip"
-        n = 0
         fs.create_dir(path, recursive=True)
-        with fs.open_output_stream(f"{path}/{name}") as stream:
-            with zipfile.ZipFile(_Counted(stream), "w", zipfile.ZIP_STORED, allowZip64=True) as archive:
-                for batch in batches:
-                    ids = batch["doc_id"].to_pylist()
-                    for doc_id, text in zip(ids, batch["text"], strict=True):
-                        raw = text.cast(pa.binary()).as_py() or b""
-                        member = zipfile.ZipInfo(f"{'' if doc_id is None else doc_id}_{n}.png", (1980, 1, 1, 0, 0, 0))
-                        archive.writestr(member, encode_png(payload_of(raw)))
-                        n += 1
-        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([fs.get_file_info(f"{path}/{name}").size], pa.int64()), pa.array([n], pa.int64())], ["name", "bytes", "members"])
+        task = TaskContext.get()
+        texts = (row for batch in batches for row in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True))
+        first = next(texts, None)
+        part = n = 0
+        while first is not None:
+            name = f"part-{task.partitionId():05d}-{task.taskAttemptId()}-{part:05d}.zip"
+            with fs.open_output_stream(f"{path}/{name}") as stream, zipfile.ZipFile(_Counted(stream), "w", zipfile.ZIP_STORED, allowZip64=True) as archive:
+                while first is not None:
+                    doc_id, text = first
+                    media = encode_png(payload_of(text.cast(pa.binary()).as_py() or b""))
+                    archive.writestr(zipfile.ZipInfo(f"{'' if doc_id is None else doc_id}_{n}.png", (1980, 1, 1, 0, 0, 0)), media)
+                    n += 1
+                    first = next(texts, None)
+                    if archive.fp.tell() >= most:
+                        break
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([fs.get_file_info(f"{path}/{name}").size], pa.int64()), pa.array([n], pa.int64())], ["name", "bytes", "members"])
+            part, n = part + 1, 0
 
     return write
 
 
-def write_archives(df: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write_archives(df: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", most: int = ARCHIVE) -> None:
     """Write the images of all rows of df as archives below folder, with a list of those that finished tasks left.
 
-    Archives of lost or repeated task attempts aren't in the list. Null texts are written as empty ones.
+    A task begins a new archive after `most` bytes, so an archive's directory is small beside it and beside a
+    reader's memory however much a task writes. Archives of lost or repeated task attempts aren't in the list. Null texts are written as empty ones.
     """
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    done = rows.mapInArrow(_writer(folder), "name string, bytes long, members long")
+    done = rows.mapInArrow(_writer(folder, most), "name string, bytes long, members long")
     fs, path = pafs.FileSystem.from_uri(folder)
     fs.create_dir(path, recursive=True)
-    names = [f"{r['bytes']} {r['name']}\n" for r in done.collect()]  # a short line for each task, none for a document
+    names = [f"{r['bytes']} {r['name']}\n" for r in done.collect()]  # a short line for each archive of ARCHIVE bytes, none for a document
     with fs.open_output_stream(f"{path}/_archives") as out:
         out.write("".join(sorted(names)).encode())
 
@@ -195,28 +202,33 @@ class MediaReader(DataSourceReader):
         archive = self._open(partition.name)
         rows: list[tuple] = []
         held = 0
-        for info in archive.infolist():
-            if not partition.start <= info.header_offset < partition.end:
-                continue
-            for left in range(RETRIES - 1, -1, -1):
-                try:
-                    media = archive.read(info)  # by its header's offset; compares the checksum
-                    break
-                except (OSError, zipfile.BadZipFile, zlib.error, EOFError):
-                    if not left:
-                        raise
-                    time.sleep(0.2)
-                    with contextlib.suppress(OSError):
-                        archive.close()
-                    archive = self._open(partition.name)
-            number = info.filename.split("_")[0]
-            rows.append((int(number) if number else None, info.filename, info.header_offset, media))
-            held += len(media)
-            if held >= BATCH:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-                rows, held = [], 0
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+        batch = lambda: pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+        try:
+            for info in archive.infolist():
+                if not partition.start <= info.header_offset < partition.end:
+                    continue
+                for left in range(RETRIES - 1, -1, -1):
+                    try:
+                        media = archive.read(info)  # by its header's offset; compares the checksum
+                        break
+                    except (OSError, zipfile.BadZipFile, zlib.error, EOFError):
+                        if not left:
+                            raise
+                        time.sleep(0.2)
+                        with contextlib.suppress(OSError):
+                            archive.close()
+                        archive = self._open(partition.name)
+                number = info.filename.split("_")[0]
+                rows.append((int(number) if number else None, info.filename, info.header_offset, media))
+                held += len(media)
+                if held >= BATCH:
+                    yield batch()
+                    rows, held = [], 0
+            if rows:
+                yield batch()
+        finally:
+            with contextlib.suppress(OSError):
+                archive.close()
 
 
 class MediaSource(DataSource):

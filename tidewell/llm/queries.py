@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tidewell.llm import decontaminate, language, media, mixing, near_dup, pii, sharding, spans, toxicity, urls
 from tidewell.llm.oracles import ORACLES
-from tidewell.llm.scratch import Scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,7 +47,6 @@ def op5_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for each document, learned from the labels that aren't held out."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    Scratch(spark, "toxicity")
     labels = _table(spark, sf_dir, "labels").where(~toxicity.held_out("doc_id")).select("doc_id", F.col("toxic").alias("label"))
     scored = toxicity.score(docs, toxicity.fit(docs.join(labels, "doc_id")))
     return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
@@ -57,7 +55,6 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A language for each document, learned from the documents that aren't held out."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    Scratch(spark, "language")
     found = language.identify(docs, language.fit_on_documents(docs))
     return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 

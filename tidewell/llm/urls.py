@@ -13,6 +13,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.llm.scratch import own
+
 #: Orders of the n-grams, width of the hashed features, penalty, probability from which a URL is blocked.
 ORDERS, WIDTH, PENALTY, BLOCK_AT = (3, 4, 5), 1 << 14, 0.01, 0.5
 
@@ -135,13 +137,12 @@ def judge(pages: DataFrame, model: PipelineModel, url_col: str = "url", rules: t
     """pages with host, path, rule, probability (of block by the model) and verdict: the longest fitting rule's, else the model's.
 
     A row for each row of pages, repeated or not. Null URLs and those without :// have an empty host and path,
-    fit no rule and are judged as such by the model. Columns named like the added ones are replaced.
+    fit no rule and are judged as such by the model. Columns of pages named like these five are replaced, all
+    others stay whatever their names. An empty table gives an empty result.
     """
     rule, verdict = rule_of(rules)
-    rows = pages.withColumns({"host": host_of(url_col), "path": path_of(url_col)})
-    rows = rows.withColumns({"rule": rule, "_says": verdict, "grams": grams(F.col("host"), F.col("path"))})
-    rows = model.transform(rows.drop("features", "rawPrediction", "probability", "prediction"))
-    rows = rows.withColumn("probability", F.element_at(vector_to_array("probability"), 2))
-    rows = rows.withColumn("verdict", F.coalesce("_says", F.when(F.col("probability") >= BLOCK_AT, "block").otherwise("allow")))
-    return rows.drop("_says", "grams", "features", "rawPrediction", "prediction")
-
+    kept = pages.drop("host", "path", "rule", "probability", "verdict")
+    rows = pages.select(F.struct(*own(kept)).alias("page"), host_of(url_col).alias("host"), path_of(url_col).alias("path"))
+    rows = rows.withColumns({"rule": rule, "says": verdict, "grams": grams(F.col("host"), F.col("path"))})
+    rows = model.transform(rows).withColumn("blocked", F.element_at(vector_to_array("probability"), 2))
+    return rows.select("page.*", "host", "path", "rule", F.col("blocked").alias("probability"), F.coalesce("says", F.when(F.col("blocked") >= BLOCK_AT, "block").otherwise("allow")).alias("verdict"))
