@@ -15,7 +15,7 @@ SHARDS = 24
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents in which the language identifier finds no language."""
+    """Drop documents that the language identifier finds to be in none of the languages it has learned."""
     return language.keep_identified(docs)
 
 
