@@ -102,7 +102,15 @@ def test_overload_and_rebalance(spark):
     since = {(r.worker, r.slot_ts): r.since for r in skew.overload_since(loads).collect()}
     assert since[2, 0] == 0 and since[2, 60_000] == 0 and since[2, 120_000] is None
     buckets = spark.createDataFrame([(2, 60_000, 7, 30), (2, 60_000, 8, 20), (2, 60_000, 9, 0)], "worker int, slot_ts long, vbucket int, load long")
-    assert [tuple(r) for r in skew.rebalance(loads, buckets).collect()] == [(60_000, 2, 7, 30, 3)]
+    none = spark.createDataFrame([], "worker int, slot_ts long, hot_key string, hot_bucket int")
+    rows = skew.rebalance(loads, buckets, none, 8, 4, every_ms=60_000).collect()
+    assert [tuple(r)[:6] for r in rows] == [(60_000, 2, "VB-7", 7, 30.0, 3)]
+    moved = spark.range(1).select(scalar.shifted_bucket(scalar.virtual_bucket(F.lit("VB-7"), 8), F.lit(rows[0].shift), 8)).first()[0]
+    assert moved % 4 == 3 and skew.rebalance(loads, buckets, none, 8, 4).count() == 0  # no slot starts five minutes
+    named = spark.createDataFrame([(2, 60_000, "C-9", 8)], none.schema)
+    assert [tuple(r)[:6] for r in skew.rebalance(loads, buckets, named, 8, 4, every_ms=60_000).collect()] == [(60_000, 2, "C-9", 8, 20.0, 3)]
+    with pytest.raises(Exception, match="no shift"):
+        skew.rebalance(loads, buckets, none, 2, 4, every_ms=60_000).collect()
     shifts = skew.slot_shift(spark.createDataFrame([("k", 1)], "key string, target int"), 8, 4).collect()
     assert len(shifts) == 1
 
@@ -193,3 +201,73 @@ def test_plans(spark):
     text = build(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text and "Python" not in text
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp" in text
+
+
+def test_upsert_goes_by_what_is_written_last(spark, tmp_path):
+    rows = spark.createDataFrame([_kpi(1_704_067_200_000 + i * 86_400_000) for i in range(5)], KPI)
+    root = str(tmp_path)
+    sinks.write_results({"kpi": rows}, "upsert", root)
+    changed = rows.where("window_start_ts < 1704240000000").withColumn("num_chr_events", F.lit(77).cast("long"))
+    for _ in range(2):
+        sinks.write_results({"kpi": changed}, "upsert", root)
+        assert sorted(r.num_chr_events for r in spark.read.parquet(f"{root}/kpi").collect()) == [1, 1, 1, 77, 77]
+    assert not [x for x in tmp_path.iterdir() if "staged" in x.name]
+    twice = rows.limit(1).unionByName(rows.limit(1).withColumn("num_users", F.lit(9).cast("long")))
+    with pytest.raises(ValueError, match="share their key"):
+        sinks.write_results({"kpi": twice}, "upsert", root)
+    like = rows.withColumns(sinks.day_and_hour("window_start_ts"))
+    some = sinks.stored(spark, f"{root}/kpi", like, like.select("dt").limit(2).collect())
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert some.count() == 2 and "PartitionFilters: [dt" in plan.replace("isnotnull(dt", "[dt") and "dt#" in plan
+
+
+def test_tables_are_partitioned_and_written_by_name(spark):
+    spark.sql("create database if not exists results")
+    spark.sql("drop table if exists results.kpi")
+    rows = spark.createDataFrame([_kpi(1_704_067_200_000), _kpi(1_704_074_400_000)], KPI)
+    sinks.write_results({"kpi": rows.drop("num_users")}, "table", "results")
+    sinks.write_results({"kpi": rows.select(*reversed(rows.columns))}, "table", "results")
+    table = spark.table("results.kpi")
+    assert sorted(((r.site_id, r.cell_id, r.num_users, r.hour) for r in table.collect()), key=str) == [("S", "C", 1, "00"), ("S", "C", 1, "02"), ("S", "C", None, "00"), ("S", "C", None, "02")]
+    assert spark.sql("show partitions results.kpi").count() == 2
+    sinks.reset_table(spark, "results.kpi")
+
+
+def test_small_sinks(spark, tmp_path):
+    anomalies = spark.createDataFrame([("a", 1_704_067_200_000), ("b", 1_704_074_400_000)], "anomaly_id string, event_ts long")
+    sinks.write_results({"cell": anomalies}, "parquet", str(tmp_path))
+    assert sorted(str(r.hour).zfill(2) for r in spark.read.parquet(f"{tmp_path}/cell").collect()) == ["00", "02"]
+    kept = maintenance.keep_since(anomalies.withColumn("detection_ts", F.col("event_ts") + 5), "detection_ts", 1_704_074_400_005)
+    assert [r.anomaly_id for r in kept.collect()] == ["b"]
+    summary = spark.createDataFrame([("r,1", 'say "x"')], "run_id string, note string")
+    sinks.write_summary(summary, f"{tmp_path}/s")
+    assert spark.read.option("header", True).option("escape", '"').csv(f"{tmp_path}/s/csv").first().run_id == "r,1" and spark.read.json(f"{tmp_path}/s/json").first().note == 'say "x"'
+    sinks.write_samples(spark.createDataFrame([("r1", "s", 1), ("r2", "s", 2)], "run_id string, stage_id string, records int"), f"{tmp_path}/m")
+    assert spark.read.text(f"{tmp_path}/m/run_id=r2").first().value == '{"run_id":"r2","stage_id":"s","records":2}'
+    decisions = "cell_id string, shift int, routing_version long"
+    sinks.write_routing(spark.createDataFrame([("c", 3, 1), ("d", 1, 1)], decisions), f"{tmp_path}/r")
+    sinks.write_routing(spark.createDataFrame([("c", 5, 2)], decisions), f"{tmp_path}/r")
+    assert sorted(tuple(r) for r in spark.read.csv(f"{tmp_path}/r/current").collect()) == [("c", "5", "2"), ("d", "1", "1")]
+    assert spark.read.parquet(f"{tmp_path}/r/decisions").count() == 3
+
+
+def test_more_rules(spark):
+    row = spark.range(1).select(scalar.planar_km(F.lit(31.0), F.lit(121.0), F.lit(32.0), F.lit(121.0)).alias("lat"), scalar.planar_km(F.lit(31.0), F.lit(121.0), F.lit(31.0), F.lit(122.0)).alias("lon"), scalar.source_name(F.lit("source-pm")).alias("s"), scalar.source_name(F.lit("kpi-1m")).alias("n")).first()
+    assert tuple(row) == (111.32, 85.0, "pm", "")
+    with pytest.raises(Exception, match="no such child"):
+        kpi.rollup(spark.createDataFrame([_kpi(0, kind="MIN_5")], KPI), R).collect()
+    files = spark.createDataFrame([("a", 5, 0)], "path string, bytes long, modified long")
+    assert maintenance.byte_budget(files, 5, strict=True).first().within
+    with pytest.raises(Exception, match="budget"):
+        maintenance.byte_budget(files, 4, strict=True).collect()
+    readings = spark.createDataFrame([("v", "in_watermark", -5.0), ("v", "in_watermark", -2.0)], "vertex string, metric string, value double")
+    assert metrics.subtask_fold(readings).first().value == -2.0
+
+
+def test_streaks_of_a_hot_entity_are_cut(spark):
+    """Of a long dense run only the rows up to the alarm matter; a sparse one is folded whole."""
+    dense = [("CELL", "hot", "d", t, 0, True) for t in range(3000)]
+    sparse = [("CELL", "cold", "d", t * 30, 0, True) for t in range(60)] + [("CELL", "cold", "d", 1800 + t, 0, True) for t in range(4)]
+    df = spark.createDataFrame(dense + sparse, EVAL)
+    got = {r.entity_id: r.event_ts for r in anomaly.streaks(df, 3, 40).collect()}
+    assert got == {"hot": 2, "cold": _streak([(t, True) for *_, t, _, _ in sparse], 3, 40)[0]}

@@ -42,7 +42,7 @@ def test_kpis_and_rollups(spark, folder):
 def test_user_streaks(spark, folder):
     rows = anomaly.user_evaluations(view(spark, SF, "chr"), R).select("entity_type", "entity_id", "dimension", "event_ts", "seq", "abnormal")
     stream = _stream(spark, folder, "eval", rows.orderBy("event_ts"))
-    st.run_once(st.streaks(stream.drop("entity_type"), R.user_consecutive, R.user_window_ms), f"{folder}/streaks", f"{folder}/streaks-cp").stop()
+    st.run_once(st.streaks(stream.drop("entity_type"), R.user_consecutive, R.user_window_ms, bounded=True), f"{folder}/streaks", f"{folder}/streaks-cp").stop()
     key = lambda r: (r.entity_id, r.dimension, r.event_ts, r.seq)
     want = {key(r) for r in anomaly.streaks(rows, R.user_consecutive, R.user_window_ms).collect()}
     assert want and {key(r) for r in spark.read.parquet(f"{folder}/streaks").collect()} == want
@@ -51,7 +51,7 @@ def test_user_streaks(spark, folder):
 def test_enrichment(spark, folder):
     tables = {n: view(spark, SF, n) for n in ("chr", "pm", "cfg")}
     streams = {n: _stream(spark, folder, n, df) for n, df in tables.items()}
-    st.run_once(st.enrich(streams["chr"], streams["pm"], streams["cfg"], R), f"{folder}/enriched", f"{folder}/enriched-cp").stop()
+    st.run_once(st.enrich(streams["chr"], streams["pm"], streams["cfg"], R, bounded=True), f"{folder}/enriched", f"{folder}/enriched-cp").stop()
     got = {r.chr_id: (r.cfg_version, r.pm_prb_usage_dl) for r in spark.read.parquet(f"{folder}/enriched").collect()}
     batch = enrich.enrich(tables["chr"], tables["pm"], tables["cfg"], R).select("chr_id", F.col("cfg.version").alias("v"), F.col("pm.prb_usage_dl").alias("p"))
     assert got == {r.chr_id: (r.v, r.p) for r in batch.collect()}
@@ -94,3 +94,46 @@ def test_recovers_partitions(spark, folder):
     spark.sql(f"create table ext (id bigint, dt string) using parquet partitioned by (dt) location '{folder}/ext'")
     recover_partitions(spark, "ext")
     assert spark.table("ext").count() == 2
+
+
+def test_late_rows_are_dropped(spark, folder):
+    """Late rows are held against the watermark of the batch before; the fourth micro-batch brings a row of a window that the watermark has closed, and one that it hasn't."""
+    rows = st.sides(view(spark, SF, "chr"), view(spark, SF, "pm")).where("side = 'chr'").limit(1)
+    at = lambda s, cell: rows.withColumns({"event_time": F.timestamp_millis(F.lit(s * 1000)), "event_ts": F.lit(s * 1000).cast("long"), "cell_id": F.lit(cell)})
+    path = f"{folder}/ordered"
+    for batch in (at(10, "a").unionByName(at(20, "a")), at(200, "a"), at(201, "a"), at(30, "a").unionByName(at(195, "b")), at(100_000, "end")):
+        batch.coalesce(1).write.mode("append").parquet(path)
+        __import__("time").sleep(1.1)  # the file source goes by modification time
+    from tidewell.params import Rules
+
+    q = st.run_once(st.kpis(file_stream(spark, path, rows.schema), Rules()).drop("w"), f"{folder}/late-kpi", f"{folder}/late-kpi-cp")
+    got = {(r.cell_id, r.window_start_ts): r.num_chr_events for r in spark.read.parquet(f"{folder}/late-kpi").collect()}
+    assert got == {("a", 0): 2, ("a", 180_000): 2, ("b", 180_000): 1}
+    assert sum(s["numRowsDroppedByWatermark"] for p in q.recentProgress for s in p["stateOperators"]) == 1
+
+
+def test_own_watermarks_of_both_sides(spark, folder):
+    st.idle_sources(spark, block=False)
+    assert spark.conf.get("spark.sql.streaming.multipleWatermarkPolicy") == "max"
+    st.idle_sources(spark)
+    assert spark.conf.get("spark.sql.streaming.multipleWatermarkPolicy") == "min"
+    chr_, pm = (_stream(spark, folder, f"own-{n}", view(spark, SF, n)) for n in ("chr", "pm"))
+    rows = st.kpis(st.sides(chr_, pm, st.DELAY), R, None).drop("w")
+    st.run_once(rows, f"{folder}/own-kpi", f"{folder}/own-kpi-cp").stop()
+    mark = min(view(spark, SF, "chr").agg(F.max("event_ts")).first()[0], view(spark, SF, "pm").agg(F.max("window_end_ts") - 1).first()[0]) - 12_000
+    want = st.kpis(st.sides(view(spark, SF, "chr"), view(spark, SF, "pm")), R).where(F.col("window_end_ts") <= mark)
+    assert spark.read.parquet(f"{folder}/own-kpi").count() == want.count() > 0
+
+
+def test_state_has_time_limits():
+    class Handle:
+        def __init__(self):
+            self.limits = {}
+
+        def getValueState(self, name, schema, ttl=None):  # noqa: N802
+            self.limits[name] = ttl
+
+    for processor, want in ((st.Enricher(R.cfg_ttl_ms, R.pm_ttl_ms), {"cfg": R.cfg_ttl_ms, "pm": R.pm_ttl_ms}), (st.Streaks(3, 5, 7), {"streak": 7}), (st.Enricher(1, 1, bounded=True), {"cfg": None, "pm": None})):
+        handle = Handle()
+        processor.init(handle)
+        assert handle.limits == want

@@ -88,6 +88,25 @@ def window_label(kind: Column) -> Column:
     return F.when(kind == "MIN_1", "1m").when(kind == "MIN_5", "5m").when(kind == "MIN_15", "15m").when(kind == "HOUR_1", "1h").otherwise("")
 
 
+def source_name(stage: Column) -> Column:
+    """The source that a stage reads; empty for stages that are no source."""
+    return F.when(stage.isin("source-chr", "source-pm", "source-cfg"), F.substring(stage, 8, 3)).otherwise("")
+
+
+def latency_base(kind: Column, event_ts: Column, window_end_ts: Column, effective_ts: Column, source_ts_avg: Column) -> Column:
+    """The time from which a record's latency counts: of the event, the counters' window end or the configuration; for results the mean source time, null if there is none."""
+    return F.when(kind == "CHR", event_ts).when(kind == "PM", window_end_ts).when(kind == "CFG", effective_ts).otherwise(F.when(source_ts_avg > 0, source_ts_avg))
+
+
+def sampled(key: Column, every: int) -> Column:
+    """Whether a record is one of the one in `every` whose latency is measured; a hash of the key picks them."""
+    return virtual_bucket(key.cast("string"), every) == 0
+
+
+def weak_signal(rsrp: Column, threshold: float) -> Column:
+    return rsrp.isNotNull() & (rsrp < threshold)
+
+
 def confidence(samples: Column) -> Column:
     return F.when(samples < 30, "low").when(samples < 100, "medium").otherwise("high")
 

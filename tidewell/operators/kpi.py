@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.scalar import bucket_start, first_non_blank, geohash, ratio
@@ -65,34 +65,51 @@ def kpi(chr_: DataFrame, pm: DataFrame, rules: Rules, kind: str = "MIN_1") -> Da
     )
 
 
-def rollup_violations(children: DataFrame, rules: Rules) -> DataFrame:
-    """Children that a rollup must not take: another kind than MIN_1, no positive length, or reaching over their parent."""
+def violation(rules: Rules) -> Column:
+    """Why a rollup must not take a child: another kind than MIN_1, no positive length, or reaching over its parent; null if it may."""
     parent = bucket_start(F.col("window_end_ts") - 1, rules.rollup_ms)
-    reason = F.when(F.col("window_kind") != "MIN_1", "kind").when(F.col("window_end_ts") <= F.col("window_start_ts"), "length").when((F.col("window_start_ts") < parent) | (F.col("window_end_ts") > parent + rules.rollup_ms), "outside")
-    return children.withColumn("reason", reason).where("reason is not null")
+    return F.when(F.col("window_kind") != "MIN_1", "kind").when(F.col("window_end_ts") <= F.col("window_start_ts"), "length").when((F.col("window_start_ts") < parent) | (F.col("window_end_ts") > parent + rules.rollup_ms), "outside")
 
 
-def rollup(children: DataFrame, rules: Rules, kind: str = "MIN_5") -> DataFrame:
-    """Rollup of KPI rows: radio measures weighted by their samples, attach rate by attempts, counter measures as the mean over windows with counters; users are summed."""
+def rollup_violations(children: DataFrame, rules: Rules) -> DataFrame:
+    """Children that a rollup must not take, with the reason."""
+    return children.withColumn("reason", violation(rules)).where("reason is not null")
+
+
+def rollup_parts(children: DataFrame, rules: Rules, kind: str = "MIN_5") -> tuple[DataFrame, Column, list[Column]]:
+    """Checked children with what the aggregates need, the start of their parent, and the aggregates; batch and stream group them each in their way. A bad child is an error."""
     has_pm = (F.col("join_quality") != "CHR_ONLY") | (F.col("avg_prb_usage_dl") != 0) | (F.col("throughput_dl_mbps_avg") != 0) | (F.col("drop_rate") != 0) | (F.col("ho_success_rate") != 0)
-    rows = children.withColumn("has_pm", has_pm).withColumn("at", F.struct("window_start_ts", "site_id"))
+    bad = violation(rules)
+    refuse = F.raise_error(F.concat(F.lit("a rollup takes no such child: "), bad)).cast("boolean")
+    rows = children.withColumn("has_pm", F.when(bad.isNotNull(), refuse).otherwise(has_pm))
     mean = lambda x, n: ratio(F.sum(F.col(x) * F.col(n)), F.sum(n)).alias(x)
     over_pm = lambda x: ratio(F.sum(F.when(F.col("has_pm"), F.col(x))), F.count_if("has_pm")).alias(x)
-    start = bucket_start(F.col("window_end_ts") - 1, rules.rollup_ms)
     only = lambda q: F.bool_and(F.col("join_quality") == q)
     some_chr = F.bool_or((F.col("join_quality") != "PM_ONLY") | (F.col("num_chr_events") > 0))
     quality = F.when(only("JOINED"), "JOINED").when(only("CHR_ONLY"), "CHR_ONLY").when(only("PM_ONLY"), "PM_ONLY")
     quality = quality.when(some_chr & F.bool_or("has_pm"), "JOINED").when(some_chr, "CHR_ONLY").otherwise("PM_ONLY")
+
+    def first(x: str) -> Column:
+        there = F.trim(x) != ""
+        return F.coalesce(F.min_by(F.when(there, F.col(x)), F.when(there, F.struct("window_start_ts", x))), F.lit("")).alias(x)
+
     ts = "source_event_ts"
     seen = F.col("source_event_count") > 0
-    return rows.groupBy("cell_id", start.alias("window_start_ts")).agg(
-        F.lit(kind).alias("window_kind"), quality.alias("join_quality"), F.coalesce(F.min_by(F.when(F.trim("site_id") != "", F.col("site_id")), F.when(F.trim("site_id") != "", F.col("at"))), F.lit("")).alias("site_id"),
+    parts = [
+        F.lit(kind).alias("window_kind"), quality.alias("join_quality"), first("site_id"), *([first("grid_id")] if "grid_id" in children.columns else []),
         *(F.sum(c).alias(c) for c in ("num_chr_events", "num_users", "rsrp_sample_count", "sinr_sample_count", "attach_attempts", "source_event_count")),
         mean("avg_rsrp", "rsrp_sample_count"), mean("avg_sinr", "sinr_sample_count"), mean("attach_success_rate", "attach_attempts"),
         *(over_pm(c) for c in ("avg_prb_usage_dl", "throughput_dl_mbps_avg", "drop_rate", "ho_success_rate")),
         F.expr(f"coalesce(sum({ts}_avg * source_event_count) div nullif(sum(source_event_count), 0), 0)").alias(f"{ts}_avg"),
         F.coalesce(F.min(F.when(seen, F.col(f"{ts}_min"))), F.lit(0)).alias(f"{ts}_min"), F.coalesce(F.max(F.when(seen, F.col(f"{ts}_max"))), F.lit(0)).alias(f"{ts}_max"),
-    )
+    ]
+    return rows, bucket_start(F.col("window_end_ts") - 1, rules.rollup_ms), parts
+
+
+def rollup(children: DataFrame, rules: Rules, kind: str = "MIN_5") -> DataFrame:
+    """Rollup of KPI rows: radio measures weighted by their samples, attach rate by attempts, counter measures as the mean over windows with counters; users are summed; the first site and grid (if there is one) that aren't blank. A child that rollup_violations() lists is an error."""
+    rows, start, parts = rollup_parts(children, rules, kind)
+    return rows.groupBy("cell_id", start.alias("window_start_ts")).agg(*parts)
 
 
 def latest_cfg(cfg: DataFrame) -> DataFrame:
@@ -107,13 +124,31 @@ def kpi_with_cfg(rows: DataFrame, cfg: DataFrame) -> DataFrame:
     return rows.join(named, "cell_id", "left").withColumns({"grid_id": F.coalesce("cfg_grid", F.lit("")), "site_id": first_non_blank(F.col("site_id"), F.col("cfg_site"))}).drop("cfg_site", "cfg_grid")
 
 
-def kpi_from_enriched(enriched: DataFrame, length: int) -> DataFrame:
-    """KPI measures straight from enriched events for windows of any length; each counter record counts once in a window."""
+def kpi_from_enriched(enriched: DataFrame, length: int, kind: str) -> DataFrame:
+    """All KPI measures straight from enriched events for windows of any length and kind; each counter record counts once in a window."""
     rows = enriched.withColumn("window_start_ts", bucket_start("event_ts", length))
-    own = rows.groupBy("cell_id", "window_start_ts").agg(F.count("*").alias("num_chr_events"), F.count_distinct("imsi").alias("num_users"), ratio(F.sum("rsrp"), F.count("rsrp")).alias("avg_rsrp"))
-    counters = rows.where("pm_window_end_ts is not null").dropDuplicates(["cell_id", "window_start_ts", "pm_window_end_ts"])
-    theirs = counters.groupBy("cell_id", "window_start_ts").agg(F.count("*").alias("pm_windows"), F.avg("pm_prb_usage_dl").alias("avg_prb_usage_dl"))
-    return own.join(theirs, ["cell_id", "window_start_ts"], "left").fillna(0, ["pm_windows", "avg_prb_usage_dl"])
+    keys = ["cell_id", "window_start_ts"]
+    attach = F.col("event_type") == "ATTACH"
+    at = F.struct("event_ts", F.col("chr_id").cast("long"))
+    grid = geohash(F.col("cfg.center_lat"), F.col("cfg.center_lon"))
+    stats = lambda ts: (F.sum(F.when(F.col(ts) > 0, F.col(ts))), F.min(F.when(F.col(ts) > 0, F.col(ts))), F.max(F.when(F.col(ts) > 0, F.col(ts))), F.count(F.when(F.col(ts) > 0, 1)))
+    named = lambda side, ts: [c.alias(f"{side}_{n}") for c, n in zip(stats(ts), ("sum", "min", "max", "n"), strict=True)]
+    own = rows.groupBy(*keys).agg(
+        F.min_by("site_id", at).alias("site_id"), F.coalesce(F.min_by(grid, F.when(F.col("cfg").isNotNull(), at)), F.lit("")).alias("grid_id"), F.count("*").alias("num_chr_events"), F.count_distinct("imsi").alias("num_users"),
+        F.count("rsrp").alias("rsrp_sample_count"), F.count("sinr").alias("sinr_sample_count"), F.count_if(attach).alias("attach_attempts"), ratio(F.sum("rsrp"), F.count("rsrp")).alias("avg_rsrp"), ratio(F.sum("sinr"), F.count("sinr")).alias("avg_sinr"),
+        ratio(F.count_if(attach & (F.col("result_code") == 0)), F.count_if(attach)).alias("attach_success_rate"), *named("own", "event_ts"))
+    counters = rows.where("pm is not null").select(*keys, F.col("pm.window_end_ts").alias("pm_end"), "pm").dropDuplicates([*keys, "pm_end"])
+    p = lambda x: F.col(f"pm.{x}")
+    counters = counters.withColumn("pm_ts", p("event_ts"))
+    ok, bad = F.sum(p("handover_success")), F.sum(p("handover_failure"))
+    theirs = counters.groupBy(*keys).agg(
+        F.count("*").alias("pm_windows"), F.avg(p("prb_usage_dl")).alias("avg_prb_usage_dl"), F.avg(p("throughput_dl_mbps")).alias("throughput_dl_mbps_avg"),
+        ratio(F.sum(p("dropped_connections")), F.sum(F.greatest(p("active_users"), F.lit(0)))).alias("drop_rate"), ratio(ok, ok + bad).alias("ho_success_rate"), *named("pm", "pm_ts"))
+    both = own.join(theirs, keys, "left").fillna(0, ["pm_windows", "avg_prb_usage_dl", "throughput_dl_mbps_avg", "drop_rate", "ho_success_rate", "own_sum", "pm_sum", "own_n", "pm_n"])
+    return both.select(
+        "window_start_ts", (F.col("window_start_ts") + length).alias("window_end_ts"), F.lit(kind).alias("window_kind"), F.lit("JOINED").alias("join_quality"), "site_id", "cell_id", "grid_id", "num_chr_events", "num_users",
+        "rsrp_sample_count", "sinr_sample_count", "attach_attempts", "avg_rsrp", "avg_sinr", "avg_prb_usage_dl", "throughput_dl_mbps_avg", "drop_rate", "ho_success_rate", "attach_success_rate", "pm_windows",
+        F.expr("coalesce((own_sum + pm_sum) div nullif(own_n + pm_n, 0), 0)").alias("source_event_ts_avg"), F.coalesce(F.least("own_min", "pm_min"), F.lit(0)).alias("source_event_ts_min"), F.coalesce(F.greatest("own_max", "pm_max"), F.lit(0)).alias("source_event_ts_max"), (F.col("own_n") + F.col("pm_n")).alias("source_event_count"))
 
 
 def distinct_users(chr_: DataFrame, length: int) -> DataFrame:

@@ -32,8 +32,11 @@ def stale_files(files: DataFrame, finished_before: int, unfinished_before: int)
     return files.where((~unfinished & (F.col("modified") < finished_before)) | (unfinished & (F.col("modified") < unfinished_before)))
 
 
-def byte_budget(files: DataFrame, most: int) -> DataFrame:
-    """One row: bytes of all files (an overflow raises), the budget, and whether they are within it."""
+def byte_budget(files: DataFrame, most: int, strict: bool = False) -> DataFrame:
+    """One row: bytes of all files (an overflow raises), the budget, and whether they are within it; strict: more is an error."""
+    if strict:
+        above = F.raise_error(F.concat(F.lit("byte budget exceeded: "), F.col("bytes").cast("string"))).cast("boolean")
+        return byte_budget(files, most).withColumn("within", F.when(F.col("within"), F.lit(True)).otherwise(above))
     return files.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).select("bytes", F.lit(most).cast("long").alias("budget"), (F.col("bytes") <= most).alias("within"))
 
 
@@ -54,15 +57,15 @@ def orphan_files(files: DataFrame, referenced: DataFrame, now: int, age_ms: int,
 
 
 def inventory(files: DataFrame) -> DataFrame:
-    """By table (the path's first folder): files, bytes, partition folders and files in progress."""
+    """By table (the path's first folder): files, bytes, partition folders, the first and the last of them, and files in progress."""
     table = F.regexp_extract("path", "^/?([^/]+)/", 1)
     folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
-    return files.groupBy(table.alias("root")).agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.count_distinct(folder).alias("folders"), F.count_if(F.col("path").contains(".inprogress")).alias("in_progress"))
+    return files.groupBy(table.alias("root")).agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.count_distinct(folder).alias("folders"), F.min(folder).alias("first_folder"), F.max(folder).alias("last_folder"), F.count_if(F.col("path").contains(".inprogress")).alias("in_progress"))
 
 
 def profile(kpis: DataFrame) -> DataFrame:
-    """By window kind: rows, first and last window, distinct sites, cells."""
-    return kpis.groupBy("window_kind").agg(F.count("*").alias("n"), F.min("window_start_ts").alias("first_ts"), F.max("window_end_ts").alias("last_ts"), F.count_distinct("site_id").alias("sites"), F.count_distinct("cell_id").alias("cells"))
+    """By window kind: rows, first and last window, distinct sites, cells and grids."""
+    return kpis.groupBy("window_kind").agg(F.count("*").alias("n"), F.min("window_start_ts").alias("first_ts"), F.max("window_end_ts").alias("last_ts"), F.count_distinct("site_id").alias("sites"), F.count_distinct("cell_id").alias("cells"), F.count_distinct(F.when(F.col("grid_id") != "", F.col("grid_id"))).alias("grids"))
 
 
 def table_status(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.functions.scalar import bucket_start, ratio, status_of, status_rank
+from tidewell.functions.scalar import bucket_start, sink_scope, source_name, status_of, status_rank
 
 #: Thresholds of a run's verdict.
 GATES = {"backlog_max": 0, "backpressure_max": 0.2, "checkpoint_failures_max": 2, "checkpoint_ms_max": 120_000, "kpi_p95_max": 180_000, "sink_p95_max": 180_000, "lag_max": 180_000, "delivery_min": 0.98}
 #: Stages in the order in which they are shown; others come last.
+#: Names by which a stage tells that it belongs to one result sink.
+RESULT_SINKS = ("parquet", "table", "upsert", "kafka")
 STAGE_ORDER = ("source-chr", "source-pm", "source-cfg", "kpi-1m", "kpi-5m", "sink-grid")
 
 
@@ -23,18 +25,58 @@ def real_samples(samples: DataFrame) -> DataFrame:
 
 
 def latest_samples(samples: DataFrame) -> DataFrame:
-    """The newest sample of each stage and subtask; real ones before placeholders, later arrivals before earlier ones at the same time."""
-    w = Window.partitionBy("stage_id", "subtask").orderBy((F.col("status") == "unknown").cast("int"), F.desc("updated_at"), F.desc("sample_id"))
+    """The newest sample of each stage, window and subtask; real ones before placeholders, later arrivals before earlier ones at the same time."""
+    w = Window.partitionBy("stage_id", "window", "subtask").orderBy((F.col("status") == "unknown").cast("int"), F.desc("updated_at"), F.desc("sample_id"))
     return samples.withColumn("rank", F.row_number().over(w)).where("rank = 1").drop("rank")
 
 
 def stage_rollup(samples: DataFrame, keys: tuple[str, ...] = ("stage_id",)) -> DataFrame:
-    """Latest samples rolled up: records, bytes and errors summed, latency and lag at their worst (-1 if none), the worst status, the latest error text."""
+    """Latest samples rolled up: rates, records, bytes, errors and failures summed, latency at its worst (-1 if none) like lag and duration, the worst status, the latest error text.
+
+    Placeholders (unknown status) count only in groups that have nothing else.
+    """
     text = F.when(F.trim("error_text") != "", F.col("error_text"))
+    real = F.col("status") != "unknown"
+    at = F.struct("updated_at", "sample_id")
+
+    def fold(f, x):  # noqa: ANN001, ANN202
+        """f over the real samples of a group, or over all if none is real."""
+        x = F.col(x) if isinstance(x, str) else x
+        return F.when(F.count_if(real) > 0, f(F.when(real, x))).otherwise(f(x))
+
+    last = lambda x: F.max_by(x, F.when(x.isNotNull(), at))
     return latest_samples(samples).groupBy(*keys).agg(
-        F.count("*").alias("subtasks"), F.sum("records").alias("records"), F.sum("bytes").alias("bytes"), F.sum("errors").alias("errors"),
-        F.coalesce(F.max(available("p95_ms")), F.lit(-1)).alias("p95_ms"), F.max("lag_ms").alias("lag_ms"), status_of(F.max(status_rank(F.col("status")))).alias("status"),
-        F.coalesce(F.max_by(text, F.when(text.isNotNull(), F.struct("updated_at", "sample_id"))), F.lit("")).alias("last_error"))
+        F.when(F.count_if(real) > 0, F.count_if(real)).otherwise(F.count("*")).alias("subtasks"),
+        *(fold(F.sum, x).alias(x) for x in ("eps", "records", "bytes", "errors", "failures", "dlq")),
+        F.coalesce(fold(F.max, available("p95_ms")), F.lit(-1)).alias("p95_ms"), fold(F.max, "lag_ms").alias("lag_ms"), fold(F.max, "duration_ms").alias("duration_ms"),
+        status_of(fold(F.max, status_rank(F.col("status")))).alias("status"), F.coalesce(fold(last, text), F.lit("")).alias("last_error"), fold(F.max, "updated_at").alias("updated_at"))
+
+
+def source_summaries(samples: DataFrame) -> DataFrame:
+    """The roll-up by source, of the stages that read one."""
+    named = samples.withColumn("source", source_name(F.col("stage_id"))).where("source != ''")
+    return stage_rollup(named, ("source",)).select("source", "status", "eps", "lag_ms", "records", "updated_at")
+
+
+def sink_summaries(samples: DataFrame) -> DataFrame:
+    """The roll-up by sink stage and window: what was written, how late, and what failed."""
+    return stage_rollup(samples.where("window != ''"), ("stage_id", "window")).select("stage_id", "window", "status", "records", "bytes", "duration_ms", "p95_ms", "failures", "last_error", "updated_at")
+
+
+def relevant(samples: DataFrame, sink: str) -> DataFrame:
+    """Samples of stages that belong to the active result sink, or to none in particular; auxiliary ones (dead letters, metrics, late rows) are left out.
+
+    A stage that names a result sink belongs to that sink only; with the sink `none` no such stage is left.
+    """
+    stage = F.lower("stage_id")
+    named = F.lit(False)
+    for name in RESULT_SINKS:
+        named = named | stage.contains(name)
+    mine = F.lit(sink.lower() != "none") & stage.contains(sink.lower())
+    auxiliary = F.lit(False)
+    for name in ("dlq", "metrics", "late"):
+        auxiliary = auxiliary | (stage == name) | stage.endswith(f"-{name}")
+    return samples.where((~named | mine) & ~auxiliary)
 
 
 def percentiles(samples: DataFrame) -> DataFrame:
@@ -92,10 +134,15 @@ def verdicts(runs: DataFrame) -> DataFrame:
 
 
 def gate_table(runs: DataFrame) -> DataFrame:
-    """A row for each gate of each run: observed, threshold and HEALTHY, UNSTABLE or NA (a negative reading is none)."""
-    gates = [("backlog", "backlog_max"), ("backpressure", "backpressure_max"), ("checkpoint_ms", "checkpoint_ms_max"), ("kpi_p95", "kpi_p95_max"), ("sink_p95", "sink_p95_max"), ("lag", "lag_max")]
-    rows = runs.select("run_id", F.explode(F.array(*(F.struct(F.lit(n).alias("gate"), F.col(n).cast("double").alias("observed"), F.lit(float(GATES[t])).alias("threshold")) for n, t in gates))).alias("g")).select("run_id", "g.*")
-    return rows.withColumn("state", F.when(F.col("observed") < 0, "NA").when(F.col("observed") > F.col("threshold"), "UNSTABLE").otherwise("HEALTHY"))
+    """A row for each gate of each run: observed, threshold and HEALTHY, UNSTABLE, FAILED (the job isn't running) or NA (a negative reading is none)."""
+    at = lambda n: F.col(n).cast("double")
+    gate = lambda n, observed, threshold, ok, bad="UNSTABLE": F.struct(F.lit(n).alias("gate"), observed.alias("observed"), F.lit(float(threshold)).alias("threshold"), F.when(observed < 0, "NA").when(ok, "HEALTHY").otherwise(bad).alias("state"))
+    yes = lambda c: c.cast("int").cast("double")
+    running = F.col("job_status") == "RUNNING"
+    gates = [gate("job_status", yes(running), 1, running, "FAILED"), gate("source", yes(F.col("has_source")), 1, F.col("has_source")), gate("delivery", F.when(F.col("has_source"), at("delivery")).otherwise(-1.0), GATES["delivery_min"], at("delivery") >= GATES["delivery_min"])]
+    gates += [gate(n, at(n), GATES[t], at(n) <= GATES[t]) for n, t in (("backlog", "backlog_max"), ("backpressure", "backpressure_max"), ("checkpoint_ms", "checkpoint_ms_max"), ("kpi_p95", "kpi_p95_max"), ("sink_p95", "sink_p95_max"), ("lag", "lag_max"))]
+    gates += [gate("checkpoint_failures", at("checkpoint_failures"), GATES["checkpoint_failures_max"], at("checkpoint_failures") < GATES["checkpoint_failures_max"]), gate("sink_failures", at("sink_failures"), 0, at("sink_failures") <= 0)]
+    return runs.select("run_id", F.explode(F.array(*gates)).alias("g")).select("run_id", "g.*")
 
 
 def stable_bounds(judged: DataFrame) -> DataFrame:
@@ -111,10 +158,10 @@ def measurement_window(samples: DataFrame) -> DataFrame:
 
 
 def subtask_fold(readings: DataFrame) -> DataFrame:
-    """(vertex, metric, value) folded by the metric's class: ratios averaged, watermarks at their least of those available (-1 if none), others summed."""
+    """(vertex, metric, value) folded by the metric's class: ratios averaged, watermarks at their least of those available (else their greatest, else -1), others summed."""
     value = F.col("value")
     ratio_like, watermark = F.col("metric").endswith("ratio"), F.col("metric").endswith("watermark")
-    out = readings.groupBy("vertex", "metric").agg(F.avg(value).alias("mean"), F.coalesce(F.min(F.when(value >= 0, value)), F.lit(-1.0)).alias("least"), F.sum(value).alias("total"))
+    out = readings.groupBy("vertex", "metric").agg(F.avg(value).alias("mean"), F.coalesce(F.min(F.when(value >= 0, value)), F.max(value), F.lit(-1.0)).alias("least"), F.sum(value).alias("total"))
     return out.select("vertex", "metric", F.when(ratio_like, F.col("mean")).when(watermark, F.col("least")).otherwise(F.col("total")).alias("value"))
 
 
@@ -136,9 +183,21 @@ def operator_delay(latencies: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def snapshot(samples: DataFrame) -> DataFrame:
-    """One row: worst p95 of source, 1m and 5m stages, of sinks, failures and worst lag over the latest samples."""
-    worst = lambda part: F.coalesce(F.max(F.when(F.col("stage_id").contains(part), available("p95_ms"))), F.lit(-1))
-    return latest_samples(samples).agg(worst("source").alias("source_p95"), worst("1m").alias("kpi_1m_p95"), worst("5m").alias("kpi_5m_p95"), worst("sink").alias("sink_p95"), F.sum("errors").alias("failures"), F.max("lag_ms").alias("lag_ms"))
+    """One row: worst p95 of source, 1m and 5m stages, of sinks by scope (connector write and commit apart from the rest), failures and worst lag over the latest samples."""
+    over = lambda keep: F.coalesce(F.max(F.when(keep, available("p95_ms"))), F.lit(-1))
+    worst = lambda part: over(F.col("stage_id").contains(part))
+    scope = sink_scope(F.col("stage_id"))
+    return latest_samples(samples).agg(
+        worst("source").alias("source_p95"), worst("1m").alias("kpi_1m_p95"), worst("5m").alias("kpi_5m_p95"), over(F.col("stage_id").contains("sink") & ~scope.isin("write", "commit")).alias("sink_p95"),
+        over(scope == "write").alias("connector_write_p95"), over(scope == "commit").alias("connector_commit_p95"), F.sum("failures").alias("failures"), F.max("lag_ms").alias("lag_ms"))
+
+
+def connectors(samples: DataFrame) -> DataFrame:
+    """Connector stages: samples, nearest-rank percentiles of their durations, failures, the latest commit and `warning` if anything failed."""
+    rows = samples.withColumn("scope", sink_scope(F.col("stage_id"))).where("scope in ('write', 'commit')")
+    at = lambda p: F.expr(f"percentile_disc({p}) within group (order by duration_ms)").cast("long")
+    commit = F.when(F.col("scope") == "commit", F.col("sample_id"))
+    return rows.groupBy("stage_id", "scope").agg(F.count("*").alias("samples"), at(0.5).alias("p50"), at(0.95).alias("p95"), at(0.99).alias("p99"), F.sum("failures").alias("failures"), F.when(F.sum("failures") > 0, "warning").otherwise("healthy").alias("status"), F.coalesce(F.max(commit), F.lit(-1)).alias("last_commit"))
 
 
 def coverage(samples: DataFrame) -> DataFrame:
@@ -154,7 +213,7 @@ def bottlenecks(samples: DataFrame, k: int = 5) -> DataFrame:
 def bottleneck_flags(samples: DataFrame) -> DataFrame:
     """A row for each reason why a stage is a bottleneck."""
     rows = stage_rollup(samples)
-    flags = F.array_compact(F.array(F.when(F.col("status").isin("warning", "critical"), F.concat(F.lit("status "), "status")), F.when(F.col("p95_ms") >= 1000, "p95"), F.when(F.col("lag_ms") >= 60_000, "lag"), F.when(F.col("errors") > 0, "errors")))
+    flags = F.array_compact(F.array(F.when(F.col("status").isin("warning", "critical"), F.concat(F.lit("status "), "status")), F.when(F.col("p95_ms") >= 1000, "p95"), F.when(F.col("lag_ms") >= 60_000, "lag"), F.when(F.col("dlq") > 0, "dlq")))
     return rows.select("stage_id", F.explode(flags).alias("flag"))
 
 
@@ -175,5 +234,7 @@ def sink_bytes(rows: DataFrame, fixed: int, texts: list[str]) -> Column:
     return F.lit(fixed) + sum((F.coalesce(F.octet_length(t), F.lit(0)) for t in texts), F.lit(0))
 
 
-def share(top: str, bottom: str) -> Column:
-    return ratio(F.col(top), F.col(bottom))
+def sink_throughput(rows: DataFrame, key: str, size: Column, ts: str) -> DataFrame:
+    """By key: records, bytes, and records a second between the first and the last record (0 if at one time)."""
+    seconds = (F.max(ts) - F.min(ts)) / 1000
+    return rows.groupBy(key).agg(F.count("*").alias("records"), F.sum(size).alias("bytes"), F.when(seconds > 0, F.count("*") / seconds).otherwise(0.0).alias("eps"))

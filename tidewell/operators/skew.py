@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.scalar import bucket_start, shifted_bucket, virtual_bucket
 
-OVERLOAD, IDLE, OVERLOAD_MS, TOP_BUCKETS = 1.5, 0.8, 60_000, 3
+OVERLOAD, IDLE, OVERLOAD_MS, TOP_BUCKETS, REBALANCE_MS = 1.5, 0.8, 60_000, 3, 300_000
 
 
 def routed(events: DataFrame, routing: DataFrame, n: int) -> DataFrame:
@@ -53,19 +53,28 @@ def top_buckets(bucket_loads: DataFrame) -> DataFrame:
     return bucket_loads.where("load > 0").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= TOP_BUCKETS)
 
 
-def rebalance(loads: DataFrame, buckets: DataFrame) -> DataFrame:
-    """Which bucket of which overloaded worker should go to which idle worker, by slot.
+def rebalance(loads: DataFrame, buckets: DataFrame, hotspots: DataFrame, n: int, workers: int, every_ms: int = REBALANCE_MS) -> DataFrame:
+    """Which key of which overloaded worker should go to which idle worker and by which shift, at slots that start a period of every_ms.
 
-    Workers overloaded for OVERLOAD_MS or longer give their top buckets, in order; idle workers (at most IDLE of
-    the median) take one each, in order, until they run out.
+    Workers overloaded for OVERLOAD_MS or longer give the hotspot that their heartbeat names (hotspots: worker,
+    slot_ts, hot_key, hot_bucket), else their top buckets, in order; idle workers (at most IDLE of the median)
+    take one each, in order, until they run out. The shift is the smallest that brings the key to the target, its
+    bucket (of n) mod workers; it is an error if there is none.
     """
-    state = overload_since(loads)
-    due = state.where((F.col("slot_ts") - F.col("since")) >= OVERLOAD_MS).select("worker", "slot_ts")
-    give = due.join(top_buckets(buckets), ["worker", "slot_ts"])
+    state = overload_since(loads).where(F.col("slot_ts") % every_ms == 0)
+    due = state.where((F.col("slot_ts") - F.col("since")) >= OVERLOAD_MS).select("worker", "slot_ts", "eps")
+    named = due.join(hotspots.where("hot_key is not null and hot_bucket >= 0"), ["worker", "slot_ts"])
+    own = buckets.select("worker", "slot_ts", F.col("vbucket").alias("hot_bucket"), "load")
+    named = named.join(own, ["worker", "slot_ts", "hot_bucket"], "left").select("worker", "slot_ts", F.lit(1).alias("rank"), F.col("hot_key").alias("key"), F.col("hot_bucket").alias("vbucket"), F.coalesce("load", "eps").cast("double").alias("load"))
+    other = due.drop("eps").join(named, ["worker", "slot_ts"], "left_anti").join(top_buckets(buckets), ["worker", "slot_ts"])
+    give = named.unionByName(other.select("worker", "slot_ts", "rank", F.concat(F.lit("VB-"), "vbucket").alias("key"), "vbucket", F.col("load").cast("double").alias("load")))
     give = give.withColumn("ordinal", F.row_number().over(Window.partitionBy("slot_ts").orderBy("worker", "rank")))
     idle = state.where(F.col("eps") <= IDLE * F.col("median_eps")).select("slot_ts", F.col("worker").alias("target"))
     idle = idle.withColumn("ordinal", F.row_number().over(Window.partitionBy("slot_ts").orderBy("target")))
-    return give.join(idle, ["slot_ts", "ordinal"]).select("slot_ts", "worker", "vbucket", "load", "target")
+    rows = give.join(idle, ["slot_ts", "ordinal"])
+    shift = F.array_position(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.pmod(shifted_bucket(virtual_bucket(F.col("key"), n), i, n), F.lit(workers)) == F.col("target")), True)
+    shift = F.when(shift > 0, shift - 1).otherwise(F.raise_error(F.lit("no shift brings the key to its target")).cast("long"))
+    return rows.select("slot_ts", "worker", "key", "vbucket", "load", "target", shift.cast("int").alias("shift"))
 
 
 def slot_shift(keys: DataFrame, n: int, partitions: int) -> DataFrame:

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.functions.scalar import haversine_km
+from tidewell.functions.scalar import haversine_km, sampled
+from tidewell.functions.scalar import latency_base as scalar_latency_base
 from tidewell.operators import maintenance as mt
 from tidewell.operators import metrics as mx
 from tidewell.operators import skew
+from tidewell.operators.kpi import kpi_with_cfg
 from tidewell.params import DAY, HOUR
 from tidewell.plans.registry import query
-from tidewell.plans.telemetry import _KPI, _kpi, rounded
+from tidewell.plans.telemetry import _KPI, _kpi, geohash_sql, rounded
+from tidewell.plans.telemetry import _LATEST as _CFG_LATEST
 from tidewell.sources import readers
 from tidewell.sources.adapters import events, view
 
@@ -112,10 +115,24 @@ def top_buckets(spark, d):
     return skew.top_buckets(_buckets(spark, d))
 
 
-@query(f"{_SINCE}, {_TOP}, give as (select t.*, row_number() over (partition by t.slot_ts order by t.worker, t.rank) as o from since s join top t using (worker, slot_ts) where s.slot_ts - s.since >= 60000), idle as (select slot_ts, worker as target, row_number() over (partition by slot_ts order by worker) as o from imb where eps <= 0.8 * median_eps) select g.slot_ts, g.worker, g.vbucket, g.load, i.target from give g join idle i using (slot_ts, o)")
+#: Workers of a skewed deployment: the first of them has eight of twenty cells.
+_WORKER = "case when pci < 8 then 0 else pci % 6 + 1 end"
+_SKEWED = f"""sb as (select cast({_WORKER} as int) as worker, event_ts - event_ts % {DAY} as slot_ts, pci as vbucket, count(*) as load from chr group by all),
+ sl as (select worker, slot_ts, cast(sum(load) as double) as eps from sb group by all), sm as (select slot_ts, median(eps) as med from sl group by 1), so as (select sl.*, med, med > 0 and eps > 1.5 * med as over_ from sl join sm using (slot_ts)),
+ si as (select *, sum(case when over_ then 0 else 1 end) over (partition by worker order by slot_ts) as i from so), ss as (select *, case when over_ then min(case when over_ then slot_ts end) over (partition by worker, i) end as since from si),
+ due as (select * from ss where slot_ts % 300000 = 0 and slot_ts - since >= 60000), st as (select *, row_number() over (partition by worker, slot_ts order by load desc, vbucket) as rank from sb),
+ give as (select due.worker, due.slot_ts, rank, case when due.slot_ts // {DAY} % 2 = 0 then 'CELL-' || vbucket else 'VB-' || vbucket end as key, vbucket, cast(load as double) as load from due join st on due.worker = st.worker and due.slot_ts = st.slot_ts and rank <= case when due.slot_ts // {DAY} % 2 = 0 then 1 else 3 end),
+ og as (select *, row_number() over (partition by slot_ts order by worker, rank) as o from give), oi as (select slot_ts, worker as target, row_number() over (partition by slot_ts order by worker) as o from so where eps <= 0.8 * med)"""
+
+
+@query(f"""{_SKEWED} select slot_ts, worker, key, vbucket, load, target, cast((select min(s) from unnest(range({N})) as r(s) where (xor(('0x' || substr(md5(key), 1, 8))::bigint % {N}, s) & {N - 1}) % 7 = target) as int) as shift from og join oi using (slot_ts, o)""")
 def rebalance_plan(spark, d):
-    """Which bucket should move from an overloaded to an idle worker."""
-    return skew.rebalance(_worker_load(spark, d), _buckets(spark, d))
+    """Which key should move from an overloaded to an idle worker, by which shift; heartbeats name the hotspot on every other day."""
+    chr_ = view(spark, d, "chr").select(F.expr(f"cast({_WORKER} as int)").alias("worker"), (F.col("event_ts") - F.pmod("event_ts", F.lit(DAY))).alias("slot_ts"), F.col("pci").alias("vbucket"))
+    buckets = chr_.groupBy("worker", "slot_ts", "vbucket").agg(F.count("*").alias("load"))
+    loads = buckets.groupBy("worker", "slot_ts").agg(F.sum("load").cast("double").alias("eps"))
+    hot = skew.top_buckets(buckets).where((F.col("rank") == 1) & (F.floor(F.col("slot_ts") / DAY) % 2 == 0))
+    return skew.rebalance(loads, buckets, hot.select("worker", "slot_ts", F.concat(F.lit("CELL-"), "vbucket").alias("hot_key"), F.col("vbucket").alias("hot_bucket")), N, 7)
 
 
 @query(f"select key, target, cast(min(shift) as int) as shift from (select cell_id as key, cast(pci % 4 as int) as target, {_VB} as b from (select distinct cell_id, pci from chr)), unnest(range({N})) as r(shift) where (xor(b, shift::int) & {N - 1}) % 4 = target group by all")
@@ -125,15 +142,51 @@ def slot_shift(spark, d):
     return skew.slot_shift(keys, N, 4)
 
 
-_LATEST = "latest as (select * from (select *, row_number() over (partition by stage_id, subtask order by case when status = 'unknown' then 1 else 0 end, updated_at desc, sample_id desc) as r from samples) where r = 1)"
+_LATEST = "latest as (select * from (select *, row_number() over (partition by stage_id, \"window\", subtask order by case when status = 'unknown' then 1 else 0 end, updated_at desc, sample_id desc) as r from samples) where r = 1)"
 _RANK = "case status when 'healthy' then 1 when 'warning' then 3 when 'critical' then 4 else 2 end"
-_STAGES = f"{_LATEST}, stages as (select stage_id, count(*) as subtasks, cast(sum(records) as bigint) as records, cast(sum(bytes) as bigint) as bytes, cast(sum(errors) as bigint) as errors, coalesce(max(case when p95_ms >= 0 then p95_ms end), -1) as p95_ms, max(lag_ms) as lag_ms, ['healthy', 'unknown', 'warning', 'critical'][max({_RANK})] as status, coalesce(arg_max(error_text, updated_at) filter (error_text <> ''), '') as last_error from latest group by 1)"
+_SOURCE = "case when stage_id in ('source-chr', 'source-pm', 'source-cfg') then substr(stage_id, 8, 3) else '' end"
+
+
+def _stages_sql(keys: str = "stage_id", where: str = "true") -> str:
+    """The roll-up of the latest samples by keys; placeholders count only where a group has nothing else."""
+    latest = _LATEST.replace("from samples)", f"from (select *, {_SOURCE} as source from samples) where {where})")
+    sums = ", ".join(f"cast(sum({x}) as bigint) as {x}" for x in ("records", "bytes", "errors", "failures", "dlq"))
+    return f"""{latest}, eff as (select * from (select *, bool_or(status <> 'unknown') over (partition by {keys}) as some_real from latest) where status <> 'unknown' or not some_real),
+ stages as (select {keys}, count(*) as subtasks, round(sum(eps), 6) as eps, {sums}, coalesce(max(case when p95_ms >= 0 then p95_ms end), -1) as p95_ms, max(lag_ms) as lag_ms, max(duration_ms) as duration_ms,
+ ['healthy', 'unknown', 'warning', 'critical'][max({_RANK})] as status, coalesce(arg_max(error_text, (updated_at, sample_id)) filter (error_text <> ''), '') as last_error, max(updated_at) as updated_at from eff group by {keys})"""
+
+
+_STAGES = _stages_sql()
 
 
 @query(f"{_STAGES} select * from stages")
 def stage_rollup(spark, d):
     """The latest samples rolled up by stage."""
-    return mx.stage_rollup(view(spark, d, "samples"))
+    return rounded(mx.stage_rollup(view(spark, d, "samples")))
+
+
+@query(f"{_stages_sql('source', _SOURCE + " <> ''")} select source, status, eps, lag_ms, records, updated_at from stages")
+def source_summaries(spark, d):
+    """The roll-up by source."""
+    return rounded(mx.source_summaries(view(spark, d, "samples")))
+
+
+@query(f"""{_stages_sql('stage_id, "window"', '"window" <> ' + "''")} select stage_id, "window", status, records, bytes, duration_ms, p95_ms, failures, last_error, updated_at from stages""")
+def sink_summaries(spark, d):
+    """The roll-up by sink stage and window."""
+    return mx.sink_summaries(view(spark, d, "samples"))
+
+
+_NAMED = "case when event_id % 3 = 0 then 'parquet-' when event_id % 3 = 1 then 'Kafka-' else '' end || event_type || case when event_id % 5 = 0 then '-dlq' when event_id % 7 = 0 then '-late' else '' end"
+
+
+@query(f"st as (select event_id as sample_id, {_NAMED} as stage_id from ev) select * from st where (lower(stage_id) like '%parquet%' or not lower(stage_id) similar to '.*(parquet|table|upsert|kafka).*') and not stage_id like '%-dlq' and not stage_id like '%-late'")
+def relevant_stages(spark, d):
+    """Samples of the stages that belong to the active result sink."""
+    e = events(spark, d)
+    i = F.col("event_id")
+    stage = F.concat(F.when(i % 3 == 0, "parquet-").when(i % 3 == 1, "Kafka-").otherwise(""), "event_type", F.when(i % 5 == 0, "-dlq").when(i % 7 == 0, "-late").otherwise(""))
+    return mx.relevant(e.select(i.alias("sample_id"), stage.alias("stage_id")), "Parquet")
 
 
 @query("lat as (select stage_id, case when source_ts > 0 then greatest(observed_ts - source_ts, 0) end as l from samples) select stage_id, count(l) as samples, quantile_disc(l, 0.5) as p50, quantile_disc(l, 0.95) as p95, quantile_disc(l, 0.99) as p99, max(l) as max from lat group by 1")
@@ -201,7 +254,16 @@ def run_verdict(spark, d):
     return mx.verdicts(_runs(spark, d)).select("run_id", "verdict", "reason")
 
 
-@query(f"{_RUNS}, g as (select run_id, unnest([{{'gate': 'backlog', 'observed': backlog::double, 'threshold': 0.0::double}}, {{'gate': 'backpressure', 'observed': backpressure::double, 'threshold': 0.2::double}}, {{'gate': 'checkpoint_ms', 'observed': checkpoint_ms::double, 'threshold': 120000::double}}, {{'gate': 'kpi_p95', 'observed': kpi_p95::double, 'threshold': 180000::double}}, {{'gate': 'sink_p95', 'observed': sink_p95::double, 'threshold': 180000::double}}, {{'gate': 'lag', 'observed': lag::double, 'threshold': 180000::double}}], recursive := true) from runs) select *, case when observed < 0 then 'NA' when observed > threshold then 'UNSTABLE' else 'HEALTHY' end as state from g")
+_GATES = {
+    "job_status": ("case when job_status = 'RUNNING' then 1 else 0 end", 1, "o >= 1", "FAILED"),
+    "source": ("case when has_source then 1 else 0 end", 1, "o >= 1", "UNSTABLE"),
+    "delivery": ("case when has_source then delivery else -1 end", 0.98, "o >= 0.98", "UNSTABLE"),
+    **{n: (n, t, f"o <= {t}", "UNSTABLE") for n, t in (("backlog", 0), ("backpressure", 0.2), ("checkpoint_ms", 120000), ("kpi_p95", 180000), ("sink_p95", 180000), ("lag", 180000), ("sink_failures", 0))},
+    "checkpoint_failures": ("checkpoint_failures", 2, "o < 2", "UNSTABLE"),
+}
+
+
+@query(f"{_RUNS}, g as (" + " union all ".join(f"select run_id, '{n}' as gate, cast({o} as double) as o, cast({t} as double) as threshold, {ok} as ok, '{bad}' as bad from (select *, cast({o} as double) as o from runs)" for n, (o, t, ok, bad) in _GATES.items()) + ") select run_id, gate, o as observed, threshold, case when o < 0 then 'NA' when ok then 'HEALTHY' else bad end as state from g")
 def gate_table(spark, d):
     """A row for each gate of each run."""
     return mx.gate_table(_runs(spark, d))
@@ -222,7 +284,7 @@ def measurement_window(spark, d):
 _READ = "rd as (select stage_id as vertex, unnest([{'metric': 'backpressure_ratio', 'value': (records % 7) / 7.0::double}, {'metric': 'in_watermark', 'value': (records % 50 - 5)::double}, {'metric': 'records_in', 'value': records::double}], recursive := true) from samples)"
 
 
-@query(f"{_READ} select vertex, metric, round(case when metric like '%ratio' then avg(value) when metric like '%watermark' then coalesce(min(case when value >= 0 then value end), -1) else sum(value) end, 6) as value from rd group by vertex, metric")
+@query(f"{_READ} select vertex, metric, round(case when metric like '%ratio' then avg(value) when metric like '%watermark' then coalesce(min(case when value >= 0 then value end), max(value), -1) else sum(value) end, 6) as value from rd group by vertex, metric")
 def subtask_fold(spark, d):
     """Subtask readings folded by the metric's class."""
     r = F.col("records")
@@ -241,15 +303,15 @@ def marker_max(spark, d):
     return mx.marker_max(view(spark, d, "samples").select(F.col("stage_id").alias("source_id"), F.col("run_id").alias("target_id"), F.col("p95_ms").alias("latency_ms")))
 
 
-@query("""l as (select stage_id, max(p95_ms) as p95_ms from samples where subtask = 1 group by 1), e(source_id, target_id) as (values ('source-chr', 'kpi-1m'), ('source-cfg', 'kpi-1m'), ('kpi-1m', 'kpi-5m'), ('kpi-5m', 'sink-grid')), u as (select target_id, max(case when p95_ms >= 0 then p95_ms end) as up from e join l on stage_id = source_id group by 1)
+@query("""l as (select stage_id, max(p95_ms) as p95_ms from samples group by 1), e(source_id, target_id) as (values ('source-chr', 'kpi-1m'), ('source-cfg', 'kpi-1m'), ('kpi-1m', 'kpi-5m'), ('kpi-5m', 'sink-grid')), u as (select target_id, max(case when p95_ms >= 0 then p95_ms end) as up from e join l on stage_id = source_id group by 1)
  select stage_id, p95_ms, up as up_ms, case when p95_ms < 0 then -1 when up is null then p95_ms when p95_ms - up < -1000 then -1 else greatest(p95_ms - up, 0) end as delay_ms from l left join u on stage_id = target_id""")
 def operator_delay(spark, d):
-    """Own delay of each stage."""
-    lat = view(spark, d, "samples").where("subtask = 1").groupBy("stage_id").agg(F.max("p95_ms").alias("p95_ms"))
+    """Own delay of each stage, by its worst reading of all subtasks."""
+    lat = view(spark, d, "samples").groupBy("stage_id").agg(F.max("p95_ms").alias("p95_ms"))
     return mx.operator_delay(lat, spark.createDataFrame(EDGES, "source_id string, target_id string"))
 
 
-@query(f"{_LATEST} select coalesce(max(p95_ms) filter (stage_id like '%source%' and p95_ms >= 0), -1) as source_p95, coalesce(max(p95_ms) filter (stage_id like '%1m%' and p95_ms >= 0), -1) as kpi_1m_p95, coalesce(max(p95_ms) filter (stage_id like '%5m%' and p95_ms >= 0), -1) as kpi_5m_p95, coalesce(max(p95_ms) filter (stage_id like '%sink%' and p95_ms >= 0), -1) as sink_p95, cast(sum(errors) as bigint) as failures, max(lag_ms) as lag_ms from latest")
+@query(f"{_LATEST} select coalesce(max(p95_ms) filter (stage_id like '%source%' and p95_ms >= 0), -1) as source_p95, coalesce(max(p95_ms) filter (stage_id like '%1m%' and p95_ms >= 0), -1) as kpi_1m_p95, coalesce(max(p95_ms) filter (stage_id like '%5m%' and p95_ms >= 0), -1) as kpi_5m_p95, coalesce(max(p95_ms) filter (stage_id like '%sink%' and not stage_id like '%connector-%' and p95_ms >= 0), -1) as sink_p95, coalesce(max(p95_ms) filter (stage_id like '%connector-write' and p95_ms >= 0), -1) as connector_write_p95, coalesce(max(p95_ms) filter (stage_id like '%connector-commit' and p95_ms >= 0), -1) as connector_commit_p95, cast(sum(failures) as bigint) as failures, max(lag_ms) as lag_ms from latest")
 def metrics_snapshot(spark, d):
     """The worst readings of all stages."""
     return mx.snapshot(view(spark, d, "samples"))
@@ -270,10 +332,10 @@ def real_samples_only(spark, d):
 @query(f"{_STAGES} select * from stages where p95_ms > 0 or errors > 0 order by p95_ms desc, stage_id limit 5")
 def bottleneck_top5(spark, d):
     """The five slowest stages (a top-k report)."""
-    return mx.bottlenecks(view(spark, d, "samples"))
+    return rounded(mx.bottlenecks(view(spark, d, "samples")))
 
 
-@query(f"{_STAGES} select stage_id, unnest(list_filter([case when status in ('warning', 'critical') then 'status ' || status end, case when p95_ms >= 1000 then 'p95' end, case when lag_ms >= 60000 then 'lag' end, case when errors > 0 then 'errors' end], lambda x: x is not null)) as flag from stages")
+@query(f"{_STAGES} select stage_id, unnest(list_filter([case when status in ('warning', 'critical') then 'status ' || status end, case when p95_ms >= 1000 then 'p95' end, case when lag_ms >= 60000 then 'lag' end, case when dlq > 0 then 'dlq' end], lambda x: x is not null)) as flag from stages")
 def bottleneck_flags(spark, d):
     """Why each stage is a bottleneck."""
     return mx.bottleneck_flags(view(spark, d, "samples"))
@@ -292,38 +354,49 @@ def metric_fallback(spark, d):
     return mx.with_fallback(s.groupBy("stage_id").agg(F.min("p95_ms").alias("value")), s.groupBy("stage_id").agg(F.max("lag_ms").alias("value")))
 
 
-@query("select stage_id, count(*) as records, cast(sum(116 + strlen(run_id) + strlen(error_text)) as bigint) as bytes from samples group by 1")
+@query("select stage_id, count(*) as records, cast(sum(116 + strlen(run_id) + strlen(error_text)) as bigint) as bytes, round(count(*) / ((max(updated_at) - min(updated_at)) / 1000.0), 6) as eps from samples group by 1")
 def sink_bytes(spark, d):
-    """Approximate bytes that each stage writes."""
-    return view(spark, d, "samples").groupBy("stage_id").agg(F.count("*").alias("records"), F.sum(mx.sink_bytes(None, 116, ["run_id", "error_text"])).alias("bytes"))
+    """Records, approximate bytes and records a second of each stage."""
+    return rounded(mx.sink_throughput(view(spark, d, "samples"), "stage_id", mx.sink_bytes(None, 116, ["run_id", "error_text"]), "updated_at"))
 
 
 @query("select stage_id, sample_id, observed_ts - source_ts as latency_ms from samples where source_ts > 0 and ('0x' || substr(md5(cast(sample_id as string)), 1, 8))::bigint % 10 = 0")
 def sampled_latency(spark, d):
     """Latency of one record in ten, which a hash picks (a sampling operator)."""
-    from tidewell.functions.scalar import virtual_bucket
-
-    rows = view(spark, d, "samples").where((F.col("source_ts") > 0) & (virtual_bucket(F.col("sample_id").cast("string"), 10) == 0))
+    rows = view(spark, d, "samples").where((F.col("source_ts") > 0) & sampled(F.col("sample_id"), 10))
     return rows.select("stage_id", "sample_id", (F.col("observed_ts") - F.col("source_ts")).alias("latency_ms"))
 
 
-@query("select stage_id, cast(count(*) as bigint) as samples, cast(sum(errors) as bigint) as failures, max(p95_ms) as p95_ms, case when sum(errors) > 0 then 'warning' else 'healthy' end as status, arg_max(sample_id, updated_at) as last_commit from samples where stage_id like '%sink%' group by 1")
+_KPI_TS = "select 'KPI' as kind, source_event_ts_avg as base from kpi"
+
+
+@query(f"{_KPI}, b as (select 'CHR' as kind, event_ts as base from chr union all select 'PM', window_end_ts from pm union all select 'CFG', effective_ts from cfg union all {_KPI_TS}) select kind, count(*) as n, count(base) as based, cast(sum(base) as bigint) as total from b group by 1")
+def latency_base(spark, d):
+    """The times from which latencies count, by kind of record."""
+    none = F.lit(None).cast("long")
+    row = lambda df, kind, **at: df.select(F.lit(kind).alias("kind"), *(at.get(x, none).alias(x) for x in ("event_ts", "window_end_ts", "effective_ts", "source_ts")))
+    rows = row(view(spark, d, "chr"), "CHR", event_ts=F.col("event_ts")).unionByName(row(view(spark, d, "pm"), "PM", event_ts=F.col("event_ts"), window_end_ts=F.col("window_end_ts")))
+    rows = rows.unionByName(row(view(spark, d, "cfg"), "CFG", effective_ts=F.col("effective_ts"))).unionByName(row(_kpi(spark, d), "KPI", source_ts=F.col("source_event_ts_avg")))
+    base = scalar_latency_base(F.col("kind"), F.col("event_ts"), F.col("window_end_ts"), F.col("effective_ts"), F.col("source_ts"))
+    return rows.withColumn("base", base).groupBy("kind").agg(F.count("*").alias("n"), F.count("base").alias("based"), F.sum("base").alias("total"))
+
+
+@query("c as (select stage_id, sample_id, duration_ms, failures, case when stage_id like '%connector-write' then 'write' when stage_id like '%connector-commit' then 'commit' end as scope from samples) select stage_id, scope, count(*) as samples, quantile_disc(duration_ms, 0.5) as p50, quantile_disc(duration_ms, 0.95) as p95, quantile_disc(duration_ms, 0.99) as p99, cast(sum(failures) as bigint) as failures, case when sum(failures) > 0 then 'warning' else 'healthy' end as status, coalesce(max(case when scope = 'commit' then sample_id end), -1) as last_commit from c where scope is not null group by 1, 2")
 def connector_latency(spark, d):
-    """Failures, worst latency and last commit of the sinks."""
-    rows = view(spark, d, "samples").where(F.col("stage_id").contains("sink"))
-    return rows.groupBy("stage_id").agg(F.count("*").alias("samples"), F.sum("errors").alias("failures"), F.max("p95_ms").alias("p95_ms"), F.when(F.sum("errors") > 0, "warning").otherwise("healthy").alias("status"), F.max_by("sample_id", F.struct("updated_at", "sample_id")).alias("last_commit"))
+    """Durations, failures and latest commit of the connector stages."""
+    return mx.connectors(view(spark, d, "samples"))
 
 
-@query(f"{_LATEST} select run_id, count(*) as subtasks, cast(sum(records) as bigint) as records, cast(sum(errors) as bigint) as errors, max(lag_ms) as lag_ms from latest group by 1")
+@query(f"{_stages_sql('run_id')} select run_id, subtasks, records, errors, lag_ms from stages")
 def summaries(spark, d):
     """The roll-up by run instead of stage."""
     return mx.stage_rollup(view(spark, d, "samples"), ("run_id",)).select("run_id", "subtasks", "records", "errors", "lag_ms")
 
 
-@query(f"{_KPI} select window_kind, count(*) as n, min(window_start_ts) as first_ts, max(window_end_ts) as last_ts, count(distinct site_id) as sites, count(distinct cell_id) as cells from kpi group by 1")
+@query(f"{_KPI}, {_CFG_LATEST} select window_kind, count(*) as n, min(window_start_ts) as first_ts, max(window_end_ts) as last_ts, count(distinct k.site_id) as sites, count(distinct cell_id) as cells, count(distinct {geohash_sql('center_lat', 'center_lon')}) as grids from kpi k left join latest l using (cell_id) group by 1")
 def kpi_table_profile(spark, d):
     """The KPI table in figures."""
-    return mt.profile(_kpi(spark, d))
+    return mt.profile(kpi_with_cfg(_kpi(spark, d), view(spark, d, "cfg")))
 
 
 @query("select 'chr' as name, count(*) as n, min(event_ts) as first_ts, max(event_ts) as last_ts from chr union all select 'pm', count(*), min(event_ts), max(event_ts) from pm union all select 'cfg', count(*), min(effective_ts), max(effective_ts) from cfg")
@@ -367,7 +440,7 @@ def orphan_files(spark, d):
     return mt.orphan_files(_files(spark, d), used, CUT, DAY, allow=True)
 
 
-@query(f"{_FILES} select split_part(path, '/', 1) as root, count(*) as files, cast(sum(bytes) as bigint) as bytes, count(distinct regexp_extract(path, '^(.*)/[^/]*$', 1)) as folders, count(*) filter (path like '%.inprogress%') as in_progress from files group by 1")
+@query(f"{_FILES} select split_part(path, '/', 1) as root, count(*) as files, cast(sum(bytes) as bigint) as bytes, count(distinct regexp_extract(path, '^(.*)/[^/]*$', 1)) as folders, min(regexp_extract(path, '^(.*)/[^/]*$', 1)) as first_folder, max(regexp_extract(path, '^(.*)/[^/]*$', 1)) as last_folder, count(*) filter (path like '%.inprogress%') as in_progress from files group by 1")
 def storage_inventory(spark, d):
     """Files, bytes and folders of each table."""
     return mt.inventory(_files(spark, d))
@@ -412,6 +485,12 @@ def topology_latest(spark, d):
     return readers.latest_topology(_topology(spark, d))
 
 
+@query(f"{_TOPOLOGY} select site_id, array_to_string(list_sort(list(cell_id)), ',') as cells from tl group by 1")
+def cells_by_site(spark, d):
+    """The cells of each site by its latest topology."""
+    return readers.cells_by_site(readers.latest_topology(_topology(spark, d))).withColumn("cells", F.array_join("cells", ","))
+
+
 @query(f"{_TOPOLOGY} select count(*) as records, count(distinct site_id) as sites, count(distinct frequency_band) as bands, min(site_lat) as min_site_lat, min(site_lon) as min_site_lon, max(site_lat) as max_site_lat, max(site_lon) as max_site_lon from topo")
 def topology_stats(spark, d):
     """The topology in figures."""
@@ -475,10 +554,14 @@ def run_metadata(spark, d):
     return out.withColumn("started_at", F.col("started_at").cast("int"))
 
 
-@query(f"{_RUNS} select run_id, level as started_at from runs order by level desc nulls last, run_id")
+@query(f"{_RUNS} select run_id, level as started_at, case when level <> 3000 then job_status when level = 3000 and has_source then 'p95 ' || kpi_p95 end as headline from runs order by level desc nulls last, run_id")
 def run_list(spark, d):
-    """Runs, the newest first."""
-    return readers.run_list(_runs(spark, d).select("run_id", F.col("level").alias("started_at")))
+    """Runs, the newest first, with their headline."""
+    r = _runs(spark, d)
+    row = lambda keep, section, ord_, metric, value: F.when(keep, F.struct(F.lit(section).alias("section"), F.lit(ord_).alias("ord"), F.lit(metric).alias("metric"), F.col(value).cast("string").alias("value")))
+    rows = F.array_compact(F.array(row(F.col("level") != 3000, "run", 0, "status", "job_status"), row(F.col("has_source"), "kpi", 2, "lag", "lag"), row(F.col("has_source"), "kpi", 1, "p95", "kpi_p95")))
+    metrics = r.select("run_id", F.explode(rows).alias("m")).select("run_id", "m.*")
+    return readers.run_list(r.select("run_id", F.col("level").alias("started_at")), metrics)
 
 
 @query("select run_id, cast(coalesce(sum(records) filter (source = 'chr'), 0) as bigint) as chr, cast(coalesce(sum(records) filter (source = 'pm'), 0) as bigint) as pm, cast(coalesce(sum(records) filter (source = 'cfg'), 0) as bigint) as cfg from (select run_id, case when stage_id like 'source-chr%' then 'chr' when stage_id like 'source-cfg%' then 'cfg' end as source, records from samples) group by 1")

@@ -29,40 +29,52 @@ def _sink(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 _SEEN = "seen as (select greatest((select max(event_ts) from chr), (select max(window_end_ts) - 1 from pm)) - 12000 as mark)"
 
 
-@query(f"{t._KPI}, {_SEEN} select window_start_ts, window_end_ts, cell_id, join_quality, num_chr_events, num_users, rsrp_sample_count, round(avg_rsrp, 6) as avg_rsrp, round(avg_prb_usage_dl, 6) as avg_prb_usage_dl from kpi, seen where window_end_ts <= mark")
+def _kpis(spark: SparkSession, d: str) -> DataFrame:
+    return st.kpis(st.sides(_stream(spark, d, "chr"), _stream(spark, d, "pm")), R)
+
+
+@query(f"{t._KPI}, {_SEEN} select * {t._ROUNDED} from (select kpi.* from kpi, seen where window_end_ts <= mark)")
 def stream_kpi_1m(spark, d):
     """KPIs of the windows that the watermark has closed."""
-    rows = st.kpis(st.sides(_stream(spark, d, "chr"), _stream(spark, d, "pm")), R).drop("w", "pm_n")
-    return t.rounded(_sink(spark, rows, "stream-kpi"))
+    return t.rounded(_sink(spark, _kpis(spark, d).drop("w"), "stream-kpi"))
 
 
-@query(f"{t._KPI}, {t._ROLLUP}, {_SEEN} select window_start_ts, cell_id, num_chr_events, num_users, rsrp_sample_count, round(avg_rsrp, 6) as avg_rsrp from roll, seen where window_start_ts + {t.RW} <= mark")
+@query(f"{t._KPI}, {t._ROLLUP}, {_SEEN} select * {t._ROUNDED} from (select roll.* from roll, seen where window_start_ts + {t.RW} <= mark)")
 def stream_kpi_5m(spark, d):
     """Rollup chained on the KPI stream, of the windows that the watermark has closed."""
-    rows = st.rollups(st.kpis(st.sides(_stream(spark, d, "chr"), _stream(spark, d, "pm")), R), R)
-    return t.rounded(_sink(spark, rows, "stream-rollup"))
+    return t.rounded(_sink(spark, st.rollups(_kpis(spark, d), R), "stream-rollup"))
+
+
+_CLOSED = t._KPI.replace("kpi as (select", "kpi_all as (select", 1)
+
+
+@query(f"{_CLOSED}, {_SEEN}, kpi as (select kpi_all.* from kpi_all, seen where window_end_ts <= mark), {t._CELL_EV}, {t._CELL_HITS} select entity_id, dimension, event_ts, seq from cs_hits")
+def stream_cell_anomalies(spark, d):
+    """Streaks of bad windows of a cell, by state on the KPI stream."""
+    rows = anomaly.cell_evaluations(_kpis(spark, d), R).select("entity_id", "dimension", "event_ts", "seq", "abnormal")
+    return _sink(spark, st.streaks(rows, R.cell_consecutive, R.cell_window_ms, bounded=True), "stream-cell")
 
 
 @query(f"{t._USER_EV}, {t._USER_HITS} select entity_id, dimension, event_ts, seq from us_hits")
 def stream_user_anomalies(spark, d):
     """Streaks of bad events of a user, by state."""
     rows = anomaly.user_evaluations(_stream(spark, d, "chr"), R).select("entity_id", "dimension", "event_ts", "seq", "abnormal")
-    return _sink(spark, st.streaks(rows, R.user_consecutive, R.user_window_ms), "stream-user")
+    return _sink(spark, st.streaks(rows, R.user_consecutive, R.user_window_ms, bounded=True), "stream-user")
 
 
 @query(f"{t._ASOF_CFG}, {t._ASOF_PM} select c.cell_id, c.chr_id, c.event_ts, c.cfg_version, round(p.pm_prb_usage_dl, 6) as pm_prb_usage_dl from asof_cfg c join asof_pm p using (chr_id)")
 def stream_enrich(spark, d):
     """Events with configuration and counters, by state."""
-    return t.rounded(_sink(spark, st.enrich(_stream(spark, d, "chr"), _stream(spark, d, "pm"), _stream(spark, d, "cfg"), R), "stream-enrich"))
+    return t.rounded(_sink(spark, st.enrich(_stream(spark, d, "chr"), _stream(spark, d, "pm"), _stream(spark, d, "cfg"), R, bounded=True), "stream-enrich"))
 
 
 @query(f"{t._KPI} select window_start_ts, cell_id, join_quality, strftime(make_timestamp(window_start_ts * 1000), '%Y-%m-%d') as dt, num_chr_events + case when join_quality = 'JOINED' then 1 else 0 end as num_chr_events from kpi")
 def sink_round_trip(spark, d):
     """KPI rows written by key, joined ones written again with a change, and read back."""
     folder = new_folder(spark, "round-trip")
-    rows = t._kpi(spark, d).withColumns(sinks.day_and_hour("window_start_ts")).withColumn("written", F.lit(0))
-    sinks.upsert(rows, f"{folder}/kpi", sinks.KPI_KEY, ["dt"], "written")
-    changed = rows.where("join_quality = 'JOINED'").withColumns({"num_chr_events": F.col("num_chr_events") + 1, "written": F.lit(1)})
-    sinks.upsert(changed, f"{folder}/kpi", sinks.KPI_KEY, ["dt"], "written")
+    rows = t._kpi(spark, d)
+    sinks.write_results({"kpi": rows}, "upsert", folder)
+    changed = rows.where("join_quality = 'JOINED'").withColumn("num_chr_events", F.col("num_chr_events") + 1)
+    sinks.write_results({"kpi": changed}, "upsert", folder)
     back = spark.read.option("basePath", f"{folder}/kpi").parquet(f"{folder}/kpi")
     return back.select("window_start_ts", "cell_id", "join_quality", F.col("dt").cast("string").alias("dt"), "num_chr_events")

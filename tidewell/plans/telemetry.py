@@ -87,6 +87,12 @@ def kpi_5m_rollup(spark, d):
     return rounded(kpi.rollup(_kpi(spark, d), R))
 
 
+@query(f"{_KPI}, {_LATEST} select distinct (window_end_ts - 1) - (window_end_ts - 1) % {RW} as window_start_ts, cell_id, coalesce({geohash_sql('center_lat', 'center_lon')}, '') as grid_id from kpi k left join latest l using (cell_id)")
+def kpi_5m_grid(spark, d):
+    """Rollup of KPI rows that have a grid."""
+    return kpi.rollup(kpi.kpi_with_cfg(_kpi(spark, d), view(spark, d, "cfg")), R).select("window_start_ts", "cell_id", "grid_id")
+
+
 @query(f"{_KPI} select cell_id, window_start_ts, 'length' as reason from kpi where cell_id like '%7' union all select cell_id, window_start_ts, 'kind' from kpi where cell_id like '%3'")
 def rollup_violations(spark, d):
     """Rows that a rollup rejects, among KPI rows of which some were given another kind or no length."""
@@ -94,7 +100,7 @@ def rollup_violations(spark, d):
     return kpi.rollup_violations(spoilt, R).select("cell_id", "window_start_ts", "reason")
 
 
-_ASOF_PM = f"pmx as (select *, row_number() over (partition by cell_id, event_ts order by window_end_ts desc) as r from pm), asof_pm as (select c.*, case when c.event_ts - p.event_ts <= {R.pm_ttl_ms} then p.window_end_ts end as pm_window_end_ts, case when c.event_ts - p.event_ts <= {R.pm_ttl_ms} then p.prb_usage_dl end as pm_prb_usage_dl from chr c asof left join (select * from pmx where r = 1) p on c.cell_id = p.cell_id and c.event_ts >= p.event_ts)"
+_ASOF_PM = f"pmx as (select *, row_number() over (partition by cell_id, event_ts order by window_end_ts desc) as r from pm), asof_pm as (select c.*, case when c.event_ts - p.event_ts <= {R.pm_ttl_ms} then p.window_end_ts end as pm_window_end_ts, case when c.event_ts - p.event_ts <= {R.pm_ttl_ms} then p.prb_usage_dl end as pm_prb_usage_dl, case when c.event_ts - p.event_ts <= {R.pm_ttl_ms} then p end as pm from chr c asof left join (select * from pmx where r = 1) p on c.cell_id = p.cell_id and c.event_ts >= p.event_ts)"
 
 
 @query(f"{_ASOF_PM} select chr_id, cell_id, event_ts, pm_window_end_ts, pm_prb_usage_dl from asof_pm")
@@ -109,6 +115,8 @@ _ASOF_CFG = f"""env as (select cell_id, event_ts as ts, 2 as ord, cast(chr_id as
  live as (select *, max(case when ord = 0 and not tombstone then version * 1000000000 - seq end) over (partition by cell_id, segment order by ts, ord, seq rows unbounded preceding) as best from seg),
  asof_cfg as (select cell_id, cast(seq as string) as chr_id, ts as event_ts, cast(ceil(best / 1000000000) as bigint) as cfg_version from live where ord = 2)"""
 
+_ASOF_FULL = _ASOF_CFG.replace("cast(ceil(best / 1000000000) as bigint) as cfg_version from live", "cast(ceil(best / 1000000000) as bigint) as cfg_version, cast(ceil(best / 1000000000) * 1000000000 - best as bigint) as cfg_seq from live").replace("asof_cfg as", "asof_full as")
+
 
 @query(f"{_ASOF_CFG} select * from asof_cfg")
 def enrich_asof_cfg(spark, d):
@@ -122,11 +130,29 @@ def enrichment_late(spark, d):
     return enrich.split_late(_enriched(spark, d))[1].select("cell_id", "chr_id", "event_ts")
 
 
-@query(f"{_ASOF_PM} select o.*, coalesce(pm_windows, 0) as pm_windows, round(coalesce(avg_prb_usage_dl, 0), 6) as avg_prb_usage_dl from (select cell_id, event_ts - event_ts % {RW} as window_start_ts, count(*) as num_chr_events, count(distinct imsi) as num_users, round(coalesce(avg(rsrp), 0), 6) as avg_rsrp from chr group by all) o left join (select cell_id, window_start_ts, count(*) as pm_windows, avg(prb) as avg_prb_usage_dl from (select cell_id, event_ts - event_ts % {RW} as window_start_ts, pm_window_end_ts, any_value(pm_prb_usage_dl) as prb from asof_pm where pm_window_end_ts is not null group by all) group by all) t using (cell_id, window_start_ts)")
+_OWN = f"""own as (select a.cell_id, a.event_ts - a.event_ts % {RW} as window_start_ts, min(a.site_id) as site_id, coalesce(arg_min({geohash_sql('f.center_lat', 'f.center_lon')}, (a.event_ts, cast(a.chr_id as bigint))) filter (f.cell_id is not null), '') as grid_id,
+ count(*) as num_chr_events, count(distinct imsi) as num_users, count(rsrp) as rsrp_sample_count, count(sinr) as sinr_sample_count, count(*) filter (event_type = 'ATTACH') as attach_attempts, coalesce(avg(rsrp), 0) as avg_rsrp, coalesce(avg(sinr), 0) as avg_sinr,
+ coalesce(cast(count(*) filter (event_type = 'ATTACH' and result_code = 0) as double) / nullif(count(*) filter (event_type = 'ATTACH'), 0), 0) as attach_success_rate, sum(a.event_ts) as s, min(a.event_ts) as lo, max(a.event_ts) as hi, count(*) as n
+ from chr a join asof_full x using (chr_id) left join cfg f on f.cell_id = a.cell_id and f.cfg_seq = x.cfg_seq group by all),
+ theirs as (select cell_id, window_start_ts, count(*) as pm_windows, avg(p.prb_usage_dl) as avg_prb_usage_dl, avg(p.throughput_dl_mbps) as throughput_dl_mbps_avg, coalesce(cast(sum(p.dropped_connections) as double) / nullif(sum(greatest(p.active_users, 0)), 0), 0) as drop_rate,
+ coalesce(cast(sum(p.handover_success) as double) / nullif(sum(p.handover_success + p.handover_failure), 0), 0) as ho_success_rate, sum(p.event_ts) as s, min(p.event_ts) as lo, max(p.event_ts) as hi from (select cell_id, event_ts - event_ts % {RW} as window_start_ts, pm_window_end_ts, any_value(pm) as p from asof_pm where pm_window_end_ts is not null group by all) group by all)"""
+
+
+@query(f"""{_ASOF_PM}, {_ASOF_FULL}, {_OWN} select window_start_ts, window_start_ts + {RW} as window_end_ts, 'MIN_5' as window_kind, 'JOINED' as join_quality, site_id, cell_id, grid_id, num_chr_events, num_users, rsrp_sample_count, sinr_sample_count, attach_attempts, round(avg_rsrp, 6) as avg_rsrp, round(avg_sinr, 6) as avg_sinr,
+ round(coalesce(avg_prb_usage_dl, 0), 6) as avg_prb_usage_dl, round(coalesce(throughput_dl_mbps_avg, 0), 6) as throughput_dl_mbps_avg, round(coalesce(drop_rate, 0), 6) as drop_rate, round(coalesce(ho_success_rate, 0), 6) as ho_success_rate, round(attach_success_rate, 6) as attach_success_rate, coalesce(pm_windows, 0) as pm_windows,
+ cast((own.s + coalesce(theirs.s, 0)) // (n + coalesce(pm_windows, 0)) as bigint) as source_event_ts_avg, least(own.lo, theirs.lo) as source_event_ts_min, greatest(own.hi, theirs.hi) as source_event_ts_max, n + coalesce(pm_windows, 0) as source_event_count from own left join theirs using (cell_id, window_start_ts)""")
 def kpi_enriched_window(spark, d):
     """KPI measures straight from enriched events."""
-    rows = _enriched(spark, d).select("cell_id", "event_ts", "imsi", "rsrp", F.col("pm.window_end_ts").alias("pm_window_end_ts"), F.col("pm.prb_usage_dl").alias("pm_prb_usage_dl"))
-    return rounded(kpi.kpi_from_enriched(rows, RW))
+    return rounded(kpi.kpi_from_enriched(_enriched(spark, d), RW, "MIN_5"))
+
+
+@query(f"select cell_id, event_ts - event_ts % {7 * DAY} as window_start_ts, count(distinct imsi) as users, true as close from chr group by all")
+def distinct_users_merged(spark, d):
+    """Distinct users of long windows, and whether the merged sketches of short ones come close."""
+    chr_ = view(spark, d, "chr")
+    exact = kpi.distinct_users(chr_, 7 * DAY).select("cell_id", "window_start_ts", "users")
+    merged = kpi.distinct_users_merged(chr_, DAY, 7 * DAY)
+    return exact.join(merged, ["cell_id", "window_start_ts"]).select("cell_id", "window_start_ts", "users", (F.abs(F.col("estimate") - F.col("users")) <= F.greatest(F.col("users") * 0.1, F.lit(1.0))).alias("close"))
 
 
 @query(f"select cell_id, event_ts - event_ts % {DAY} as window_start_ts, count(distinct imsi) as users, true as close from chr group by all")
@@ -232,7 +258,7 @@ def low_signal(spark, d):
 @query(f"select chr_id, cell_id, event_ts from chr where rsrp is not null and rsrp < {R.rsrp_min}")
 def weak_signal(spark, d):
     """Events whose signal is weak."""
-    return view(spark, d, "chr").where(F.col("rsrp").isNotNull() & (F.col("rsrp") < R.rsrp_min)).select("chr_id", "cell_id", "event_ts")
+    return view(spark, d, "chr").where(scalar.weak_signal(F.col("rsrp"), R.rsrp_min)).select("chr_id", "cell_id", "event_ts")
 
 
 @query(f"select * from (select chr_id, cell_id, event_ts, row_number() over (partition by cell_id, event_ts // {R.burst_ms} order by event_ts, cast(chr_id as bigint)) as failures from chr where event_type = 'ATTACH' and result_code <> 0) where failures >= 3")

@@ -57,7 +57,12 @@ CFG = {
 #: Metric samples: a stage's reading at a time.
 SAMPLES = {
     "sample_id": "event_id",
-    "stage_id": "concat(case event_type when 'signup' then 'source-cfg' when 'error' then 'sink-grid' when 'click' then 'source-chr' when 'view' then 'kpi-1m' else 'kpi-5m' end, case when event_id % 10 = 3 then '-sink-front' else '' end)",
+    "stage_id": "concat(case event_type when 'signup' then 'source-cfg' when 'error' then 'sink-grid' when 'click' then 'source-chr' when 'view' then 'kpi-1m' else 'kpi-5m' end, case event_id % 10 when 3 then '-sink-front' when 5 then '-connector-write' when 7 then '-connector-commit' else '' end)",
+    "window": "case when event_id % 10 in (3, 5, 7) then case when event_id % 4 < 2 then '1m' else '5m' end else '' end",
+    "eps": "value * 8",
+    "duration_ms": "cast(floor(value * 7) as bigint)",
+    "failures": "case when event_id % 29 = 0 then 1 else 0 end",
+    "dlq": "case when event_id % 37 = 0 then 1 else 0 end",
     "subtask": "user_id % 4",
     "updated_at": "ts",
     "observed_ts": "ts + cast(floor(value * 100) as bigint) - 100",

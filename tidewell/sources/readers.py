@@ -72,9 +72,15 @@ def run_metadata(files: DataFrame) -> DataFrame:
     return files.select(text("runId", folder).alias("run_id"), text("sink", F.lit("unknown")).alias("sink"), text("status", F.lit("unknown")).alias("status"), meta["startedAt"].alias("started_at"))
 
 
-def run_list(runs: DataFrame) -> DataFrame:
-    """Runs, newest first, those without a start last."""
-    return runs.orderBy(F.desc_nulls_last("started_at"), "run_id")
+def run_list(runs: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Runs, newest first, those without a start last, with their headline: the status metric, else the first KPI metric; null without both.
+
+    metrics are (run_id, section, ord, metric, value) rows of a run's log.
+    """
+    kpi = F.col("section") == "kpi"
+    status = F.max(F.when(F.col("metric") == "status", F.col("value")))
+    heads = metrics.groupBy("run_id").agg(F.coalesce(status, F.min_by(F.when(kpi, F.concat_ws(" ", "metric", "value")), F.when(kpi, F.col("ord")))).alias("headline"))
+    return runs.join(heads, "run_id", "left").orderBy(F.desc_nulls_last("started_at"), "run_id")
 
 
 def source_metrics_pivot(rows: DataFrame) -> DataFrame:

@@ -17,13 +17,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
-from tidewell.functions.scalar import ratio
-from tidewell.params import Rules
+from tidewell.functions.scalar import first_non_blank, ratio
+from tidewell.operators.kpi import rollup_parts
+from tidewell.params import DAY, Rules
 
-OUT_OF_ORDER, JOIN_WAIT = "2 seconds", "12 seconds"
+#: Events may be OUT_OF_ORDER_S late; a window waits JOIN_WAIT_S more for the other side, so the watermark's delay is the sum.
+OUT_OF_ORDER_S, JOIN_WAIT_S = 2, 10
+DELAY = f"{OUT_OF_ORDER_S + JOIN_WAIT_S} seconds"
 CHECKPOINT_S = 30
 
 
+def idle_sources(spark: SparkSession, block: bool = True) -> None:
+    """Whether a silent input holds back the common watermark (the default), or the busiest input alone moves it, so late rows of slower inputs may be dropped."""
+    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min" if block else "max")
+
+
 def state_settings(spark: SparkSession) -> None:
     """Keep state in RocksDB with changelog checkpoints."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
@@ -36,54 +44,81 @@ def trigger_seconds(asked: float | None, file_sink: bool = False) -> float:
     return min(seconds, 180) if file_sink else seconds
 
 
-def sides(chr_: DataFrame, pm: DataFrame) -> DataFrame:
-    """Events and counters as one stream with event_time and side; counters count at their window's end less 1 ms."""
-    a = chr_.select(F.lit("chr").alias("side"), F.timestamp_millis("event_ts").alias("event_time"), "cell_id", "imsi", "rsrp")
-    b = pm.where("window_end_ts > window_start_ts").select(F.lit("pm").alias("side"), F.timestamp_millis(F.col("window_end_ts") - 1).alias("event_time"), "cell_id", "prb_usage_dl")
-    return a.unionByName(b, allowMissingColumns=True)
+def sides(chr_: DataFrame, pm: DataFrame, delay: str | None = None) -> DataFrame:
+    """Events and counters as one stream with event_time and side; counters count at their window's end less 1 ms.
+
+    With a delay each side has its own watermark, and idle_sources() says how they go together. Configurations are
+    no part of it: they are a changelog that kpi_with_cfg joins by version, so they never hold back the watermark.
+    """
+    late = lambda df: df.withWatermark("event_time", delay) if delay else df
+    a = chr_.select(F.lit("chr").alias("side"), F.timestamp_millis("event_ts").alias("event_time"), "event_ts", "cell_id", "site_id", F.col("chr_id").cast("long").alias("seq"), "imsi", "event_type", "result_code", "rsrp", "sinr")
+    b = pm.where("window_end_ts > 0 and window_end_ts > window_start_ts").select(F.lit("pm").alias("side"), F.timestamp_millis(F.col("window_end_ts") - 1).alias("event_time"), "event_ts", "cell_id", "site_id", F.col("window_end_ts").alias("seq"), "prb_usage_dl", "throughput_dl_mbps", "active_users", "dropped_connections", "handover_success", "handover_failure")
+    return late(a).unionByName(late(b), allowMissingColumns=True)
 
 
-def kpis(rows: DataFrame, rules: Rules, delay: str = JOIN_WAIT) -> DataFrame:
-    """Windowed KPIs of sides(), batch or streaming: one row a cell and window, labelled by the sides that were there."""
-    is_chr, is_pm = F.col("side") == "chr", F.col("side") == "pm"
+def kpis(rows: DataFrame, rules: Rules, delay: str | None = DELAY, kind: str = "MIN_1") -> DataFrame:
+    """Windowed KPIs of sides(), batch or streaming: one row a cell and window with all measures of the batch KPIs, labelled by the sides that were there.
+
+    Users are counted by a mergeable sketch of fixed size (exact for a few hundred, within 2 % beyond), so the
+    state of a window doesn't grow with its users. Rows later than the delay are dropped. delay: None if the rows
+    have watermarks already.
+    """
+    is_chr, is_pm, attach = F.col("side") == "chr", F.col("side") == "pm", F.col("event_type") == "ATTACH"
     w = F.window("event_time", f"{rules.fact_ms} milliseconds")
-    out = rows.withWatermark("event_time", delay).groupBy(w.alias("w"), "cell_id").agg(
-        F.count(F.when(is_chr, 1)).alias("num_chr_events"), F.count(F.when(is_pm, 1)).alias("pm_n"), F.size(F.collect_set("imsi")).alias("num_users"),
-        F.sum("rsrp").alias("rsrp_sum"), F.count("rsrp").alias("rsrp_sample_count"), F.sum("prb_usage_dl").alias("prb_sum"))
+    seen = lambda side: F.when(side & (F.col("event_ts") > 0), F.col("event_ts"))
+    first = lambda side: F.min_by(F.when(side, F.col("site_id")), F.when(side, F.struct("event_time", "seq")))
+    sums = {"rsrp_sum": "rsrp", "sinr_sum": "sinr", "prb_sum": "prb_usage_dl", "tput_sum": "throughput_dl_mbps", "drops": "dropped_connections", "ho_ok": "handover_success", "ho_bad": "handover_failure"}
+    out = (rows.withWatermark("event_time", delay) if delay else rows).groupBy(w.alias("w"), "cell_id").agg(
+        F.count(F.when(is_chr, 1)).alias("num_chr_events"), F.count(F.when(is_pm, 1)).alias("pm_n"), F.hll_sketch_estimate(F.hll_sketch_agg("imsi", 12)).alias("num_users"),
+        first(is_chr).alias("chr_site"), first(is_pm).alias("pm_site"), F.count("rsrp").alias("rsrp_sample_count"), F.count("sinr").alias("sinr_sample_count"),
+        F.count_if(is_chr & attach).alias("attach_attempts"), F.count_if(is_chr & attach & (F.col("result_code") == 0)).alias("attach_ok"), F.sum(F.greatest("active_users", F.when(is_pm, 0))).alias("active_sum"),
+        *(F.sum(c).alias(n) for n, c in sums.items()),
+        *(f(seen(side)).alias(f"{n}_{g}") for n, side in (("c", is_chr), ("p", is_pm)) for g, f in (("sum", F.sum), ("min", F.min), ("max", F.max), ("n", F.count))))
     quality = F.when(F.col("pm_n") == 0, "CHR_ONLY").when(F.col("num_chr_events") == 0, "PM_ONLY").otherwise("JOINED")
-    return out.select("w", F.unix_millis("w.start").alias("window_start_ts"), F.unix_millis("w.end").alias("window_end_ts"), "cell_id", quality.alias("join_quality"), "num_chr_events", "num_users", "rsrp_sample_count", ratio(F.col("rsrp_sum"), F.col("rsrp_sample_count")).alias("avg_rsrp"), ratio(F.col("prb_sum"), F.col("pm_n")).alias("avg_prb_usage_dl"), "pm_n")
+    over = lambda a, b: ratio(F.col(a), F.col(b))
+    mean = F.expr("coalesce((coalesce(c_sum div nullif(c_n, 0) * c_n, 0) + coalesce(p_sum div nullif(p_n, 0) * p_n, 0)) div nullif(c_n + p_n, 0), 0)")
+    return out.select(
+        "w", F.unix_millis("w.start").alias("window_start_ts"), F.unix_millis("w.end").alias("window_end_ts"), F.lit(kind).alias("window_kind"), quality.alias("join_quality"), first_non_blank(F.col("chr_site"), F.col("pm_site")).alias("site_id"), "cell_id",
+        "num_chr_events", "num_users", "rsrp_sample_count", "sinr_sample_count", "attach_attempts", over("rsrp_sum", "rsrp_sample_count").alias("avg_rsrp"), over("sinr_sum", "sinr_sample_count").alias("avg_sinr"),
+        over("prb_sum", "pm_n").alias("avg_prb_usage_dl"), over("tput_sum", "pm_n").alias("throughput_dl_mbps_avg"), over("drops", "active_sum").alias("drop_rate"), ratio(F.col("ho_ok"), F.col("ho_ok") + F.col("ho_bad")).alias("ho_success_rate"), over("attach_ok", "attach_attempts").alias("attach_success_rate"),
+        mean.alias("source_event_ts_avg"), F.coalesce(F.least("c_min", "p_min"), F.lit(0)).alias("source_event_ts_min"), F.coalesce(F.greatest("c_max", "p_max"), F.lit(0)).alias("source_event_ts_max"), (F.col("c_n") + F.col("p_n")).alias("source_event_count"))
 
 
-def rollups(rows: DataFrame, rules: Rules) -> DataFrame:
-    """Rollup of kpis() into longer windows, chained on the first windows' time."""
-    out = rows.groupBy(F.window("w", f"{rules.rollup_ms} milliseconds").alias("v"), "cell_id").agg(
-        F.sum("num_chr_events").alias("num_chr_events"), F.sum("num_users").alias("num_users"), F.sum("rsrp_sample_count").alias("rsrp_sample_count"), F.sum(F.col("avg_rsrp") * F.col("rsrp_sample_count")).alias("rsrp_sum"))
-    return out.select(F.unix_millis("v.start").alias("window_start_ts"), "cell_id", "num_chr_events", "num_users", "rsrp_sample_count", ratio(F.col("rsrp_sum"), F.col("rsrp_sample_count")).alias("avg_rsrp"))
+def rollups(rows: DataFrame, rules: Rules, kind: str = "MIN_5") -> DataFrame:
+    """Rollup of kpis() into longer windows by the rules of the batch rollup, chained on the first windows' time."""
+    children, _, parts = rollup_parts(rows, rules, kind)
+    out = children.groupBy(F.window("w", f"{rules.rollup_ms} milliseconds").alias("v"), "cell_id").agg(*parts)
+    return out.withColumn("window_start_ts", F.unix_millis("v.start")).drop("v")
 
 
 class Streaks(StatefulProcessor):
-    """Streaks of bad evaluations of a key; state: count, time of the first bad one, whether the alarm went off."""
+    """Streaks of bad evaluations of a key; state: count, time of the first bad one, whether the alarm went off.
+
+    A key's state goes when nothing has come for it for ttl_ms of the query's running time; its alarm is armed again then.
+    """
 
-    def __init__(self, needed: int, window_ms: int):
-        self.needed, self.window_ms = needed, window_ms
+    def __init__(self, needed: int, window_ms: int, ttl_ms: int | None):
+        self.needed, self.window_ms, self.ttl_ms = needed, window_ms, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("streak", "n INT, first LONG, active BOOLEAN")
+        self.state = handle.getValueState("streak", "n INT, first LONG, active BOOLEAN", self.ttl_ms)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         n, first, active = self.state.get() if self.state.exists() else (0, 0, False)
         out = []
-        for row in pd.concat(list(rows)).sort_values(["event_ts", "seq"]).itertuples():
-            if not row.abnormal:
+        # Three numbers a row of the key in this micro-batch, whose size the source's limits bound.
+        frames = [f[["event_ts", "seq", "abnormal"]] for f in rows]
+        for ts, seq, abnormal in pd.concat(frames).sort_values(["event_ts", "seq"]).itertuples(index=False):
+            if not abnormal:
                 n, first, active = 0, 0, False
                 continue
-            if n == 0 or row.event_ts - first > self.window_ms:
-                n, first = 1, row.event_ts
+            if n == 0 or ts - first > self.window_ms:
+                n, first = 1, ts
             else:
                 n += 1
             if n >= self.needed and not active:
                 active = True
-                out.append((*key, int(row.event_ts), int(row.seq)))
+                out.append((*key, int(ts), int(seq)))
         self.state.update((n, int(first), active))
         yield pd.DataFrame(out, columns=["entity_id", "dimension", "event_ts", "seq"])
 
@@ -91,29 +126,38 @@ class Streaks(StatefulProcessor):
         pass
 
 
-def streaks(evaluations: DataFrame, needed: int, window_ms: int) -> DataFrame:
+def _time_mode(bounded: bool) -> str:
+    """Time limits of state need processing time, with which a query over what is there now never ends; so bounded queries keep their state, which ends with them."""
+    return "none" if bounded else "processingTime"
+
+
+def streaks(evaluations: DataFrame, needed: int, window_ms: int, bounded: bool = False) -> DataFrame:
     """Streaming twin of the batch streaks: (entity_id, dimension, event_ts, seq) at which a streak is complete. Across micro-batches the order is that of arrival."""
-    return evaluations.groupBy("entity_id", "dimension").transformWithStateInPandas(Streaks(needed, window_ms), "entity_id STRING, dimension STRING, event_ts LONG, seq LONG", "append", "none")
+    return evaluations.groupBy("entity_id", "dimension").transformWithStateInPandas(Streaks(needed, window_ms, None if bounded else max(window_ms, DAY)), "entity_id STRING, dimension STRING, event_ts LONG, seq LONG", "append", _time_mode(bounded))
 
 
 class Enricher(StatefulProcessor):
-    """Current configuration and latest counters of a cell, with time limits by event time."""
+    """Current configuration and latest counters of a cell, with time limits by event time.
+
+    The state itself goes by the query's running time: the configuration when the cell had neither event nor
+    configuration for its limit (each of them writes it anew), the counters when none came for theirs.
+    """
 
-    def __init__(self, cfg_ttl_ms: int, pm_ttl_ms: int):
-        self.cfg_ttl_ms, self.pm_ttl_ms = cfg_ttl_ms, pm_ttl_ms
+    def __init__(self, cfg_ttl_ms: int, pm_ttl_ms: int, bounded: bool = False):
+        self.cfg_ttl_ms, self.pm_ttl_ms, self.bounded = cfg_ttl_ms, pm_ttl_ms, bounded
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.cfg = handle.getValueState("cfg", "version LONG, touched LONG")
-        self.pm = handle.getValueState("pm", "prb DOUBLE, at LONG")
+        self.cfg = handle.getValueState("cfg", "version LONG, touched LONG", None if self.bounded else self.cfg_ttl_ms)
+        self.pm = handle.getValueState("pm", "prb DOUBLE, at LONG", None if self.bounded else self.pm_ttl_ms)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         version, touched = self.cfg.get() if self.cfg.exists() else (None, None)
         prb, at = self.pm.get() if self.pm.exists() else (None, None)
-        out = []
+        out, came = [], False
         for row in pd.concat(list(rows)).sort_values(["ts", "ord", "seq"]).itertuples():
             ts = int(row.ts)
             if row.kind == "PM":
-                prb, at = float(row.prb), ts
+                prb, at, came = float(row.prb), ts, True
                 continue
             if touched is not None and ts - touched > self.cfg_ttl_ms:
                 version = None
@@ -128,7 +172,7 @@ class Enricher(StatefulProcessor):
                 out.append((key[0], str(int(row.seq)), ts, version, prb if live else None))
         if touched is not None:
             self.cfg.update((version, touched))
-        if at is not None:
+        if came:
             self.pm.update((prb, at))
         yield pd.DataFrame(out, columns=["cell_id", "chr_id", "event_ts", "cfg_version", "pm_prb_usage_dl"]).astype({"cfg_version": "Int64"})
 
@@ -136,16 +180,21 @@ class Enricher(StatefulProcessor):
         pass
 
 
-def enrich(chr_: DataFrame, pm: DataFrame, cfg: DataFrame, rules: Rules) -> DataFrame:
+def enrich(chr_: DataFrame, pm: DataFrame, cfg: DataFrame, rules: Rules, bounded: bool = False) -> DataFrame:
     """Streaming twin of the batch enrichment, over the union of the three streams keyed by cell."""
     nothing = {"prb": F.lit(None).cast("double"), "version": F.lit(None).cast("long"), "tombstone": F.lit(False)}
     row = lambda df, kind, ts, order, seq, **more: df.select(F.lit(kind).alias("kind"), "cell_id", F.col(ts).alias("ts"), F.lit(order).alias("ord"), F.col(seq).cast("long").alias("seq"), *(more.get(k, v).alias(k) for k, v in nothing.items()))
     rows = row(chr_, "CHR", "event_ts", 2, "chr_id").unionByName(row(pm, "PM", "event_ts", 1, "window_end_ts", prb=F.col("prb_usage_dl"))).unionByName(row(cfg, "CFG", "effective_ts", 0, "cfg_seq", version=F.col("version").cast("long"), tombstone=F.col("tombstone")))
-    return rows.groupBy("cell_id").transformWithStateInPandas(Enricher(rules.cfg_ttl_ms, rules.pm_ttl_ms), "cell_id STRING, chr_id STRING, event_ts LONG, cfg_version LONG, pm_prb_usage_dl DOUBLE", "append", "none")
+    return rows.groupBy("cell_id").transformWithStateInPandas(Enricher(rules.cfg_ttl_ms, rules.pm_ttl_ms, bounded), "cell_id STRING, chr_id STRING, event_ts LONG, cfg_version LONG, pm_prb_usage_dl DOUBLE", "append", _time_mode(bounded))
 
 
 def run_once(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Run a stream over all there is now into Parquet files at path, and wait for it."""
+    """Run a stream over all there is now into Parquet files at path, in as many micro-batches as the source's limits make, and wait for it."""
     q = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
     return q
+
+
+def run_always(df: DataFrame, path: str, checkpoint: str, seconds: float | None = None) -> StreamingQuery:
+    """Start a stream into Parquet files at path that looks for new rows every trigger_seconds()."""
+    return df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(processingTime=f"{trigger_seconds(seconds, file_sink=True)} seconds").start()

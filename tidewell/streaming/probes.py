@@ -51,7 +51,7 @@ def once(anomalies: DataFrame, delay: str = "1 hour") -> DataFrame:
     return anomalies.withColumn("event_time", F.timestamp_millis("event_ts")).withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["anomaly_id"]).drop("event_time")
 
 
-def upsert_batches(path: str, key: tuple[str, ...], partitions: list[str], order: str) -> Callable[[DataFrame, int], None]:
+def upsert_batches(path: str, key: tuple[str, ...], partitions: list[str], order: str | None = None) -> Callable[[DataFrame, int], None]:
     """For foreachBatch: each batch is upserted by key, so a batch delivered again changes nothing."""
     return lambda batch, _: sinks.upsert(batch, path, key, partitions, order)
 
