@@ -163,10 +163,11 @@ def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The steps from each range that was found by words to either side: hash, the range's edge, how many words off, and the byte up to which the step leads; again: the text has the hash earlier."""
+    names = ["hash", "row", "edge", "off", "upto", "again"]
     for batch in slices(batches):
         every = batch["ranges"].to_pylist()
-        texts = _texts(batch["text"])
-        for i, text in enumerate(texts):
+        found: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in names]
+        for i, text in enumerate(_texts(batch["text"])):
             merged = _merged([(r["start"], r["end"]) for r in every[i] if r["words"]])
             if not merged:
                 continue
@@ -174,15 +175,20 @@ def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = w.windows()
             hashes = w.digest(at, at + LEAST_WORDS)
             again = _again(np.zeros(len(at), np.int64), hashes)
-            lo, hi = np.searchsorted(w.starts, [m[0] for m in merged]), np.searchsorted(w.starts, [m[1] for m in merged])
-            befores, afters = np.concatenate([[0], hi[:-1]]), np.concatenate([lo[1:], [len(w.starts)]])
-            for (start, end), a, b, before, after in zip(merged, lo, hi, befores, afters, strict=True):
-                left, right = np.arange(1, min(REACH, a - before) + 1), np.arange(1, min(REACH, after - b) + 1)
-                step = np.concatenate([a - left, b + right - LEAST_WORDS])
-                edge, off = np.repeat([start, end], [len(left), len(right)]), np.concatenate([-left, right])
-                upto = np.concatenate([w.starts[a - left], w.until[b + right - 1]])
-                same = pa.array(np.full(len(step), i))
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[step].view(np.int64)), batch["doc_id"].take(same), batch["row_key"].take(same), pa.array(edge), pa.array(off), pa.array(upto), pa.array(again[step])], ["hash", "doc_id", "row_key", "edge", "off", "upto", "again"])
+            start, end = np.array(merged).T
+            lo, hi = np.searchsorted(w.starts, start), np.searchsorted(w.starts, end)
+            before, after = np.append(0, hi[:-1]), np.append(lo[1:], len(w.starts))
+            off = np.arange(1, REACH + 1)
+            # Rows are ranges, columns are how many words off.
+            left, right = off <= np.minimum(REACH, lo - before)[:, None], off <= np.minimum(REACH, after - hi)[:, None]
+            to_left, to_right = (lo[:, None] - off)[left], (hi[:, None] + off)[right]
+            step = np.concatenate([to_left, to_right - LEAST_WORDS])
+            rows = [hashes[step].view(np.int64), np.full(len(step), i), np.concatenate([np.repeat(start, left.sum(1)), np.repeat(end, right.sum(1))]), np.concatenate([np.broadcast_to(-off, left.shape)[left], np.broadcast_to(off, right.shape)[right]]), np.concatenate([w.starts[to_left], w.until[to_right - 1]]), again[step]]
+            for held, column in zip(found, rows, strict=True):
+                held.append(column)
+        out = dict(zip(names, map(np.concatenate, found), strict=True))
+        at = pa.array(out["row"].astype(np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(out["hash"]), batch["doc_id"].take(at), batch["row_key"].take(at), pa.array(out["edge"]), pa.array(out["off"]), pa.array(out["upto"]), pa.array(out["again"].astype(bool))], ["hash", "doc_id", "row_key", "edge", "off", "upto", "again"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
