@@ -144,11 +144,6 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _share_bucket(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two signatures agree in some chunk but for at most one symbol."""
-    return (a == b).reshape(CHUNKS, WIDTH).sum(1).max() >= WIDTH - 1
-
-
 def _across(frame: pd.DataFrame) -> pd.DataFrame:
     """A forest of the links between different components from one side of a block to the other."""
     left, right = frame[frame["side"] == 0], frame[frame["side"] == 1]
@@ -164,10 +159,13 @@ def _across(frame: pd.DataFrame) -> pd.DataFrame:
         for node, comp, n, sig, found in zip(left["node"], lefts, left["n"], left["sig"], left["found"], strict=True):
             mine = np.frombuffer(found, np.uint64)
             fits = (group[rights] != group[comp]) & (100 * np.minimum(sizes, n) >= PERCENT * np.maximum(sizes, n))
-            agree = np.zeros(len(nodes), np.int64)
-            agree[fits] = (sigs[fits] == np.frombuffer(sig, np.uint16)).sum(1)
-            for i in np.argsort(-agree, kind="stable")[: np.count_nonzero(agree >= LEAST_AGREE)]:
-                if group[rights[i]] != group[comp] and _share_bucket(sigs[i], np.frombuffer(sig, np.uint16)):
+            there = np.flatnonzero(fits)
+            equal = sigs[there] == np.frombuffer(sig, np.uint16)
+            agree = equal.sum(1)
+            near = agree >= LEAST_AGREE
+            near[near] = equal[near].reshape(-1, CHUNKS, WIDTH).sum(2).max(1) >= WIDTH - 1  # a bucket in common
+            for i in there[near][np.argsort(-agree[near], kind="stable")]:
+                if group[rights[i]] != group[comp]:
                     at = np.minimum(np.searchsorted(mine, sets[i]), n - 1)
                     shared = np.count_nonzero(mine[at] == sets[i])
                     if 100 * shared >= PERCENT * (n + sizes[i] - shared):
