@@ -295,8 +295,8 @@ class _Run:
         links = self.links(self.stars())
         comps = self.scratch.save(components(links, self.scratch, "star-comps"), "star-comps")
         more = self.open_links(comps)
-        if more is not None:
-            comps = components(links.unionByName(more), self.scratch, "all-comps")
+        if more is not None and not more.isEmpty():
+            comps = components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(more), self.scratch, "all-comps")
         return self.scratch.save(self.nodes.join(comps, "node", "left").select("node", "doc_id", "th", F.coalesce("comp", "node").alias("comp")), "named")
 
 
