@@ -64,4 +64,28 @@ _MIX = rf"""with recursive base as (select doc_id, source, md5(cast(doc_id as va
  cut as (select doc_id, sum(size) over (order by v, k, h rows unbounded preceding) <= (select {SHARE} * sum(source_size) from src) as taken from pass)
  select doc_id, size, source_size, target, cast(size * coalesce(times, 0) as bigint) as taken from turn left join (select doc_id, count(*) filter (taken) as times from cut group by 1) using (doc_id)"""
 
-ORACLES: dict[str, str] = {"op2_shards": _SHARDS, "op3_contaminated": _LEAKS, "op4_near_duplicates": _NEAR, "op8_mix": _MIX}
+_AUDIT = r"""with d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w, min(doc_id) over (partition by coalesce(text, '')) as first_id from documents),
+ mark as (select doc_id, max(quality = 1) as good, max(toxic = 1) as toxic from labels group by 1),
+ m as (select part, case when len(w) < 100 then 'A' else '' end || case when 100 * len(list_distinct(w)) < 80 * len(w) then 'B' else '' end || case when 100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) then 'C' else '' end
+  || case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end || case when d.doc_id > first_id then 'E' else '' end as mask, coalesce(good, false) as good, coalesce(toxic, false) as toxic from d left join mark using (doc_id)),
+ l as (select unnest(['A', 'B', 'C', 'D', 'E']) as l),
+ o as (select a.l || b.l || c.l || d.l || e.l as o from l a, l b, l c, l d, l e where len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+ s as (select o, unnest(range(1, 6)) as step from o),
+ x as (select part, o, step, o[step] as f, contains(mask, o[step]) as fails, len(mask) > 0 and regexp_matches(mask, '[' || o[:step - 1] || '0]') as gone, mask, good, toxic from m, s),
+ y as (select part, o as filter_order, cast(step as int) as step, f, count(*) filter (not gone and not fails) as kept, count(*) filter (not gone and fails) as removed, count(*) filter (gone and fails) as redundant, count(*) filter (mask = f) as unique_fails, count(*) filter (not gone and fails and good) as good_lost, count(*) filter (not gone and fails and toxic) as toxic_lost from x group by all)
+ select * exclude (f), cast(sum(removed) over (partition by part, f) as bigint) as shapley from y"""
+
+_DIVERGENCE = rf"""with d as (select coalesce(lang, '') as lang, coalesce(source, '') as source, row_number() over () as r, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+ t as (select lang, source, r, unnest(w) as term from d),
+ kept as materialized (select lang, term, count(*) as total from t group by all having count(distinct r) >= 10),
+ size as (select lang, count(*) as v, sum(total) as lang_n from kept group by 1),
+ grp as (select distinct lang, source from d),
+ own as (select lang, source, term, count(*) as n from t join kept using (lang, term) group by all),
+ every as (select g.lang, g.source, k.term, k.total, coalesce(n, 0) as n, sum(coalesce(n, 0)) over (partition by g.lang, g.source) as group_n from grp g join kept k using (lang) left join own o on o.lang = g.lang and o.source = g.source and o.term = k.term),
+ p as materialized (select lang, source, term, n, 1 + (1000000000 :: hugeint * (n + 2)) // (group_n + 2 * v) :: hugeint as p, 1 + (1000000000 :: hugeint * (total + 2)) // (lang_n + 2 * v) :: hugeint as q from every join size using (lang)),
+ pair as (select g.lang, g.source, 'pair' as part, h.source as item, cast(coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0) as bigint) as value from grp g join grp h on g.lang = h.lang and g.source <> h.source left join p x on x.lang = g.lang and x.source = g.source left join p y on y.lang = h.lang and y.source = h.source and y.term = x.term group by all),
+ term as (select lang, source, 'term' as part, term as item, cast((p - q) * (p - q) // (p + q) as bigint) as value from p where n > 0 and p > q),
+ ranked as (select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as int) as rank from (select * from pair union all select * from term))
+ select * from ranked where part = 'pair' or rank <= 10"""
+
+ORACLES: dict[str, str] = {"op2_shards": _SHARDS, "op3_contaminated": _LEAKS, "op4_near_duplicates": _NEAR, "op8_mix": _MIX, "op11_interactions": _AUDIT, "op13_divergence": _DIVERGENCE}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewell.llm import decontaminate, language, media, mixing, near_dup, pii, sharding, spans, toxicity, urls
+from tidewell.llm import bpe, decontaminate, divergence, interactions, language, media, mixing, near_dup, pii, sharding, spans, toxicity, urls
 from tidewell.llm.oracles import ORACLES
 
 
@@ -76,13 +76,36 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.store_and_describe(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each of their 120 orders."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return interactions.audit(docs.select("doc_id", "text", "lang"), labels)
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """Digests of each document's token ids and of the text that they decode to; tokenizer is the path of a tokenizer.json."""
+    if tokenizer is None:
+        import public_tokenizers
+
+        tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    tables = bpe.Tokenizer.load(tokenizer)
+    rows = bpe.encode_rows(_table(spark, sf_dir, "documents").select("doc_id", "text"), tables)
+    decoded = F.sha2(bpe.decode(tables, F.col("ids")), 256)
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), decoded.alias("decoded_sha256"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language diverge, and by which terms."""
+    return divergence.audit(_table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline."""
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op2_shards, op3_contaminated, op4_near_duplicates, op5_repeated_spans, op6_toxicity, op7_language, op8_mix, op9_urls, op10_media, pipeline)}
+    return {f.__name__: f for f in (op1_pii, op2_shards, op3_contaminated, op4_near_duplicates, op5_repeated_spans, op6_toxicity, op7_language, op8_mix, op9_urls, op10_media, op11_interactions, op12_bpe, op13_divergence, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
