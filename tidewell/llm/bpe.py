@@ -11,9 +11,12 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
+import struct
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 from itertools import pairwise
 
 import numpy as np
@@ -27,14 +30,16 @@ from tidewell.llm.scratch import own
 
 ADDED = ("n_tokens", "ids")
 #: Pieces whose ids a task remembers, and the longest that it does; a full cache starts anew.
-CACHED, CACHED_CHARS = 300_000, 64
+CACHED, CACHED_CHARS = 400_000, 64
 #: Fragments of up to so many bytes are merged in a plain list, longer ones by a heap, with the same result; NONE is the rank of no merge.
 SHORT, NONE = 256, 1 << 31
 #: Characters whose pieces are listed at once; longer texts are cut before a blank that follows something else.
 WINDOW = 1 << 20
 
-#: Fixed value: the pattern of byte-level pre-tokenizers; {L} and {N} stand for the classes of letters and numbers.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?{L}+| ?{N}+| ?[^\s{l}{n}]+|\s+(?!\S)|\s+"
+#: Fixed value: the pattern of byte-level pre-tokenizers; S, L and N stand for blanks, letters and numbers inside of classes.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[L]+| ?[N]+| ?[^SLN]+|[S]+(?![^S])|[S]+"
+#: The plain form of the pattern knows the characters below.
+PLAIN = 0x10000
 
 
 def byte_letters() -> dict[str, int]:
@@ -55,39 +60,32 @@ def _ranges(points: list[int]) -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
 
 
-@dataclass(frozen=True)
-class Pattern:
-    """The pattern of pieces in two forms that agree on texts without `odd` characters: a plain, fast one, and the exact one."""
-
-    plain: str
-    exact: str
-    odd: str
-
+@cache
+def piece_patterns() -> tuple[str, str]:
+    """The pattern with the tokenizers library's classes of characters: for texts of characters below PLAIN, whose classes are looked up faster, and for all.
 
-def piece_pattern() -> Pattern:
-    """The pattern with the tokenizers library's letters and numbers.
-
-    `regex` knows another version of Unicode than the library does. Characters that both may class differently are
-    unassigned in Python's own, older version; the library is asked about each of these.
+    Python, `regex` and the library know different versions of Unicode. What Python's, the oldest, has is the same in
+    all; about each letter and number that only `regex` knows, the library is asked.
     """
     split = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
-    letter, number = regex.compile(r"\p{L}"), regex.compile(r"\p{N}")
-    wrong: dict[str, list[int]] = {"L": [], "N": []}
+    newer = {"L": (regex.compile(r"\p{L}"), "a"), "N": (regex.compile(r"\p{N}"), "1")}
+    blank = regex.compile(r"\s")
+    points: dict[str, list[int]] = {"S": [p for p in range(0x110000) if blank.match(chr(p))], "L": [], "N": []}
     for p in range(0x110000):
         c = chr(p)
-        if unicodedata.category(c) == "Cn":
-            for kind, known, before in (("L", letter, "a"), ("N", number, "1")):
-                if known.match(c) and len(split(before + c)) > 1:
-                    wrong[kind].append(p)
-    inside = {kind: _ranges(points) for kind, points in wrong.items()}
-    form = lambda others, sets: "(?V1)" + PATTERN.replace(r"[^\s{l}{n}]", others).replace("{L}", sets["L"]).replace("{N}", sets["N"])
-    plain = form(r"[^\s\p{L}\p{N}]", {"L": r"\p{L}", "N": r"\p{N}"})
-    if not any(inside.values()):
-        return Pattern(plain, plain, r"(?!)")
-    odd = f"{inside['L']}{inside['N']}"
-    exact = form(rf"[[^\s\p{{L}}\p{{N}}]||[{odd}]]", {kind: rf"[\p{{{kind}}}--[{inside[kind]}]]" if inside[kind] else rf"\p{{{kind}}}" for kind in inside})
-    # One range from the first odd character on is found faster than all of them.
-    return Pattern(plain, exact, f"[{_ranges([min(wrong['L'] + wrong['N'])])[:10]}-\U0010ffff]")
+        kind = unicodedata.category(c)
+        if kind[0] in "LN":
+            points[kind[0]].append(p)
+        elif kind == "Cn":
+            for k, (known, before) in newer.items():
+                if known.match(c) and len(split(before + c)) == 1:
+                    points[k].append(p)
+
+    def form(limit: int) -> str:
+        classes = {k: _ranges([p for p in found if p < limit]) for k, found in points.items()}
+        return re.sub(r"(?<=[\[^])[SLN]+(?=\])", lambda m: "".join(map(classes.__getitem__, m[0])), PATTERN)
+
+    return form(PLAIN), form(0x110000)
 
 
 @dataclass(frozen=True)
@@ -100,7 +98,7 @@ class Tokenizer:
     of_byte: list[int]
     whole: dict[str, int]
     inside: bytes
-    pattern: Pattern
+    patterns: tuple[str, str]
 
     @classmethod
     def load(cls, path: str) -> Tokenizer:
@@ -126,15 +124,14 @@ class Tokenizer:
         of_byte = [0] * 256
         for letter, byte in letters.items():
             of_byte[byte] = vocab[letter]
-        return cls(merges, [vocab[a + b] for a, b in pairs], tokens, of_byte, whole, bytes(inside), piece_pattern())
+        return cls(merges, [vocab[a + b] for a, b in pairs], tokens, of_byte, whole, bytes(inside), piece_patterns())
 
     def fragments(self, piece: bytes) -> Iterator[bytes]:
         """The piece cut at every pair of bytes that is in no token."""
-        start = 0
-        for i in range(1, len(piece)):
-            if not self.inside[piece[i - 1] << 8 | piece[i]]:
-                yield piece[start:i]
-                start = i
+        start, inside = 0, self.inside
+        for cut in [i for i, (x, y) in enumerate(pairwise(piece), 1) if not inside[x << 8 | y]]:
+            yield piece[start:cut]
+            start = cut
         yield piece[start:]
 
     def merge(self, fragment: bytes) -> list[int]:
@@ -144,7 +141,7 @@ class Tokenizer:
             return self._merge_long(ids)
         find = self.merges.get
         ranks = [find(a << 32 | b, NONE) for a, b in pairwise(ids)]
-        while ranks and (least := min(ranks)) < NONE:
+        while (least := min(ranks, default=NONE)) < NONE:
             i = ranks.index(least)
             ids[i] = new = self.made[least]
             del ids[i + 1], ranks[i]
@@ -204,14 +201,15 @@ class _Encoder(dict):
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
         self.t = tokenizer
-        self.plain, self.exact, self.odd = (regex.compile(p) for p in (tokenizer.pattern.plain, tokenizer.pattern.exact, tokenizer.pattern.odd))
-        self.whole = regex.compile("(" + "|".join(map(regex.escape, sorted(tokenizer.whole, key=len, reverse=True))) + ")").split if tokenizer.whole else None
+        self.plain, self.full = map(re.compile, tokenizer.patterns)
+        self.beyond = re.compile(f"[{chr(PLAIN)}-{chr(0x10FFFF)}]").search
+        self.whole = re.compile("(" + "|".join(map(re.escape, sorted(tokenizer.whole, key=len, reverse=True))) + ")").split if tokenizer.whole else None
 
     def __missing__(self, piece: str) -> bytes:
         ids: list[int] = []
         for fragment in self.t.fragments(piece.encode()):
             ids += self.t.merge(fragment)
-        packed = np.array(ids, "<u4").tobytes()
+        packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= CACHED_CHARS:
             if len(self) >= CACHED:
                 self.clear()
@@ -223,9 +221,9 @@ class _Encoder(dict):
         out: list[bytes] = []
         for i, part in enumerate(self.whole(text) if self.whole else [text]):
             if i % 2:
-                out.append(np.array([self.t.whole[part]], "<u4").tobytes())
+                out.append(struct.pack("<I", self.t.whole[part]))
             else:
-                pieces = (self.plain if part.isascii() or not self.odd.search(part) else self.exact).findall
+                pieces = (self.plain if part.isascii() or not self.beyond(part) else self.full).findall
                 out += (b"".join(map(self.__getitem__, pieces(w))) for w in self.t.windows(part) if w)
         return b"".join(out)
 

@@ -22,7 +22,7 @@ _STRUCT = ", ".join(f"{c}: bigint" for c in COUNTS)
 def text_filters(text: Column) -> dict[str, Column]:
     """The filters on a document's own text by letter; a condition that holds means that the document fails. A null text counts as the empty one."""
     text = F.coalesce(text, F.lit(""))
-    words = F.filter(F.split(F.translate(text, "\t\n\x0b\x0c\r", " " * 5), " "), lambda w: w != "")
+    words = F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
     return {
         "A": F.size(words) < 100,
         "B": F.size(F.array_distinct(words)) * 100 < F.size(words) * 80,
