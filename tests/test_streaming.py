@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidewell.operators import anomaly, enrich
+from tidewell.operators import anomaly, enrich, kpi
 from tidewell.params import SPARSE as R
+from tidewell.params import Rules
 from tidewell.sources.adapters import view
 from tidewell.sources.readers import file_stream
 from tidewell.streaming import pipelines as st
@@ -51,7 +52,7 @@ def test_user_streaks(spark, folder):
 def test_enrichment(spark, folder):
     tables = {n: view(spark, SF, n) for n in ("chr", "pm", "cfg")}
     streams = {n: _stream(spark, folder, n, df) for n, df in tables.items()}
-    st.run_once(st.enrich(streams["chr"], streams["pm"], streams["cfg"], R, bounded=True), f"{folder}/enriched", f"{folder}/enriched-cp").stop()
+    st.run_once(st.enrich(streams["chr"], streams["pm"], streams["cfg"], R), f"{folder}/enriched", f"{folder}/enriched-cp").stop()
     got = {r.chr_id: (r.cfg_version, r.pm_prb_usage_dl) for r in spark.read.parquet(f"{folder}/enriched").collect()}
     batch = enrich.enrich(tables["chr"], tables["pm"], tables["cfg"], R).select("chr_id", F.col("cfg.version").alias("v"), F.col("pm.prb_usage_dl").alias("p"))
     assert got == {r.chr_id: (r.v, r.p) for r in batch.collect()}
@@ -125,7 +126,7 @@ def test_own_watermarks_of_both_sides(spark, folder):
     assert spark.read.parquet(f"{folder}/own-kpi").count() == want.count() > 0
 
 
-def test_state_has_time_limits():
+def test_streaks_have_a_time_limit():
     class Handle:
         def __init__(self):
             self.limits = {}
@@ -133,7 +134,92 @@ def test_state_has_time_limits():
         def getValueState(self, name, schema, ttl=None):  # noqa: N802
             self.limits[name] = ttl
 
-    for processor, want in ((st.Enricher(R.cfg_ttl_ms, R.pm_ttl_ms), {"cfg": R.cfg_ttl_ms, "pm": R.pm_ttl_ms}), (st.Streaks(3, 5, 7), {"streak": 7}), (st.Enricher(1, 1, bounded=True), {"cfg": None, "pm": None})):
-        handle = Handle()
-        processor.init(handle)
-        assert handle.limits == want
+    handle = Handle()
+    st.Streaks(3, 5, 7).init(handle)
+    assert handle.limits == {"streak": 7}
+
+
+def _in_turn(spark, path, batches, schema):
+    """A stream with one micro-batch for each list of rows; the file source goes by modification time."""
+    for i, rows in enumerate(batches):
+        df = rows if hasattr(rows, "columns") else spark.createDataFrame(rows, schema)
+        df.coalesce(1).write.mode("append").parquet(path)
+        if i + 1 < len(batches):
+            __import__("time").sleep(1.1)
+    return file_stream(spark, path, spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema)
+
+
+CHR = "chr_id string, event_ts long, imsi string, cell_id string, site_id string, event_type string, result_code int, rsrp double, sinr double"
+PM = "site_id string, cell_id string, window_start_ts long, window_end_ts long, event_ts long, prb_usage_dl double, throughput_dl_mbps double, active_users int, dropped_connections int, handover_success int, handover_failure int"
+CFG = "site_id string, cell_id string, effective_ts long, version long, tombstone boolean, center_lat double, center_lon double, cfg_seq long"
+
+
+def _event(s, cell, n=1):
+    return (str(n), s * 1000, "u", cell, "", "ATTACH", 0, -90.0, 1.0)
+
+
+def _counter(s, cell):
+    return ("", cell, s * 1000 - 10_000, s * 1000, s * 1000 - 1, 50.0, 1.0, 1, 0, 1, 0)
+
+
+def _state(spark, checkpoint, name):
+    return spark.read.format("statestore").option("stateVarName", name).load(checkpoint).count()
+
+
+def test_enrichment_state_expires(spark, folder):
+    """A row of another cell moves the watermark past both limits; the first cell's state is then really gone, the other's stays."""
+    rules = Rules()
+    hour = 3600
+    chr_ = _in_turn(spark, f"{folder}/x-chr", [[_event(1000, "a")], [_event(1000 + 2 * hour, "b", 2)], [_event(1000 + 40 * hour, "b", 3)], [_event(1000 + 41 * hour, "b", 4)]], CHR)
+    pm = _in_turn(spark, f"{folder}/x-pm", [[_counter(900, "a")]], PM)
+    cfg = _in_turn(spark, f"{folder}/x-cfg", [[("s", "a", 800_000, 5, False, 1.0, 1.0, 1), ("s", "b", 800_000, 6, False, 1.0, 1.0, 2)]], CFG)
+    rows = st.enrich(chr_, pm, cfg, rules)
+    q = rows.writeStream.format("parquet").option("path", f"{folder}/x-out").option("checkpointLocation", f"{folder}/x-cp").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = {r.chr_id: (r.cfg_version, r.pm_prb_usage_dl) for r in spark.read.parquet(f"{folder}/x-out").collect()}
+    assert got == {"1": (5, 50.0), "2": (6, None), "3": (None, None), "4": (None, None)}
+    assert _state(spark, f"{folder}/x-cp", "cfg") == 1 and _state(spark, f"{folder}/x-cp", "pm") == 0
+
+
+def test_enrichment_state_stays_within_limits(spark, folder):
+    """A gap shorter than the limits clears nothing, though the query is a bounded one."""
+    chr_ = _in_turn(spark, f"{folder}/y-chr", [[_event(1000, "a")], [_event(1000 + 500, "a", 2)]], CHR)
+    pm = _in_turn(spark, f"{folder}/y-pm", [[_counter(1000, "a")]], PM)
+    cfg = _in_turn(spark, f"{folder}/y-cfg", [[("s", "a", 800_000, 5, False, 1.0, 1.0, 1)]], CFG)
+    st.run_once(st.enrich(chr_, pm, cfg, Rules()), f"{folder}/y-out", f"{folder}/y-cp").stop()
+    assert {(r.chr_id, r.cfg_version, r.pm_prb_usage_dl) for r in spark.read.parquet(f"{folder}/y-out").collect()} == {("1", 5, 50.0), ("2", 5, 50.0)}
+    assert _state(spark, f"{folder}/y-cp", "cfg") == 1 and _state(spark, f"{folder}/y-cp", "pm") == 1
+
+
+def test_joined_windows_come_early(spark, folder):
+    """The watermark is 2 s behind the newest row. At 65 s the first minute's joined row is out, its one-sided row only once the wait of 10 s is over, too; nothing waits in the state then but the last minute's facts."""
+    from tidewell.streaming import timers
+
+    chr_ = _in_turn(spark, f"{folder}/e-chr", [[_event(10, "both"), _event(20, "chr")], [_event(65, "tick")], [_event(75, "tick")]], CHR)
+    pm = _in_turn(spark, f"{folder}/e-pm", [[_counter(30, "both"), _counter(40, "pm")]], PM)
+    seen = []
+
+    def collect(batch, number):
+        seen.append((number, sorted((r.cell_id, r.join_quality, r.num_chr_events, round(r.avg_prb_usage_dl)) for r in batch.collect())))
+
+    q = timers.early_kpis(chr_, pm, Rules()).writeStream.foreachBatch(collect).option("checkpointLocation", f"{folder}/e-cp").trigger(availableNow=True).start()
+    q.awaitTermination()
+    rows = [r for _, r in seen if r]
+    assert rows == [[("both", "JOINED", 1, 50)], [("chr", "CHR_ONLY", 1, 0), ("pm", "PM_ONLY", 0, 50)]]
+    assert _state(spark, f"{folder}/e-cp", "waiting") == 0
+
+
+def test_configuration_of_kpis(spark, folder):
+    """The highest version counts, a tombstone hides it, and older versions never come back."""
+    from tidewell.streaming import timers
+
+    changes = [("s1", "a", 0, 1, False, 31.2, 121.4, 1), ("s3", "a", 0, 3, False, 31.9, 121.4, 2), ("s2", "a", 0, 2, False, 31.2, 121.4, 3), ("s9", "a", 0, 3, False, 30.0, 120.0, 4), ("t1", "b", 0, 1, False, 31.2, 121.4, 5), ("t4", "b", 0, 4, True, 31.2, 121.4, 6), ("t2", "b", 0, 2, False, 31.2, 121.4, 7)]
+    chr_ = _in_turn(spark, f"{folder}/v-chr", [[_event(10, c) for c in "abc"], [_event(100, "tick")]], CHR)
+    pm = _in_turn(spark, f"{folder}/v-pm", [[_counter(30, c) for c in "abc"]], PM)
+    cfg = _in_turn(spark, f"{folder}/v-cfg", [changes[:2], changes[2:]], CFG)
+    rows = timers.early_kpis(chr_, pm, Rules(), cfg)
+    st.run_once(rows, f"{folder}/v-out", f"{folder}/v-cp").stop()
+    got = {r.cell_id: (r.site_id, r.grid_id) for r in spark.read.parquet(f"{folder}/v-out").collect()}
+    batch = kpi.kpi_with_cfg(kpi.kpi(*(spark.read.parquet(f"{folder}/v-{n}") for n in ("chr", "pm")), Rules()), spark.createDataFrame(changes, CFG))
+    want = {r.cell_id: (r.site_id, r.grid_id) for r in batch.where("cell_id != 'tick'").collect()}
+    assert got == want and got["a"][0] == "s3" and got["b"] == got["c"] == ("", "")

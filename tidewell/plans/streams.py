@@ -11,6 +11,7 @@ from tidewell.plans.registry import query
 from tidewell.sources import adapters, sinks
 from tidewell.sources.workdir import new_folder
 from tidewell.streaming import pipelines as st
+from tidewell.streaming import timers
 
 R, W = t.R, t.W
 
@@ -45,6 +46,23 @@ def stream_kpi_5m(spark, d):
     return t.rounded(_sink(spark, st.rollups(_kpis(spark, d), R), "stream-rollup"))
 
 
+_EARLY = "mark as (select greatest((select max(event_ts) from chr), (select max(window_end_ts) - 1 from pm)) - 2000 as mark)"
+_OUT = "window_end_ts + case when join_quality = 'JOINED' then 0 else 10000 end <= mark"
+
+
+@query(f"{t._KPI}, {_EARLY} select * {t._ROUNDED} from (select kpi.* from kpi, mark where {_OUT})")
+def stream_kpi_early(spark, d):
+    """KPIs by timers: joined windows that the watermark has passed, one-sided ones whose wait is over."""
+    return t.rounded(_sink(spark, timers.early_kpis(_stream(spark, d, "chr"), _stream(spark, d, "pm"), R), "stream-early"))
+
+
+@query(f"{t._KPI}, {_EARLY}, {t._LATEST} select k.window_start_ts, k.cell_id, k.site_id, k.join_quality, coalesce({t.geohash_sql('center_lat', 'center_lon')}, '') as grid_id from (select kpi.* from kpi, mark where {_OUT}) k left join latest l using (cell_id)")
+def stream_kpi_cfg(spark, d):
+    """KPIs by timers with the grid of the cell's configuration, kept by version in the stream's state."""
+    rows = timers.early_kpis(_stream(spark, d, "chr"), _stream(spark, d, "pm"), R, _stream(spark, d, "cfg"))
+    return _sink(spark, rows, "stream-cfg").select("window_start_ts", "cell_id", "site_id", "join_quality", "grid_id")
+
+
 _CLOSED = t._KPI.replace("kpi as (select", "kpi_all as (select", 1)
 
 
@@ -65,7 +83,7 @@ def stream_user_anomalies(spark, d):
 @query(f"{t._ASOF_CFG}, {t._ASOF_PM} select c.cell_id, c.chr_id, c.event_ts, c.cfg_version, round(p.pm_prb_usage_dl, 6) as pm_prb_usage_dl from asof_cfg c join asof_pm p using (chr_id)")
 def stream_enrich(spark, d):
     """Events with configuration and counters, by state."""
-    return t.rounded(_sink(spark, st.enrich(_stream(spark, d, "chr"), _stream(spark, d, "pm"), _stream(spark, d, "cfg"), R, bounded=True), "stream-enrich"))
+    return t.rounded(_sink(spark, st.enrich(_stream(spark, d, "chr"), _stream(spark, d, "pm"), _stream(spark, d, "cfg"), R), "stream-enrich"))
 
 
 @query(f"{t._KPI} select window_start_ts, cell_id, join_quality, strftime(make_timestamp(window_start_ts * 1000), '%Y-%m-%d') as dt, num_chr_events + case when join_quality = 'JOINED' then 1 else 0 end as num_chr_events from kpi")

@@ -1,7 +1,7 @@
 """The KPI, anomaly and enrichment paths as Structured Streaming queries.
 
 KPIs aggregate the union of events and counters in one windowed aggregate, whose windows then chain into the
-rollup; streaks and enrichment keep a small state for each key. Watermarks drop what comes late; the wait for the
+rollup; streaks and enrichment keep a small state for each key (timers.py has the KPI join by timers). Watermarks drop what comes late; the wait for the
 other side of a window is part of the watermark's delay. In append mode the last windows stay open until the
 watermark passes them, so closing() adds a row far in the future at the end of a finite input.
 """
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
@@ -63,17 +63,26 @@ def kpis(rows: DataFrame, rules: Rules, delay: str | None = DELAY, kind: str = "
     state of a window doesn't grow with its users. Rows later than the delay are dropped. delay: None if the rows
     have watermarks already.
     """
-    is_chr, is_pm, attach = F.col("side") == "chr", F.col("side") == "pm", F.col("event_type") == "ATTACH"
     w = F.window("event_time", f"{rules.fact_ms} milliseconds")
+    return kpi_measures((rows.withWatermark("event_time", delay) if delay else rows).groupBy(w.alias("w"), "cell_id").agg(*kpi_sums()), kind)
+
+
+def kpi_sums() -> list[Column]:
+    """Aggregates of sides() that KPIs are made of. Each counts one side only: over rows of the other it is null or 0."""
+    is_chr, is_pm, attach = F.col("side") == "chr", F.col("side") == "pm", F.col("event_type") == "ATTACH"
     seen = lambda side: F.when(side & (F.col("event_ts") > 0), F.col("event_ts"))
     first = lambda side: F.min_by(F.when(side, F.col("site_id")), F.when(side, F.struct("event_time", "seq")))
     sums = {"rsrp_sum": "rsrp", "sinr_sum": "sinr", "prb_sum": "prb_usage_dl", "tput_sum": "throughput_dl_mbps", "drops": "dropped_connections", "ho_ok": "handover_success", "ho_bad": "handover_failure"}
-    out = (rows.withWatermark("event_time", delay) if delay else rows).groupBy(w.alias("w"), "cell_id").agg(
+    return [
         F.count(F.when(is_chr, 1)).alias("num_chr_events"), F.count(F.when(is_pm, 1)).alias("pm_n"), F.hll_sketch_estimate(F.hll_sketch_agg("imsi", 12)).alias("num_users"),
         first(is_chr).alias("chr_site"), first(is_pm).alias("pm_site"), F.count("rsrp").alias("rsrp_sample_count"), F.count("sinr").alias("sinr_sample_count"),
         F.count_if(is_chr & attach).alias("attach_attempts"), F.count_if(is_chr & attach & (F.col("result_code") == 0)).alias("attach_ok"), F.sum(F.greatest("active_users", F.when(is_pm, 0))).alias("active_sum"),
         *(F.sum(c).alias(n) for n, c in sums.items()),
-        *(f(seen(side)).alias(f"{n}_{g}") for n, side in (("c", is_chr), ("p", is_pm)) for g, f in (("sum", F.sum), ("min", F.min), ("max", F.max), ("n", F.count))))
+        *(f(seen(side)).alias(f"{n}_{g}") for n, side in (("c", is_chr), ("p", is_pm)) for g, f in (("sum", F.sum), ("min", F.min), ("max", F.max), ("n", F.count)))]
+
+
+def kpi_measures(out: DataFrame, kind: str, *more: str) -> DataFrame:
+    """KPI rows from (w, cell_id, kpi_sums()); further columns come last."""
     quality = F.when(F.col("pm_n") == 0, "CHR_ONLY").when(F.col("num_chr_events") == 0, "PM_ONLY").otherwise("JOINED")
     over = lambda a, b: ratio(F.col(a), F.col(b))
     mean = F.expr("coalesce((coalesce(c_sum div nullif(c_n, 0) * c_n, 0) + coalesce(p_sum div nullif(p_n, 0) * p_n, 0)) div nullif(c_n + p_n, 0), 0)")
@@ -81,7 +90,7 @@ def kpis(rows: DataFrame, rules: Rules, delay: str | None = DELAY, kind: str = "
         "w", F.unix_millis("w.start").alias("window_start_ts"), F.unix_millis("w.end").alias("window_end_ts"), F.lit(kind).alias("window_kind"), quality.alias("join_quality"), first_non_blank(F.col("chr_site"), F.col("pm_site")).alias("site_id"), "cell_id",
         "num_chr_events", "num_users", "rsrp_sample_count", "sinr_sample_count", "attach_attempts", over("rsrp_sum", "rsrp_sample_count").alias("avg_rsrp"), over("sinr_sum", "sinr_sample_count").alias("avg_sinr"),
         over("prb_sum", "pm_n").alias("avg_prb_usage_dl"), over("tput_sum", "pm_n").alias("throughput_dl_mbps_avg"), over("drops", "active_sum").alias("drop_rate"), ratio(F.col("ho_ok"), F.col("ho_ok") + F.col("ho_bad")).alias("ho_success_rate"), over("attach_ok", "attach_attempts").alias("attach_success_rate"),
-        mean.alias("source_event_ts_avg"), F.coalesce(F.least("c_min", "p_min"), F.lit(0)).alias("source_event_ts_min"), F.coalesce(F.greatest("c_max", "p_max"), F.lit(0)).alias("source_event_ts_max"), (F.col("c_n") + F.col("p_n")).alias("source_event_count"))
+        mean.alias("source_event_ts_avg"), F.coalesce(F.least("c_min", "p_min"), F.lit(0)).alias("source_event_ts_min"), F.coalesce(F.greatest("c_max", "p_max"), F.lit(0)).alias("source_event_ts_max"), (F.col("c_n") + F.col("p_n")).alias("source_event_count"), *more)
 
 
 def rollups(rows: DataFrame, rules: Rules, kind: str = "MIN_5") -> DataFrame:
@@ -139,53 +148,75 @@ def streaks(evaluations: DataFrame, needed: int, window_ms: int, bounded: bool =
 class Enricher(StatefulProcessor):
     """Current configuration and latest counters of a cell, with time limits by event time.
 
-    The state itself goes by the query's running time: the configuration when the cell had neither event nor
-    configuration for its limit (each of them writes it anew), the counters when none came for theirs.
+    A configuration counts for cfg_ttl_ms after the cell's last event or configuration, counters for pm_ttl_ms. Once
+    the watermark is past that no row can come that would still find them, and a timer clears the state.
     """
 
-    def __init__(self, cfg_ttl_ms: int, pm_ttl_ms: int, bounded: bool = False):
-        self.cfg_ttl_ms, self.pm_ttl_ms, self.bounded = cfg_ttl_ms, pm_ttl_ms, bounded
+    def __init__(self, cfg_ttl_ms: int, pm_ttl_ms: int):
+        self.cfg_ttl_ms, self.pm_ttl_ms = cfg_ttl_ms, pm_ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.cfg = handle.getValueState("cfg", "version LONG, touched LONG", None if self.bounded else self.cfg_ttl_ms)
-        self.pm = handle.getValueState("pm", "prb DOUBLE, at LONG", None if self.bounded else self.pm_ttl_ms)
+        self.handle = handle
+        self.cfg = handle.getValueState("cfg", "version LONG, touched LONG")
+        self.pm = handle.getValueState("pm", "prb DOUBLE, at LONG")
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+    def _due(self) -> set[int]:
+        """When the state that there is now may go."""
+        ends = ((self.cfg, self.cfg_ttl_ms), (self.pm, self.pm_ttl_ms))
+        return {state.get()[1] + ttl + 1 for state, ttl in ends if state.exists()}
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:  # noqa: N802, N803
         version, touched = self.cfg.get() if self.cfg.exists() else (None, None)
         prb, at = self.pm.get() if self.pm.exists() else (None, None)
-        out, came = [], False
-        for row in pd.concat(list(rows)).sort_values(["ts", "ord", "seq"]).itertuples():
-            ts = int(row.ts)
-            if row.kind == "PM":
-                prb, at, came = float(row.prb), ts, True
+        before, out = self._due(), Row("cell_id", "chr_id", "event_ts", "cfg_version", "pm_prb_usage_dl")
+        # The key's rows of this micro-batch, whose size the source's limits bound.
+        for row in sorted(rows, key=lambda r: (r["ts"], r["ord"], r["seq"])):
+            ts = row["ts"]
+            if row["kind"] == "PM":
+                prb, at = row["prb"], ts
                 continue
             if touched is not None and ts - touched > self.cfg_ttl_ms:
                 version = None
-            touched = ts
-            if row.kind == "CFG":
-                if row.tombstone:
+            touched = ts if touched is None else max(touched, ts)
+            if row["kind"] == "CFG":
+                if row["tombstone"]:
                     version = None
-                elif version is None or row.version > version:
-                    version = int(row.version)
+                elif version is None or row["version"] > version:
+                    version = row["version"]
             else:
                 live = at is not None and ts - at <= self.pm_ttl_ms
-                out.append((key[0], str(int(row.seq)), ts, version, prb if live else None))
+                yield out(key[0], str(row["seq"]), ts, version, prb if live else None)
         if touched is not None:
             self.cfg.update((version, touched))
-        if came:
+        if at is not None:
             self.pm.update((prb, at))
-        yield pd.DataFrame(out, columns=["cell_id", "chr_id", "event_ts", "cfg_version", "pm_prb_usage_dl"]).astype({"cfg_version": "Int64"})
+        after = self._due()
+        for due in before - after:
+            self.handle.deleteTimer(due)
+        for due in after - before:
+            self.handle.registerTimer(due)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:  # noqa: N802, N803
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        for state, ttl in ((self.cfg, self.cfg_ttl_ms), (self.pm, self.pm_ttl_ms)):
+            if state.exists() and state.get()[1] + ttl < now:
+                state.clear()
+        yield from ()
 
     def close(self) -> None:
         pass
 
 
-def enrich(chr_: DataFrame, pm: DataFrame, cfg: DataFrame, rules: Rules, bounded: bool = False) -> DataFrame:
-    """Streaming twin of the batch enrichment, over the union of the three streams keyed by cell."""
+def enrich(chr_: DataFrame, pm: DataFrame, cfg: DataFrame, rules: Rules, delay: str = "1 hour") -> DataFrame:
+    """Streaming twin of the batch enrichment, over the union of the three streams keyed by cell.
+
+    Rows go out in the micro-batch that brings them. The delay says how late a row may come (later ones are dropped),
+    and by how much state outlives its limit.
+    """
     nothing = {"prb": F.lit(None).cast("double"), "version": F.lit(None).cast("long"), "tombstone": F.lit(False)}
-    row = lambda df, kind, ts, order, seq, **more: df.select(F.lit(kind).alias("kind"), "cell_id", F.col(ts).alias("ts"), F.lit(order).alias("ord"), F.col(seq).cast("long").alias("seq"), *(more.get(k, v).alias(k) for k, v in nothing.items()))
+    row = lambda df, kind, ts, order, seq, **more: df.select(F.lit(kind).alias("kind"), "cell_id", F.col(ts).alias("ts"), F.timestamp_millis(ts).alias("event_time"), F.lit(order).alias("ord"), F.col(seq).cast("long").alias("seq"), *(more.get(k, v).alias(k) for k, v in nothing.items()))
     rows = row(chr_, "CHR", "event_ts", 2, "chr_id").unionByName(row(pm, "PM", "event_ts", 1, "window_end_ts", prb=F.col("prb_usage_dl"))).unionByName(row(cfg, "CFG", "effective_ts", 0, "cfg_seq", version=F.col("version").cast("long"), tombstone=F.col("tombstone")))
-    return rows.groupBy("cell_id").transformWithStateInPandas(Enricher(rules.cfg_ttl_ms, rules.pm_ttl_ms, bounded), "cell_id STRING, chr_id STRING, event_ts LONG, cfg_version LONG, pm_prb_usage_dl DOUBLE", "append", _time_mode(bounded))
+    return rows.withWatermark("event_time", delay).groupBy("cell_id").transformWithState(Enricher(rules.cfg_ttl_ms, rules.pm_ttl_ms), "cell_id STRING, chr_id STRING, event_ts LONG, cfg_version LONG, pm_prb_usage_dl DOUBLE", "append", "EventTime")
 
 
 def run_once(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
