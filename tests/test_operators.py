@@ -1,5 +1,7 @@
 """Operators on hand-made rows."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -271,3 +273,51 @@ def test_streaks_of_a_hot_entity_are_cut(spark):
     df = spark.createDataFrame(dense + sparse, EVAL)
     got = {r.entity_id: r.event_ts for r in anomaly.streaks(df, 3, 40).collect()}
     assert got == {"hot": 2, "cold": _streak([(t, True) for *_, t, _, _ in sparse], 3, 40)[0]}
+
+
+def _enriched(chr_, pm, cfg, cfg_ttl, pm_ttl):
+    """The enrichment as a machine with a state for each cell, row by row."""
+    rows = sorted([(c[1], 2, int(c[0]), c) for c in chr_] + [(p[4], 1, p[3], p) for p in pm] + [(c[2], 0, c[7], c) for c in cfg], key=lambda r: (r[3][3] if r[1] == 2 else r[3][1], *r[:3]))
+    out, state = {}, {}
+    for ts, kind, _, r in rows:
+        s = state.setdefault(r[3] if kind == 2 else r[1], {"cfg": None, "touched": None, "pm": None})
+        if kind == 1:
+            s["pm"] = (ts, r[5])
+            continue
+        if s["touched"] is not None and ts - s["touched"] > cfg_ttl:
+            s["cfg"] = None
+        s["touched"] = ts
+        if kind == 2:
+            out[r[0]] = (s["cfg"], s["pm"][1] if s["pm"] and ts - s["pm"][0] <= pm_ttl else None)
+        elif r[4]:
+            s["cfg"] = None
+        elif s["cfg"] is None or r[3] > s["cfg"]:
+            s["cfg"] = r[3]
+    return out
+
+
+def test_enrichment_in_blocks(spark):
+    """Blocks of any length give what a state machine gives, also with gaps, tombstones and ties at the edges of blocks."""
+    from test_streaming import CFG, CHR, PM
+
+    rng = random.Random(11)
+    times = lambda n: [rng.choice([rng.randrange(0, 400), 100 * rng.randrange(0, 40)]) for _ in range(n)]
+    cell = lambda: rng.choice("abc")
+    chr_ = [(str(i), t, "u", cell(), "", "ATTACH", 0, -90.0, 1.0) for i, t in enumerate(times(250))]
+    pm = [("", cell(), t, t + i, t, float(i), 1.0, 1, 0, 1, 0) for i, t in enumerate(times(60))]
+    cfg = [("s", cell(), t, rng.randrange(6), rng.random() < 0.25, 1.0, 1.0, i) for i, t in enumerate(times(60))]
+    tables = [spark.createDataFrame(rows, schema) for rows, schema in ((chr_, CHR), (pm, PM), (cfg, CFG))]
+    rules = Rules(cfg_ttl_ms=150, pm_ttl_ms=60)
+    want = _enriched(chr_, pm, cfg, 150, 60)
+    for block in (7, 100, 150):
+        got = enrich.enrich(*tables, rules, block).select("chr_id", "cfg.version", "pm.prb_usage_dl").collect()
+        assert {r[0]: (r[1], r[2]) for r in got} == want
+    with pytest.raises(ValueError, match="block"):
+        enrich.enrich(*tables, rules, 151)
+    assert enrich.enrich(*(t.limit(0) for t in tables), rules, 7).count() == 0
+
+
+def test_handovers_of_no_cell(spark):
+    rows = spark.createDataFrame([(str(i), i, None if i % 2 else "a", "HANDOVER", 1) for i in range(20)], "chr_id string, event_ts long, cell_id string, event_type string, result_code int")
+    rules = Rules(burst_ms=5, handover_attempts=4)
+    assert {(r.chr_id, r.attempts) for r in anomaly.handover_patterns(rows, rules).where("cell_id is null").collect()} == {(str(i), i // 2 + 1) for i in range(7, 20, 2)}

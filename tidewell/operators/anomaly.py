@@ -95,12 +95,18 @@ def attach_bursts(chr_: DataFrame, rules: Rules) -> DataFrame:
 
 
 def handover_patterns(chr_: DataFrame, rules: Rules) -> DataFrame:
-    """Handovers at which the failure rate over this bucket so far and the buckets before it is too high."""
+    """Handovers at which the failure rate over this bucket so far and the buckets before it is too high.
+
+    The buckets before come from counts by cell and bucket, so a window holds a bucket's handovers at most.
+    """
     rows = chr_.where("event_type = 'HANDOVER'").select("*", F.floor(F.col("event_ts") / rules.burst_ms).alias("bucket"), (F.col("result_code") != 0).cast("long").alias("failed"))
-    inside = Window.partitionBy("cell_id", "bucket").orderBy("event_ts", F.col("chr_id").cast("long")).rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy("cell_id").orderBy("bucket").rangeBetween(-(rules.handover_buckets - 1), -1)
-    both = lambda x: x.over(inside) + F.coalesce(x.over(earlier), F.lit(0))
-    rows = rows.withColumns({"attempts": both(F.count("*")), "failures": both(F.sum("failed"))})
+    rows_columns = rows.columns
+    sums = rows.groupBy("cell_id", "bucket").agg(F.count("*").alias("n"), F.sum("failed").alias("bad"))
+    sums = sums.select("cell_id", "bucket", *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("n", "bad")))
+    inside = Window.partitionBy("cell_id", "bucket").orderBy("event_ts", F.col("chr_id").cast("long")).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.alias("r").join(sums.alias("s"), F.col("r.cell_id").eqNullSafe(F.col("s.cell_id")) & (F.col("r.bucket") == F.col("s.bucket")))
+    rows = rows.select("r.*", "n_before", "bad_before").select(*rows_columns, (F.count("*").over(inside) + F.col("n_before")).alias("attempts"), (F.sum("failed").over(inside) + F.col("bad_before")).alias("failures"))
     return rows.where((F.col("attempts") >= rules.handover_attempts) & (F.col("failures") / F.col("attempts") > rules.handover_rate)).drop("failed", "bucket")
 
 
@@ -108,8 +114,8 @@ def config_mismatch(enriched: DataFrame) -> DataFrame:
     """The first event of each cell that contradicts its configuration, with the fields that do."""
     differ = lambda name: F.when(F.col(name) != F.col(f"cfg.{name}"), name)
     rows = enriched.where("cfg is not null").withColumn("fields", F.array_join(F.array_compact(F.array(*map(differ, ("tac", "pci", "eci", "arfcn")))), ",")).where("fields != ''")
-    first = F.row_number().over(Window.partitionBy("cell_id").orderBy("event_ts", F.col("chr_id").cast("long")))
-    return rows.withColumn("rank", first).where("rank = 1").drop("rank")
+    first = F.min_by(F.struct(*rows.columns), F.struct("event_ts", F.col("chr_id").cast("long")))
+    return rows.groupBy("cell_id").agg(first.alias("r")).select("r.*")
 
 
 #: What all anomaly feeds share.
