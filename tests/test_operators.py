@@ -1,5 +1,6 @@
 """Operators on hand-made rows."""
 
+import os
 import random
 
 import pytest
@@ -321,3 +322,69 @@ def test_handovers_of_no_cell(spark):
     rows = spark.createDataFrame([(str(i), i, None if i % 2 else "a", "HANDOVER", 1) for i in range(20)], "chr_id string, event_ts long, cell_id string, event_type string, result_code int")
     rules = Rules(burst_ms=5, handover_attempts=4)
     assert {(r.chr_id, r.attempts) for r in anomaly.handover_patterns(rows, rules).where("cell_id is null").collect()} == {(str(i), i // 2 + 1) for i in range(7, 20, 2)}
+
+
+def _days(spark, path):
+    """Rows of three hours: one wholly before the cutoff of 90 minutes, one through which it runs, one after it."""
+    rows = [(i, i * 600_000, "2024-01-01", f"{i // 6:02d}") for i in range(18)] + [(99, None, "2024-01-01", "00")]
+    spark.createDataFrame(rows, "id int, ts long, dt string, hour string").write.partitionBy("dt", "hour").parquet(path)
+
+
+def test_retention_of_rows(spark, tmp_path):
+    from tidewell.operators import retention
+
+    path, keys = f"{tmp_path}/rows of a=b", ["dt", "hour"]
+    _days(spark, path)
+    cut = 9 * 600_000
+    ids = lambda: sorted(r.id for r in retention.table_at(spark, path, keys).collect())
+    want = {"00": (7, 6, "rewrite"), "01": (6, 3, "rewrite"), "02": (6, 0, "keep")}
+    plan = lambda act: {r.hour: (r.n, r.expired, r.action) for r in retention.retain_rows(spark, path, "ts", cut, keys, act).collect()}
+    untouched = os.listdir(f"{path}/dt=2024-01-01/hour=02")
+    assert plan(False) == want and len(ids()) == 19
+    assert plan(True) == want and ids() == [*range(9, 18), 99]
+    assert os.listdir(f"{path}/dt=2024-01-01/hour=02") == untouched and os.listdir(tmp_path) == ["rows of a=b"]
+    files = sorted(os.listdir(f"{path}/dt=2024-01-01/hour=01"))
+    assert {a for _, _, a in plan(True).values()} == {"keep"} and ids() == [*range(9, 18), 99]
+    assert sorted(os.listdir(f"{path}/dt=2024-01-01/hour=01")) == files
+    # Without the row that has no time the first hour goes as a whole.
+    later = {r.hour: r.action for r in retention.retain_rows(spark, path, "ts", 12 * 600_000, keys, True).collect()}
+    assert later == {"00": "keep", "01": "drop", "02": "keep"} and sorted(os.listdir(f"{path}/dt=2024-01-01")) == ["hour=00", "hour=02"]
+    assert ids() == [*range(12, 18), 99]
+
+
+def test_retention_of_partitions(spark):
+    from tidewell.operators import retention
+
+    spark.sql("drop table if exists kept_hours")
+    rows = spark.createDataFrame([(i, "2024-01-15", f"{i:02d}") for i in range(6)], "id int, dt string, hour string")
+    rows.write.format("parquet").partitionBy("dt", "hour").saveAsTable("kept_hours")
+    cut = 1_705_276_800_000 + 3 * 3_600_000
+    due = [("2024-01-15", f"{h:02d}") for h in range(3)]
+    assert sorted(map(tuple, retention.drop_partitions(spark, "kept_hours", cut).collect())) == due and spark.table("kept_hours").count() == 6
+    assert sorted(map(tuple, retention.drop_partitions(spark, "kept_hours", cut, act=True).collect())) == due
+    assert sorted(r.id for r in spark.table("kept_hours").collect()) == [3, 4, 5]
+    assert retention.drop_partitions(spark, "kept_hours", cut, act=True).count() == 0
+    spark.sql("drop table kept_hours")
+
+
+def test_retention_of_files(spark, tmp_path):
+    from tidewell.operators import maintenance, retention
+
+    root, other = tmp_path / "files", tmp_path / "files-other"
+    for folder in (root / "dt=1", other):
+        folder.mkdir(parents=True)
+    for name, age in (("dt=1/old a.parquet", 100), ("dt=1/new.parquet", 1), ("dt=1/part.inprogress.1", 50), ("dt=1/stuck.inprogress.2", 500)):
+        (root / name).write_text(name)
+        os.utime(root / name, (10_000 - age, 10_000 - age))
+    (other / "old.parquet").write_text("x")
+    os.utime(other / "old.parquet", (1, 1))
+    uri = f"file:{root}"
+    due = maintenance.stale_files(readers.listing(spark, uri), (10_000 - 10) * 1000, (10_000 - 200) * 1000)
+    run = lambda files, n, act: {r.path.rsplit("/", 1)[1]: r.outcome for r in retention.delete_files(files, uri, f"{tmp_path}/log{n}", act).collect()}
+    assert set(run(due, 0, False).values()) == {"planned"} and len(list((root / "dt=1").iterdir())) == 4
+    planned = spark.createDataFrame(due.toArrow())
+    outside = spark.createDataFrame([(f"file:{other}/old.parquet", 1, 1000), (f"{uri}/../files-other/old.parquet", 1, 1000), (f"{uri}/dt=1/new.parquet", 8, 5), (f"{uri}/none.parquet", 1, 5), (f"{uri}/dt=1", 1, 5)], planned.schema)
+    got = retention.delete_files(planned.unionByName(outside), uri, f"{tmp_path}/log1", True)
+    assert sorted((r.path[len(uri):], r.outcome) for r in got.collect() if r.path.startswith(uri + "/")) == [("/../files-other/old.parquet", "refused"), ("/dt=1", "refused"), ("/dt=1/new.parquet", "changed"), ("/dt=1/old a.parquet", "deleted"), ("/dt=1/stuck.inprogress.2", "deleted"), ("/none.parquet", "gone")]
+    assert (other / "old.parquet").exists() and sorted(p.name for p in (root / "dt=1").iterdir()) == ["new.parquet", "part.inprogress.1"]
+    assert set(run(planned, 2, True).values()) == {"gone"} and run(maintenance.stale_files(readers.listing(spark, uri), (10_000 - 10) * 1000, (10_000 - 200) * 1000), 3, True) == {}

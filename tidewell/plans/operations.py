@@ -9,14 +9,15 @@ from tidewell.functions.scalar import haversine_km, sampled
 from tidewell.functions.scalar import latency_base as scalar_latency_base
 from tidewell.operators import maintenance as mt
 from tidewell.operators import metrics as mx
-from tidewell.operators import skew
+from tidewell.operators import retention, skew
 from tidewell.operators.kpi import kpi_with_cfg
 from tidewell.params import DAY, HOUR
 from tidewell.plans.registry import query
 from tidewell.plans.telemetry import _KPI, _kpi, geohash_sql, rounded
 from tidewell.plans.telemetry import _LATEST as _CFG_LATEST
-from tidewell.sources import readers
+from tidewell.sources import readers, sinks
 from tidewell.sources.adapters import events, view
+from tidewell.sources.workdir import new_folder
 
 N = 64
 _VB = f"cast(('0x' || substr(md5(cell_id), 1, 8))::bigint % {N} as int)"
@@ -448,8 +449,17 @@ def storage_inventory(spark, d):
 
 @query(f"{_KPI} select window_start_ts, cell_id from kpi where window_end_ts >= {CUT}")
 def retention_keep(spark, d):
-    """KPI rows that retention keeps."""
-    return mt.keep_since(_kpi(spark, d), "window_end_ts", CUT).select("window_start_ts", "cell_id")
+    """KPI rows in the table after retention has acted on it."""
+    folder = new_folder(spark, "retention")
+    _kpi(spark, d).withColumn("dt", sinks.day_and_hour("window_start_ts")["dt"]).repartition("dt").write.partitionBy("dt").parquet(folder)
+    retention.retain_rows(spark, folder, "window_end_ts", CUT, ["dt"], act=True)
+    return retention.table_at(spark, folder, ["dt"]).select("window_start_ts", "cell_id")
+
+
+@query(f"{_KPI}, p as (select strftime(make_timestamp(window_start_ts * 1000), '%Y-%m-%d') as dt, count(*) as n, count(*) filter (window_end_ts < {CUT}) as expired from kpi group by 1) select *, case when expired = 0 then 'keep' when expired < n then 'rewrite' else 'drop' end as action from p")
+def retention_plan(spark, d):
+    """What retention does to each day of the KPI table."""
+    return retention.partition_plan(_kpi(spark, d).withColumns(sinks.day_and_hour("window_start_ts")), "window_end_ts", CUT, ["dt"])
 
 
 @query(f"{_FILES} select distinct regexp_extract(path, '/dt=([^/]+)/', 1) as dt, regexp_extract(path, '/hour=([^/]+)/', 1) as hour from files where regexp_extract(path, '/dt=([^/]+)/', 1) || '-' || regexp_extract(path, '/hour=([^/]+)/', 1) < '2024-01-15-05'")
