@@ -122,12 +122,37 @@ def test_metric_rules(spark):
     lat = spark.createDataFrame([("a", 100), ("b", 5000), ("c", 4500), ("d", -1), ("e", 100)], "stage_id string, p95_ms long")
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("b", "d"), ("b", "e")], "source_id string, target_id string")
     assert {r.stage_id: r.delay_ms for r in metrics.operator_delay(lat, edges).collect()} == {"a": 100, "b": 4900, "c": 0, "d": -1, "e": -1}
-    good = ("r", "s", 1, "RUNNING", True, 1.0, 0, 0.1, 0, 10, 10, 10, 0, 10)
-    names = "run_id string, sink string, level int, job_status string, has_source boolean, delivery double, backlog int, backpressure double, checkpoint_failures int, checkpoint_ms long, kpi_p95 long, sink_p95 long, sink_failures int, lag long"
-    change = lambda k, v: (*good[:k], v, *good[k + 1 :])
-    rows = [good, change(3, "UNKNOWN"), change(3, "FAILED"), change(4, False), change(5, 0.9), change(6, 1), change(7, 0.3), change(8, 2), change(9, 130_000), change(10, 200_000), change(11, 200_000), change(12, 1), change(13, 200_000)]
-    got = [r.verdict for r in metrics.verdicts(spark.createDataFrame(rows, names)).collect()]
-    assert got == ["STABLE", "UNSTABLE", "FAILED", *["UNSTABLE"] * 10]
+    good = {"run_id": "r", "sink": "s", "level": 1, "job_status": "RUNNING", "has_source": True, "has_events": True, "delivery": 1.0, "backlog": 0, "backpressure": 0.1, "checkpoint_failures": 0, "checkpoint_ms": 10, "kpi_p95": 10, "sink_p95": 10, "write_p95": -1, "commit_p95": 10, "sink_failures": 0, "lag": 10, "windows_applicable": True, "windows_closed": 4, "windows_expected": 4, "storage_ok": True, "storage_summary": "down"}
+    # In the order of the rules, so that each row breaks its own rule and those after it.
+    bad = [("job_status", "UNKNOWN", "job status UNKNOWN"), ("job_status", "FAILED", "job status FAILED"), ("has_source", False, "source metrics missing"), ("has_events", False, "event source metrics missing"), ("windows_closed", 3, "closed 3 of 4 windows"), ("delivery", 0.9, "source throughput attainment"), ("backlog", 1, "source backlog"), ("backpressure", 0.3, "sustained backpressure"), ("checkpoint_failures", 2, "checkpoint failures"), ("checkpoint_ms", 130_000, "checkpoint duration"), ("kpi_p95", 200_000, "KPI availability p95 over threshold"), ("sink_p95", 200_000, "sink p95 over threshold"), ("write_p95", 200_000, "connector write p95 over threshold"), ("commit_p95", 200_000, "connector commit p95 over threshold"), ("sink_failures", 1, "sink failures"), ("lag", 200_000, "watermark lag"), ("storage_ok", False, "storage unhealthy: down")]
+    rows = [good]
+    for i in range(len(bad)):
+        rows.append(good | {k: v for k, v, _ in reversed(bad[i:])})
+    runs = spark.createDataFrame([tuple(r.values()) for r in rows], list(good))
+    got = [(r.verdict, r.reason) for r in metrics.verdicts(runs).collect()]
+    assert got == [("STABLE", "all thresholds healthy"), *(("FAILED" if v == "FAILED" else "UNSTABLE", why) for _, v, why in bad)]
+    none = good | {"windows_applicable": False, "windows_closed": 0}
+    judged = spark.createDataFrame([tuple(none.values())], list(good))
+    assert metrics.verdicts(judged).first().verdict == "STABLE"
+    states = {r.gate: (r.observed, r.threshold, r.state) for r in metrics.gate_table(judged).collect()}
+    assert states["windows"] == (-1.0, 0.0, "NA") and states["write_p95"][2] == "NA" and states["storage"] == (1.0, 1.0, "HEALTHY")
+    gates = {r.gate: r.state for r in metrics.gate_table(runs.where("windows_closed = 3").limit(1)).collect()}
+    assert gates["windows"] == gates["storage"] == gates["commit_p95"] == "UNSTABLE" and len(gates) == 15
+
+
+def test_sketched_percentiles(spark):
+    """Few latencies are exact; many are within 1 % of their rank, however the sketches were cut; no latency gives -1."""
+    rng = random.Random(1)
+    rows = [("many", i % 50, 1000, 1000 + int(rng.paretovariate(1.2) * 10)) for i in range(30_000)] + [("few", i, 1000, 1000 + 7 * i) for i in range(101)] + [("none", 1, 0, 5), ("late", 1, 1000, 900)]
+    samples = spark.createDataFrame(rows, "stage_id string, updated_at long, source_ts long, observed_ts long")
+    exact = {r.stage_id: r for r in metrics.percentiles(samples).collect()}
+    for interval in (1, 10, 1000):
+        found = metrics.rank_errors(samples, metrics.merged_percentiles(metrics.latency_sketches(samples, interval), "stage_id"))
+        got = {r.stage_id: r for r in found.collect()}
+        assert all((got[s].samples, got[s].max) == (exact[s].samples, exact[s].max) for s in exact) and all(r.error <= 0.01 for r in got.values())
+        assert all(tuple(got[s])[2:5] == tuple(exact[s])[2:5] for s in ("few", "none", "late"))
+    size = metrics.latency_sketches(samples, 10**6).where("stage_id = 'many'").select(F.octet_length("sketch")).first()[0]
+    assert size < 40_000
 
 
 def test_limits():

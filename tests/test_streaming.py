@@ -223,3 +223,55 @@ def test_configuration_of_kpis(spark, folder):
     batch = kpi.kpi_with_cfg(kpi.kpi(*(spark.read.parquet(f"{folder}/v-{n}") for n in ("chr", "pm")), Rules()), spark.createDataFrame(changes, CFG))
     want = {r.cell_id: (r.site_id, r.grid_id) for r in batch.where("cell_id != 'tick'").collect()}
     assert got == want and got["a"][0] == "s3" and got["b"] == got["c"] == ("", "")
+
+
+PLACED = "chr_id string, event_ts long, cell_id string, site_id string, event_type string, result_code int, rsrp double, latitude double, longitude double"
+
+
+def test_coverage_holes_across_batches(spark, folder):
+    """The count goes on from batch to batch, the hole is told once, and nothing is left of buckets that are over."""
+    from tidewell.streaming import timers
+
+    rules = Rules(coverage_ms=60_000, coverage_count=3)
+    at = lambda i, s, lat=31.2, rsrp=-120.0: (str(i), s * 1000, "c", "s", "DATA", 0, rsrp, lat, 121.4)
+    batches = [[at(1, 5), at(2, 4), at(3, 6, rsrp=-80.0), at(4, 9, lat=40.0)], [at(6, 12), at(5, 10), at(7, 13)], [at(8, 20), at(9, 70)], [at(10, 500)], [at(11, 900)]]
+    stream = _in_turn(spark, f"{folder}/h-in", batches, PLACED)
+    st.run_once(timers.coverage_holes(stream, rules), f"{folder}/h-out", f"{folder}/h-cp").stop()
+    got = [(r.window_start_ts, r.event_ts, r.seq) for r in spark.read.parquet(f"{folder}/h-out").collect()]
+    assert got == [(0, 10_000, 5)]
+    assert [r.entity_id for r in anomaly.coverage_holes(spark.read.parquet(f"{folder}/h-in"), rules).where("event_ts = 10000").collect()] == [r.grid_id for r in spark.read.parquet(f"{folder}/h-out").collect()]
+    assert _state(spark, f"{folder}/h-cp", "count") == 1
+
+
+def test_handover_patterns_across_batches(spark, folder):
+    from tidewell.streaming import timers
+
+    rules = Rules(handover_attempts=4)
+    rows = [(str(i), i * 7000, "ab"[i % 2], "s", "HANDOVER" if i % 5 else "DATA", int(i % 3 == 0), -90.0, 1.0, 1.0) for i in range(120)]
+    stream = _in_turn(spark, f"{folder}/o-in", [rows[:50], rows[50:51], rows[51:]], PLACED)
+    st.run_once(timers.handover_patterns(stream, rules), f"{folder}/o-out", f"{folder}/o-cp").stop()
+    key = lambda r: (r.cell_id, r.chr_id, r.event_ts, r.attempts, r.failures)
+    want = {key(r) for r in anomaly.handover_patterns(spark.createDataFrame(rows, PLACED), rules).collect()}
+    assert want and {key(r) for r in spark.read.parquet(f"{folder}/o-out").collect()} == want
+    assert 0 < _state(spark, f"{folder}/o-cp", "buckets") <= 2 * rules.handover_buckets
+
+
+def test_distinct_users_of_a_stream(spark, folder):
+    rows = st.sides(view(spark, SF, "chr"), view(spark, SF, "pm"))
+    rolled = st.rollups(st.kpis(rows, R, users=True), R).select("cell_id", "window_start_ts", "num_users", "distinct_users")
+    exact = {(r.cell_id, r.window_start_ts): r.users for r in kpi.distinct_users(view(spark, SF, "chr"), R.rollup_ms).collect()}
+    for r in rolled.collect():
+        n = exact.get((r.cell_id, r.window_start_ts), 0)
+        assert abs(r.distinct_users - n) <= 0.02 * n and r.num_users >= n
+
+
+def test_sketches_of_a_stream(spark, folder):
+    from tidewell.operators import metrics
+
+    rows = [("s", t * 1000, 1000, 1000 + t) for t in range(300)]
+    batches = [rows[:150], rows[150:], [("end", 10**7, 0, 0)], [("end", 10**7 + 1, 0, 0)]]
+    stream = _in_turn(spark, f"{folder}/k-in", batches, "stage_id string, updated_at long, source_ts long, observed_ts long")
+    sketches = metrics.latency_sketches(stream.withColumn("event_time", F.timestamp_millis("updated_at")).withWatermark("event_time", "1 second"), 60_000)
+    st.run_once(sketches, f"{folder}/k-out", f"{folder}/k-cp").stop()
+    got = metrics.merged_percentiles(spark.read.parquet(f"{folder}/k-out"), "stage_id").collect()
+    assert [tuple(r) for r in got] == [("s", 300, 149, 284, 296, 299)]

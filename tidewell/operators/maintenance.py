@@ -58,9 +58,10 @@ def orphan_files(files: DataFrame, referenced: DataFrame, now: int, age_ms: int,
 
 def inventory(files: DataFrame) -> DataFrame:
     """By table (the path's first folder): files, bytes, partition folders, the first and the last of them, and files in progress."""
-    table = F.regexp_extract("path", "^/?([^/]+)/", 1)
-    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
-    return files.groupBy(table.alias("root")).agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.count_distinct(folder).alias("folders"), F.min(folder).alias("first_folder"), F.max(folder).alias("last_folder"), F.count_if(F.col("path").contains(".inprogress")).alias("in_progress"))
+    parts = F.split("path", "/")
+    rows = files.select(F.regexp_extract("path", "^/?([^/]+)/", 1).alias("root"), F.array_join(F.slice(parts, 1, F.size(parts) - 1), "/").alias("folder"), "bytes", F.col("path").contains(".inprogress").alias("open"))
+    folders = rows.groupBy("root", "folder").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.count_if("open").alias("open"))
+    return folders.groupBy("root").agg(F.sum("files").alias("files"), F.sum("bytes").alias("bytes"), F.count("*").alias("folders"), F.min("folder").alias("first_folder"), F.max("folder").alias("last_folder"), F.sum("open").alias("in_progress"))
 
 
 def profile(kpis: DataFrame) -> DataFrame:

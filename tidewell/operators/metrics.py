@@ -9,9 +9,9 @@ from tidewell.functions.scalar import bucket_start, sink_scope, source_name, sta
 
 #: Thresholds of a run's verdict.
 GATES = {"backlog_max": 0, "backpressure_max": 0.2, "checkpoint_failures_max": 2, "checkpoint_ms_max": 120_000, "kpi_p95_max": 180_000, "sink_p95_max": 180_000, "lag_max": 180_000, "delivery_min": 0.98}
-#: Stages in the order in which they are shown; others come last.
 #: Names by which a stage tells that it belongs to one result sink.
 RESULT_SINKS = ("parquet", "table", "upsert", "kafka")
+#: Stages in the order in which they are shown; others come last.
 STAGE_ORDER = ("source-chr", "source-pm", "source-cfg", "kpi-1m", "kpi-5m", "sink-grid")
 
 
@@ -80,12 +80,53 @@ def relevant(samples: DataFrame, sink: str) -> DataFrame:
 
 
 def percentiles(samples: DataFrame) -> DataFrame:
-    """Nearest-rank percentiles of max(0, observed - source time) by stage; samples without a source time are left out, -1 where none is left."""
-    rows = samples.withColumn("latency", F.when(F.col("source_ts") > 0, F.greatest(F.col("observed_ts") - F.col("source_ts"), F.lit(0))))
+    """Nearest-rank percentiles of max(0, observed - source time) by stage; samples without a source time are left out, -1 where none is left.
+
+    Exact, so a stage's distinct latencies are held in one place; merged_percentiles() has a state of bounded size.
+    """
+    rows = samples.withColumn("latency", _latency())
     at = lambda p: F.expr(f"coalesce(percentile_disc({p}) within group (order by latency), -1)").cast("long")
     return rows.groupBy("stage_id").agg(F.count("latency").alias("samples"), at(0.5).alias("p50"), at(0.95).alias("p95"), at(0.99).alias("p99"), F.coalesce(F.max("latency"), F.lit(-1)).alias("max"))
 
 
+#: Size of a latency sketch: up to so many latencies it is exact, beyond them its ranks are within 0.3 % or so, whatever their number.
+SKETCH = 1024
+
+
+def _latency() -> Column:
+    return F.when(F.col("source_ts") > 0, F.greatest(F.col("observed_ts") - F.col("source_ts"), F.lit(0)))
+
+
+def latency_sketches(samples: DataFrame, interval_ms: int) -> DataFrame:
+    """(stage_id, slot_ts, sketch, max): the latencies of each stage and interval as a mergeable sketch of bounded size; batch or streaming (then samples need a watermark on event_time and slot is a window)."""
+    if samples.isStreaming:
+        w = F.window("event_time", f"{interval_ms} milliseconds")
+        rows = samples.groupBy("stage_id", w.alias("w"))
+        slot = F.unix_millis("w.start").alias("slot_ts")
+    else:
+        rows, slot = samples.groupBy("stage_id", bucket_start("updated_at", interval_ms).alias("slot_ts")), F.col("slot_ts")
+    return rows.agg(F.kll_sketch_agg_bigint(_latency(), SKETCH).alias("sketch"), F.max(_latency()).alias("max")).select("stage_id", slot, "sketch", "max")
+
+
+def merged_percentiles(sketches: DataFrame, *keys: str) -> DataFrame:
+    """(keys, samples, p50, p95, p99, max) of merged sketches: nearest ranks, -1 where there is no latency."""
+    out = sketches.groupBy(*keys).agg(F.kll_merge_agg_bigint("sketch", SKETCH).alias("s"), F.max("max").alias("max"))
+    n = F.coalesce(F.kll_sketch_get_n_bigint("s"), F.lit(0))
+    at = lambda p: F.when(n > 0, F.kll_sketch_get_quantile_bigint("s", F.lit(p).cast("double"))).otherwise(-1)
+    return out.select(*keys, n.alias("samples"), at(0.5).alias("p50"), at(0.95).alias("p95"), at(0.99).alias("p99"), F.coalesce("max", F.lit(-1)).alias("max"))
+
+
+def rank_errors(samples: DataFrame, found: DataFrame) -> DataFrame:
+    """found with `error`: by how much the worst of its percentiles misses its rank among the stage's latencies, as a share."""
+    rows = samples.withColumn("latency", _latency()).where("latency is not null")
+    rows = rows.join(found.select("stage_id", "p50", "p95", "p99"), "stage_id")
+    misses = []
+    for p, name in ((0.5, "p50"), (0.95, "p95"), (0.99, "p99")):
+        below, upto = (F.count_if(F.col("latency") < F.col(name)) / F.count("*"), F.count_if(F.col("latency") <= F.col(name)) / F.count("*"))
+        misses.append(F.greatest(below - p, p - upto, F.lit(0.0)))
+    return found.join(rows.groupBy("stage_id").agg(F.greatest(*misses).alias("error")), "stage_id", "left").na.fill(0.0, ["error"])
+
+
 def throughput(samples: DataFrame, interval_ms: int) -> DataFrame:
     """Records a second and worst lag by stage, subtask and interval."""
     slot = bucket_start("updated_at", interval_ms).alias("slot_ts")
@@ -111,12 +152,18 @@ def source_density(totals: DataFrame, cells: int) -> DataFrame:
 
 
 def verdicts(runs: DataFrame) -> DataFrame:
-    """FAILED, UNSTABLE or STABLE for each run by the first rule that it breaks, with the reason."""
+    """FAILED, UNSTABLE or STABLE for each run by the first rule that it breaks, with the reason.
+
+    Runs have windows_applicable, windows_closed and windows_expected (completeness() of the run), and storage_ok with
+    storage_summary. Negative latencies are not available and break no rule.
+    """
     g = GATES
     rules = [
         (F.col("job_status") == "UNKNOWN", "UNSTABLE", F.lit("job status UNKNOWN")),
         (F.col("job_status") != "RUNNING", "FAILED", F.concat(F.lit("job status "), "job_status")),
         (~F.col("has_source"), "UNSTABLE", F.lit("source metrics missing")),
+        (~F.col("has_events"), "UNSTABLE", F.lit("event source metrics missing")),
+        (F.col("windows_applicable") & (F.col("windows_closed") < F.col("windows_expected")), "UNSTABLE", F.format_string("closed %d of %d windows", "windows_closed", "windows_expected")),
         (F.col("delivery") < g["delivery_min"], "UNSTABLE", F.lit("source throughput attainment")),
         (F.col("backlog") > g["backlog_max"], "UNSTABLE", F.lit("source backlog")),
         (F.col("backpressure") > g["backpressure_max"], "UNSTABLE", F.lit("sustained backpressure")),
@@ -124,8 +171,11 @@ def verdicts(runs: DataFrame) -> DataFrame:
         (F.col("checkpoint_ms") > g["checkpoint_ms_max"], "UNSTABLE", F.lit("checkpoint duration")),
         (F.col("kpi_p95") > g["kpi_p95_max"], "UNSTABLE", F.lit("KPI availability p95 over threshold")),
         (F.col("sink_p95") > g["sink_p95_max"], "UNSTABLE", F.lit("sink p95 over threshold")),
+        (F.col("write_p95") > g["sink_p95_max"], "UNSTABLE", F.lit("connector write p95 over threshold")),
+        (F.col("commit_p95") > g["sink_p95_max"], "UNSTABLE", F.lit("connector commit p95 over threshold")),
         (F.col("sink_failures") > 0, "UNSTABLE", F.lit("sink failures")),
         (F.col("lag") > g["lag_max"], "UNSTABLE", F.lit("watermark lag")),
+        (~F.col("storage_ok"), "UNSTABLE", F.concat(F.lit("storage unhealthy: "), "storage_summary")),
     ]
     status, reason = F, F
     for bad, name, why in rules:
@@ -140,8 +190,12 @@ def gate_table(runs: DataFrame) -> DataFrame:
     yes = lambda c: c.cast("int").cast("double")
     running = F.col("job_status") == "RUNNING"
     gates = [gate("job_status", yes(running), 1, running, "FAILED"), gate("source", yes(F.col("has_source")), 1, F.col("has_source")), gate("delivery", F.when(F.col("has_source"), at("delivery")).otherwise(-1.0), GATES["delivery_min"], at("delivery") >= GATES["delivery_min"])]
-    gates += [gate(n, at(n), GATES[t], at(n) <= GATES[t]) for n, t in (("backlog", "backlog_max"), ("backpressure", "backpressure_max"), ("checkpoint_ms", "checkpoint_ms_max"), ("kpi_p95", "kpi_p95_max"), ("sink_p95", "sink_p95_max"), ("lag", "lag_max"))]
+    gates += [gate(n, at(n), GATES[t], at(n) <= GATES[t]) for n, t in (("backlog", "backlog_max"), ("backpressure", "backpressure_max"), ("checkpoint_ms", "checkpoint_ms_max"), ("kpi_p95", "kpi_p95_max"), ("sink_p95", "sink_p95_max"), ("write_p95", "sink_p95_max"), ("commit_p95", "sink_p95_max"), ("lag", "lag_max"))]
     gates += [gate("checkpoint_failures", at("checkpoint_failures"), GATES["checkpoint_failures_max"], at("checkpoint_failures") < GATES["checkpoint_failures_max"]), gate("sink_failures", at("sink_failures"), 0, at("sink_failures") <= 0)]
+    # The windows' threshold is the run's own.
+    expected = F.when(F.col("windows_applicable"), at("windows_expected")).otherwise(0.0)
+    closed = F.when(F.col("windows_applicable"), at("windows_closed")).otherwise(-1.0)
+    gates += [gate("windows", closed, 0, closed >= expected).withField("threshold", expected), gate("storage", yes(F.col("storage_ok")), 1, F.col("storage_ok"))]
     return runs.select("run_id", F.explode(F.array(*gates)).alias("g")).select("run_id", "g.*")
 
 

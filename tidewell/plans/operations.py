@@ -196,6 +196,17 @@ def stage_percentiles(spark, d):
     return mx.percentiles(view(spark, d, "samples"))
 
 
+_SKETCHED = "select stage_id, count(l) as samples, max(l) as max, true as close from (select stage_id, case when source_ts > 0 then greatest(observed_ts - source_ts, 0) end as l from samples) group by 1"
+
+
+@query(_SKETCHED)
+def stage_percentiles_merged(spark, d):
+    """Latency percentiles by stage from merged daily sketches: samples, the greatest, and whether all ranks are within 1 %."""
+    samples = view(spark, d, "samples")
+    found = mx.rank_errors(samples, mx.merged_percentiles(mx.latency_sketches(samples, DAY), "stage_id"))
+    return found.select("stage_id", "samples", "max", (F.col("error") <= 0.01).alias("close"))
+
+
 @query(f"select stage_id, subtask, updated_at - updated_at % {DAY} as slot_ts, cast(sum(records) as bigint) as records, round(sum(records) / 86400.0, 6) as eps, max(lag_ms) as lag_ms from samples group by all")
 def stage_throughput(spark, d):
     """Records a second by stage, subtask and day."""
@@ -242,10 +253,18 @@ _RUN = {
     "sink_p95": "c_custkey * 1871 % 190000 - 1",
     "sink_failures": "case when c_custkey % 47 = 0 then 1 else 0 end",
     "lag": "c_custkey * 2011 % 185000",
+    "has_events": "c_custkey % 53 <> 0",
+    "windows_applicable": "c_custkey % 3 <> 2",
+    "windows_closed": "case when c_custkey % 19 = 0 then 7 else 12 end",
+    "windows_expected": "12",
+    "write_p95": "c_custkey * 2203 % 186000 - 1",
+    "commit_p95": "c_custkey * 2311 % 184000 - 1",
+    "storage_ok": "c_custkey % 23 <> 0",
+    "storage_summary": "concat('probe ', cast(c_custkey % 4 as string))",
 }
 _RUNS = f"runs as (select {', '.join(f'{e} as {n}' for n, e in _RUN.items())} from customer)"
-_VERDICTS = f"""{_RUNS}, judged as (select *, case when job_status = 'UNKNOWN' then 'job status UNKNOWN' when job_status <> 'RUNNING' then 'job status ' || job_status when not has_source then 'source metrics missing' when delivery < 0.98 then 'source throughput attainment'
- when backlog > 0 then 'source backlog' when backpressure > 0.2 then 'sustained backpressure' when checkpoint_failures >= 2 then 'checkpoint failures' when checkpoint_ms > 120000 then 'checkpoint duration' when kpi_p95 > 180000 then 'KPI availability p95 over threshold' when sink_p95 > 180000 then 'sink p95 over threshold' when sink_failures > 0 then 'sink failures' when lag > 180000 then 'watermark lag' else 'all thresholds healthy' end as reason,
+_VERDICTS = f"""{_RUNS}, judged as (select *, case when job_status = 'UNKNOWN' then 'job status UNKNOWN' when job_status <> 'RUNNING' then 'job status ' || job_status when not has_source then 'source metrics missing' when not has_events then 'event source metrics missing' when windows_applicable and windows_closed < windows_expected then 'closed ' || windows_closed || ' of ' || windows_expected || ' windows' when delivery < 0.98 then 'source throughput attainment'
+ when backlog > 0 then 'source backlog' when backpressure > 0.2 then 'sustained backpressure' when checkpoint_failures >= 2 then 'checkpoint failures' when checkpoint_ms > 120000 then 'checkpoint duration' when kpi_p95 > 180000 then 'KPI availability p95 over threshold' when sink_p95 > 180000 then 'sink p95 over threshold' when write_p95 > 180000 then 'connector write p95 over threshold' when commit_p95 > 180000 then 'connector commit p95 over threshold' when sink_failures > 0 then 'sink failures' when lag > 180000 then 'watermark lag' when not storage_ok then 'storage unhealthy: ' || storage_summary else 'all thresholds healthy' end as reason,
  case when job_status not in ('UNKNOWN', 'RUNNING') then 'FAILED' end as f from runs), verdicts as (select * exclude (f), coalesce(f, case when reason = 'all thresholds healthy' then 'STABLE' else 'UNSTABLE' end) as verdict from judged)"""
 
 
@@ -259,7 +278,9 @@ _GATES = {
     "job_status": ("case when job_status = 'RUNNING' then 1 else 0 end", 1, "o >= 1", "FAILED"),
     "source": ("case when has_source then 1 else 0 end", 1, "o >= 1", "UNSTABLE"),
     "delivery": ("case when has_source then delivery else -1 end", 0.98, "o >= 0.98", "UNSTABLE"),
-    **{n: (n, t, f"o <= {t}", "UNSTABLE") for n, t in (("backlog", 0), ("backpressure", 0.2), ("checkpoint_ms", 120000), ("kpi_p95", 180000), ("sink_p95", 180000), ("lag", 180000), ("sink_failures", 0))},
+    **{n: (n, t, f"o <= {t}", "UNSTABLE") for n, t in (("backlog", 0), ("backpressure", 0.2), ("checkpoint_ms", 120000), ("kpi_p95", 180000), ("sink_p95", 180000), ("write_p95", 180000), ("commit_p95", 180000), ("lag", 180000), ("sink_failures", 0))},
+    "windows": ("case when windows_applicable then windows_closed else -1 end", "case when windows_applicable then windows_expected else 0 end", "not windows_applicable or o >= windows_expected", "UNSTABLE"),
+    "storage": ("case when storage_ok then 1 else 0 end", 1, "o >= 1", "UNSTABLE"),
     "checkpoint_failures": ("checkpoint_failures", 2, "o < 2", "UNSTABLE"),
 }
 

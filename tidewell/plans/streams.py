@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.operators import anomaly
+from tidewell.operators import anomaly, kpi
 from tidewell.plans import telemetry as t
 from tidewell.plans.registry import query
 from tidewell.sources import adapters, sinks
@@ -63,6 +63,27 @@ def stream_kpi_cfg(spark, d):
     return _sink(spark, rows, "stream-cfg").select("window_start_ts", "cell_id", "site_id", "join_quality", "grid_id")
 
 
+@query(f"{t._KPI}, {_SEEN} select cell_id, event_ts - event_ts % {t.RW} as window_start_ts, count(distinct imsi) as users, true as close from chr, seen where event_ts - event_ts % {t.RW} + {t.RW} <= mark group by all")
+def stream_distinct_users(spark, d):
+    """Distinct users of the rollup's windows from sketches that the stream merges, held against exact numbers."""
+    rolled = _sink(spark, st.rollups(st.kpis(st.sides(_stream(spark, d, "chr"), _stream(spark, d, "pm")), R, users=True), R), "stream-users").select("cell_id", "window_start_ts", "distinct_users")
+    exact = kpi.distinct_users(adapters.view(spark, d, "chr"), t.RW).select("cell_id", "window_start_ts", "users")
+    near = F.abs(F.col("distinct_users") - F.col("users")) <= F.col("users") * 0.02
+    return rolled.join(exact, ["cell_id", "window_start_ts"]).select("cell_id", "window_start_ts", "users", near.alias("close"))
+
+
+@query(f"{t._GRID} select grid_id, window_start_ts, event_ts, cast(chr_id as bigint) as seq, site_id, cell_id, latitude, longitude from grid where n = {R.coverage_count}")
+def stream_coverage_holes(spark, d):
+    """Coverage holes by a counter for each grid cell and bucket."""
+    return _sink(spark, timers.coverage_holes(_stream(spark, d, "chr"), R), "stream-holes")
+
+
+@query(t._HANDOVER)
+def stream_handover_pattern(spark, d):
+    """Handover patterns by the counts of a cell's latest buckets."""
+    return _sink(spark, timers.handover_patterns(_stream(spark, d, "chr"), R), "stream-handover").select("cell_id", "chr_id", "event_ts", "attempts", "failures")
+
+
 _CLOSED = t._KPI.replace("kpi as (select", "kpi_all as (select", 1)
 
 

@@ -273,9 +273,12 @@ def _with(**changes):
     return replace(R, **changes)
 
 
-@query(f"""h as (select *, event_ts // {R.burst_ms} as b, case when result_code <> 0 then 1 else 0 end as f from chr where event_type = 'HANDOVER'),
+_HANDOVER = f"""h as (select *, event_ts // {R.burst_ms} as b, case when result_code <> 0 then 1 else 0 end as f from chr where event_type = 'HANDOVER'),
  p as (select x.chr_id, x.cell_id, x.event_ts, count(*) as attempts, cast(sum(y.f) as bigint) as failures from h x join h y on x.cell_id = y.cell_id and y.b between x.b - {R.handover_buckets - 1} and x.b and (y.b < x.b or (y.event_ts, cast(y.chr_id as bigint)) <= (x.event_ts, cast(x.chr_id as bigint))) group by all)
- select * from p where attempts >= {R.handover_attempts} and failures / attempts > {R.handover_rate}""")
+ select * from p where attempts >= {R.handover_attempts} and failures / attempts > {R.handover_rate}"""
+
+
+@query(_HANDOVER)
 def handover_fail_pattern(spark, d):
     """Handovers at which the recent failure rate of the cell is too high."""
     return anomaly.handover_patterns(view(spark, d, "chr"), R).select("chr_id", "cell_id", "event_ts", "attempts", "failures")

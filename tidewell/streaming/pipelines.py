@@ -56,15 +56,16 @@ def sides(chr_: DataFrame, pm: DataFrame, delay: str | None = None) -> DataFrame
     return late(a).unionByName(late(b), allowMissingColumns=True)
 
 
-def kpis(rows: DataFrame, rules: Rules, delay: str | None = DELAY, kind: str = "MIN_1") -> DataFrame:
+def kpis(rows: DataFrame, rules: Rules, delay: str | None = DELAY, kind: str = "MIN_1", users: bool = False) -> DataFrame:
     """Windowed KPIs of sides(), batch or streaming: one row a cell and window with all measures of the batch KPIs, labelled by the sides that were there.
 
     Users are counted by a mergeable sketch of fixed size (exact for a few hundred, within 2 % beyond), so the
     state of a window doesn't grow with its users. Rows later than the delay are dropped. delay: None if the rows
-    have watermarks already.
+    have watermarks already. users: keep the sketch as user_sketch, for rollups() to merge.
     """
     w = F.window("event_time", f"{rules.fact_ms} milliseconds")
-    return kpi_measures((rows.withWatermark("event_time", delay) if delay else rows).groupBy(w.alias("w"), "cell_id").agg(*kpi_sums()), kind)
+    sketch = ([F.hll_sketch_agg("imsi", 12).alias("user_sketch")], ["user_sketch"]) if users else ([], [])
+    return kpi_measures((rows.withWatermark("event_time", delay) if delay else rows).groupBy(w.alias("w"), "cell_id").agg(*kpi_sums(), *sketch[0]), kind, *sketch[1])
 
 
 def kpi_sums() -> list[Column]:
@@ -94,8 +95,14 @@ def kpi_measures(out: DataFrame, kind: str, *more: str) -> DataFrame:
 
 
 def rollups(rows: DataFrame, rules: Rules, kind: str = "MIN_5") -> DataFrame:
-    """Rollup of kpis() into longer windows by the rules of the batch rollup, chained on the first windows' time."""
+    """Rollup of kpis() into longer windows by the rules of the batch rollup, chained on the first windows' time.
+
+    num_users is the sum over the windows, as in the batch; with the sketches of kpis(users=True) distinct_users says
+    how many different users there were in the longer window, from sketches merged in state of fixed size.
+    """
     children, _, parts = rollup_parts(rows, rules, kind)
+    if "user_sketch" in rows.columns:
+        parts = [*parts, F.hll_sketch_estimate(F.hll_union_agg("user_sketch")).alias("distinct_users")]
     out = children.groupBy(F.window("w", f"{rules.rollup_ms} milliseconds").alias("v"), "cell_id").agg(*parts)
     return out.withColumn("window_start_ts", F.unix_millis("v.start")).drop("v")
 

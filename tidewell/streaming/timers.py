@@ -1,4 +1,4 @@
-"""Stateful streams with event-time timers: early joined KPI rows and versioned configuration.
+"""Stateful streams with event-time timers: early joined KPI rows with versioned configuration, coverage holes and handover patterns.
 
 What is heavy (sums of windows, ratios, geohashes) is done by Spark before and after; the processors here only hold
 what waits. All of them go by event time, so a query over what is there now comes to its end, and state leaves
@@ -7,6 +7,7 @@ when the watermark says that nothing can need it any more.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from typing import Any
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tidewell.functions.scalar import first_non_blank, geohash
+from tidewell.functions.scalar import bucket_start, first_non_blank, geohash, weak_signal
 from tidewell.params import Rules
 from tidewell.streaming.pipelines import JOIN_WAIT_S, OUT_OF_ORDER_S, kpi_measures, kpi_sums, sides
 
@@ -93,3 +94,107 @@ def early_kpis(chr_: DataFrame, pm: DataFrame, rules: Rules, cfg: DataFrame | No
     if cfg is None:
         return out.drop("cfg_site", "cfg_grid")
     return out.withColumns({"grid_id": F.coalesce("cfg_grid", F.lit("")), "site_id": first_non_blank(F.col("site_id"), F.col("cfg_site"))}).drop("cfg_site", "cfg_grid")
+
+
+class Holes(StatefulProcessor):
+    """Counts the weak-signal events of a grid cell's time bucket and tells the one that reaches the count, once.
+
+    The state is a number; a timer drops it when no event of the bucket can come any more.
+    """
+
+    def __init__(self, needed: int, length_ms: int):
+        self.needed, self.length_ms = needed, length_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.count = handle.getValueState("count", "n LONG")
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:  # noqa: N802, N803
+        before = self.count.get()[0] if self.count.exists() else 0
+        if not self.count.exists():
+            self.handle.registerTimer(key[1] + self.length_ms)
+        n, missing = 0, self.needed - before
+        # Only the rows up to the one that reaches the count are ever held.
+        first: list[tuple] = []
+        for row in rows:
+            n += 1
+            if missing > 0:
+                heapq.heappush(first, _Last((row["event_ts"], row["seq"], row["site_id"], row["cell_id"], row["latitude"], row["longitude"])))
+                if len(first) > missing:
+                    heapq.heappop(first)
+        if 0 < missing <= n:
+            yield Row("grid_id", "window_start_ts", "event_ts", "seq", "site_id", "cell_id", "latitude", "longitude")(*key, *first[0].row)
+        self.count.update((before + n,))
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:  # noqa: N802, N803
+        self.count.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+class _Last:
+    """A row that a heap gives out first if it is the last in time."""
+
+    def __init__(self, row: tuple):
+        self.row = row
+
+    def __lt__(self, other: _Last) -> bool:
+        return self.row[:2] > other.row[:2]
+
+
+def coverage_holes(chr_: DataFrame, rules: Rules, delay: str = f"{OUT_OF_ORDER_S} seconds") -> DataFrame:
+    """Streaming twin of the batch coverage holes. Inside a micro-batch events count by time, across them as they come."""
+    weak = chr_.where(weak_signal(F.col("rsrp"), rules.rsrp_min)).select(geohash(F.col("latitude"), F.col("longitude")).alias("grid_id"), bucket_start("event_ts", rules.coverage_ms).alias("window_start_ts"), F.timestamp_millis("event_ts").alias("event_time"), "event_ts", F.col("chr_id").cast("long").alias("seq"), "site_id", "cell_id", "latitude", "longitude")
+    schema = "grid_id STRING, window_start_ts LONG, event_ts LONG, seq LONG, site_id STRING, cell_id STRING, latitude DOUBLE, longitude DOUBLE"
+    return weak.withWatermark("event_time", delay).groupBy("grid_id", "window_start_ts").transformWithState(Holes(rules.coverage_count, rules.coverage_ms), schema, "append", "EventTime")
+
+
+class Handovers(StatefulProcessor):
+    """Attempts and failures of a cell's handovers in its latest buckets; tells each handover at which the failure rate is too high.
+
+    A bucket's two numbers leave with a timer when the last bucket that looks back at it is over.
+    """
+
+    def __init__(self, rules: Rules):
+        self.rules = rules
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buckets = handle.getMapState("buckets", "bucket LONG", "attempts LONG, failures LONG")
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:  # noqa: N802, N803
+        r, out = self.rules, Row("cell_id", "chr_id", "event_ts", "attempts", "failures")
+        held = {k[0]: list(v) for k, v in self.buckets.iterator()}
+        touched = set()
+        # The key's rows of this micro-batch, whose size the source's limits bound.
+        for row in sorted(rows, key=lambda x: (x["event_ts"], x["seq"])):
+            bucket = row["event_ts"] // r.burst_ms
+            mine = held.setdefault(bucket, [0, 0])
+            mine[0] += 1
+            mine[1] += row["failed"]
+            touched.add(bucket)
+            attempts, failures = (sum(held.get(b, (0, 0))[i] for b in range(bucket - r.handover_buckets + 1, bucket + 1)) for i in (0, 1))
+            if attempts >= r.handover_attempts and failures / attempts > r.handover_rate:
+                yield out(key[0], str(row["seq"]), row["event_ts"], attempts, failures)
+        for bucket in touched:
+            if not self.buckets.containsKey((bucket,)):
+                self.handle.registerTimer(self._due(bucket))
+            self.buckets.updateValue((bucket,), tuple(held[bucket]))
+
+    def _due(self, bucket: int) -> int:
+        return (bucket + self.rules.handover_buckets) * self.rules.burst_ms
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:  # noqa: N802, N803
+        self.buckets.removeKey((expiredTimerInfo.getExpiryTimeInMs() // self.rules.burst_ms - self.rules.handover_buckets,))
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def handover_patterns(chr_: DataFrame, rules: Rules, delay: str = f"{OUT_OF_ORDER_S} seconds") -> DataFrame:
+    """Streaming twin of the batch handover patterns. Inside a micro-batch handovers count by time, across them as they come."""
+    rows = chr_.where("event_type = 'HANDOVER'").select("cell_id", "event_ts", F.timestamp_millis("event_ts").alias("event_time"), F.col("chr_id").cast("long").alias("seq"), (F.col("result_code") != 0).cast("int").alias("failed"))
+    return rows.withWatermark("event_time", delay).groupBy("cell_id").transformWithState(Handovers(rules), "cell_id STRING, chr_id STRING, event_ts LONG, attempts LONG, failures LONG", "append", "EventTime")
