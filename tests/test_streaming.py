@@ -275,3 +275,60 @@ def test_sketches_of_a_stream(spark, folder):
     st.run_once(sketches, f"{folder}/k-out", f"{folder}/k-cp").stop()
     got = metrics.merged_percentiles(spark.read.parquet(f"{folder}/k-out"), "stage_id").collect()
     assert [tuple(r) for r in got] == [("s", 300, 149, 284, 296, 299)]
+
+
+def test_routes_change_while_the_stream_runs(spark, folder):
+    """Two versions of a route and events between them; an older version changes nothing, a cell without a route has no shift."""
+    from tidewell.operators import skew
+    from tidewell.streaming import timers
+
+    events = [("1", 5, "a"), ("2", 15, "a"), ("3", 15, "b")], [("4", 25, "a"), ("5", 26, "a")], [("6", 40, "a")]
+    routes = [("a", 3, 1, 10), ("a", 5, 2, 20)], [("a", 9, 1, 30)], [("a", 6, 3, 35)]
+    got_events = _in_turn(spark, f"{folder}/r-ev", events, "chr_id string, event_ts long, cell_id string")
+    got_routes = _in_turn(spark, f"{folder}/r-rt", routes, "cell_id string, shift int, routing_version long, ts long")
+    st.run_once(timers.routed(got_events, got_routes, 64, salts=3), f"{folder}/r-out", f"{folder}/r-cp").stop()
+    got = {r.chr_id: (r.shift, r.vbucket) for r in spark.read.parquet(f"{folder}/r-out").collect()}
+    assert {k: v[0] for k, v in got.items()} == {"1": 0, "2": 3, "3": 0, "4": 5, "5": 5, "6": 6}
+    plain = skew.routed(spark.createDataFrame(events[0][1:2], "chr_id string, event_ts long, cell_id string"), spark.createDataFrame([("a", 3)], "cell_id string, shift int"), 64).first()
+    assert got["2"][1] == plain.vbucket
+
+
+def test_samples_of_a_running_stream(spark, folder):
+    """A stream leaves samples by subtask and of its connector, which the queries over samples read."""
+    from tidewell.operators import metrics
+    from tidewell.streaming import probes
+
+    log = probes.SampleLog()
+    listener = probes.Progress(log)
+    spark.streams.addListener(listener)
+    batches = [[_event(10 + i, "ab"[i % 2], i) for i in range(20)], [_event(100 + i, "a", 50 + i) for i in range(7)]]
+    stream = _in_turn(spark, f"{folder}/s-in", batches, CHR).withColumn("event_time", F.timestamp_millis("event_ts")).withWatermark("event_time", "1 second")
+    table, out = f"{folder}/s-samples", f"{folder}/s-out"
+    write = probes.sampled_batches(lambda b, n: b.write.mode("append").parquet(out), table, "run-1", "kpi-1m", "event_ts")
+    q = stream.repartition(3).writeStream.foreachBatch(write).option("checkpointLocation", f"{folder}/s-cp").trigger(availableNow=True).start()
+    q.awaitTermination()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(20_000)
+    spark.streams.removeListener(listener)
+    assert log.write(spark, table) >= 4 and log.write(spark, table) == 0
+    samples = probes.read_samples(spark, table)
+    own = samples.where("run_id = 'run-1'")
+    assert own.agg(F.sum("records")).first()[0] == 27 == spark.read.parquet(out).count() and own.select("subtask").distinct().count() > 1
+    rolled = {r.stage_id: r for r in metrics.stage_rollup(samples).collect()}
+    assert rolled["kpi-1m"].p95_ms > 10**9 and set(rolled) == {"kpi-1m", "sink-connector-write", "sink-connector-commit"}
+    found = {r.stage_id: r for r in metrics.connectors(samples).collect()}
+    assert found["sink-connector-write"].samples >= 2 and found["sink-connector-write"].p95 > 0 and found["sink-connector-commit"].status == "healthy"
+    assert samples.where("updated_at < 1600000000000").count() == 0 and samples.where("stage_id = 'sink-connector-write' and lag_ms > 0").count() >= 1
+
+
+def test_stream_that_goes_on(spark, folder):
+    """run_always() takes up files that come while it runs."""
+    rows = view(spark, SF, "chr").select("chr_id").limit(3)
+    stream = _stream(spark, folder, "on", rows)
+    q = st.run_always(stream, f"{folder}/on-out", f"{folder}/on-cp", seconds=0.2)
+    try:
+        q.processAllAvailable()
+        rows.write.mode("append").parquet(f"{folder}/on")
+        q.processAllAvailable()
+        assert spark.read.parquet(f"{folder}/on-out").count() == 6 and q.isActive
+    finally:
+        q.stop()

@@ -50,7 +50,7 @@ def streaks(evaluations: DataFrame, needed: int, window_ms: int) -> DataFrame:
     Per entity and dimension in the order of time: a good evaluation ends the streak and arms the alarm again; a bad
     one continues it, or starts it anew if the streak's first bad one is over window_ms old, without arming the
     alarm. An armed alarm goes off once. A window first cuts the evaluations into runs of bad ones; the fold that
-    follows has only (time, number) of a run's rows, and of those none after the first place where 2 * needed - 1
+    follows has only a run's rows, each once with all that its alarm tells, and of those none after the first place where 2 * needed - 1
     rows lie within window_ms, because by then the alarm has gone off wherever its streak began. So the fold's rows
     are bounded by the run's length in time, not by how many events a hot entity has.
     """
@@ -60,16 +60,19 @@ def streaks(evaluations: DataFrame, needed: int, window_ms: int) -> DataFrame:
     inside = Window.partitionBy(*keys).orderBy("event_ts", "seq")
     sure = F.coalesce(F.col("event_ts") - F.lag("event_ts", 2 * needed - 2).over(inside) <= window_ms, F.lit(False)) if needed > 1 else F.lit(True)
     few = runs.withColumn("sure", sure).withColumn("decided", F.coalesce(F.count_if("sure").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) > 0).where("not decided")
-    start = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("first"), F.lit(None).cast("struct<event_ts:bigint,seq:bigint>").alias("hit"))
+    rest = [c for c in runs.columns if c not in (*keys, "event_ts", "seq", "abnormal")]
+    folded = few.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("event_ts", "seq", *rest))).alias("rows"))
+    kind = folded.schema["rows"].dataType.elementType
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("first"), F.lit(None).cast(kind).alias("hit"))
 
     def step(state: Column, row: Column) -> Column:
         fresh = (state["n"] == 0) | (row["event_ts"] - state["first"] > window_ms)
         n = F.when(fresh, 1).otherwise(state["n"] + 1)
         return F.struct(n.alias("n"), F.when(fresh, row["event_ts"]).otherwise(state["first"]).alias("first"), F.coalesce(state["hit"], F.when(n >= needed, row)).alias("hit"))
 
-    folded = few.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("event_ts", "seq"))).alias("rows"))
-    hits = folded.select(*keys, F.aggregate("rows", start, step)["hit"].alias("hit")).where("hit is not null").select(*keys, "hit.event_ts", "hit.seq")
-    return runs.join(hits, [*keys, "event_ts", "seq"]).drop("run", "abnormal")
+    hits = folded.select(*keys, F.aggregate("rows", start, step)["hit"].alias("hit")).where("hit is not null")
+    order = [c for c in evaluations.columns if c != "abnormal"]
+    return hits.select(*keys, "hit.*").select(*order)
 
 
 def coverage_holes(chr_: DataFrame, rules: Rules) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators import anomaly, kpi
+from tidewell.plans import operations
 from tidewell.plans import telemetry as t
 from tidewell.plans.registry import query
 from tidewell.sources import adapters, sinks
@@ -84,6 +85,16 @@ def stream_handover_pattern(spark, d):
     return _sink(spark, timers.handover_patterns(_stream(spark, d, "chr"), R), "stream-handover").select("cell_id", "chr_id", "event_ts", "attempts", "failures")
 
 
+_ROUTES = f"env as (select cell_id, event_ts as ts, 1 as ord, chr_id, cast(null as bigint) as v from chr union all select cell_id, effective_ts, 0, null, cfg_seq from cfg), route as (select cell_id, chr_id, ts as event_ts, max(v) over (partition by cell_id order by ts, ord) as v, ord from env)"
+
+
+@query(f"{_ROUTES} select cell_id, chr_id, event_ts, coalesce(cast(v % 7 as int), 0) as shift, xor({operations._VB}, coalesce(cast(v % 7 as int), 0)) & {operations.N - 1} as vbucket from route where ord = 1")
+def stream_routed_events(spark, d):
+    """Events with the bucket that the routing table gave them at their time; each configuration makes a new version of its cell's route."""
+    routes = _stream(spark, d, "cfg").select("cell_id", (F.col("cfg_seq") % 7).cast("int").alias("shift"), F.col("cfg_seq").alias("routing_version"), F.col("effective_ts").alias("ts"))
+    return _sink(spark, timers.routed(_stream(spark, d, "chr"), routes, operations.N), "stream-routed")
+
+
 _CLOSED = t._KPI.replace("kpi as (select", "kpi_all as (select", 1)
 
 

@@ -138,8 +138,12 @@ def sink_of(name: str | None) -> str:
     return name.lower() if name and name.lower() in SINKS else "parquet"
 
 
-def write_results(outputs: dict[str, DataFrame], sink: str | None, root: str) -> None:
-    """Write all outputs (kpi, kpi_rollup, cell, user, grid) to one sink."""
+def write_results(outputs: dict[str, DataFrame], sink: str | None, root: str, order: str | None = None) -> None:
+    """Write all outputs (kpi, kpi_rollup, cell, user, grid) to one sink.
+
+    order: the column by which an upsert takes the later of two rows of one key (an arrival number, say); outputs
+    without it must not have two different rows of a key.
+    """
     kind = sink_of(sink)
     for name, df in outputs.items():
         is_kpi = name.startswith("kpi")
@@ -153,7 +157,7 @@ def write_results(outputs: dict[str, DataFrame], sink: str | None, root: str) ->
             append_by_name(dated, f"{root}.{name}")
         elif kind == "upsert":
             dated = df.withColumns(day_and_hour("window_start_ts" if is_kpi else "event_ts"))
-            upsert(dated, f"{root}/{name}", KPI_KEY if is_kpi else ANOMALY_KEY, ["dt"])
+            upsert(dated, f"{root}/{name}", KPI_KEY if is_kpi else ANOMALY_KEY, ["dt"], order if order in df.columns else None)
         else:
             (write_kpis if is_kpi else write_anomalies)(df, f"{root}/{name}")
 

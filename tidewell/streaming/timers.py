@@ -1,4 +1,4 @@
-"""Stateful streams with event-time timers: early joined KPI rows with versioned configuration, coverage holes and handover patterns.
+"""Stateful streams with event-time timers: early joined KPI rows with versioned configuration, coverage holes, handover patterns and routing by version.
 
 What is heavy (sums of windows, ratios, geohashes) is done by Spark before and after; the processors here only hold
 what waits. All of them go by event time, so a query over what is there now comes to its end, and state leaves
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tidewell.functions.scalar import bucket_start, first_non_blank, geohash, weak_signal
+from tidewell.functions.scalar import bucket_start, first_non_blank, geohash, shifted_bucket, virtual_bucket, weak_signal
 from tidewell.params import Rules
 from tidewell.streaming.pipelines import JOIN_WAIT_S, OUT_OF_ORDER_S, kpi_measures, kpi_sums, sides
 
@@ -198,3 +198,37 @@ def handover_patterns(chr_: DataFrame, rules: Rules, delay: str = f"{OUT_OF_ORDE
     """Streaming twin of the batch handover patterns. Inside a micro-batch handovers count by time, across them as they come."""
     rows = chr_.where("event_type = 'HANDOVER'").select("cell_id", "event_ts", F.timestamp_millis("event_ts").alias("event_time"), F.col("chr_id").cast("long").alias("seq"), (F.col("result_code") != 0).cast("int").alias("failed"))
     return rows.withWatermark("event_time", delay).groupBy("cell_id").transformWithState(Handovers(rules), "cell_id STRING, chr_id STRING, event_ts LONG, attempts LONG, failures LONG", "append", "EventTime")
+
+
+class Routes(StatefulProcessor):
+    """Gives each event the shift of the highest routing version that its cell had by then; the state is that version and its shift."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.route = handle.getValueState("route", "version LONG, shift INT")
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:  # noqa: N802, N803
+        version, shift = self.route.get() if self.route.exists() else (None, 0)
+        out = Row("cell_id", "chr_id", "event_ts", "shift")
+        # The key's rows of this micro-batch, whose size the source's limits bound; a route counts from its own time on.
+        for row in sorted(rows, key=lambda r: (r["ts"], r["version"] is None)):
+            if row["version"] is None:
+                yield out(key[0], row["chr_id"], row["ts"], shift)
+            elif version is None or row["version"] > version:
+                version, shift = row["version"], row["shift"]
+        if version is not None:
+            self.route.update((version, shift))
+
+    def close(self) -> None:
+        pass
+
+
+def routed(events: DataFrame, routing: DataFrame, n: int, salts: int = 8) -> DataFrame:
+    """(cell_id, chr_id, event_ts, shift, vbucket): streaming twin of skew.routed() with a routing stream (cell_id, shift, routing_version, ts) that changes while it runs.
+
+    A busy cell's events are dealt over `salts` keys, each of which gets every route of the cell; their order inside a
+    cell doesn't matter here. Across micro-batches a route counts from its arrival, inside one from its time.
+    """
+    event = events.select("cell_id", F.pmod(F.xxhash64("chr_id"), F.lit(salts)).cast("int").alias("salt"), F.col("event_ts").alias("ts"), "chr_id", F.lit(None).cast("long").alias("version"), F.lit(None).cast("int").alias("shift"))
+    route = routing.select("cell_id", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "ts", F.lit(None).cast("string").alias("chr_id"), F.col("routing_version").cast("long").alias("version"), F.col("shift").cast("int").alias("shift"))
+    found = event.unionByName(route).groupBy("cell_id", "salt").transformWithState(Routes(), "cell_id STRING, chr_id STRING, event_ts LONG, shift INT", "append", "None")
+    return found.withColumn("vbucket", shifted_bucket(virtual_bucket(F.col("cell_id"), n), F.col("shift"), n))
