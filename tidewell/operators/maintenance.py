@@ -64,6 +64,15 @@ def inventory(files: DataFrame) -> DataFrame:
     return folders.groupBy("root").agg(F.sum("files").alias("files"), F.sum("bytes").alias("bytes"), F.count("*").alias("folders"), F.min("folder").alias("first_folder"), F.max("folder").alias("last_folder"), F.sum("open").alias("in_progress"))
 
 
+def compare(inventories: DataFrame, first: str, second: str) -> DataFrame:
+    """One row for each figure of two tables' inventories (the same results in two formats, say): both values, their difference, and the second as a share of the first (null for none). A table that isn't there counts as empty."""
+    names = ("files", "bytes", "folders", "in_progress")
+    of = lambda root, c: F.coalesce(F.sum(F.when(F.col("root") == root, F.col(c))), F.lit(0)).cast("long")
+    both = inventories.agg(F.array(*(F.struct(F.lit(c).alias("figure"), of(first, c).alias("first"), of(second, c).alias("second")) for c in names)).alias("f"))
+    rows = both.select(F.explode("f").alias("f")).select("f.*")
+    return rows.withColumns({"difference": F.col("second") - F.col("first"), "share": F.when(F.col("first") != 0, F.col("second") / F.col("first"))})
+
+
 def profile(kpis: DataFrame) -> DataFrame:
     """By window kind: rows, first and last window, distinct sites, cells and grids."""
     return kpis.groupBy("window_kind").agg(F.count("*").alias("n"), F.min("window_start_ts").alias("first_ts"), F.max("window_end_ts").alias("last_ts"), F.count_distinct("site_id").alias("sites"), F.count_distinct("cell_id").alias("cells"), F.count_distinct(F.when(F.col("grid_id") != "", F.col("grid_id"))).alias("grids"))

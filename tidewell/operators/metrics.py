@@ -25,16 +25,18 @@ def real_samples(samples: DataFrame) -> DataFrame:
 
 
 def latest_samples(samples: DataFrame) -> DataFrame:
-    """The newest sample of each stage, window and subtask; real ones before placeholders, later arrivals before earlier ones at the same time."""
-    w = Window.partitionBy("stage_id", "window", "subtask").orderBy((F.col("status") == "unknown").cast("int"), F.desc("updated_at"), F.desc("sample_id"))
+    """The newest sample of each stage, sink, window and subtask; real ones before placeholders, later arrivals before earlier ones at the same time. Samples without a column `sink` have none."""
+    w = Window.partitionBy("stage_id", *(["sink"] if "sink" in samples.columns else []), "window", "subtask").orderBy((F.col("status") == "unknown").cast("int"), F.desc("updated_at"), F.desc("sample_id"))
     return samples.withColumn("rank", F.row_number().over(w)).where("rank = 1").drop("rank")
 
 
 def stage_rollup(samples: DataFrame, keys: tuple[str, ...] = ("stage_id",)) -> DataFrame:
-    """Latest samples rolled up: rates, records, bytes, errors and failures summed, latency at its worst (-1 if none) like lag and duration, the worst status, the latest error text.
+    """Latest samples rolled up: rates, records, bytes, errors and failures summed, latencies at their worst (-1 if none) like lag and duration, the worst status, the latest error text.
 
-    Placeholders (unknown status) count only in groups that have nothing else.
+    Placeholders (unknown status) count only in groups that have nothing else. Rates in and out, the 50th and 99th
+    percentile, rebalances and the latest checkpoint are rolled up where the samples have them.
     """
+    more = lambda *names: [x for x in names if x in samples.columns]
     text = F.when(F.trim("error_text") != "", F.col("error_text"))
     real = F.col("status") != "unknown"
     at = F.struct("updated_at", "sample_id")
@@ -47,8 +49,8 @@ def stage_rollup(samples: DataFrame, keys: tuple[str, ...] = ("stage_id",)) -> D
     last = lambda x: F.max_by(x, F.when(x.isNotNull(), at))
     return latest_samples(samples).groupBy(*keys).agg(
         F.when(F.count_if(real) > 0, F.count_if(real)).otherwise(F.count("*")).alias("subtasks"),
-        *(fold(F.sum, x).alias(x) for x in ("eps", "records", "bytes", "errors", "failures", "dlq")),
-        F.coalesce(fold(F.max, available("p95_ms")), F.lit(-1)).alias("p95_ms"), fold(F.max, "lag_ms").alias("lag_ms"), fold(F.max, "duration_ms").alias("duration_ms"),
+        *(fold(F.sum, x).alias(x) for x in ("eps", *more("in_eps", "out_eps"), "records", "bytes", "errors", "failures", "dlq", *more("rebalances"))),
+        *(F.coalesce(fold(F.max, available(x)), F.lit(-1)).alias(x) for x in ("p95_ms", *more("p50_ms", "p99_ms", "checkpoint_id"))), fold(F.max, "lag_ms").alias("lag_ms"), fold(F.max, "duration_ms").alias("duration_ms"),
         status_of(fold(F.max, status_rank(F.col("status")))).alias("status"), F.coalesce(fold(last, text), F.lit("")).alias("last_error"), fold(F.max, "updated_at").alias("updated_at"))
 
 
@@ -63,6 +65,17 @@ def sink_summaries(samples: DataFrame) -> DataFrame:
     return stage_rollup(samples.where("window != ''"), ("stage_id", "window")).select("stage_id", "window", "status", "records", "bytes", "duration_ms", "p95_ms", "failures", "last_error", "updated_at")
 
 
+def sink_latencies(samples: DataFrame) -> DataFrame:
+    """The roll-up by stage, sink and window of samples that name a sink: what was written, its latencies, and the latest checkpoint."""
+    rows = stage_rollup(samples.where("trim(sink) != ''"), ("stage_id", "sink", "window"))
+    return rows.select("stage_id", "sink", "window", "records", "bytes", "duration_ms", "p50_ms", "p95_ms", "p99_ms", "failures", "last_error", "checkpoint_id", "updated_at")
+
+
+def rebalance_summary(samples: DataFrame, coordinator: str) -> DataFrame:
+    """One row if the coordinator's stage has samples: how often keys were moved, its status, and when that was told."""
+    return stage_rollup(samples.where(F.col("stage_id") == coordinator)).select("stage_id", "rebalances", "status", "updated_at")
+
+
 def relevant(samples: DataFrame, sink: str) -> DataFrame:
     """Samples of stages that belong to the active result sink, or to none in particular; auxiliary ones (dead letters, metrics, late rows) are left out.
 

@@ -143,7 +143,7 @@ def slot_shift(spark, d):
     return skew.slot_shift(keys, N, 4)
 
 
-_LATEST = "latest as (select * from (select *, row_number() over (partition by stage_id, \"window\", subtask order by case when status = 'unknown' then 1 else 0 end, updated_at desc, sample_id desc) as r from samples) where r = 1)"
+_LATEST = "latest as (select * from (select *, row_number() over (partition by stage_id, sink, \"window\", subtask order by case when status = 'unknown' then 1 else 0 end, updated_at desc, sample_id desc) as r from samples) where r = 1)"
 _RANK = "case status when 'healthy' then 1 when 'warning' then 3 when 'critical' then 4 else 2 end"
 _SOURCE = "case when stage_id in ('source-chr', 'source-pm', 'source-cfg') then substr(stage_id, 8, 3) else '' end"
 
@@ -151,9 +151,10 @@ _SOURCE = "case when stage_id in ('source-chr', 'source-pm', 'source-cfg') then
 def _stages_sql(keys: str = "stage_id", where: str = "true") -> str:
     """The roll-up of the latest samples by keys; placeholders count only where a group has nothing else."""
     latest = _LATEST.replace("from samples)", f"from (select *, {_SOURCE} as source from samples) where {where})")
-    sums = ", ".join(f"cast(sum({x}) as bigint) as {x}" for x in ("records", "bytes", "errors", "failures", "dlq"))
+    sums = ", ".join(f"cast(sum({x}) as bigint) as {x}" for x in ("records", "bytes", "errors", "failures", "dlq", "rebalances"))
+    worst = ", ".join(f"coalesce(max(case when {x} >= 0 then {x} end), -1) as {x}" for x in ("p95_ms", "p50_ms", "p99_ms", "checkpoint_id"))
     return f"""{latest}, eff as (select * from (select *, bool_or(status <> 'unknown') over (partition by {keys}) as some_real from latest) where status <> 'unknown' or not some_real),
- stages as (select {keys}, count(*) as subtasks, round(sum(eps), 6) as eps, {sums}, coalesce(max(case when p95_ms >= 0 then p95_ms end), -1) as p95_ms, max(lag_ms) as lag_ms, max(duration_ms) as duration_ms,
+ stages as (select {keys}, count(*) as subtasks, round(sum(eps), 6) as eps, round(sum(in_eps), 6) as in_eps, round(sum(out_eps), 6) as out_eps, {sums}, {worst}, max(lag_ms) as lag_ms, max(duration_ms) as duration_ms,
  ['healthy', 'unknown', 'warning', 'critical'][max({_RANK})] as status, coalesce(arg_max(error_text, (updated_at, sample_id)) filter (error_text <> ''), '') as last_error, max(updated_at) as updated_at from eff group by {keys})"""
 
 
@@ -178,6 +179,18 @@ def sink_summaries(spark, d):
     return mx.sink_summaries(view(spark, d, "samples"))
 
 
+@query(f"""{_stages_sql('stage_id, sink, "window"', "sink <> ''")} select stage_id, sink, "window", records, bytes, duration_ms, p50_ms, p95_ms, p99_ms, failures, last_error, checkpoint_id, updated_at from stages""")
+def sink_latencies(spark, d):
+    """Latencies and the latest checkpoint by stage, sink and window."""
+    return mx.sink_latencies(view(spark, d, "samples"))
+
+
+@query(f"{_stages_sql(where="stage_id = 'kpi-5m'")} select stage_id, rebalances, status, updated_at from stages")
+def rebalance_summary(spark, d):
+    """How often keys were moved, by the latest samples of the stage that moves them."""
+    return mx.rebalance_summary(view(spark, d, "samples"), "kpi-5m")
+
+
 _NAMED = "case when event_id % 3 = 0 then 'parquet-' when event_id % 3 = 1 then 'Kafka-' else '' end || event_type || case when event_id % 5 = 0 then '-dlq' when event_id % 7 = 0 then '-late' else '' end"
 
 
@@ -468,6 +481,16 @@ def storage_inventory(spark, d):
     return mt.inventory(_files(spark, d))
 
 
+_INVENTORY = "inv as (select split_part(path, '/', 1) as root, count(*) as files, sum(bytes) as bytes, count(distinct regexp_extract(path, '^(.*)/[^/]*$', 1)) as folders, count(*) filter (path like '%.inprogress%') as in_progress from files group by 1)"
+_FIGURES = " union all ".join(f"select '{c}' as figure, cast(coalesce(sum({c}) filter (root = 'kpi'), 0) as bigint) as first, cast(coalesce(sum({c}) filter (root = 'cell'), 0) as bigint) as second from inv" for c in ("files", "bytes", "folders", "in_progress"))
+
+
+@query(f"{_FILES}, {_INVENTORY}, f as ({_FIGURES}) select *, second - first as difference, round(second / nullif(first, 0), 6) as share from f")
+def storage_comparison(spark, d):
+    """The inventories of two tables side by side."""
+    return rounded(mt.compare(mt.inventory(_files(spark, d)), "kpi", "cell"))
+
+
 @query(f"{_KPI} select window_start_ts, cell_id from kpi where window_end_ts >= {CUT}")
 def retention_keep(spark, d):
     """KPI rows in the table after retention has acted on it."""

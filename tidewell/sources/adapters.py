@@ -59,7 +59,14 @@ SAMPLES = {
     "sample_id": "event_id",
     "stage_id": "concat(case event_type when 'signup' then 'source-cfg' when 'error' then 'sink-grid' when 'click' then 'source-chr' when 'view' then 'kpi-1m' else 'kpi-5m' end, case event_id % 10 when 3 then '-sink-front' when 5 then '-connector-write' when 7 then '-connector-commit' else '' end)",
     "window": "case when event_id % 10 in (3, 5, 7) then case when event_id % 4 < 2 then '1m' else '5m' end else '' end",
+    "sink": "case when event_id % 10 in (3, 5, 7) then case event_id % 3 when 0 then 'parquet' when 1 then 'kafka' else 'table' end else '' end",
     "eps": "value * 8",
+    "in_eps": "value * 9",
+    "out_eps": "value * 7",
+    "p50_ms": "case when event_id % 6 = 0 then -1 else cast(floor(value * 40) as bigint) end",
+    "p99_ms": "case when event_id % 6 = 0 then -1 else cast(floor(value * 130) as bigint) end",
+    "checkpoint_id": "case when event_id % 10 = 7 then event_id else -1 end",
+    "rebalances": "event_id % 3",
     "duration_ms": "cast(floor(value * 7) as bigint)",
     "failures": "case when event_id % 29 = 0 then 1 else 0 end",
     "dlq": "case when event_id % 37 = 0 then 1 else 0 end",
