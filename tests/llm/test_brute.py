@@ -276,3 +276,13 @@ def test_cluster_needs_a_shared_folder(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="checkpoint"):
         scratch.shared_dir(Session())
+
+
+def test_repeated_rows_with_maps(spark):
+    """Rows that can't be compared as they are still give one row of a group, and their shares of a mix."""
+    text = " ".join(_words(random.Random(3), 40))
+    rows = [(1, text, "s", {"k": i}) for i in range(3)] + [(2, text, "s", {"k": 9}), (3, "other words here", "t", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, more map<string, int>")
+    assert sorted((r.doc_id, r.more) for r in near_dup.keep_one(df).collect()) == [(1, {"k": 0}), (3, None)]
+    got = mixing.apply_mix(df).collect()
+    assert sum(len(r.text.split()) for r in got) == pytest.approx(1.5 * sum(len(t.split()) for _, t, *_ in rows), rel=0.25)

@@ -119,3 +119,28 @@ def test_pipeline(spark):
             assert out.columns == docs.columns and set(after) <= before
         at = spark.createDataFrame(out.toPandas(), out.schema)
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_samples_are_bounded(spark):
+    """The sample has exactly as many rows as it should, whatever the ids: all null, all one, or one row that repeats."""
+    from tidewell.llm.scratch import least_rows
+
+    key = F.xxhash64("doc_id", "text")
+    rows = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    one = spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("same").alias("text"))
+    assert least_rows(rows, key, 50).count() == 50 and least_rows(rows, key, 5000).count() == 3000
+    assert least_rows(rows.withColumn("doc_id", F.lit(1).cast("long")), key, 50).count() == 50
+    assert least_rows(one, key, 50).count() == 1 and least_rows(one.unionByName(rows), key, 3001).count() == 3001
+    assert least_rows(rows.limit(0), key, 50).count() == 0
+    again = {r.text for r in least_rows(rows.repartition(7), key, 50).collect()}
+    assert again == {r.text for r in rows.orderBy(key).limit(50).collect()}
+
+
+def test_short_foreign_texts(spark):
+    """Sentences of eight words in a language that isn't known go; short ones in a known language stay."""
+    docs = spark.read.parquet(f"{BIG}/documents.parquet")
+    model = language.fit_on_documents(docs)
+    foreign = ["Wczoraj wieczorem pojechaliśmy do babci na obiad świąteczny", "Dziś rano kupiłem świeże bułki oraz żółty ser", "Наступила весна и птицы снова запели в саду"]
+    assert not language.accepted(model, foreign).any()
+    known = [" ".join(r.text.split()[:8]) for r in docs.where("text is not null and length(text) > 400").limit(200).collect()]
+    assert language.accepted(model, known).mean() >= 0.98

@@ -17,15 +17,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.llm import chars
-from tidewell.llm.scratch import Scratch, slices
+from tidewell.llm.scratch import Scratch, least_rows, slices
 
 ORDERS = (4, 3, 2, 1)
-#: Training documents, about, at most (a hash of the id picks them); known words and n-grams of each order kept by language.
+#: Training documents at most (those with the least hashes of id and text); known words and n-grams of each order kept by language.
 SAMPLE, KNOWN = 20_000, 20_000
 #: Words after which more words don't sharpen the posterior.
 TEMPER = 20
-#: What a text needs to be taken for one in a known language: its posterior; the part of known words, from ENOUGH words on.
-LEAST_SCORE, LEAST_KNOWN, ENOUGH = 0.4, 0.2, 10
+#: What a text needs to be taken for one in a known language: its posterior, and the log odds for that by its known words. Of a text in a known language about half of the words are known, of one in another language one in twenty.
+LEAST_SCORE, LEAST_ODDS, KNOWN_SHARES = 0.4, -2.0, (0.5, 0.05)
 UNDETERMINED = "und"
 
 
@@ -119,11 +119,11 @@ class Model:
 
 
 def fit(labelled: DataFrame) -> Model:
-    """A model from (doc_id, text, lang); rows with a null text or lang are left out. Without rows it identifies nothing."""
-    rows = labelled.where("lang is not null and text is not null")
-    n = rows.count()
-    if n > SAMPLE:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * SAMPLE / n))
+    """A model from (doc_id, text, lang); rows with a null text or lang are left out. Without rows it identifies nothing.
+
+    It learns from the SAMPLE rows with the least hashes of id and text, rows equal in both once.
+    """
+    rows = least_rows(labelled.where("lang is not null and text is not null"), F.xxhash64("doc_id", "text"), SAMPLE)
     scratch = Scratch(labelled.sparkSession, "language")
     counts = rows.select("text", "lang").mapInArrow(_count, "lang string, kind int, key long, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
     counts = scratch.save(counts, "counts")
@@ -183,12 +183,16 @@ def lettered(texts: list[str]) -> list[bool]:
 def accepted(model: Model, texts: list[str], wanted: tuple[str, ...] | None = None) -> np.ndarray:
     """Whether each text is in one of the wanted languages (None: any that the model knows), by the prediction and its evidence.
 
-    The posterior only says which known language fits best, so a text in none of them needs another sign: where it
-    has ENOUGH words or more, the part LEAST_KNOWN of them must be known from training.
+    The posterior only says which known language fits best, so a text in none of them needs another sign. Each word is
+    evidence by whether it is known from training, as KNOWN_SHARES says; a text goes once the odds against it are over
+    exp(-LEAST_ODDS). So a few unknown words alone don't speak against a short text, and of a long one about a fifth
+    must be known; the rule is the same for texts of any length.
     """
     langs, score, n, known = model.judge(texts)
     fits = np.array([x != UNDETERMINED and (wanted is None or x in wanted) for x in langs], bool)
-    return fits & (score >= LEAST_SCORE) & ((n < ENOUGH) | (known >= LEAST_KNOWN * n))
+    own, other = KNOWN_SHARES
+    odds = known * np.log(own / other) + (n - known) * np.log((1 - own) / (1 - other))
+    return fits & (score >= LEAST_SCORE) & (odds >= LEAST_ODDS)
 
 
 def keep_identified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", wanted: tuple[str, ...] | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.llm.scratch import Scratch, own, unused
+from tidewell.llm.scratch import Scratch, comparable, own, unused
 
 #: Weights by rank of the source, repeating.
 WEIGHTS = (5, 2, 1)
@@ -131,7 +131,7 @@ def apply_mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source",
     out = rows.join(mix.where(F.col(more) == 0), key)
     parted = mix.where(F.col(more) > 0)  # only where the budget ends within equal rows
     if not parted.isEmpty():
-        order = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(*own(df))))
+        order = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(comparable(df))))
         some = rows.join(parted, key).withColumn(turn, order).withColumn(times, F.col(times) + (F.col(turn) <= F.col(more)).cast("int"))
         out = out.unionByName(some.drop(turn))
     return out.withColumn(copy, F.explode(F.array_repeat(F.lit(1), F.col(times)))).select(*own(df))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tidewell.llm import bitmaps, shingles
 from tidewell.llm.components import components
-from tidewell.llm.scratch import Scratch, own, slices, unused
+from tidewell.llm.scratch import Scratch, comparable, own, slices, unused
 
 CHUNKS, WIDTH = 12, 5
 SYMBOLS = CHUNKS * WIDTH
@@ -323,7 +323,7 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """df with one row of each group of near_duplicates.
 
     Groups hold rows, whatever their ids: the one with the least id stays, then the one with the least text hash, then
-    the least of the other columns. Rows without an id yield to each other but not to rows with one: of a group
+    the least of the other columns (as JSON if there are maps). Rows without an id yield to each other but not to rows with one: of a group
     that has both, one of each stays. Rows with an empty set (null or blank texts) all stay. df's columns may have
     any names; an empty df gives an empty result.
     """
@@ -342,5 +342,5 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     out = df.withColumn(name, F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(text_col))).join(kept, name, "left_semi")
     if repeated.isEmpty():
         return out.select(*own(df))
-    least = out.join(repeated, name, "left_semi").groupBy(name).agg(F.min(F.struct(*own(df))).alias(row))
+    least = out.join(repeated, name, "left_semi").groupBy(name).agg(F.min_by(F.struct(*own(df)), comparable(df)).alias(row))
     return out.join(repeated, name, "left_anti").select(*own(df)).unionByName(least.select(f"{row}.*"))

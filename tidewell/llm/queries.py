@@ -48,7 +48,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for each document, learned from the labels that aren't held out."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels").where(~toxicity.held_out("doc_id")).select("doc_id", F.col("toxic").alias("label"))
-    scored = toxicity.score(docs, toxicity.fit(docs.join(labels, "doc_id")))
+    keyed = docs.withColumn("key", F.xxhash64("doc_id", "text"))
+    scored = toxicity.score(docs, toxicity.fit(keyed.join(labels, "doc_id"), "key"))
     return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 

@@ -45,6 +45,23 @@ def own(df: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
+def least_rows(df: DataFrame, key: Column, most: int) -> DataFrame:
+    """The `most` rows of df with the least 64-bit keys, one row of each key; all keys if there are fewer.
+
+    The number of rows is exact whatever df's size, and a key that holds a third of the rows counts once.
+    """
+    name = unused(df, "_key")
+    best = df.select(key.alias(name)).distinct().orderBy(name).limit(most).agg(F.max(name)).first()[0]
+    rows = df.withColumn(name, key)
+    return rows.where(F.col(name) <= best if best is not None else F.lit(False)).dropDuplicates([name]).drop(name)
+
+
+def comparable(df: DataFrame) -> Column:
+    """All columns of df as one that can be compared and hashed: a struct, or its JSON where df has maps."""
+    row = F.struct(*own(df))
+    return F.to_json(row) if '"type":"map"' in df.schema.json() else row
+
+
 class Scratch:
     """Tables of one operator run, written below shared_dir so that a lost executor costs no lineage."""
 

@@ -18,11 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm import chars
-from tidewell.llm.scratch import Scratch, slices
+from tidewell.llm.scratch import Scratch, least_rows, slices
 
 ORDERS = (5, 6, 7)
 BUCKET_BITS = 21
-#: Labelled documents that the fit uses about, at most (a hash of the id picks them); features kept, and their least log ratio; smoothing; length of a document's features; penalty.
+#: Labelled documents that the fit uses at most (those with the least hashes of id and text); features kept, and their least log ratio; smoothing; length of a document's features; penalty.
 SAMPLE, FEATURES, LEAST_RATIO, ALPHA, LENGTH, PENALTY = 12_000, 20_000, 1.0, 0.5, 5.0, 0.1
 
 
@@ -101,12 +101,14 @@ def _logistic(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, labels:
     return w, b
 
 
-def fit(labelled: DataFrame) -> Model:
-    """A model from (doc_id, text, label); label is 0 or 1, other rows are left out. Without rows of both labels every score is the smoothed share of label 1."""
+def fit(labelled: DataFrame, key: str | None = None) -> Model:
+    """A model from (doc_id, text, label); label is 0 or 1, other rows are left out. Without rows of both labels every score is the smoothed share of label 1.
+
+    It learns from the SAMPLE rows with the least keys, rows of one key once. The key is the column of that name, or a
+    hash of id and text: a caller who joins labels to texts computes it before, so that the choice needs no texts.
+    """
     rows = labelled.where(F.col("label").isin(0, 1) & F.col("text").isNotNull())
-    n = rows.count()
-    if n > SAMPLE:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * SAMPLE / n))
+    rows = least_rows(rows, F.col(key) if key else F.xxhash64("doc_id", "text"), SAMPLE)
     rows = Scratch(labelled.sparkSession, "toxicity").save(rows.select("text", F.col("label").cast("long").alias("label")), "labelled")
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     slot = np.full(1 << BUCKET_BITS, -1, np.int64)
