@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,11 +23,13 @@ from tidewell.llm.scratch import Scratch, slices
 LEAST_DOCS, RANKS = 10, 10
 #: Probabilities are whole numbers of this fraction, and every term counts for PRIOR more than it occurs.
 SCALE, PRIOR = 1_000_000_000, 2
-#: Different terms that a task holds before it hands their counts on.
-HELD = 200_000
+#: Different terms, and documents, that a task holds before it hands their counts on.
+HELD = 500_000
 #: Bytes of a text that are cut into terms at once.
 WINDOW = 1 << 20
 
+#: More than a term can occur in what a task holds at once: that would take 2 TB of text.
+_DOC = 1 << 41
 #: ASCII letters in lower case and all bytes of other characters as they are, everything else a blank.
 _FOLD = bytes(b if b >= 0x80 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
@@ -43,12 +46,15 @@ def terms(text: str) -> Iterator[list[bytes]]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+    # By group and term: occurrences, and _DOC for each document.
+    held: dict[tuple[str, str], dict[bytes, int]] = {}
+    rows = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
-        for (lang, source), (n, docs) in held.items():
-            words = list(n)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words), pa.string()), pa.array([source] * len(words), pa.string()), pa.array(words, pa.binary()).cast(pa.string()), pa.array(n.values(), pa.int64()), pa.array(map(docs.__getitem__, words), pa.int64())], ["lang", "source", "term", "n", "docs"])
+        for (lang, source), found in held.items():
+            both = np.fromiter(found.values(), np.int64, len(found))
+            name = lambda x, n=len(found): pa.array([x] * n, pa.string())
+            yield pa.RecordBatch.from_arrays([name(lang), name(source), pa.array(found.keys(), pa.binary()).cast(pa.string()), pa.array(both % _DOC), pa.array(both // _DOC)], ["lang", "source", "term", "n", "docs"])
         held.clear()
 
     for batch in slices(batches):
@@ -56,19 +62,26 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own: Counter = Counter()
             for some in terms(text):
                 own.update(some)
-            n, docs = held.setdefault((lang, source), (Counter(), Counter()))
-            n.update(own)
-            docs.update(own.keys())
-        if sum(len(n) for n, _ in held.values()) >= HELD:
+            found = held.setdefault((lang, source), {})
+            before = found.get
+            for term, n in own.items():
+                found[term] = before(term, 0) + n + _DOC
+        rows += batch.num_rows
+        if rows >= HELD or sum(map(len, held.values())) >= HELD:
             yield from flush()
+            rows = 0
     yield from flush()
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences of each term and documents that hold it, by group; null texts, languages and sources count as ''."""
+    """(lang, source, term, n, docs): occurrences of each term and documents that hold it, by group; null texts, languages and sources count as ''.
+
+    Tasks hand on a term once for each source (and HELD), so even the commonest term is a few rows a task; the rows are
+    dealt by language and term, which the sums by term after it need as well.
+    """
     blank = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source", "text")]
     found = docs.select(*blank).mapInArrow(_count, "lang string, source string, term string, n long, docs long")
-    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    return found.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def probability(n: Column, total: Column, vocabulary: Column) -> Column:
@@ -94,15 +107,17 @@ class Audit:
         self.kept = scratch.save(kept.select("lang", "term", "total", "counts"), "kept")
         #: (lang, source, term, n, total)
         self.rows = self.kept.select("lang", "term", "total", F.explode("counts").alias("c")).select("lang", "c.source", "term", "c.n", "total")
+        #: (lang, source, n, total, m): how many terms of a group have these counts there and in its language.
+        self.cells = scratch.save(self.rows.groupBy("lang", "source", "n", "total").agg(F.count("*").alias("m")), "cells")
         langs = self.kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("lang_n"))
-        sums = self.rows.groupBy("lang", "source").agg(F.sum("n").alias("group_n"))
+        sums = self.cells.groupBy("lang", "source").agg(F.sum(F.col("n") * F.col("m")).alias("group_n"))
         groups = docs.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source"))).distinct()
         #: (lang, source, group_n, lang_n, v), also of groups without terms.
         self.groups = scratch.save(groups.join(sums, ["lang", "source"], "left").join(langs, "lang", "left").na.fill(0, ["group_n", "lang_n", "v"]), "groups")
 
     def top_terms(self, ranks: int = RANKS) -> DataFrame:
         """(lang, source, item, value, rank): the terms that a group has more of than its language, by divergence, ties in UTF-8 order."""
-        cells = self.rows.groupBy("lang", "source", "n", "total").agg(F.count("*").alias("m")).join(self.groups, ["lang", "source"])
+        cells = self.cells.join(self.groups, ["lang", "source"])
         p, q = probability(F.col("n"), F.col("group_n"), F.col("v")), probability(F.col("total"), F.col("lang_n"), F.col("v"))
         valued = cells.withColumns({"p": p, "q": q}).where("p > q").select("lang", "source", "n", "total", "m", divergence(F.col("p"), F.col("q")).alias("value"))
         # Every value has a term, so `ranks` values of a group are enough; Spark cuts them before the shuffle, too.
@@ -133,7 +148,7 @@ class Audit:
         common = common.select("lang", "a", "b", F.explode(F.array(cell(n, k, m), cell(n, zero, -m), cell(zero, k, -m), cell(zero, zero, m))).alias("c")).select("lang", "a", "b", "c.*")
         # One row a source: Spark broadcasts it if it is small and splits a language with very many terms otherwise.
         other = self.groups.select("lang", F.col("source").alias("other"))
-        own = self.rows.groupBy("lang", "source", "n").agg(F.count("*").alias("m")).join(other, "lang").where("source != other")
+        own = self.cells.groupBy("lang", "source", "n").agg(F.sum("m").alias("m")).join(other, "lang").where("source != other")
         first = F.col("source") < F.col("other")
         pair = (F.least("source", "other").alias("a"), F.greatest("source", "other").alias("b"))
         own = own.select("lang", *pair, F.explode(F.array(F.when(first, cell(n, zero, m)).otherwise(cell(zero, n, m)), cell(zero, zero, -m))).alias("c")).select("lang", "a", "b", "c.*")
