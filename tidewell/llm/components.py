@@ -1,26 +1,50 @@
-"""Connected components of an edge table by alternating star contractions."""
+"""Connected components of an edge table by contraction in tasks and pointer jumps."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.scratch import Scratch
 
+#: Edges that a task holds before it contracts them to a forest of the nodes it has seen.
+HELD = 1_000_000
+
+
+def _forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every node of the edges but the least of its component, and that least node."""
+    names, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    root = np.arange(len(names))
+    while (root[a] != root[b]).any():
+        np.minimum.at(root, np.maximum(root[a], root[b]), np.minimum(root[a], root[b]))
+        while (root[root] != root).any():
+            root = root[root]
+    moved = np.flatnonzero(root != np.arange(len(names)))
+    return names[moved], names[root[moved]]
+
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Link every larger neighbour of a node to the least node it knows."""
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m"))
-    linked = both.where("v > u").join(least, "u")
-    return linked.select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A forest of the task's edges: a node is the child of one edge at most, so no node has more edges than there are tasks."""
+    held, n = [], 0
+    for batch in batches:
+        held.append((batch["u"].to_numpy(), batch["v"].to_numpy()))
+        n += batch.num_rows
+        if n >= HELD:
+            held, n = [_forest(*map(np.concatenate, zip(*held, strict=True)))], 0
+    if held:
+        u, v = _forest(*map(np.concatenate, zip(*held, strict=True)))
+        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Link every smaller neighbour of a node, and the node, to the least of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+def _jump(edges: DataFrame) -> DataFrame:
+    """Link every node to the least parent of its parent. The edges of a parent of very many meet in one task of this join."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "v")
+    return edges.join(least, "v", "left").select("u", F.coalesce("m", "v").alias("v"))
 
 
 def _is_forest(edges: DataFrame) -> bool:
@@ -33,13 +57,15 @@ def _is_forest(edges: DataFrame) -> bool:
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(node, comp) for every node of edges (a, b): comp is the least node that it reaches.
 
-    An empty edge table gives an empty result. Each round is written to the shared folder; rounds end with a star
-    around each least node.
+    An empty edge table gives an empty result. First each task contracts the edges it has; then, in each round, a
+    node's edges meet in one task, which contracts them, and nodes jump to their parent's parent. Each round is
+    written to the shared folder; rounds end with a star around each least node.
     """
-    at, step = scratch.save(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{name}-0"), 0
+    at = edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    at, step = scratch.save(at.mapInArrow(_contract, "u long, v long"), f"{name}-0"), 0
     while True:
         step += 1
-        at = scratch.save(_small_star(_large_star(at)), f"{name}-{step}")
+        at = scratch.save(_jump(at.repartition("u").mapInArrow(_contract, "u long, v long")), f"{name}-{step}")
         scratch.drop(f"{name}-{step - 1}")
         if _is_forest(at):
             break

@@ -185,34 +185,32 @@ class _Run:
 
     def __init__(self, df: DataFrame, id_col: str, text_col: str):
         self.scratch = Scratch(df.sparkSession, "near_dup")
-        self._buckets: DataFrame | None = None
+        self._held: DataFrame | None = None
         self.source = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
         self.rows = self.scratch.save(self.source.mapInArrow(_sign, "doc_id long, th long, n_shingles long, node long, sig binary"), "rows")
         first = self.rows.where("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "n_shingles", "sig")).alias("r"))
         self.nodes = self.scratch.save(first.select("node", "r.doc_id", "r.th", F.col("r.n_shingles").alias("n"), "r.sig"), "nodes")
 
-    def buckets(self) -> DataFrame:
-        """(key, lo, hi, n, hot) of the buckets with two nodes or more. Sums by task come first, so a large bucket is no large group here.
+    def held(self) -> DataFrame:
+        """(key, hot, lo, hi, n, node) of every bucket with two nodes or more and each of its nodes.
 
-        hot goes by a bitmap of fixed size, which index() uses too: buckets of over HOT nodes, and few others.
+        Sums by task come first, so a large bucket is no large group here. hot goes by a bitmap of fixed size on both
+        sides of the join: buckets of over HOT nodes, and few others.
         """
-        if self._buckets is None:
+        if self._held is None:
             found = self.nodes.select("node", "sig").mapInArrow(_indexer(None), _INDEX)
             found = found.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n")).where("n > 1")
             found = self.scratch.save(found, "buckets")
-            self._hot = hot = bitmaps.build(found.where(F.col("n") > HOT), F.col("key"))
+            hot = bitmaps.build(found.where(F.col("n") > HOT), F.col("key"))
 
             def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for batch in batches:
                     yield batch.append_column("hot", pa.array(bitmaps.hits(hot, batch["key"].to_numpy().view(np.uint64))))
 
-            self._buckets = found.mapInArrow(marked, "key long, lo long, hi long, n long, hot boolean")
-        return self._buckets
-
-    def index(self) -> DataFrame:
-        """(key, node, hot) of every bucket that a node is in."""
-        self.buckets()
-        return self.nodes.select("node", "sig").mapInArrow(_indexer(self._hot), _INDEX)
+            index = self.nodes.select("node", "sig").mapInArrow(_indexer(hot), _INDEX)
+            self._held = self.scratch.save(self.spread(index, found.mapInArrow(marked, "key long, lo long, hi long, n long, hot boolean")), "held")
+            self.scratch.drop("buckets")
+        return self._held
 
     def spread(self, rows: DataFrame, by_key: DataFrame) -> DataFrame:
         """Join (key, node, hot, ...) with (key, hot, ...) of one row a key; the rows of hot buckets are dealt over SALTS tasks by their node."""
@@ -251,14 +249,13 @@ class _Run:
 
     def stars(self) -> DataFrame:
         """Every bucket's nodes paired with its least and with its greatest node."""
-        found = self.buckets().select("key", "hot", "lo", "hi")
-        pairs = self.spread(self.index(), found).select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("node").alias("b")), F.struct(F.col("node").alias("a"), F.col("hi").alias("b")))).alias("p")).select("p.*")
+        pairs = self.held().select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("node").alias("b")), F.struct(F.col("node").alias("a"), F.col("hi").alias("b")))).alias("p")).select("p.*")
         return self.alike(pairs.where("a != b").distinct())
 
     def open_links(self, comps: DataFrame) -> DataFrame | None:
         """Links between components inside the buckets that stars left open; None without such buckets."""
         save = self.scratch.save
-        held = self.spread(self.index(), self.buckets().where("n > 3").select("key", "hot", "lo")).join(comps, "node", "left")
+        held = self.held().where("n > 3").join(comps, "node", "left")
         held = save(held.select("key", "hot", "lo", "node", F.coalesce("comp", "node").alias("comp")), "open-index")
         open_ = held.groupBy("key").agg(F.max("hot").alias("hot"), F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 != c2").select("key", "hot")
         held = save(self.spread(held, open_), "open-held")
@@ -288,7 +285,7 @@ class _Run:
 
     def clear(self) -> None:
         """Delete what the last steps no longer read."""
-        self.scratch.drop("rows", "nodes", "buckets", "star-pairs", "star-needed", "star-links", "open-held", "open-clusters", "open-large", "open-rows", "open-needed", "open-sets", "open-links", "named")
+        self.scratch.drop("rows", "nodes", "held", "star-pairs", "star-needed", "star-links", "open-held", "open-clusters", "open-large", "open-rows", "open-needed", "open-sets", "open-links", "named")
 
     def named(self) -> DataFrame:
         """(node, doc_id, th, comp): each node with its first row, ids before none, and its component."""
