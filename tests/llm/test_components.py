@@ -2,6 +2,7 @@
 
 import random
 
+from tidewell.llm import components as module
 from tidewell.llm.components import components
 from tidewell.llm.scratch import Scratch
 
@@ -30,3 +31,13 @@ def test_components_equal_union_find(spark):
         rows = components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "test"), "c").collect()
         got = {r.node: r.comp for r in rows}
         assert got == _plain(edges) and len(rows) == len(got)
+
+
+def test_parents_of_many_are_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(module, "HOT", 3)
+    monkeypatch.setattr(module, "SALTS", 4)
+    rng = random.Random(5)
+    fans = [(hub, hub + k) for hub in range(10_000, 20_000, 1000) for k in range(1, 60)] + [(hub, hub + 1000) for hub in range(10_000, 19_000, 1000)]
+    rng.shuffle(fans)
+    rows = components(spark.createDataFrame(fans, "a long, b long").repartition(7), Scratch(spark, "test"), "c").collect()
+    assert {r.node: r.comp for r in rows} == _plain(fans) and len(rows) == len({x for e in fans for x in e})

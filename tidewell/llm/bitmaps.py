@@ -6,7 +6,10 @@ the input's size, so it may be sent to every task.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,3 +33,13 @@ def hits(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which of the unsigned 64-bit keys may be in the bitmap."""
     at = keys & np.uint64(len(bitmap) * 64 - 1)
     return (bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
+def marker(bitmap: np.ndarray, key: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For mapInArrow: the rows with a column hot, whether the bitmap may have their key."""
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column("hot", pa.array(hits(bitmap, batch[key].to_numpy().view(np.uint64))))
+
+    return marked

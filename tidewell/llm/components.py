@@ -9,10 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.llm import bitmaps
 from tidewell.llm.scratch import Scratch
 
 #: Edges that a task holds before it contracts them to a forest of the nodes it has seen.
 HELD = 1_000_000
+#: Children from which a parent's edges are dealt over several tasks, and over how many.
+HOT, SALTS = 1024, 32
 
 
 def _forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -42,9 +45,16 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _jump(edges: DataFrame) -> DataFrame:
-    """Link every node to the least parent of its parent. The edges of a parent of very many meet in one task of this join."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "v")
-    return edges.join(least, "v", "left").select("u", F.coalesce("m", "v").alias("v"))
+    """Link every node to the least parent of its parent. The edges of a parent of over HOT nodes are dealt over SALTS tasks, each with that parent's row."""
+    parents = edges.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "v")
+    hot = bitmaps.build(edges.groupBy("v").count().where(F.col("count") > HOT), F.col("v"))
+    if not hot.any():
+        return edges.join(parents, "v", "left").select("u", F.coalesce("m", "v").alias("v"))
+    mark = bitmaps.marker(hot, "v")
+    edges = edges.mapInArrow(mark, "u long, v long, hot boolean").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("u"), F.lit(SALTS))).otherwise(0).cast("int"))
+    every = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    parents = parents.mapInArrow(mark, "v long, m long, hot boolean").select("v", "m", F.explode(every).alias("salt"))
+    return edges.join(parents, ["v", "salt"], "left").select("u", F.coalesce("m", "v").alias("v"))
 
 
 def _is_forest(edges: DataFrame) -> bool:
@@ -65,8 +75,10 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     at, step = scratch.save(at.mapInArrow(_contract, "u long, v long"), f"{name}-0"), 0
     while True:
         step += 1
-        at = scratch.save(_jump(at.repartition("u").mapInArrow(_contract, "u long, v long")), f"{name}-{step}")
+        met = scratch.save(at.repartition("u").mapInArrow(_contract, "u long, v long"), f"{name}-{step}-met")
         scratch.drop(f"{name}-{step - 1}")
+        at = scratch.save(_jump(met), f"{name}-{step}")
+        scratch.drop(f"{name}-{step}-met")
         if _is_forest(at):
             break
     return at.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(at.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())

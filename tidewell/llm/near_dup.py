@@ -122,26 +122,22 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if batch.num_rows:
             a, b = batch["n_a"].to_numpy(), batch["n_b"].to_numpy()
             keep = (100 * np.minimum(a, b) >= PERCENT * np.maximum(a, b)) & ((_matrix(batch["sig_a"]) == _matrix(batch["sig_b"])).sum(1) >= LEAST_AGREE)
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep))
+            yield batch.select(["a", "salt", "b"]).filter(pa.array(keep))
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs with 100 * intersection >= PERCENT * union of their full sets."""
+    """Of (a, b, text of b), those with 100 * intersection >= PERCENT * union of their full sets; a row without b and with a's own text comes before the rows of each a."""
+    centre = np.zeros(0, np.uint64)
     for batch in slices(batches):
-        held: dict[int, np.ndarray] = {}
         keep = []
-        a, b = batch["a"].to_pylist(), batch["b"].to_pylist()
-        for x, y, s, t in zip(a, b, batch["text_a"], batch["text_b"], strict=True):
-            sets = []
-            for node, text in ((x, s), (y, t)):
-                if node not in held:
-                    if len(held) >= 64:
-                        held.pop(next(iter(held)))
-                    held[node] = next(shingles.shingle_sets([text.cast(pa.binary()).as_py()]))
-                sets.append(held[node])
-            both = len(np.intersect1d(*sets, assume_unique=True))
-            keep.append(100 * both >= PERCENT * (len(sets[0]) + len(sets[1]) - both))
-        yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for b, found in zip(batch["b"].to_pylist(), shingles.shingle_sets(_texts(batch["text"])), strict=True):
+            if b is None:
+                centre = found
+                keep.append(False)
+            else:
+                both = len(np.intersect1d(centre, found, assume_unique=True))
+                keep.append(100 * both >= PERCENT * (len(centre) + len(found) - both))
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def _across(frame: pd.DataFrame) -> pd.DataFrame:
@@ -202,13 +198,8 @@ class _Run:
             found = found.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n")).where("n > 1")
             found = self.scratch.save(found, "buckets")
             hot = bitmaps.build(found.where(F.col("n") > HOT), F.col("key"))
-
-            def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                for batch in batches:
-                    yield batch.append_column("hot", pa.array(bitmaps.hits(hot, batch["key"].to_numpy().view(np.uint64))))
-
             index = self.nodes.select("node", "sig").mapInArrow(_indexer(hot), _INDEX)
-            self._held = self.scratch.save(self.spread(index, found.mapInArrow(marked, "key long, lo long, hi long, n long, hot boolean")), "held")
+            self._held = self.scratch.save(self.spread(index, found.mapInArrow(bitmaps.marker(hot, "key"), "key long, lo long, hi long, n long, hot boolean")), "held")
             self.scratch.drop("buckets")
         return self._held
 
@@ -231,27 +222,35 @@ class _Run:
         same = F.col("s.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("s.th") == F.col("t.th"))
         return found.join(needed.alias("t"), same).select("node", "text").dropDuplicates(["node"])
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """Of (a, b) pairs, those similar enough, confirmed on the full sets."""
+    def stars(self) -> DataFrame:
+        """(a, salt, b): every bucket's nodes b with its least and with its greatest node a; those of hot buckets are dealt over SALTS salts by b."""
+        ends = F.array(F.col("lo"), F.when(F.col("node") != F.col("lo"), F.col("hi")))
+        pairs = self.held().select(F.explode(ends).alias("a"), F.col("node").alias("b"), "hot").where("a != b")
+        pairs = pairs.groupBy("a", "b").agg(F.max("hot").alias("hot"))
+        return pairs.select("a", F.when(F.col("hot"), F.pmod(F.xxhash64("b"), F.lit(SALTS))).otherwise(0).cast("int").alias("salt"), "b")
+
+    def links(self) -> DataFrame:
+        """The pairs of stars that are similar enough by their signatures, confirmed on the full sets.
+
+        An a of very many pairs meets at most 1 / SALTS of them in a task, and is sent there once, not with each pair.
+        """
+        pairs = self.scratch.save(self.stars(), "star-all")
+        sigs = self.nodes.select("node", "n", "sig")
+        side = lambda x: sigs.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}"))
+        centres = pairs.select("a", "salt").distinct().join(side("a"), "a")
+        pairs = pairs.join(side("b"), "b").join(centres, ["a", "salt"]).mapInArrow(_alike, "a long, salt int, b long")
         pairs = self.scratch.save(pairs, "star-pairs")
+        self.scratch.drop("star-all")
         used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         texts = self.scratch.save(self.texts(used, "star"), "star-texts")
-        both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-        out = self.scratch.save(both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long"), "star-links")
+        of = lambda x: texts.select(F.col("node").alias(x), "text")
+        centres = pairs.select("a", "salt").distinct().join(of("a"), "a").select("a", "salt", F.lit(None).cast("long").alias("b"), "text")
+        both = pairs.join(of("b"), "b").select("a", "salt", "b", "text").unionByName(centres)
+        both = both.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+        out = self.scratch.save(both.mapInArrow(_confirm, "a long, b long"), "star-links")
         self.scratch.drop("star-texts")
         return out
 
-    def alike(self, pairs: DataFrame) -> DataFrame:
-        sigs = self.nodes.select("node", "n", "sig")
-        side = lambda x: sigs.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}"))
-        return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_alike, "a long, b long")
-
-    def stars(self) -> DataFrame:
-        """Every bucket's nodes paired with its least and with its greatest node."""
-        pairs = self.held().select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("node").alias("b")), F.struct(F.col("node").alias("a"), F.col("hi").alias("b")))).alias("p")).select("p.*")
-        return self.alike(pairs.where("a != b").distinct())
-
     def open_links(self, comps: DataFrame) -> DataFrame | None:
         """Links between components inside the buckets that stars left open; None without such buckets."""
         save = self.scratch.save
@@ -289,7 +288,7 @@ class _Run:
 
     def named(self) -> DataFrame:
         """(node, doc_id, th, comp): each node with its first row, ids before none, and its component."""
-        links = self.links(self.stars())
+        links = self.links()
         comps = self.scratch.save(components(links, self.scratch, "star-comps"), "star-comps")
         more = self.open_links(comps)
         if more is not None and not more.isEmpty():
