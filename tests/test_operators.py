@@ -413,3 +413,33 @@ def test_retention_of_files(spark, tmp_path):
     assert sorted((r.path[len(uri):], r.outcome) for r in got.collect() if r.path.startswith(uri + "/")) == [("/../files-other/old.parquet", "refused"), ("/dt=1", "refused"), ("/dt=1/new.parquet", "changed"), ("/dt=1/old a.parquet", "deleted"), ("/dt=1/stuck.inprogress.2", "deleted"), ("/none.parquet", "gone")]
     assert (other / "old.parquet").exists() and sorted(p.name for p in (root / "dt=1").iterdir()) == ["new.parquet", "part.inprogress.1"]
     assert set(run(planned, 2, True).values()) == {"gone"} and run(maintenance.stale_files(readers.listing(spark, uri), (10_000 - 10) * 1000, (10_000 - 200) * 1000), 3, True) == {}
+
+
+def test_counters_of_one_window_end(spark):
+    """Of the records with one window's end the one counts that the first event found, in whatever order rows come; of records with one time, too, the one with the greatest load."""
+    from test_streaming import CFG, CHR, PM
+
+    event = lambda i, ts: (str(i), ts, "u", "a", "", "ATTACH", 0, -90.0, 1.0)
+    record = lambda end, ts, load, tput=1.0: ("", "a", 0, end, ts, load, tput, 1, 0, 1, 0)
+    events = [event(i, ts) for i, ts in enumerate((15, 25, 35, 45, 55))]
+    records = [record(100, 10, 7.0), record(100, 20, 3.0), record(100, 50, 9.0), *(record(200, 40, load, tput) for load, tput in ((4.0, 9.0), (8.0, 2.0), (8.0, 3.0), (6.0, 1.0)))]
+    cfg = spark.createDataFrame([], CFG)
+    for chr_rows, pm_rows in ((events, records), (events[::-1], records[::-1])):
+        chr_, pm = (spark.createDataFrame(rows, schema).coalesce(1) for rows, schema in ((chr_rows, CHR), (pm_rows, PM)))
+        for block in (1000, 7):
+            enriched = enrich.enrich(chr_, pm, cfg, R, block)
+            assert sorted((r.event_ts, r.pm.prb_usage_dl, r.pm.throughput_dl_mbps) for r in enriched.collect()) == [(15, 7.0, 1.0), (25, 3.0, 1.0), (35, 3.0, 1.0), (45, 8.0, 3.0), (55, 9.0, 1.0)]
+            row = kpi.kpi_from_enriched(enriched, 1000, "K").first()
+            assert (row.pm_windows, row.avg_prb_usage_dl, row.throughput_dl_mbps_avg) == (2, 7.5, 2.0)
+
+
+def test_means_half_way(spark):
+    """The last bits of a sum don't decide how a mean is rounded, here and in the SQL."""
+    import duckdb
+
+    from tidewell.plans import telemetry
+
+    means = [3.9615624999999995, 3.9615625, 3.9615625000000003, -104.33393749999999, -104.3339375, 0.1234564999]
+    want = [3.961563, 3.961563, 3.961563, -104.333938, -104.333938, 0.123456]
+    assert [r[0] for r in telemetry.half_up(spark.createDataFrame([(m,) for m in means], "m double").coalesce(1)).collect()] == want
+    assert [duckdb.sql(f"select {telemetry._half_up_sql(f'{m!r}::double')}").fetchall()[0][0] for m in means] == want

@@ -48,7 +48,7 @@ def openings(chr_: DataFrame, pm: DataFrame, cfg: DataFrame, rules: Rules, block
     at = lambda df, ts: df.withColumn("block", bucket_start(ts, block_ms))
     touch = at(chr_.select("cell_id", F.col("event_ts").alias("t")).unionByName(cfg.select("cell_id", F.col("effective_ts").alias("t"))), "t")
     touch = touch.groupBy(*keys).agg(F.min("t").alias("first_touch"), F.max("t").alias("last_touch"))
-    counters = at(pm, "event_ts").groupBy(*keys).agg(F.max_by(F.struct(F.col("event_ts").alias("ts"), F.struct(*pm.columns).alias("pm")), F.struct("event_ts", "window_end_ts")).alias("left_pm"))
+    counters = at(pm, "event_ts").groupBy(*keys).agg(F.max_by(F.struct(F.col("event_ts").alias("ts"), F.struct(*pm.columns).alias("pm")), F.struct("event_ts", "window_end_ts", "prb_usage_dl", F.struct(*pm.columns))).alias("left_pm"))
     # Changes of a cell in a block; after a tombstone only later versions count.
     order = Window.partitionBy(*keys).orderBy("effective_ts", "cfg_seq")
     changes = at(cfg, "effective_ts").select(*keys, "effective_ts", "cfg_seq", F.when(F.col("tombstone"), F.lit(None)).otherwise(_live(cfg)).alias("live"), F.count_if("tombstone").over(order.rowsBetween(*_UNTIL)).alias("n"))
@@ -70,14 +70,15 @@ def enrich(chr_: DataFrame, pm: DataFrame, cfg: DataFrame, rules: Rules, block_m
 
     The configuration is the highest version so far (ties: the first). A tombstone clears it and forgets the
     version, so an older one may come after; so does a time of cfg_ttl_ms in which the cell had neither event nor
-    configuration. Counters count for pm_ttl_ms. Blocks of any length up to cfg_ttl_ms give the same rows.
+    configuration. Counters count for pm_ttl_ms; of those with one time and window's end, the ones with the greatest load, then
+    the greatest of the other columns in their order. Blocks of any length up to cfg_ttl_ms give the same rows.
     """
     block_ms = block_ms or block_length(rules)
     if block_ms > rules.cfg_ttl_ms:
         raise ValueError("a block must not be longer than a configuration counts")
     opening = openings(chr_, pm, cfg, rules, block_ms).select("*", F.lit("OPEN").alias("kind"), F.col("block").alias("ts"), F.lit(-1).alias("ord"), F.lit(0).cast("long").alias("seq"))
     rows = envelopes(chr_, pm, cfg).withColumn("block", bucket_start("ts", block_ms)).unionByName(opening, allowMissingColumns=True)
-    w = Window.partitionBy("cell_id", "block").orderBy("ts", "ord", "seq")
+    w = Window.partitionBy("cell_id", "block").orderBy("ts", "ord", "seq", "pm.prb_usage_dl", "pm")
     kind, tombstone = F.col("kind"), F.coalesce(F.col("cfg.tombstone"), F.lit(False))
     touch = F.when(kind.isin("CHR", "CFG"), F.col("ts")).otherwise(F.col("touched"))
     before = F.last(touch, ignorenulls=True).over(w.rowsBetween(*_BEFORE))

@@ -125,7 +125,7 @@ def kpi_with_cfg(rows: DataFrame, cfg: DataFrame) -> DataFrame:
 
 
 def kpi_from_enriched(enriched: DataFrame, length: int, kind: str) -> DataFrame:
-    """All KPI measures straight from enriched events for windows of any length and kind; each counter record counts once in a window."""
+    """All KPI measures straight from enriched events for windows of any length and kind; each counter record counts once in a window: of those with one window's end, the record that the first event found."""
     rows = enriched.withColumn("window_start_ts", bucket_start("event_ts", length))
     keys = ["cell_id", "window_start_ts"]
     attach = F.col("event_type") == "ATTACH"
@@ -137,7 +137,7 @@ def kpi_from_enriched(enriched: DataFrame, length: int, kind: str) -> DataFrame:
         F.min_by("site_id", at).alias("site_id"), F.coalesce(F.min_by(grid, F.when(F.col("cfg").isNotNull(), at)), F.lit("")).alias("grid_id"), F.count("*").alias("num_chr_events"), F.count_distinct("imsi").alias("num_users"),
         F.count("rsrp").alias("rsrp_sample_count"), F.count("sinr").alias("sinr_sample_count"), F.count_if(attach).alias("attach_attempts"), ratio(F.sum("rsrp"), F.count("rsrp")).alias("avg_rsrp"), ratio(F.sum("sinr"), F.count("sinr")).alias("avg_sinr"),
         ratio(F.count_if(attach & (F.col("result_code") == 0)), F.count_if(attach)).alias("attach_success_rate"), *named("own", "event_ts"))
-    counters = rows.where("pm is not null").select(*keys, F.col("pm.window_end_ts").alias("pm_end"), "pm").dropDuplicates([*keys, "pm_end"])
+    counters = rows.where("pm is not null").groupBy(*keys, F.col("pm.window_end_ts").alias("pm_end")).agg(F.min_by("pm", at).alias("pm"))
     p = lambda x: F.col(f"pm.{x}")
     counters = counters.withColumn("pm_ts", p("event_ts"))
     ok, bad = F.sum(p("handover_success")), F.sum(p("handover_failure"))

@@ -20,6 +20,15 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*(F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
 
 
+def half_up(df: DataFrame) -> DataFrame:
+    """df with its doubles rounded half up at the sixth digit, as decimals of ten digits: a mean of many values often lies half way, where the last bits of a sum, which depend on the order of adding, would decide."""
+    return df.select(*(F.round(F.col(c).cast("decimal(38,10)"), 6).cast("double").alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
+
+
+def _half_up_sql(x: str) -> str:
+    return f"cast(round(cast({x} as decimal(38, 10)), 6) as double)"
+
+
 def _kpi(spark: SparkSession, d: str) -> DataFrame:
     return kpi.kpi(view(spark, d, "chr"), view(spark, d, "pm"), R)
 
@@ -115,7 +124,10 @@ _ASOF_CFG = f"""env as (select cell_id, event_ts as ts, 2 as ord, cast(chr_id as
  live as (select *, max(case when ord = 0 and not tombstone then version * 1000000000 - seq end) over (partition by cell_id, segment order by ts, ord, seq rows unbounded preceding) as best from seg),
  asof_cfg as (select cell_id, cast(seq as string) as chr_id, ts as event_ts, cast(ceil(best / 1000000000) as bigint) as cfg_version from live where ord = 2)"""
 
-_ASOF_FULL = _ASOF_CFG.replace("cast(ceil(best / 1000000000) as bigint) as cfg_version from live", "cast(ceil(best / 1000000000) as bigint) as cfg_version, cast(ceil(best / 1000000000) * 1000000000 - best as bigint) as cfg_seq from live").replace("asof_cfg as", "asof_full as")
+_ASOF_FULL = _ASOF_CFG.replace("then version * 1000000000 - seq end", "then {'v': version, 's': -seq} end").replace("cast(ceil(best / 1000000000) as bigint) as cfg_version from live", "cast(best.v as bigint) as cfg_version, cast(-best.s as bigint) as cfg_seq from live").replace("asof_cfg as", "asof_full as")
+#: Counters of one cell and time with one window's end: the greatest load counts, then the greatest of the other columns in their order.
+_PM_TIES = "order by window_end_ts desc, " + ", ".join(f"{c} desc nulls last" for c in "prb_usage_dl site_id window_start_ts throughput_dl_mbps active_users dropped_connections handover_success handover_failure".split())
+_ASOF_PM_FULL = _ASOF_PM.replace("order by window_end_ts desc", _PM_TIES)
 
 
 @query(f"{_ASOF_CFG} select * from asof_cfg")
@@ -130,20 +142,20 @@ def enrichment_late(spark, d):
     return enrich.split_late(_enriched(spark, d))[1].select("cell_id", "chr_id", "event_ts")
 
 
-_OWN = f"""own as (select a.cell_id, a.event_ts - a.event_ts % {RW} as window_start_ts, min(a.site_id) as site_id, coalesce(arg_min({geohash_sql('f.center_lat', 'f.center_lon')}, (a.event_ts, cast(a.chr_id as bigint))) filter (f.cell_id is not null), '') as grid_id,
+_OWN = f"""own as (select a.cell_id, a.event_ts - a.event_ts % {RW} as window_start_ts, arg_min(a.site_id, (a.event_ts, cast(a.chr_id as bigint))) as site_id, coalesce(arg_min({geohash_sql('f.center_lat', 'f.center_lon')}, (a.event_ts, cast(a.chr_id as bigint))) filter (f.cell_id is not null), '') as grid_id,
  count(*) as num_chr_events, count(distinct imsi) as num_users, count(rsrp) as rsrp_sample_count, count(sinr) as sinr_sample_count, count(*) filter (event_type = 'ATTACH') as attach_attempts, coalesce(avg(rsrp), 0) as avg_rsrp, coalesce(avg(sinr), 0) as avg_sinr,
  coalesce(cast(count(*) filter (event_type = 'ATTACH' and result_code = 0) as double) / nullif(count(*) filter (event_type = 'ATTACH'), 0), 0) as attach_success_rate, sum(a.event_ts) as s, min(a.event_ts) as lo, max(a.event_ts) as hi, count(*) as n
  from chr a join asof_full x using (chr_id) left join cfg f on f.cell_id = a.cell_id and f.cfg_seq = x.cfg_seq group by all),
  theirs as (select cell_id, window_start_ts, count(*) as pm_windows, avg(p.prb_usage_dl) as avg_prb_usage_dl, avg(p.throughput_dl_mbps) as throughput_dl_mbps_avg, coalesce(cast(sum(p.dropped_connections) as double) / nullif(sum(greatest(p.active_users, 0)), 0), 0) as drop_rate,
- coalesce(cast(sum(p.handover_success) as double) / nullif(sum(p.handover_success + p.handover_failure), 0), 0) as ho_success_rate, sum(p.event_ts) as s, min(p.event_ts) as lo, max(p.event_ts) as hi from (select cell_id, event_ts - event_ts % {RW} as window_start_ts, pm_window_end_ts, any_value(pm) as p from asof_pm where pm_window_end_ts is not null group by all) group by all)"""
+ coalesce(cast(sum(p.handover_success) as double) / nullif(sum(p.handover_success + p.handover_failure), 0), 0) as ho_success_rate, sum(p.event_ts) as s, min(p.event_ts) as lo, max(p.event_ts) as hi from (select cell_id, event_ts - event_ts % {RW} as window_start_ts, pm_window_end_ts, arg_min(pm, (event_ts, cast(chr_id as bigint))) as p from asof_pm where pm_window_end_ts is not null group by all) group by all)"""
 
 
-@query(f"""{_ASOF_PM}, {_ASOF_FULL}, {_OWN} select window_start_ts, window_start_ts + {RW} as window_end_ts, 'MIN_5' as window_kind, 'JOINED' as join_quality, site_id, cell_id, grid_id, num_chr_events, num_users, rsrp_sample_count, sinr_sample_count, attach_attempts, round(avg_rsrp, 6) as avg_rsrp, round(avg_sinr, 6) as avg_sinr,
- round(coalesce(avg_prb_usage_dl, 0), 6) as avg_prb_usage_dl, round(coalesce(throughput_dl_mbps_avg, 0), 6) as throughput_dl_mbps_avg, round(coalesce(drop_rate, 0), 6) as drop_rate, round(coalesce(ho_success_rate, 0), 6) as ho_success_rate, round(attach_success_rate, 6) as attach_success_rate, coalesce(pm_windows, 0) as pm_windows,
+@query(f"""{_ASOF_PM_FULL}, {_ASOF_FULL}, {_OWN} select window_start_ts, window_start_ts + {RW} as window_end_ts, 'MIN_5' as window_kind, 'JOINED' as join_quality, site_id, cell_id, grid_id, num_chr_events, num_users, rsrp_sample_count, sinr_sample_count, attach_attempts, {_half_up_sql('avg_rsrp')} as avg_rsrp, {_half_up_sql('avg_sinr')} as avg_sinr,
+ {_half_up_sql('coalesce(avg_prb_usage_dl, 0)')} as avg_prb_usage_dl, {_half_up_sql('coalesce(throughput_dl_mbps_avg, 0)')} as throughput_dl_mbps_avg, {_half_up_sql('coalesce(drop_rate, 0)')} as drop_rate, {_half_up_sql('coalesce(ho_success_rate, 0)')} as ho_success_rate, {_half_up_sql('attach_success_rate')} as attach_success_rate, coalesce(pm_windows, 0) as pm_windows,
  cast((own.s + coalesce(theirs.s, 0)) // (n + coalesce(pm_windows, 0)) as bigint) as source_event_ts_avg, least(own.lo, theirs.lo) as source_event_ts_min, greatest(own.hi, theirs.hi) as source_event_ts_max, n + coalesce(pm_windows, 0) as source_event_count from own left join theirs using (cell_id, window_start_ts)""")
 def kpi_enriched_window(spark, d):
     """KPI measures straight from enriched events."""
-    return rounded(kpi.kpi_from_enriched(_enriched(spark, d), RW, "MIN_5"))
+    return half_up(kpi.kpi_from_enriched(_enriched(spark, d), RW, "MIN_5"))
 
 
 @query(f"select cell_id, event_ts - event_ts % {7 * DAY} as window_start_ts, count(distinct imsi) as users, true as close from chr group by all")
