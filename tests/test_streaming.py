@@ -265,6 +265,17 @@ def test_distinct_users_of_a_stream(spark, folder):
         assert abs(r.distinct_users - n) <= 0.02 * n and r.num_users >= n
 
 
+def test_distinct_users_of_many(spark):
+    """Windows of thousands of users stay within 2 %, merged ones too."""
+    n, rules = 3000, Rules(fact_ms=60_000, rollup_ms=300_000)
+    users = spark.range(20 * 5 * n).selectExpr(f"concat('c', id div {5 * n}) as cell_id", f"id div {n} % 5 * 60000 + 1 as event_ts", "concat('46000', lpad(cast(id as string), 10, '0')) as imsi")
+    chr_ = users.selectExpr("'1' as chr_id", "event_ts", "imsi", "cell_id", "'' as site_id", "'ATTACH' as event_type", "0 as result_code", "-90d as rsrp", "1d as sinr")
+    rows = st.kpis(st.sides(chr_, spark.createDataFrame([], PM)), rules, users=True)
+    assert all(abs(r.num_users - n) <= 3 for r in rows.select("num_users").collect())
+    rolled = st.rollups(rows, rules).select("distinct_users").collect()
+    assert len(rolled) == 20 and all(abs(r.distinct_users - 5 * n) <= 0.02 * 5 * n for r in rolled)
+
+
 def test_sketches_of_a_stream(spark, folder):
     from tidewell.operators import metrics
 
