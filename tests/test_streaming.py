@@ -343,3 +343,59 @@ def test_stream_that_goes_on(spark, folder):
         assert spark.read.parquet(f"{folder}/on-out").count() == 6 and q.isActive
     finally:
         q.stop()
+
+
+@pytest.mark.parametrize("n", [0, 1, 99, 100, 101, 1000, 1001])
+def test_rows_in_order_from_a_file(n):
+    """Runs that don't fit come back from the file in order, with every value as it was."""
+    import random
+
+    from tidewell.streaming.order import in_order
+
+    rng = random.Random(n)
+    rows = [(rng.randrange(50), rng.choice("äb"), i, rng.random(), bool(i % 2)) for i in range(n)]
+    assert list(in_order(iter(rows), held=100, block=7)) == sorted(rows)
+
+
+def test_streaks_of_all_dimensions_share_a_key(spark, folder):
+    """The streaks go on from batch to batch; there is one state an entity, none where every dimension was good last."""
+    batches = [[(u, d, 10 * b + t, 0, (int(u) + b + t) % 4 > 0) for u in ("0", "1", "2") for d in "xyz" for t in range(9)] for b in range(3)]
+    batches.append([("0", "x", 100, 0, False), ("3", "x", 100, 0, False)])
+    schema = "entity_id string, dimension string, event_ts long, seq long, abnormal boolean"
+    stream = _in_turn(spark, f"{folder}/sk-in", batches, schema)
+    st.run_once(st.streaks(stream, 3, 5, bounded=True), f"{folder}/sk-out", f"{folder}/sk-cp").stop()
+    want = anomaly.streaks(spark.createDataFrame(sum(batches, []), schema).withColumn("entity_type", F.lit("")), 3, 5)
+    key = lambda r: (r.entity_id, r.dimension, r.event_ts, r.seq)
+    assert sorted(map(key, spark.read.parquet(f"{folder}/sk-out").collect())) == sorted(map(key, want.collect())) != []
+    assert _state(spark, f"{folder}/sk-cp", "streak") == 2  # user 2 ends well
+
+
+def test_a_silent_dimension_is_forgotten():
+    """The time limit goes by dimension, though the entity's other ones go on."""
+    import pandas as pd
+    from pyspark.sql.streaming.stateful_processor import TimerValues
+
+    class State:
+        value = None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+        def clear(self):
+            self.value = None
+
+    processor = st.Streaks(2, 1000, 60)
+    processor.state = State()
+
+    def hits(now, *rows):
+        frame = pd.DataFrame(rows, columns=["dimension", "event_ts", "seq", "abnormal"])
+        return [(r.dimension, r.event_ts) for f in processor.handleInputRows(("u",), iter([frame]), TimerValues(now, 0)) for r in f.itertuples()]
+
+    assert hits(0, ("x", 1, 0, True), ("y", 1, 0, True)) == []
+    assert hits(50, ("y", 2, 0, True)) == [("y", 2)]
+    assert hits(100, ("x", 3, 0, True), ("y", 3, 0, True)) == []
+    assert hits(110, ("x", 4, 0, True), ("y", 4, 0, False)) == [("x", 4)]
+    assert hits(120, ("x", 5, 0, False)) == [] and processor.state.value is None

@@ -9,6 +9,8 @@ watermark passes them, so closing() adds a row far in the future at the end of a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 from typing import Any
 
 import pandas as pd
@@ -20,6 +22,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from tidewell.functions.scalar import first_non_blank, ratio
 from tidewell.operators.kpi import rollup_parts
 from tidewell.params import DAY, Rules
+from tidewell.streaming.order import in_order, in_parts, plain
 
 #: Events may be OUT_OF_ORDER_S late; a window waits JOIN_WAIT_S more for the other side, so the watermark's delay is the sum.
 OUT_OF_ORDER_S, JOIN_WAIT_S = 2, 10
@@ -110,35 +113,48 @@ def rollups(rows: DataFrame, rules: Rules, kind: str = "MIN_5") -> DataFrame:
 
 
 class Streaks(StatefulProcessor):
-    """Streaks of bad evaluations of a key; state: count, time of the first bad one, whether the alarm went off.
+    """Streaks of bad evaluations of an entity; state: for each dimension the count, the time of the first bad one, whether the alarm went off.
 
-    A key's state goes when nothing has come for it for ttl_ms of the query's running time; its alarm is armed again then.
+    All dimensions of an entity share one key, because a key costs more than its rows do. A dimension's state goes when
+    nothing has come for it for ttl_ms of the query's running time; its alarm is armed again then. A dimension whose
+    last evaluation was good needs no state.
     """
 
     def __init__(self, needed: int, window_ms: int, ttl_ms: int | None):
         self.needed, self.window_ms, self.ttl_ms = needed, window_ms, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("streak", "n INT, first LONG, active BOOLEAN", self.ttl_ms)
+        self.state = handle.getValueState("streak", "dimension ARRAY<STRING>, n ARRAY<INT>, first ARRAY<LONG>, active ARRAY<BOOLEAN>, touched ARRAY<LONG>", self.ttl_ms)
+
+    def _hits(self, rows: Iterator[tuple], held: dict[str, tuple], now: int) -> Iterator[tuple]:
+        """(dimension, ts, seq) of the alarms; afterwards held has the state of the dimensions that need one."""
+        for dimension, mine in groupby(in_order(rows), key=itemgetter(0)):
+            n, first, active, _ = held.pop(dimension, (0, 0, False, 0))
+            for _, ts, seq, abnormal in mine:
+                if not abnormal:
+                    n, first, active = 0, 0, False
+                    continue
+                if n == 0 or ts - first > self.window_ms:
+                    n, first = 1, ts
+                else:
+                    n += 1
+                if n >= self.needed and not active:
+                    active = True
+                    yield dimension, ts, seq
+            if n or active:
+                held[dimension] = (min(n, 2**31 - 1), first, active, now)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        n, first, active = self.state.get() if self.state.exists() else (0, 0, False)
-        out = []
-        # Three numbers a row of the key in this micro-batch, whose size the source's limits bound.
-        frames = [f[["event_ts", "seq", "abnormal"]] for f in rows]
-        for ts, seq, abnormal in pd.concat(frames).sort_values(["event_ts", "seq"]).itertuples(index=False):
-            if not abnormal:
-                n, first, active = 0, 0, False
-                continue
-            if n == 0 or ts - first > self.window_ms:
-                n, first = 1, ts
-            else:
-                n += 1
-            if n >= self.needed and not active:
-                active = True
-                out.append((*key, int(ts), int(seq)))
-        self.state.update((n, int(first), active))
-        yield pd.DataFrame(out, columns=["entity_id", "dimension", "event_ts", "seq"])
+        now, before = timerValues.getCurrentProcessingTimeInMs(), self.state.get()
+        held = {d: tuple(more) for d, *more in zip(*before, strict=True)} if before else {}
+        if self.ttl_ms is not None:
+            held = {d: kept for d, kept in held.items() if now - kept[3] <= self.ttl_ms}
+        for part in in_parts(self._hits(plain(rows, "dimension", "event_ts", "seq", "abnormal"), held, now)):
+            yield pd.DataFrame([(key[0], *hit) for hit in part], columns=["entity_id", "dimension", "event_ts", "seq"])
+        if held:
+            self.state.update(([*held], *(list(c) for c in zip(*held.values(), strict=True))))
+        elif before:
+            self.state.clear()
 
     def close(self) -> None:
         pass
@@ -151,7 +167,7 @@ def _time_mode(bounded: bool) -> str:
 
 def streaks(evaluations: DataFrame, needed: int, window_ms: int, bounded: bool = False) -> DataFrame:
     """Streaming twin of the batch streaks: (entity_id, dimension, event_ts, seq) at which a streak is complete. Across micro-batches the order is that of arrival."""
-    return evaluations.groupBy("entity_id", "dimension").transformWithStateInPandas(Streaks(needed, window_ms, None if bounded else max(window_ms, DAY)), "entity_id STRING, dimension STRING, event_ts LONG, seq LONG", "append", _time_mode(bounded))
+    return evaluations.select("entity_id", "dimension", "event_ts", "seq", "abnormal").groupBy("entity_id").transformWithStateInPandas(Streaks(needed, window_ms, None if bounded else max(window_ms, DAY)), "entity_id STRING, dimension STRING, event_ts LONG, seq LONG", "append", _time_mode(bounded))
 
 
 class Enricher(StatefulProcessor):
