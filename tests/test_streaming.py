@@ -399,3 +399,75 @@ def test_a_silent_dimension_is_forgotten():
     assert hits(100, ("x", 3, 0, True), ("y", 3, 0, True)) == []
     assert hits(110, ("x", 4, 0, True), ("y", 4, 0, False)) == [("x", 4)]
     assert hits(120, ("x", 5, 0, False)) == [] and processor.state.value is None
+
+
+def test_enrichment_of_a_busy_cell_holds_few_rows():
+    """A cell's rows of a micro-batch are never held at once: the memory for 200,000 is that for the rows that are sorted at a time."""
+    import tracemalloc
+
+    import pandas as pd
+    from pyspark.sql.streaming.stateful_processor import TimerValues
+
+    class State:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    class Handle:
+        def __init__(self):
+            self.states, self.timers = {}, set()
+
+        def getValueState(self, name, schema, ttl=None):  # noqa: N802
+            return self.states.setdefault(name, State())
+
+        def registerTimer(self, at):  # noqa: N802
+            self.timers.add(at)
+
+        def deleteTimer(self, at):  # noqa: N802
+            self.timers.remove(at)
+
+    n, size, handle = 200_000, 10_000, Handle()
+    processor = st.Enricher(10**9, 50)
+    processor.init(handle)
+
+    def frames():
+        for k in range(0, n, size):
+            # The order of time backwards, a counter every 100 rows, a configuration every 1,000.
+            ts = range(n - k, n - k - size, -1)
+            kind = [0 if t % 1000 == 0 else 1 if t % 100 == 0 else 2 for t in ts]
+            yield pd.DataFrame({"cell_id": "c", "ts": ts, "ord": kind, "seq": ts, "known": [o < 2 for o in kind], "prb": [float(t) if o == 1 else 0.0 for t, o in zip(ts, kind, strict=True)], "version": [t if o == 0 else 0 for t, o in zip(ts, kind, strict=True)], "tombstone": False})
+
+    tracemalloc.start()
+    try:
+        seen = at = 0
+        for frame in processor.handleInputRows(("c",), frames(), TimerValues(-1, 0)):
+            assert len(frame) <= size
+            for r in frame.iloc[::997].itertuples(index=False):
+                t, last = r.event_ts, r.event_ts // 100 * 100
+                assert r.chr_id == str(t) and t > at
+                assert (None if r.cfg_version is pd.NA else r.cfg_version) == (t // 1000 * 1000 or None)
+                assert (None if r.pm_prb_usage_dl is pd.NA else r.pm_prb_usage_dl) == (float(last) if last % 1000 and t - last <= 50 else None)
+            seen, at = seen + len(frame), int(frame.event_ts.iloc[-1])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert seen == n - n // 100 and peak < 60 * 2**20
+    assert handle.states["cfg"].value == (n, n) and handle.states["pm"].value == (n - 100.0, n - 100) and handle.timers == {n + 10**9 + 1, n - 100 + 51}
+
+
+def test_enrichment_of_odd_rows(spark, folder):
+    """Counters that tie count by load, a measure that is missing stays missing, and a configuration without a version counts for none."""
+    chr_ = _in_turn(spark, f"{folder}/z-chr", [[_event(1000, "a", 2**60 + 1), _event(1001, "b", 2), _event(1002, "c", 3)]], CHR)
+    counter = lambda cell, load: ("", cell, 0, 999_000, 999_000, load, 1.0, 1, 0, 1, 0)
+    pm = _in_turn(spark, f"{folder}/z-pm", [[counter("a", 9.0), counter("a", 4.0), counter("a", None), counter("b", None)]], PM)
+    cfg = _in_turn(spark, f"{folder}/z-cfg", [[("s", "a", 800_000, 2**60 + 3, None, 1.0, 1.0, 1), ("s", "b", 800_000, None, False, 1.0, 1.0, 2), ("s", "c", 800_000, 0, False, 1.0, 1.0, 3)]], CFG)
+    st.run_once(st.enrich(chr_, pm, cfg, Rules()), f"{folder}/z-out", f"{folder}/z-cp").stop()
+    got = {r.chr_id: (r.cell_id, r.event_ts, r.cfg_version, r.pm_prb_usage_dl) for r in spark.read.parquet(f"{folder}/z-out").collect()}
+    assert got == {str(2**60 + 1): ("a", 1_000_000, 2**60 + 3, 9.0), "2": ("b", 1_001_000, None, None), "3": ("c", 1_002_000, 0, None)}

@@ -14,7 +14,7 @@ from operator import itemgetter
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
@@ -190,27 +190,34 @@ class Enricher(StatefulProcessor):
         ends = ((self.cfg, self.cfg_ttl_ms), (self.pm, self.pm_ttl_ms))
         return {state.get()[1] + ttl + 1 for state, ttl in ends if state.exists()}
 
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:  # noqa: N802, N803
-        version, touched = self.cfg.get() if self.cfg.exists() else (None, None)
-        prb, at = self.pm.get() if self.pm.exists() else (None, None)
-        before, out = self._due(), Row("cell_id", "chr_id", "event_ts", "cfg_version", "pm_prb_usage_dl")
-        # The key's rows of this micro-batch, whose size the source's limits bound.
-        for row in sorted(rows, key=lambda r: (r["ts"], r["ord"], r["seq"])):
-            ts = row["ts"]
-            if row["kind"] == "PM":
-                prb, at = row["prb"], ts
+    def _found(self, rows: Iterator[tuple], now: list) -> Iterator[tuple]:
+        """(chr_id, ts, version, prb) of the events; now is [version, touched, prb, at] before and after."""
+        version, touched, prb, at = now
+        for ts, order, seq, known, load, change, tombstone in in_order(rows):
+            if order == 1:
+                prb, at = load if known else None, ts
                 continue
             if touched is not None and ts - touched > self.cfg_ttl_ms:
                 version = None
             touched = ts if touched is None else max(touched, ts)
-            if row["kind"] == "CFG":
-                if row["tombstone"]:
+            if order == 0:
+                if tombstone:
                     version = None
-                elif version is None or row["version"] > version:
-                    version = row["version"]
+                elif known and (version is None or change > version):
+                    version = change
             else:
                 live = at is not None and ts - at <= self.pm_ttl_ms
-                yield out(key[0], str(row["seq"]), ts, version, prb if live else None)
+                yield str(seq), ts, version, prb if live else None
+        now[:] = version, touched, prb, at
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        before = self._due()
+        now = [*(self.cfg.get() or (None, None)), *(self.pm.get() or (None, None))]
+        # A cell's rows are never held at once, neither those that come in nor those that go out.
+        for part in in_parts(self._found(plain(rows, "ts", "ord", "seq", "known", "prb", "version", "tombstone"), now)):
+            ids, times, versions, loads = zip(*part, strict=True)
+            yield pd.DataFrame({"cell_id": pd.Series([key[0]] * len(part), dtype=object), "chr_id": ids, "event_ts": times, "cfg_version": pd.array(versions, "Int64"), "pm_prb_usage_dl": pd.array(loads, "Float64")})
+        version, touched, prb, at = now
         if touched is not None:
             self.cfg.update((version, touched))
         if at is not None:
@@ -221,7 +228,7 @@ class Enricher(StatefulProcessor):
         for due in after - before:
             self.handle.registerTimer(due)
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:  # noqa: N802, N803
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         now = expiredTimerInfo.getExpiryTimeInMs()
         for state, ttl in ((self.cfg, self.cfg_ttl_ms), (self.pm, self.pm_ttl_ms)):
             if state.exists() and state.get()[1] + ttl < now:
@@ -235,13 +242,18 @@ class Enricher(StatefulProcessor):
 def enrich(chr_: DataFrame, pm: DataFrame, cfg: DataFrame, rules: Rules, delay: str = "1 hour") -> DataFrame:
     """Streaming twin of the batch enrichment, over the union of the three streams keyed by cell.
 
-    Rows go out in the micro-batch that brings them. The delay says how late a row may come (later ones are dropped),
-    and by how much state outlives its limit.
+    Rows go out in the micro-batch that brings them. Of counters with one time and window's end the greatest load counts.
+    The delay says how late a row may come (later ones are dropped), and by how much state outlives its limit.
     """
+    # No long and no boolean of a row is null, because pandas would make other numbers of the column.
     nothing = {"prb": F.lit(None).cast("double"), "version": F.lit(None).cast("long"), "tombstone": F.lit(False)}
-    row = lambda df, kind, ts, order, seq, **more: df.select(F.lit(kind).alias("kind"), "cell_id", F.col(ts).alias("ts"), F.timestamp_millis(ts).alias("event_time"), F.lit(order).alias("ord"), F.col(seq).cast("long").alias("seq"), *(more.get(k, v).alias(k) for k, v in nothing.items()))
-    rows = row(chr_, "CHR", "event_ts", 2, "chr_id").unionByName(row(pm, "PM", "event_ts", 1, "window_end_ts", prb=F.col("prb_usage_dl"))).unionByName(row(cfg, "CFG", "effective_ts", 0, "cfg_seq", version=F.col("version").cast("long"), tombstone=F.col("tombstone")))
-    return rows.withWatermark("event_time", delay).groupBy("cell_id").transformWithState(Enricher(rules.cfg_ttl_ms, rules.pm_ttl_ms), "cell_id STRING, chr_id STRING, event_ts LONG, cfg_version LONG, pm_prb_usage_dl DOUBLE", "append", "EventTime")
+
+    def row(df: DataFrame, ts: str, order: int, seq: str, **more: Column) -> DataFrame:
+        prb, version, tombstone = (more.get(k, v) for k, v in nothing.items())
+        return df.select("cell_id", F.col(ts).alias("ts"), F.timestamp_millis(ts).alias("event_time"), F.lit(order).alias("ord"), F.col(seq).cast("long").alias("seq"), F.coalesce(prb, version).isNotNull().alias("known"), F.coalesce(prb, F.lit(0.0)).alias("prb"), F.coalesce(version, F.lit(0)).alias("version"), F.coalesce(tombstone, F.lit(False)).alias("tombstone"))
+
+    rows = row(chr_, "event_ts", 2, "chr_id").unionByName(row(pm, "event_ts", 1, "window_end_ts", prb=F.col("prb_usage_dl"))).unionByName(row(cfg, "effective_ts", 0, "cfg_seq", version=F.col("version").cast("long"), tombstone=F.col("tombstone")))
+    return rows.withWatermark("event_time", delay).groupBy("cell_id").transformWithStateInPandas(Enricher(rules.cfg_ttl_ms, rules.pm_ttl_ms), "cell_id STRING, chr_id STRING, event_ts LONG, cfg_version LONG, pm_prb_usage_dl DOUBLE", "append", "EventTime")
 
 
 def run_once(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
