@@ -471,3 +471,19 @@ def test_enrichment_of_odd_rows(spark, folder):
     st.run_once(st.enrich(chr_, pm, cfg, Rules()), f"{folder}/z-out", f"{folder}/z-cp").stop()
     got = {r.chr_id: (r.cell_id, r.event_ts, r.cfg_version, r.pm_prb_usage_dl) for r in spark.read.parquet(f"{folder}/z-out").collect()}
     assert got == {str(2**60 + 1): ("a", 1_000_000, 2**60 + 3, 9.0), "2": ("b", 1_001_000, None, None), "3": ("c", 1_002_000, 0, None)}
+
+
+def test_handovers_and_routes_of_odd_rows(spark, folder):
+    """A handover without a result counts as no failure, as in the batch; events without an id go through, and a route without a version counts for none."""
+    from tidewell.streaming import timers
+
+    rules = Rules(handover_attempts=2)
+    rows = [(str(i), 1000 + i * 100, "a", "s", "HANDOVER", None if i % 3 == 0 else 1, -90.0, 1.0, 1.0) for i in range(9)]
+    st.run_once(timers.handover_patterns(_in_turn(spark, f"{folder}/p-in", [rows], PLACED), rules), f"{folder}/p-out", f"{folder}/p-cp").stop()
+    key = lambda r: (r.chr_id, r.attempts, r.failures)
+    want = sorted(map(key, anomaly.handover_patterns(spark.createDataFrame(rows, PLACED), rules).collect()))
+    assert want and sorted(map(key, spark.read.parquet(f"{folder}/p-out").collect())) == want
+    events = _in_turn(spark, f"{folder}/w-ev", [[(None, 5, "a"), ("x", 5, "a"), (None, 5, "a")]], "chr_id string, event_ts long, cell_id string")
+    routes = _in_turn(spark, f"{folder}/w-rt", [[("a", 3, 1, 1), ("a", 4, None, 2)]], "cell_id string, shift int, routing_version long, ts long")
+    st.run_once(timers.routed(events, routes, 64, salts=1), f"{folder}/w-out", f"{folder}/w-cp").stop()
+    assert sorted(((r.chr_id or "", r.shift) for r in spark.read.parquet(f"{folder}/w-out").collect())) == [("", 3), ("", 3), ("x", 3)]

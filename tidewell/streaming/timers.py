@@ -11,6 +11,7 @@ import heapq
 from collections.abc import Iterator
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -18,6 +19,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewell.functions.scalar import bucket_start, first_non_blank, geohash, shifted_bucket, virtual_bucket, weak_signal
 from tidewell.params import Rules
+from tidewell.streaming.order import in_order, in_parts, plain
 from tidewell.streaming.pipelines import JOIN_WAIT_S, OUT_OF_ORDER_S, kpi_measures, kpi_sums, sides
 
 
@@ -164,20 +166,24 @@ class Handovers(StatefulProcessor):
         self.handle = handle
         self.buckets = handle.getMapState("buckets", "bucket LONG", "attempts LONG, failures LONG")
 
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:  # noqa: N802, N803
-        r, out = self.rules, Row("cell_id", "chr_id", "event_ts", "attempts", "failures")
-        held = {k[0]: list(v) for k, v in self.buckets.iterator()}
-        touched = set()
-        # The key's rows of this micro-batch, whose size the source's limits bound.
-        for row in sorted(rows, key=lambda x: (x["event_ts"], x["seq"])):
-            bucket = row["event_ts"] // r.burst_ms
+    def _found(self, key: Any, rows: Iterator[tuple], held: dict[int, list], touched: set[int]) -> Iterator[tuple]:
+        """The handovers that are told; held and touched have the buckets afterwards."""
+        r = self.rules
+        for ts, seq, failed in in_order(rows):
+            bucket = ts // r.burst_ms
             mine = held.setdefault(bucket, [0, 0])
             mine[0] += 1
-            mine[1] += row["failed"]
+            mine[1] += failed
             touched.add(bucket)
             attempts, failures = (sum(held.get(b, (0, 0))[i] for b in range(bucket - r.handover_buckets + 1, bucket + 1)) for i in (0, 1))
             if attempts >= r.handover_attempts and failures / attempts > r.handover_rate:
-                yield out(key[0], str(row["seq"]), row["event_ts"], attempts, failures)
+                yield key[0], str(seq), ts, attempts, failures
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        held = {k[0]: list(v) for k, v in self.buckets.iterator()}
+        touched: set[int] = set()
+        for part in in_parts(self._found(key, plain(rows, "event_ts", "seq", "failed"), held, touched)):
+            yield pd.DataFrame(part, columns=["cell_id", "chr_id", "event_ts", "attempts", "failures"])
         for bucket in touched:
             if not self.buckets.containsKey((bucket,)):
                 self.handle.registerTimer(self._due(bucket))
@@ -186,7 +192,7 @@ class Handovers(StatefulProcessor):
     def _due(self, bucket: int) -> int:
         return (bucket + self.rules.handover_buckets) * self.rules.burst_ms
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:  # noqa: N802, N803
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         self.buckets.removeKey((expiredTimerInfo.getExpiryTimeInMs() // self.rules.burst_ms - self.rules.handover_buckets,))
         yield from ()
 
@@ -196,8 +202,8 @@ class Handovers(StatefulProcessor):
 
 def handover_patterns(chr_: DataFrame, rules: Rules, delay: str = f"{OUT_OF_ORDER_S} seconds") -> DataFrame:
     """Streaming twin of the batch handover patterns. Inside a micro-batch handovers count by time, across them as they come."""
-    rows = chr_.where("event_type = 'HANDOVER'").select("cell_id", "event_ts", F.timestamp_millis("event_ts").alias("event_time"), F.col("chr_id").cast("long").alias("seq"), (F.col("result_code") != 0).cast("int").alias("failed"))
-    return rows.withWatermark("event_time", delay).groupBy("cell_id").transformWithState(Handovers(rules), "cell_id STRING, chr_id STRING, event_ts LONG, attempts LONG, failures LONG", "append", "EventTime")
+    rows = chr_.where("event_type = 'HANDOVER'").select("cell_id", "event_ts", F.timestamp_millis("event_ts").alias("event_time"), F.col("chr_id").cast("long").alias("seq"), F.coalesce((F.col("result_code") != 0).cast("int"), F.lit(0)).alias("failed"))
+    return rows.withWatermark("event_time", delay).groupBy("cell_id").transformWithStateInPandas(Handovers(rules), "cell_id STRING, chr_id STRING, event_ts LONG, attempts LONG, failures LONG", "append", "EventTime")
 
 
 class Routes(StatefulProcessor):
@@ -206,17 +212,20 @@ class Routes(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.route = handle.getValueState("route", "version LONG, shift INT")
 
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:  # noqa: N802, N803
-        version, shift = self.route.get() if self.route.exists() else (None, 0)
-        out = Row("cell_id", "chr_id", "event_ts", "shift")
-        # The key's rows of this micro-batch, whose size the source's limits bound; a route counts from its own time on.
-        for row in sorted(rows, key=lambda r: (r["ts"], r["version"] is None)):
-            if row["version"] is None:
-                yield out(key[0], row["chr_id"], row["ts"], shift)
-            elif version is None or row["version"] > version:
-                version, shift = row["version"], row["shift"]
-        if version is not None:
-            self.route.update((version, shift))
+    def _found(self, rows: Iterator[tuple], now: list) -> Iterator[tuple]:
+        """(chr_id, ts, shift) of the events; now is [version, shift] before and after. A route counts from its own time on."""
+        for ts, event, version, shift, named, chr_id in in_order(rows):
+            if event:
+                yield chr_id if named else None, ts, now[1]
+            elif now[0] is None or version > now[0]:
+                now[:] = version, shift
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        now = list(self.route.get() or (None, 0))
+        for part in in_parts(self._found(plain(rows, "ts", "event", "version", "shift", "named", "chr_id"), now)):
+            yield pd.DataFrame([(key[0], *row) for row in part], columns=["cell_id", "chr_id", "event_ts", "shift"])
+        if now[0] is not None:
+            self.route.update(tuple(now))
 
     def close(self) -> None:
         pass
@@ -228,7 +237,7 @@ def routed(events: DataFrame, routing: DataFrame, n: int, salts: int = 8) -> Dat
     A busy cell's events are dealt over `salts` keys, each of which gets every route of the cell; their order inside a
     cell doesn't matter here. Across micro-batches a route counts from its arrival, inside one from its time.
     """
-    event = events.select("cell_id", F.pmod(F.xxhash64("chr_id"), F.lit(salts)).cast("int").alias("salt"), F.col("event_ts").alias("ts"), "chr_id", F.lit(None).cast("long").alias("version"), F.lit(None).cast("int").alias("shift"))
-    route = routing.select("cell_id", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "ts", F.lit(None).cast("string").alias("chr_id"), F.col("routing_version").cast("long").alias("version"), F.col("shift").cast("int").alias("shift"))
-    found = event.unionByName(route).groupBy("cell_id", "salt").transformWithState(Routes(), "cell_id STRING, chr_id STRING, event_ts LONG, shift INT", "append", "None")
+    event = events.select("cell_id", F.pmod(F.xxhash64("chr_id"), F.lit(salts)).cast("int").alias("salt"), F.col("event_ts").alias("ts"), F.lit(True).alias("event"), F.col("chr_id").isNotNull().alias("named"), F.coalesce("chr_id", F.lit("")).alias("chr_id"), F.lit(0).cast("long").alias("version"), F.lit(0).alias("shift"))
+    route = routing.where("routing_version is not null").select("cell_id", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "ts", F.lit(False).alias("event"), F.lit(False).alias("named"), F.lit("").alias("chr_id"), F.col("routing_version").cast("long").alias("version"), F.col("shift").cast("int").alias("shift"))
+    found = event.unionByName(route).groupBy("cell_id", "salt").transformWithStateInPandas(Routes(), "cell_id STRING, chr_id STRING, event_ts LONG, shift INT", "append", "None")
     return found.withColumn("vbucket", shifted_bucket(virtual_bucket(F.col("cell_id"), n), F.col("shift"), n))
