@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidewell.llm import near_dup, spans
+from tidewell.llm import components, near_dup, spans
 
 SCHEMA = "doc_id long, text string, node int, comp string"
 
@@ -81,6 +81,35 @@ def test_open_buckets_in_blocks(spark, monkeypatch, block, cluster):
     assert got == _components(rows)
 
 
+def _plans(spark):
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    found, out = spark._jsparkSession.sharedState().statusStore().executionsList().iterator(), {}
+    while found.hasNext():
+        x = found.next()
+        out[x.executionId()] = x.physicalPlanDescription()
+    return out
+
+
+def test_no_join_passes_through_the_driver(spark, monkeypatch):
+    """Small tables, which Spark would broadcast: all steps run, by cluster and by bucket, with and without hot buckets."""
+    rng = random.Random(9)
+    rows, words = _corpus(), [f"w{rng.randrange(10**6)}" for _ in range(80)]
+    for i in range(1000, 1040):  # a chain of small edits, for the blocks
+        rows[i] = " ".join(words)
+        words[rng.randrange(80)] = f"v{i}"
+    df = spark.createDataFrame([*rows.items(), (1000, rows[1000])], "doc_id long, text string")
+    want = _components(rows)
+    for hot, cluster in ((near_dup.HOT, 50_000), (1, 0)):
+        monkeypatch.setattr(near_dup, "HOT", hot)
+        monkeypatch.setattr(components, "HOT", hot)
+        monkeypatch.setattr(near_dup, "CLUSTER", cluster)
+        before = max(_plans(spark), default=-1)
+        assert {r.doc_id: r.component_id for r in near_dup.near_duplicates(df).collect()} == want
+        plans = [x for i, x in _plans(spark).items() if i > before]
+        assert not [x for x in plans if "Broadcast" in x]
+        assert sum("SortMergeJoin" in x for x in plans) > 20 and any("open-links" in x for x in plans)
+
+
 def test_repeated_rows_null_ids_and_empty(spark):
     text = "a b c d e f g h"
     df = spark.createDataFrame([(1, text), (1, text), (None, text), (None, "z y x w v u")], "doc_id long, text string")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm import bitmaps
-from tidewell.llm.scratch import Scratch
+from tidewell.llm.scratch import Scratch, shuffled
 
 #: Edges that a task holds before it contracts them to a forest of the nodes it has seen.
 HELD = 1_000_000
@@ -49,12 +49,12 @@ def _jump(edges: DataFrame) -> DataFrame:
     parents = edges.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "v")
     hot = bitmaps.build(edges.groupBy("v").count().where(F.col("count") > HOT), F.col("v"))
     if not hot.any():
-        return edges.join(parents, "v", "left").select("u", F.coalesce("m", "v").alias("v"))
+        return edges.join(shuffled(parents), "v", "left").select("u", F.coalesce("m", "v").alias("v"))
     mark = bitmaps.marker(hot, "v")
     edges = edges.mapInArrow(mark, "u long, v long, hot boolean").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("u"), F.lit(SALTS))).otherwise(0).cast("int"))
     every = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     parents = parents.mapInArrow(mark, "v long, m long, hot boolean").select("v", "m", F.explode(every).alias("salt"))
-    return edges.join(parents, ["v", "salt"], "left").select("u", F.coalesce("m", "v").alias("v"))
+    return edges.join(shuffled(parents), ["v", "salt"], "left").select("u", F.coalesce("m", "v").alias("v"))
 
 
 def _is_forest(edges: DataFrame) -> bool:

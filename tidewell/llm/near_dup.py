@@ -15,6 +15,8 @@ sets in blocks of bounded size, of which each gives a forest of its links and no
 nodes is worked off bucket by bucket instead, so chance chains of buckets don't add up; either way exactly the
 pairs that share a bucket are compared, so the result is the same. Nothing is capped: each pair that shares a
 bucket is either in one component already or compared.
+
+All joins shuffle both sides: no table of a size that goes with the input's passes through the driver.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidewell.llm import bitmaps, shingles
 from tidewell.llm.components import components
-from tidewell.llm.scratch import Scratch, comparable, own, slices, unused
+from tidewell.llm.scratch import Scratch, comparable, own, shuffled, slices, unused
 
 CHUNKS, WIDTH = 12, 5
 SYMBOLS = CHUNKS * WIDTH
@@ -207,11 +209,11 @@ class _Run:
         """Join (key, node, hot, ...) with (key, hot, ...) of one row a key; the rows of hot buckets are dealt over SALTS tasks by their node."""
         salt = F.when(F.col("hot"), F.pmod(F.xxhash64("node"), F.lit(SALTS))).otherwise(0).cast("int")
         every = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-        return rows.withColumn("salt", salt).join(by_key.withColumn("salt", F.explode(every)).drop("hot"), ["key", "salt"]).drop("salt")
+        return rows.withColumn("salt", salt).join(shuffled(by_key.withColumn("salt", F.explode(every)).drop("hot")), ["key", "salt"]).drop("salt")
 
     def texts(self, used: DataFrame, name: str) -> DataFrame:
         """(node, text) of the nodes in used; the scan sends no other texts on, but for a few that share a bit of a bitmap."""
-        needed = self.scratch.save(self.nodes.join(used, "node", "left_semi").select("node", "doc_id", "th"), f"{name}-needed")
+        needed = self.scratch.save(self.nodes.join(shuffled(used), "node", "left_semi").select("node", "doc_id", "th"), f"{name}-needed")
         bitmap = bitmaps.build(needed, F.xxhash64("doc_id", "th"))
 
         def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +222,7 @@ class _Run:
 
         found = self.source.withColumn("k", F.xxhash64("doc_id", "th")).mapInArrow(wanted, "doc_id long, th long, text string").alias("s")
         same = F.col("s.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("s.th") == F.col("t.th"))
-        return found.join(needed.alias("t"), same).select("node", "text").dropDuplicates(["node"])
+        return found.join(shuffled(needed.alias("t")), same).select("node", "text").dropDuplicates(["node"])
 
     def stars(self) -> DataFrame:
         """(a, salt, b): every bucket's nodes b with its least and with its greatest node a; those of hot buckets are dealt over SALTS salts by b."""
@@ -237,15 +239,15 @@ class _Run:
         pairs = self.scratch.save(self.stars(), "star-all")
         sigs = self.nodes.select("node", "n", "sig")
         side = lambda x: sigs.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}"))
-        centres = pairs.select("a", "salt").distinct().join(side("a"), "a")
-        pairs = pairs.join(side("b"), "b").join(centres, ["a", "salt"]).mapInArrow(_alike, "a long, salt int, b long")
+        centres = pairs.select("a", "salt").distinct().join(shuffled(side("a")), "a")
+        pairs = pairs.join(shuffled(side("b")), "b").join(shuffled(centres), ["a", "salt"]).mapInArrow(_alike, "a long, salt int, b long")
         pairs = self.scratch.save(pairs, "star-pairs")
         self.scratch.drop("star-all")
         used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         texts = self.scratch.save(self.texts(used, "star"), "star-texts")
         of = lambda x: texts.select(F.col("node").alias(x), "text")
-        centres = pairs.select("a", "salt").distinct().join(of("a"), "a").select("a", "salt", F.lit(None).cast("long").alias("b"), "text")
-        both = pairs.join(of("b"), "b").select("a", "salt", "b", "text").unionByName(centres)
+        centres = pairs.select("a", "salt").distinct().join(shuffled(of("a")), "a").select("a", "salt", F.lit(None).cast("long").alias("b"), "text")
+        both = pairs.join(shuffled(of("b")), "b").select("a", "salt", "b", "text").unionByName(centres)
         both = both.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
         out = self.scratch.save(both.mapInArrow(_confirm, "a long, b long"), "star-links")
         self.scratch.drop("star-texts")
@@ -254,7 +256,7 @@ class _Run:
     def open_links(self, comps: DataFrame) -> DataFrame | None:
         """Links between components inside the buckets that stars left open; None without such buckets."""
         save = self.scratch.save
-        held = self.held().where("n > 3").join(comps, "node", "left")
+        held = self.held().where("n > 3").join(shuffled(comps), "node", "left")
         held = save(held.select("key", "hot", "lo", "node", F.coalesce("comp", "node").alias("comp")), "open-index")
         open_ = held.groupBy("key").agg(F.max("hot").alias("hot"), F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 != c2").select("key", "hot")
         held = save(self.spread(held, open_), "open-held")
@@ -265,26 +267,27 @@ class _Run:
         clusters = save(components(chains, self.scratch, "open-clusters").withColumnRenamed("comp", "cluster"), "open-clusters")
         large = save(clusters.groupBy("cluster").count().where(F.col("count") > CLUSTER).select("cluster"), "open-large")
         members = held.select("node", "comp").distinct()
-        rows = members.join(clusters, "node").select("node", "comp", F.col("cluster").alias("unit"))
+        rows = members.join(shuffled(clusters), "node").select("node", "comp", F.col("cluster").alias("unit"))
         if not large.isEmpty():
-            inside = clusters.join(large, "cluster", "left_semi").select("node")
-            by_bucket = held.join(inside, "node", "left_semi").select("node", "comp", F.xxhash64("key", F.lit("key")).alias("unit"))
-            rows = rows.join(inside, "node", "left_anti").unionByName(by_bucket)
+            inside = clusters.join(shuffled(large), "cluster", "left_semi").select("node")
+            by_bucket = held.join(shuffled(inside), "node", "left_semi").select("node", "comp", F.xxhash64("key", F.lit("key")).alias("unit"))
+            rows = rows.join(shuffled(inside), "node", "left_anti").unionByName(by_bucket)
         rows = save(rows, "open-rows")
         units = rows.groupBy("unit", "comp").agg(F.count("*").alias("n")).groupBy("unit").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("total"))
-        units = units.select("unit", F.col("top.comp").alias("top"), "total", (F.col("total") - F.col("top.n")).alias("few")).where("few > 0")
+        units = save(units.select("unit", F.col("top.comp").alias("top"), "total", (F.col("total") - F.col("top.n")).alias("few")).where("few > 0"), "open-units")
         sets = save(self.texts(rows.select("node").distinct(), "open").mapInArrow(_sets, "node long, found binary"), "open-sets")
         block = lambda n: F.pmod(F.xxhash64("node"), F.ceil(n / BLOCK))
         blocks = lambda n: F.sequence(F.lit(0).cast("long"), F.ceil(n / BLOCK) - 1)
-        rows = rows.join(units, "unit")
+        tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.join(shuffled(units), "unit").repartition(tasks, "node")  # a unit's rows meet in a task, but not what they multiply to
         few = rows.where("comp != top").select("unit", block(F.col("few")).alias("i"), F.explode(blocks(F.col("total"))).alias("j"), F.lit(0).alias("side"), "node", "comp")
         all_ = rows.select("unit", F.explode(blocks(F.col("few"))).alias("i"), block(F.col("total")).alias("j"), F.lit(1).alias("side"), "node", "comp")
-        sides = few.unionByName(all_).join(self.nodes.select("node", "n", "sig"), "node").join(sets, "node")
+        sides = few.unionByName(all_).join(shuffled(self.nodes.select("node", "n", "sig")), "node").join(shuffled(sets), "node")
         return save(sides.groupBy("unit", "i", "j").applyInPandas(_across, "a long, b long"), "open-links")
 
     def clear(self) -> None:
         """Delete what the last steps no longer read."""
-        self.scratch.drop("rows", "nodes", "held", "star-pairs", "star-needed", "star-links", "open-held", "open-clusters", "open-large", "open-rows", "open-needed", "open-sets", "open-links", "named")
+        self.scratch.drop("rows", "nodes", "held", "star-pairs", "star-needed", "star-links", "open-held", "open-clusters", "open-large", "open-rows", "open-units", "open-needed", "open-sets", "open-links", "named")
 
     def named(self) -> DataFrame:
         """(node, doc_id, th, comp): each node with its first row, ids before none, and its component."""
@@ -293,7 +296,7 @@ class _Run:
         more = self.open_links(comps)
         if more is not None and not more.isEmpty():
             comps = components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(more), self.scratch, "all-comps")
-        return self.scratch.save(self.nodes.join(comps, "node", "left").select("node", "doc_id", "th", F.coalesce("comp", "node").alias("comp")), "named")
+        return self.scratch.save(self.nodes.join(shuffled(comps), "node", "left").select("node", "doc_id", "th", F.coalesce("comp", "node").alias("comp")), "named")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -308,9 +311,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     run = _Run(df, id_col, text_col)
     named = run.named()
-    least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    of_node = run.scratch.save(named.join(least, "comp").select("node", "component_id"), "of_node")
-    out = run.rows.join(of_node, "node", "left")
+    least = run.scratch.save(named.groupBy("comp").agg(F.min("doc_id").alias("component_id")), "least")
+    of_node = run.scratch.save(named.join(shuffled(least), "comp").select("node", "component_id"), "of_node")
+    out = run.rows.join(shuffled(of_node), "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
 

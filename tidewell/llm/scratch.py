@@ -56,6 +56,15 @@ def least_rows(df: DataFrame, key: Column, most: int) -> DataFrame:
     return rows.where(F.col(name) <= best if best is not None else F.lit(False)).dropDuplicates([name]).drop(name)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """df for a join by shuffle on both sides, whatever their sizes.
+
+    Spark sends a side through the driver if its files are small; but some bytes of a file may be many rows, and of rows that
+    explode() or mapInArrow() multiply it knows only the files they come from.
+    """
+    return df.hint("merge")
+
+
 def comparable(df: DataFrame) -> Column:
     """All columns of df as one that can be compared and hashed: a struct, or its JSON where df has maps."""
     row = F.struct(*own(df))
