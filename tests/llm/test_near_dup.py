@@ -105,6 +105,7 @@ def test_no_join_passes_through_the_driver(spark, monkeypatch):
         monkeypatch.setattr(near_dup, "CLUSTER", cluster)
         before = max(_plans(spark), default=-1)
         assert {r.doc_id: r.component_id for r in near_dup.near_duplicates(df).collect()} == want
+        assert {r.doc_id for r in near_dup.keep_one(df).collect()} == set(want.values())
         plans = [x for i, x in _plans(spark).items() if i > before]
         assert not [x for x in plans if "Broadcast" in x]
         assert sum("SortMergeJoin" in x for x in plans) > 20 and any("open-links" in x for x in plans)

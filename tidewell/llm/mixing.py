@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.llm.scratch import Scratch, comparable, own, unused
+from tidewell.llm.scratch import Scratch, comparable, own, shuffled, unused
 
 #: Weights by rank of the source, repeating.
 WEIGHTS = (5, 2, 1)
@@ -128,7 +128,7 @@ def apply_mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source",
     held = mix_sources(df, id_col, source_col, text_col).groupBy(F.col("row_key").alias(key)).agg(F.sum("times").alias("total"), F.count("*").alias("n")).where("total > 0")
     mix = scratch.save(held.select(key, F.expr("cast(total div n as int)").alias(times), (F.col("total") % F.col("n")).alias(more)), "mix")
     rows = df.withColumn(key, F.xxhash64(id_col, source_col, text_col))
-    out = rows.join(mix.where(F.col(more) == 0), key)
+    out = rows.join(shuffled(mix.where(F.col(more) == 0)), key)
     parted = mix.where(F.col(more) > 0)  # only where the budget ends within equal rows
     if not parted.isEmpty():
         order = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(comparable(df))))

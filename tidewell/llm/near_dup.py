@@ -331,15 +331,15 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     key = F.xxhash64("doc_id", "th").alias(name)
     named = run.named()
     first = named.where("doc_id is not null").groupBy("comp").agg(F.min(F.struct("doc_id", "th")).alias("r")).select("r.*")
-    no_id = run.rows.where("doc_id is null and node is not null").groupBy("node").agg(F.min("th").alias("th")).join(named.select("node", "comp"), "node")
+    no_id = run.rows.where("doc_id is null and node is not null").groupBy("node").agg(F.min("th").alias("th")).join(shuffled(named.select("node", "comp")), "node")
     no_id = no_id.groupBy("comp").agg(F.min("th").alias("th")).select(F.lit(None).cast("long").alias("doc_id"), "th")
     kept = first.unionByName(no_id).unionByName(run.rows.where("node is null").select("doc_id", "th")).select(key)
     kept = run.scratch.save(kept.distinct(), "kept")
-    repeated = run.rows.where("node is not null").groupBy(key).count().where("count > 1").join(kept, name, "left_semi").select(name)
+    repeated = run.rows.where("node is not null").groupBy(key).count().where("count > 1").join(shuffled(kept), name, "left_semi").select(name)
     repeated = run.scratch.save(repeated, "kept-repeated")
     run.clear()
-    out = df.withColumn(name, F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(text_col))).join(kept, name, "left_semi")
+    out = df.withColumn(name, F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(text_col))).join(shuffled(kept), name, "left_semi")
     if repeated.isEmpty():
         return out.select(*own(df))
-    least = out.join(repeated, name, "left_semi").groupBy(name).agg(F.min_by(F.struct(*own(df)), comparable(df)).alias(row))
-    return out.join(repeated, name, "left_anti").select(*own(df)).unionByName(least.select(f"{row}.*"))
+    least = out.join(shuffled(repeated), name, "left_semi").groupBy(name).agg(F.min_by(F.struct(*own(df)), comparable(df)).alias(row))
+    return out.join(shuffled(repeated), name, "left_anti").select(*own(df)).unionByName(least.select(f"{row}.*"))
