@@ -16,7 +16,7 @@ nodes is worked off bucket by bucket instead, so chance chains of buckets don't
 pairs that share a bucket are compared, so the result is the same. Nothing is capped: each pair that shares a
 bucket is either in one component already or compared.
 
-All joins shuffle both sides: no table of a size that goes with the input's passes through the driver.
+Joins shuffle both sides unless one is tiny: no table of a size that goes with the input's passes through the driver.
 """
 
 from __future__ import annotations

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Documents handled at once in a task; Spark itself bounds the Arrow batch that they come in by bytes.
 BATCH_ROWS = 1000
+#: Estimated bytes up to which a side of a join may be broadcast.
+SMALL = 256 << 10
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -57,12 +59,13 @@ def least_rows(df: DataFrame, key: Column, most: int) -> DataFrame:
 
 
 def shuffled(df: DataFrame) -> DataFrame:
-    """df for a join by shuffle on both sides, whatever their sizes.
+    """df for a join that shuffles both sides, unless df is estimated at SMALL bytes at most.
 
     Spark sends a side through the driver if its files are small; but some bytes of a file may be many rows, and of rows that
     explode() or mapInArrow() multiply it knows only the files they come from.
     """
-    return df.hint("merge")
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.hint("merge") if size > SMALL else df
 
 
 def comparable(df: DataFrame) -> Column:
